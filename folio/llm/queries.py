@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from folio.llm import token_output
+from folio.llm import fingerprints, token_output
 from folio.llm.common import table
 
 
@@ -16,8 +16,12 @@ def op7_token_output(spark, sf_dir):
     return token_output.token_digest(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
 
 
+def op5_fingerprints(spark, sf_dir):
+    return fingerprints.fingerprint_report(table(spark, sf_dir, "documents"))
+
+
 def queries():
-    return {"op7_token_output": op7_token_output}
+    return {"op5_fingerprints": op5_fingerprints, "op7_token_output": op7_token_output}
 
 
 def oracle_sql():

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from folio.llm import fingerprints, token_output
+from folio.llm import decontamination, fingerprints, secret_scan, token_output
 from folio.llm.common import table
 
 
@@ -20,8 +20,16 @@ def op5_fingerprints(spark, sf_dir):
     return fingerprints.fingerprint_report(table(spark, sf_dir, "documents"))
 
 
+def op1_decontamination(spark, sf_dir):
+    return decontamination.overlaps(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op4_secret_scan(spark, sf_dir):
+    return secret_scan.secrets(table(spark, sf_dir, "documents"))
+
+
 def queries():
-    return {"op5_fingerprints": op5_fingerprints, "op7_token_output": op7_token_output}
+    return {"op4_secret_scan": op4_secret_scan, "op1_decontamination": op1_decontamination, "op5_fingerprints": op5_fingerprints, "op7_token_output": op7_token_output}
 
 
 def oracle_sql():

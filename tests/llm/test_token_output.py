@@ -55,11 +55,7 @@ def test_real_documents(spark):
 def test_words_give_the_ids_of_the_text(text):
     import pyarrow as pa
 
-    global encoder
-    try:
-        encoder
-    except NameError:
-        encoder = t.WordEncoder(tokenizer_path("word_bpe_49k.json"))
+    encoder = t.word_encoder(tokenizer_path("word_bpe_49k.json"))
     ids, _ = encoder.texts(pa.array([text]))
     assert ids.tolist() == encoder.tokenizer.encode(text, add_special_tokens=False).ids
 

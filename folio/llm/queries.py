@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from folio.llm import decontamination, fingerprints, secret_scan, token_output
+from folio.llm import decontamination, fingerprints, near_dedup, secret_scan, token_output
 from folio.llm.common import table
 
 
@@ -28,8 +28,12 @@ def op4_secret_scan(spark, sf_dir):
     return secret_scan.secrets(table(spark, sf_dir, "documents"))
 
 
+def op3_near_dedup(spark, sf_dir):
+    return near_dedup.near_duplicates(table(spark, sf_dir, "documents"), shingle_words=2)
+
+
 def queries():
-    return {"op4_secret_scan": op4_secret_scan, "op1_decontamination": op1_decontamination, "op5_fingerprints": op5_fingerprints, "op7_token_output": op7_token_output}
+    return {"op3_near_dedup": op3_near_dedup, "op4_secret_scan": op4_secret_scan, "op1_decontamination": op1_decontamination, "op5_fingerprints": op5_fingerprints, "op7_token_output": op7_token_output}
 
 
 def oracle_sql():

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from folio.llm import decontamination, fingerprints, near_dedup, secret_scan, token_output
+from folio.llm import decontamination, fingerprints, near_dedup, quality, secret_scan, token_output, toxicity
 from folio.llm.common import table
 
 
@@ -32,8 +32,16 @@ def op3_near_dedup(spark, sf_dir):
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"), shingle_words=2)
 
 
+def op8_toxicity(spark, sf_dir):
+    return toxicity.severities(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op9_quality(spark, sf_dir):
+    return quality.scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def queries():
-    return {"op3_near_dedup": op3_near_dedup, "op4_secret_scan": op4_secret_scan, "op1_decontamination": op1_decontamination, "op5_fingerprints": op5_fingerprints, "op7_token_output": op7_token_output}
+    return {"op9_quality": op9_quality, "op8_toxicity": op8_toxicity, "op3_near_dedup": op3_near_dedup, "op4_secret_scan": op4_secret_scan, "op1_decontamination": op1_decontamination, "op5_fingerprints": op5_fingerprints, "op7_token_output": op7_token_output}
 
 
 def oracle_sql():

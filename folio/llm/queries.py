@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from folio.llm import decontamination, fingerprints, near_dedup, pieces, quality, secret_scan, token_output, toxicity
+from folio.llm import decontamination, fingerprints, near_dedup, pieces, quality, repeats, secret_scan, token_output, toxicity
 from folio.llm.common import table
 
 
@@ -45,8 +45,12 @@ def op2_sentencepiece(spark, sf_dir):
     return pieces.encoded(docs, tokenizer_path("piece_bpe_32k.model")).select("doc_id", "n_pieces", "round_trip", "piece_ids")
 
 
+def op6_repeats(spark, sf_dir):
+    return repeats.without_repeats(table(spark, sf_dir, "documents")).drop("kept")
+
+
 def queries():
-    return {"op2_sentencepiece": op2_sentencepiece, "op9_quality": op9_quality, "op8_toxicity": op8_toxicity, "op3_near_dedup": op3_near_dedup, "op4_secret_scan": op4_secret_scan, "op1_decontamination": op1_decontamination, "op5_fingerprints": op5_fingerprints, "op7_token_output": op7_token_output}
+    return {"op6_repeats": op6_repeats, "op2_sentencepiece": op2_sentencepiece, "op9_quality": op9_quality, "op8_toxicity": op8_toxicity, "op3_near_dedup": op3_near_dedup, "op4_secret_scan": op4_secret_scan, "op1_decontamination": op1_decontamination, "op5_fingerprints": op5_fingerprints, "op7_token_output": op7_token_output}
 
 
 def oracle_sql():

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from folio.llm import decontamination, fingerprints, near_dedup, pieces, quality, repeats, secret_scan, token_output, toxicity
+from folio.llm import decontamination, fingerprints, license_scan, near_dedup, pieces, quality, repeats, secret_scan, token_output, toxicity
 from folio.llm.common import table
 
 
@@ -49,8 +49,30 @@ def op6_repeats(spark, sf_dir):
     return repeats.without_repeats(table(spark, sf_dir, "documents")).drop("kept")
 
 
+def op10_license_scan(spark, sf_dir):
+    return license_scan.licenses(table(spark, sf_dir, "documents"))
+
+
+def pipeline(spark, sf_dir):
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 def queries():
-    return {"op6_repeats": op6_repeats, "op2_sentencepiece": op2_sentencepiece, "op9_quality": op9_quality, "op8_toxicity": op8_toxicity, "op3_near_dedup": op3_near_dedup, "op4_secret_scan": op4_secret_scan, "op1_decontamination": op1_decontamination, "op5_fingerprints": op5_fingerprints, "op7_token_output": op7_token_output}
+    return {
+        "op1_decontamination": op1_decontamination,
+        "op2_sentencepiece": op2_sentencepiece,
+        "op3_near_dedup": op3_near_dedup,
+        "op4_secret_scan": op4_secret_scan,
+        "op5_fingerprints": op5_fingerprints,
+        "op6_repeats": op6_repeats,
+        "op7_token_output": op7_token_output,
+        "op8_toxicity": op8_toxicity,
+        "op9_quality": op9_quality,
+        "op10_license_scan": op10_license_scan,
+        "pipeline": pipeline,
+    }
 
 
 def oracle_sql():

@@ -25,7 +25,7 @@ def enriched(figures: DataFrame, provider: Callable[[Column], Column] = stub_pro
     """A-16, J-2: status and outcome of each figure: the first of a job and content is summarised, the others copy it. A failed content is tried again for each."""
     first = F.row_number().over(W.partitionBy("job_id", "sha256").orderBy("page_number", "index_on_page", "token")) == 1
     rows = figures.withColumn("outcome", provider(F.col("sha256"))).withColumn("first", first)
-    return rows.withColumn("status", F.when(F.col("outcome") == "failed", "failed").when("first", "summarized").otherwise("deduplicated")).drop("first")
+    return rows.withColumn("status", F.when(F.col("outcome") == "failed", "failed").when(F.col("first"), "summarized").otherwise("deduplicated")).drop("first")
 
 
 def counters(rows: DataFrame) -> DataFrame:
@@ -36,7 +36,7 @@ def counters(rows: DataFrame) -> DataFrame:
 
 def resolved(figures: DataFrame, summaries: DataFrame) -> DataFrame:
     """J-1: the text of each token: its summary's if informative, none if not, the placeholder if there is no summary."""
-    text = F.when(F.col("is_informative").isNull(), T.PLACEHOLDER).when("is_informative", F.col("markdown_result")).otherwise("")
+    text = F.when(F.col("is_informative").isNull(), T.PLACEHOLDER).when(F.col("is_informative"), F.col("markdown_result")).otherwise("")
     return figures.join(summaries.select("token", "is_informative", "markdown_result"), "token", "left").withColumn("replacement", text)
 
 

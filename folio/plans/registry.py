@@ -5,11 +5,313 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
+from pyspark.sql import functions as F
+
+from folio.functions import text as T
+from folio.operators import analytics, chunking, figures, pages, routing, windows
+from folio.operators.sections import explode_sections, parent_chunks
+from folio.sources import html
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+ORACLES: dict[str, str] = {}
+
+
+def query(oracle: str | None = None):
+    def add(f):
+        QUERIES[f.__name__] = f
+        if oracle:
+            ORACLES[f.__name__] = oracle
+        return f
+
+    return add
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+# Documents: text functions
+
+
+@query("SELECT doc_id, greatest(1, length(text) // 4) AS token_count FROM documents")
+def doc_token_counts(spark, sf_dir):
+    return table(spark, sf_dir, "documents").select("doc_id", T.token_count(F.col("text")).alias("token_count"))
+
+
+SENTENCES_SQL = r"string_split(regexp_replace(text, '([.!?])\s+([A-Z0-9>])', '\1' || chr(1) || '\2', 'g'), chr(1))"
+
+
+@query(f"SELECT doc_id, CAST(len({SENTENCES_SQL}) AS BIGINT) AS sentences, md5(array_to_string({SENTENCES_SQL}, chr(1))) AS digest FROM documents")
+def doc_sentence_split(spark, sf_dir):
+    parts = T.sentences(F.col("text"))
+    return table(spark, sf_dir, "documents").select("doc_id", F.size(parts).cast("long").alias("sentences"), F.md5(F.array_join(parts, "\x01")).alias("digest"))
+
+
+@query(f"""
+WITH RECURSIVE s AS (SELECT doc_id, {SENTENCES_SQL} AS p FROM documents),
+r AS (
+  SELECT doc_id, p, 1 AS i, 1 AS piece, greatest(1, length(p[1]) // 4) AS n FROM s
+  UNION ALL
+  SELECT doc_id, p, i + 1, CASE WHEN n + greatest(1, length(p[i + 1]) // 4) <= 120 THEN piece ELSE piece + 1 END,
+         CASE WHEN n + greatest(1, length(p[i + 1]) // 4) <= 120 THEN n + greatest(1, length(p[i + 1]) // 4) ELSE greatest(1, length(p[i + 1]) // 4) END
+  FROM r WHERE i < len(p)
+)
+SELECT doc_id, CAST(max(piece) AS BIGINT) AS pieces FROM r GROUP BY doc_id""")
+def doc_sentence_chunks(spark, sf_dir):
+    return table(spark, sf_dir, "documents").select("doc_id", F.size(chunking.sentence_pieces(F.col("text"), 120)).cast("long").alias("pieces"))
+
+
+@query()
+def doc_sentence_pieces(spark, sf_dir):
+    return table(spark, sf_dir, "documents").select("doc_id", F.posexplode(chunking.sentence_pieces(F.col("text"), 120)).alias("piece", "content"))
+
+
+@query("""
+SELECT doc_id, CAST(i AS BIGINT) AS line_no, l[i] AS line FROM (
+  SELECT doc_id, string_split(regexp_replace(text, chr(10) || '$', ''), chr(10)) AS l FROM documents WHERE text <> ''
+), LATERAL (SELECT unnest(range(1, len(l) + 1)) AS i)""")
+def doc_lines(spark, sf_dir):
+    return table(spark, sf_dir, "documents").select("doc_id", F.posexplode(T.lines(F.col("text"))).alias("p", "line")).select("doc_id", (F.col("p") + 1).cast("long").alias("line_no"), "line")
+
+
+@query(r"""
+SELECT doc_id, CAST(len(list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '(?i)\b(fig(?:ure)?|chart|diagram|flowchart)\s*[\.:]?\s*\d*'))) AS BIGINT) AS caption_lines
+FROM documents WHERE lang = 'en'""")
+def doc_caption_lines_en(spark, sf_dir):
+    return table(spark, sf_dir, "documents").filter("lang = 'en'").select("doc_id", T.caption_lines(F.col("text")).alias("caption_lines"))
+
+
+@query(r"""SELECT doc_id, CASE WHEN trim(regexp_replace(text, '\s+', ' ', 'g')) <> '' THEN left(trim(regexp_replace(text, '\s+', ' ', 'g')), 240) END AS compact FROM documents""")
+def doc_compact(spark, sf_dir):
+    return table(spark, sf_dir, "documents").select("doc_id", T.compact(F.col("text")).alias("compact"))
+
+
+@query("SELECT doc_id, CASE WHEN length(text) > 200 THEN left(text, 100) || '...' || right(text, 100) ELSE text END AS preview FROM documents")
+def doc_preview(spark, sf_dir):
+    return table(spark, sf_dir, "documents").select("doc_id", T.preview(F.col("text")).alias("preview"))
+
+
+@query("SELECT doc_id, sha256(text) AS job_id, CAST(greatest(1, ceil(length(text) / 2000)) AS BIGINT) AS pages FROM documents")
+def doc_identity(spark, sf_dir):
+    return table(spark, sf_dir, "documents").select("doc_id", F.sha2("text", 256).alias("job_id"), T.estimated_pages(F.length("text")).alias("pages"))
+
+
+# Conversations as Markdown: sections and chunks
+
+
+def conversation_md(spark, sf_dir) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations")
+    part = F.concat(F.repeat(F.lit("#"), (F.col("turn") % 3 + 1).cast("int")), F.lit(" "), F.col("role"), F.lit(" "), F.col("turn").cast("string"), F.lit("\n\n"), F.col("text"))
+    joined = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("turn", "role", "text", part.alias("part")))), lambda x: x["part"]), "\n\n")
+    return turns.groupBy("conv_id").agg(joined.alias("md"))
+
+
+MD_SQL = """md AS (SELECT conv_id, string_agg(repeat('#', CAST(turn % 3 AS INT) + 1) || ' ' || role || ' ' || turn || chr(10) || chr(10) || text, chr(10) || chr(10) ORDER BY turn, role, text) AS md FROM conversations GROUP BY conv_id)"""
+SECTIONS_SQL = MD_SQL + r""",
+l AS (SELECT conv_id, i, string_split(md, chr(10))[i] AS line FROM (SELECT conv_id, md, unnest(range(1, len(string_split(md, chr(10))) + 1)) AS i FROM md)),
+h AS (SELECT *, CASE WHEN regexp_matches(line, '^#{1,6}\s+.+') THEN length(regexp_extract(line, '^(#{1,6})\s', 1)) END AS level FROM l),
+g AS (SELECT *, count(level) OVER (PARTITION BY conv_id ORDER BY i) AS sec FROM h),
+s AS (SELECT conv_id, sec, max(level) AS level, min(i) AS start_line, max(CASE WHEN level IS NOT NULL THEN trim(regexp_extract(line, '^#{1,6}\s+(.+)$', 1)) END) AS title,
+        coalesce(string_agg(CASE WHEN level IS NULL THEN line END, chr(10) ORDER BY i), '') AS body, count(*) - 1 AS n FROM g WHERE sec > 0 GROUP BY conv_id, sec),
+p AS (SELECT *, max(CASE WHEN level = 1 THEN sec END) OVER w AS l1, max(CASE WHEN level <= 1 THEN sec END) OVER w AS m1, max(CASE WHEN level = 2 THEN sec END) OVER w AS l2, max(CASE WHEN level <= 2 THEN sec END) OVER w AS m2
+      FROM s WINDOW w AS (PARTITION BY conv_id ORDER BY sec ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+q AS (SELECT p.*, CASE WHEN p.level > 1 AND l1 = m1 THEN a.title || ' > ' ELSE '' END || CASE WHEN p.level > 2 AND l2 = m2 THEN b.title || ' > ' ELSE '' END || p.title AS section_path
+      FROM p LEFT JOIN s a ON a.conv_id = p.conv_id AND a.sec = p.l1 LEFT JOIN s b ON b.conv_id = p.conv_id AND b.sec = p.l2)"""
+
+
+def conversation_parents(spark, sf_dir) -> DataFrame:
+    return parent_chunks(explode_sections(conversation_md(spark, sf_dir)), "conv_id")
+
+
+@query(f"""WITH {SECTIONS_SQL}
+SELECT conv_id, CAST(sec - 1 AS BIGINT) AS section_no, title, CAST(level AS BIGINT) AS level, CAST(start_line AS BIGINT) AS start_line, CAST(start_line + n - 1 AS BIGINT) AS end_line, section_path,
+       greatest(1, length(trim(body, chr(10) || ' ')) // 4) AS token_count, md5(trim(body, chr(10) || ' ')) AS digest FROM q""")
+def conversation_sections(spark, sf_dir):
+    return conversation_parents(spark, sf_dir).select("conv_id", "section_no", "title", F.col("level").cast("long").alias("level"), F.col("start_line").cast("long").alias("start_line"), "end_line", "section_path", "token_count", F.md5("page_content").alias("digest"))
+
+
+@query()
+def conversation_child_chunks(spark, sf_dir):
+    return chunking.child_chunks(conversation_parents(spark, sf_dir)).drop("parents")
+
+
+@query()
+def document_child_chunks(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.col("text").alias("md"))
+    return chunking.child_chunks(parent_chunks(explode_sections(docs), "doc_id")).drop("parents")
+
+
+@query()
+def chunk_summary(spark, sf_dir):
+    parents = conversation_parents(spark, sf_dir)
+    return analytics.chunk_summary(conversation_md(spark, sf_dir), parents, chunking.child_chunks(parents), "conv_id")
+
+
+@query()
+def chunk_token_stats(spark, sf_dir):
+    return analytics.token_stats(chunking.child_chunks(conversation_parents(spark, sf_dir)))
+
+
+@query()
+def chunk_integrity(spark, sf_dir):
+    parents = conversation_parents(spark, sf_dir)
+    return analytics.integrity(parents, chunking.child_chunks(parents))
+
+
+@query()
+def children_per_header(spark, sf_dir):
+    parents = conversation_parents(spark, sf_dir)
+    return analytics.children_per_header(parents, chunking.child_chunks(parents), "conv_id")
+
+
+@query()
+def parent_export(spark, sf_dir):
+    parents = conversation_parents(spark, sf_dir)
+    return analytics.parent_export(parents, chunking.child_chunks(parents), "conv_id")
+
+
+# Web pages: profile and routing
+
+
+@query(r"""SELECT page_id, CAST(len(regexp_extract_all(html, '<li[\s>]')) AS BIGINT) AS items, CAST(len(regexp_extract_all(html, '<p[\s>]')) AS BIGINT) AS paragraphs, CAST(len(regexp_extract_all(html, '<a[\s>]')) AS BIGINT) AS links FROM pages""")
+def html_tag_counts(spark, sf_dir):
+    return table(spark, sf_dir, "pages").select("page_id", *[F.regexp_count("html", F.lit(f"<{t}[\\s>]")).cast("long").alias(n) for t, n in (("li", "items"), ("p", "paragraphs"), ("a", "links"))])
+
+
+@query()
+def html_profile(spark, sf_dir):
+    return html.html_profile(table(spark, sf_dir, "pages"))
+
+
+@query("SELECT page_id, 'docling' AS engine, CAST(0.98 AS DOUBLE) AS confidence, 'only_supported' AS reason FROM pages")
+def html_routing(spark, sf_dir):
+    return routing.routed(routing.requirements(html_profile(spark, sf_dir))).select("page_id", "engine", "confidence", "reason")
+
+
+@query()
+def routing_rollup(spark, sf_dir):
+    return routing.rollup(routing.routed(routing.requirements(html_profile(spark, sf_dir))))
+
+
+# Orders as pages with a table each
+
+
+def order_pages(spark, sf_dir) -> DataFrame:
+    lines_ = table(spark, sf_dir, "lineitem").withColumn("row", F.concat_ws("", F.lit("| "), F.col("l_linenumber").cast("string"), F.lit(" | "), F.col("l_partkey").cast("string"), F.lit(" | "), F.col("l_quantity").cast("int").cast("string"), F.lit(" |")))
+    rows = lines_.groupBy("l_orderkey").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "row"))), lambda x: x["row"]), "\n").alias("rows"))
+    orders = table(spark, sf_dir, "orders").join(rows, F.col("o_orderkey") == F.col("l_orderkey"))
+    md = F.concat(F.lit("## Order "), F.col("o_orderkey").cast("string"), F.lit("\n\n| line | part | qty |\n|---|---|---|\n"), F.col("rows"), F.when(F.col("o_orderkey") % 3 != 0, "\n\nEnd of order.").otherwise(""))
+    page = F.row_number().over(W.partitionBy("o_custkey").orderBy("o_orderkey"))
+    return orders.select(F.col("o_custkey").cast("string").alias("job_id"), page.alias("page_number"), md.alias("markdown"))
+
+
+ORDER_SQL = """r AS (SELECT l_orderkey, string_agg('| ' || l_linenumber || ' | ' || l_partkey || ' | ' || CAST(floor(l_quantity) AS INT) || ' |', chr(10) ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity) AS rows FROM lineitem GROUP BY 1),
+o AS (SELECT CAST(o_custkey AS VARCHAR) AS job_id, o_orderkey, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS page, '| line | part | qty |' || chr(10) || '|---|---|---|' || chr(10) || rows AS tbl, o_orderkey % 3 = 0 AS fragment FROM orders JOIN r ON o_orderkey = l_orderkey),
+t AS (SELECT *, '${TBL:' || job_id || ':' || lpad(CAST(page AS VARCHAR), CAST(greatest(3, length(CAST(page AS VARCHAR))) AS INT), '0') || ':0}' AS token FROM o)"""
+
+
+@query(f"WITH {ORDER_SQL} SELECT job_id, page AS page_number, token, fragment AS is_fragment, md5(tbl) AS digest, md5('## Order ' || o_orderkey || chr(10) || chr(10) || token || CASE WHEN fragment THEN '' ELSE chr(10) || chr(10) || 'End of order.' END) AS page_digest FROM t")
+def order_table_tokens(spark, sf_dir):
+    rows = pages.with_table_tokens(order_pages(spark, sf_dir)).select("job_id", F.col("page_number").cast("long").alias("page_number"), F.md5("markdown_with_tokens").alias("page_digest"), F.explode("tables").alias("t"))
+    return rows.select("job_id", "page_number", "t.token", "t.is_fragment", F.md5("t.markdown").alias("digest"), "page_digest")
+
+
+@query(f"""WITH {ORDER_SQL}, b AS (SELECT job_id, page, fragment, '## Order ' || o_orderkey || CASE WHEN fragment THEN '' ELSE chr(10) || chr(10) || tbl || chr(10) || chr(10) || 'End of order.' END || chr(10) AS body FROM t),
+f AS (SELECT job_id, string_agg(chr(10) || '### Table started on page ' || page || chr(10) || chr(10) || '<table>' || chr(10) || chr(10) || '<placeholder>' || chr(10) || '<!-- table starting on page ' || page || ' had no closing fragment -->' || chr(10), '' ORDER BY page) AS foot FROM b WHERE fragment GROUP BY job_id)
+SELECT b.job_id, count(*) AS total_pages, md5(string_agg(body, chr(10) ORDER BY page) || coalesce(any_value(chr(10) || '---' || chr(10) || chr(10) || '## Unclosed Table Fragments' || chr(10) || foot), '')) AS digest FROM b LEFT JOIN f ON f.job_id = b.job_id GROUP BY b.job_id""")
+def order_assembled(spark, sf_dir):
+    return pages.assembled(pages.with_table_tokens(order_pages(spark, sf_dir))).select("job_id", "total_pages", F.md5("markdown").alias("digest"))
+
+
+@query("""WITH x AS (SELECT o_custkey, l_orderkey, l_linenumber, l_partkey, l_suppkey, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity) AS k, count(*) OVER (PARTITION BY l_orderkey) AS n FROM lineitem JOIN orders ON o_orderkey = l_orderkey)
+SELECT l_orderkey AS job_id, md5(string_agg('row ' || l_partkey, chr(10) ORDER BY k)) AS digest, l_orderkey % 5 <> 0 AS closed, count(*) AS pieces FROM x GROUP BY l_orderkey""")
+def fragment_merge(spark, sf_dir):
+    order = W.partitionBy("l_orderkey")
+    rows = table(spark, sf_dir, "lineitem").join(table(spark, sf_dir, "orders").select("o_orderkey"), F.col("l_orderkey") == F.col("o_orderkey"))
+    rows = rows.withColumn("k", F.row_number().over(order.orderBy("l_linenumber", "l_partkey", "l_suppkey", "l_quantity"))).withColumn("n", F.count("*").over(order))
+    rows = rows.select(F.col("l_orderkey").alias("job_id"), F.lit(1).alias("start_page"), F.col("k").alias("page_number"), F.lit(0).alias("idx"), F.concat(F.lit("t"), F.col("k").cast("string")).alias("token"), F.concat(F.lit("row "), F.col("l_partkey").cast("string"), F.lit("\n")).alias("markdown"), ((F.col("k") < F.col("n")) | (F.col("l_orderkey") % 5 == 0)).alias("is_fragment"))
+    return pages.merged_tables(rows).select("job_id", F.md5("markdown").alias("digest"), "closed", F.size(F.split("markdown", "\n")).cast("long").alias("pieces"))
+
+
+# Parts as figures
+
+
+def figure_rows(spark, sf_dir) -> DataFrame:
+    page, index = F.floor(F.col("p_partkey") / 10) + 1, F.col("p_partkey") % 10
+    return table(spark, sf_dir, "part").select(F.col("p_size").cast("string").alias("job_id"), page.cast("long").alias("page_number"), index.cast("long").alias("index_on_page"), T.figure_token(F.col("p_size"), page, index).alias("token"), F.sha2(F.concat("p_brand", "p_type"), 256).alias("sha256"))
+
+
+FIGURE_SQL = """f AS (SELECT CAST(p_size AS VARCHAR) AS job_id, p_partkey // 10 + 1 AS page_number, p_partkey % 10 AS index_on_page, sha256(p_brand || p_type) AS sha,
+  '${FIG:' || p_size || ':' || lpad(CAST(p_partkey // 10 + 1 AS VARCHAR), CAST(greatest(3, length(CAST(p_partkey // 10 + 1 AS VARCHAR))) AS INT), '0') || ':' || p_partkey % 10 || '}' AS token FROM part),
+e AS (SELECT *, CASE WHEN sha LIKE 'f%' THEN 'failed' WHEN row_number() OVER (PARTITION BY job_id, sha ORDER BY page_number, index_on_page, token) = 1 THEN 'summarized' ELSE 'deduplicated' END AS status,
+  CASE WHEN sha LIKE '0%' THEN 'decorative' WHEN sha LIKE 'f%' THEN 'failed' ELSE 'informative' END AS outcome FROM f)"""
+
+
+@query(f"WITH {FIGURE_SQL} SELECT token, sha AS sha256, status, outcome FROM e")
+def figure_dedup(spark, sf_dir):
+    return figures.enriched(figure_rows(spark, sf_dir)).select("token", "sha256", "status", "outcome")
+
+
+@query(f"WITH {FIGURE_SQL} SELECT job_id, count(*) FILTER (WHERE status = 'summarized') AS figures_summarized, count(*) FILTER (WHERE status = 'deduplicated') AS figures_deduplicated, count(*) FILTER (WHERE status = 'failed') AS figures_failed FROM e GROUP BY job_id")
+def figure_counters(spark, sf_dir):
+    return figures.counters(figures.enriched(figure_rows(spark, sf_dir)))
+
+
+@query(f"WITH {FIGURE_SQL} SELECT token FROM f WHERE sha NOT LIKE '1%'")
+def figure_resume(spark, sf_dir):
+    rows = figure_rows(spark, sf_dir)
+    return figures.pending(rows, rows.filter("sha256 LIKE '1%'")).select("token")
+
+
+@query(f"WITH {FIGURE_SQL} SELECT token, CASE WHEN sha LIKE '1%' THEN '[Figure: processing failed — see original document]' WHEN outcome = 'informative' THEN 'about ' || left(sha, 8) ELSE '' END AS replacement FROM e")
+def figure_replacements(spark, sf_dir):
+    rows = figures.enriched(figure_rows(spark, sf_dir))
+    summaries = rows.filter("NOT sha256 LIKE '1%'").select("token", (F.col("outcome") == "informative").alias("is_informative"), F.concat(F.lit("about "), F.left("sha256", F.lit(8))).alias("markdown_result"))
+    return figures.resolved(rows, summaries).select("token", "replacement")
+
+
+# Windows of pages
+
+
+def order_jobs(spark, sf_dir) -> DataFrame:
+    return table(spark, sf_dir, "orders").groupBy(F.col("o_custkey").alias("job_id")).agg(F.count("*").alias("total_pages")).withColumn("last_completed_page", F.when(F.col("job_id") % 4 == 0, 8).otherwise(0))
+
+
+@query("""WITH j AS (SELECT o_custkey AS job_id, count(*) AS n FROM orders GROUP BY 1)
+SELECT job_id, k AS window_index, k * 8 + 1 AS start_page, least(k * 8 + 8, n) AS end_page FROM (SELECT job_id, n, unnest(range(0, (n + 7) // 8)) AS k FROM j) WHERE k * 8 + 1 > CASE WHEN job_id % 4 = 0 THEN 8 ELSE 0 END""")
+def page_windows(spark, sf_dir):
+    return windows.page_windows(order_jobs(spark, sf_dir))
+
+
+@query("""WITH j AS (SELECT o_custkey AS job_id, count(*) AS n FROM orders GROUP BY 1), w AS (SELECT job_id, n, unnest(range(0, (n + 1) // 2)) AS k FROM j),
+p AS (SELECT job_id, k, least(k * 2 + 2, n) AS end_page, min(CASE WHEN (job_id + k) % 5 <> 0 THEN 1 ELSE 0 END) OVER (PARTITION BY job_id ORDER BY k) AS ok FROM w)
+SELECT job_id, CAST(sum(ok) AS BIGINT) AS verified, CAST(sum(1 - ok) AS BIGINT) AS discarded, CAST(coalesce(max(CASE WHEN ok = 1 THEN end_page END), 0) AS BIGINT) AS last_completed_page FROM p GROUP BY job_id""")
+def resume_plan(spark, sf_dir):
+    done = windows.page_windows(order_jobs(spark, sf_dir).withColumn("last_completed_page", F.lit(0)), 2)
+    return windows.resume_plan(done, done.filter((F.col("job_id") + F.col("window_index")) % 5 != 0))
+
+
+# Events as page arrivals
+
+
+@query("""WITH a AS (SELECT user_id AS job_id, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS page_number, event_id, (event_id * 7919) % 10007 AS arrival FROM events)
+SELECT job_id, page_number, arrival, row_number() OVER (PARTITION BY job_id ORDER BY page_number, arrival) AS position FROM a""")
+def page_order(spark, sf_dir):
+    rows = table(spark, sf_dir, "events").select(F.col("user_id").alias("job_id"), F.row_number().over(W.partitionBy("user_id").orderBy("ts", "event_id")).cast("long").alias("page_number"), (F.col("event_id") * 7919 % 10007).alias("arrival"))
+    return pages.reordered(rows)
+
+
+@query("""WITH e AS (SELECT l_orderkey, list(CAST((l_partkey % 600) AS DOUBLE)) AS x FROM lineitem GROUP BY 1)
+SELECT l_orderkey, CASE WHEN len(x) < 8 THEN NULL ELSE len(list_filter(x, lambda v: v > 300)) > 0 AND len(list_filter(x, lambda v: v > 300)) < len(x) AND len(list_filter(x, lambda v: v > 300)) / len(x) >= 0.3 END AS multi_column FROM e""")
+def column_detection(spark, sf_dir):
+    rows = table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.collect_list((F.col("l_partkey") % 600).cast("double")).alias("x"))
+    return rows.select("l_orderkey", T.is_multi_column(F.col("x"), F.lit(600.0)).alias("multi_column"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {}
+    return dict(QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(ORACLES)

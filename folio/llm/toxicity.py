@@ -4,7 +4,8 @@ P(grade > k) = sigmoid(w.x - threshold_k): all ordered thresholds share the weig
 not toxic; rows labelled toxic have grade 1, or 2 if their share of words among the features is
 above the median of such rows. Features are the words, and the beginnings of words (they carry over to other endings), that
 most surely occur in more of the toxic documents; a text's value for one is 1 if it has it, and weights are kept at zero
-or more. The output is the expected grade, and toxic where P(grade > 0) >= 0.5.
+or more. The output is the expected grade, and toxic where P(grade > 0) reaches a
+cutoff that is chosen on the training rows.
 
 Null and empty texts have no features and get the grade of the intercept, which is not toxic. Without labels of both
 kinds nothing is toxic. Labels of doc_ids that are not in the table, and rows with null labels, are ignored; a doc_id
@@ -28,6 +29,9 @@ from folio.llm.words import slices, words
 SAMPLE, FEATURES = 4000, 512
 #: Standard errors by which a feature's rates differ at least.
 MIN_Z = 3.5
+#: Share of the toxic rows that have a feature at least (copies of one text should not make one), and how many times that of the others.
+MIN_SHARE, MIN_LIFT = 0.02, 30
+CLEAN_COST = 20
 #: Letters in the beginnings of words.
 PREFIXES = (4, 5)
 STEPS, RATE, PENALTY = 600, 0.5, 1e-4
@@ -38,6 +42,7 @@ GRADES = 3
 class Model:
     weights: dict[str, float]
     thresholds: tuple[float, ...]
+    cutoff: float = 0.5
 
 
 def views(texts: pa.Array) -> tuple[list[pa.Array], np.ndarray, np.ndarray]:
@@ -90,6 +95,7 @@ def train(docs: DataFrame, labels: DataFrame) -> Model:
 
     p, q = (F.col("bad") + 0.5) / (totals[1] + 1), (F.col("good") + 0.5) / (totals[0] + 1)
     counted = rows.mapInArrow(pairs, "word string, bad long, good long").filter("not word rlike ':$'").groupBy("word").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good"))
+    counted = counted.filter((p >= MIN_SHARE) & (p >= MIN_LIFT * q))
     scored = counted.select("word", (p - q).alias("gap"), ((p - q) / F.sqrt(p * (1 - p) / totals[1] + q * (1 - q) / totals[0])).alias("z"))
     chosen = scored.filter(F.col("z") >= MIN_Z).orderBy(F.desc("z"), "word").limit(FEATURES).collect()
     features = [r.word for r in chosen]
@@ -111,7 +117,18 @@ def train(docs: DataFrame, labels: DataFrame) -> Model:
     toxic, share = got["toxic"].to_numpy(), got["share"].to_numpy()
     grade = toxic + ((toxic == 1) & (share > np.median(share[toxic == 1])))
     weights, thresholds = fit(x, grade)
-    return Model(dict(zip(features, map(float, weights), strict=False)), tuple(map(float, thresholds)))
+    return Model(dict(zip(features, map(float, weights), strict=False)), tuple(map(float, thresholds)), cutoff(sigmoid(x @ weights - thresholds[0]), toxic == 1))
+
+
+def cutoff(p: np.ndarray, toxic: np.ndarray) -> float:
+    """The P(grade > 0) that tells the training rows apart best: half-way between two of them, where wrongly marked rows weigh CLEAN_COST times the missed ones."""
+    values = np.unique(p)
+    if len(values) < 2:
+        return 0.5
+    cuts = (values[1:] + values[:-1]) / 2
+    missed = np.searchsorted(np.sort(p[toxic]), cuts) / toxic.sum()
+    wrong = 1 - np.searchsorted(np.sort(p[~toxic]), cuts) / (~toxic).sum()
+    return float(cuts[np.argmin(missed + CLEAN_COST * wrong)])
 
 
 def sigmoid(z: np.ndarray) -> np.ndarray:
@@ -159,7 +176,7 @@ def graded(docs: DataFrame, model: Model) -> DataFrame:
                 text, feature = document_features(part.column("text"), features)
                 z = np.bincount(text, weights[feature], minlength=part.num_rows) if len(text) else np.zeros(part.num_rows)
                 above = sigmoid(z[:, None] - np.array(model.thresholds))
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(above.sum(1)), pa.array(above[:, 0]), pa.array(above[:, 0] >= 0.5)], ["doc_id", "expected_severity", "p_toxic", "toxic"])
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(above.sum(1)), pa.array(above[:, 0]), pa.array(above[:, 0] >= model.cutoff)], ["doc_id", "expected_severity", "p_toxic", "toxic"])
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text")).mapInArrow(run, "doc_id long, expected_severity double, p_toxic double, toxic boolean")
 

@@ -21,7 +21,8 @@ def test_held_out(spark):
     right = sum(bool(y) == r.toxic for y, r in held)
     false = sum(r.toxic and not y for y, r in held)
     assert len(got) == 1000 and right >= 0.95 * len(held) and false <= 1, (right, false, len(held))
-    assert all(0 <= r.expected_severity <= 2 and r.toxic == (r.p_toxic >= 0.5) for r in got.values())
+    assert all(0 <= r.expected_severity <= 2 for r in got.values())
+    assert min(r.p_toxic for r in got.values() if r.toxic) > max(r.p_toxic for r in got.values() if not r.toxic)
 
 
 def test_edges(spark):

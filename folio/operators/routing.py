@@ -56,7 +56,8 @@ def top_candidates(candidates: Column, keep: int = 10, by_area: bool = True) ->
     """S-2: those with a caption or more evidence first, then the larger, then as they came."""
 
     def score(x):
-        return F.when(F.coalesce(x["caption_or_alt_text"], F.lit("")) != "", 1).otherwise(0) + F.size(x["evidence"])
+        said = F.concat(F.coalesce(x["caption_or_alt_text"], F.lit("")), F.coalesce(x["nearby_text"], F.lit("")))
+        return F.when(said != "", 1).otherwise(0) + F.size(x["evidence"])
 
     keyed = F.transform(candidates, lambda x, i: F.struct((-score(x)).alias("s"), (-F.coalesce(x["area_ratio"], F.lit(0.0)) if by_area else F.lit(0.0)).alias("a"), i.alias("i"), x.alias("x")))
     return F.transform(F.slice(F.array_sort(keyed, lambda a, b: F.when(a["s"] != b["s"], F.signum(a["s"] - b["s"])).when(a["a"] != b["a"], F.signum(a["a"] - b["a"])).otherwise(F.signum((a["i"] - b["i"]).cast("double"))).cast("int")), 1, keep), lambda k: k["x"])

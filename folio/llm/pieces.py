@@ -21,12 +21,13 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from folio.llm.common import text_of
 from folio.llm.words import slices
 
 MARK = "▁"
 #: Distinct words that a Python worker remembers, and answers about pairs of pieces.
-WORDS_KEPT, PAIRS_KEPT = 200_000, 1_000_000
+WORDS_KEPT, PAIRS_KEPT = 200_000, 200_000
+#: Bytes of text that are encoded at once; the arrays of their ids and decoded bytes take some thirty times that.
+SLICE_TEXT = 2 << 20
 #: What the fast way leaves to the regular expression: runs of spaces, spaces at the ends of lines, and marks.
 ODD = f"  |^ | $|\n | \n|{MARK}"
 UNIT = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
@@ -214,19 +215,20 @@ def pieces(path: str, kind: str) -> Pieces:
 
 def encoded(docs: DataFrame, model_path: str, *, kind: str = "bpe") -> DataFrame:
     """docs with piece_ids (array<int>), n_pieces and round_trip (decoding gives the text, marks as spaces); columns of these names are replaced."""
-    names = [c for c in docs.columns if c not in ("piece_ids", "n_pieces", "round_trip", "piece_text")]
-    rows = docs.select(*names, text_of().alias("piece_text"))
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema if f.name != "piece_text")
+    rows = docs.drop("piece_ids", "n_pieces", "round_trip")
+    names = rows.columns
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema)
 
     def run(batches):
         model = pieces(model_path, kind)
         for batch in batches:
-            for part in slices(batch, "piece_text"):
-                texts = part.column("piece_text")
+            for part in slices(batch, "text", SLICE_TEXT):
+                texts = pc.fill_null(part.column("text").cast(pa.string()), "")
                 ids, counts = model.encode(texts)
                 lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(counts)]), pa.int32()), pa.array(ids, pa.int32()))
                 same = [a == b.as_py().replace(MARK, " ").encode() for a, b in zip(model.decode(ids, counts), texts, strict=True)]
                 yield pa.RecordBatch.from_arrays([*[part.column(c) for c in names], lists, pa.array(counts, pa.int64()), pa.array(same, pa.bool_())], [*names, "piece_ids", "n_pieces", "round_trip"])
+        pa.default_memory_pool().release_unused()
 
     return rows.mapInArrow(run, f"{schema}, piece_ids array<int>, n_pieces long, round_trip boolean")
 

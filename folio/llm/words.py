@@ -13,13 +13,13 @@ EDGES = ".,!?;:\"'()[]{}*#$%&|<>-_/=+~`"
 SLICE_BYTES = 8 << 20
 
 
-def slices(batch: pa.RecordBatch, column: str) -> Iterator[pa.RecordBatch]:
-    """Parts of the batch with about SLICE_BYTES of text each, one row at least."""
+def slices(batch: pa.RecordBatch, column: str, size: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """Parts of the batch with about size bytes of text each, one row at least."""
     ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
     at = 0
     while at < batch.num_rows:
         before = ends[at - 1] if at else 0
-        to = max(at + 1, int(np.searchsorted(ends, before + SLICE_BYTES, "right")))
+        to = max(at + 1, int(np.searchsorted(ends, before + size, "right")))
         yield batch.slice(at, to - at)
         at = to
 

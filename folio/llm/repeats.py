@@ -172,7 +172,8 @@ def repeated(texts: DataFrame) -> DataFrame:
     """uid, a, b: bytes from a to b (exclusive) of the text are covered by strings of LENGTH bytes that start elsewhere too. Spans may overlap."""
     found = anchor_rows(texts)
     grams = found.groupBy("gram").agg(F.count("*").alias("n"), F.min("region").alias("low"), F.max("region").alias("high")).filter("n > 1").select("gram", (F.col("low") != F.col("high")).alias("mixed"))
-    shared = written(found.join(grams, "gram"), "shared-grams")
+    # written, so that both sides of the join are plain shuffles, of which Spark splits those of a hot gram
+    shared = written(found.join(written(grams, "grams"), "gram"), "shared-grams")
     mixed_ = shared.filter("mixed")
     regions = mixed_.groupBy("gram", "region").agg(F.count("*").alias("n"), F.min(F.struct("uid", "a", "b")).alias("one"))
     regions = written(regions, "regions")
@@ -180,6 +181,7 @@ def repeated(texts: DataFrame) -> DataFrame:
     stand_in = regions.filter("n > 1").join(regions.filter("n = 1").select("gram").distinct(), "gram", "left_semi").select("one.*")
     windows = written(window_rows(texts, written(alone.unionAll(stand_in).distinct(), "open")), "windows")
     again = windows.groupBy("window").agg(F.count("*").alias("n")).filter("n > 1").select("window")
+    again = written(again, "again")
     single = windows.join(again, "window").select("uid", "a", (F.col("a") + LENGTH).alias("b"))
     whole = shared.filter("not mixed").select("uid", "a", (F.col("b") + LENGTH).alias("b"))
     several = mixed_.join(regions.filter("n > 1").select("gram", "region"), ["gram", "region"]).select("uid", "a", (F.col("b") + LENGTH).alias("b"))

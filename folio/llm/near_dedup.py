@@ -101,6 +101,8 @@ def band_hashes(sets: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.nda
 ESTIMATE = 0.62
 #: Shingles that a block of a bucket holds about.
 BLOCK_SHINGLES = 1 << 18
+#: Parts that the members of a bucket are dealt into before they learn of their blocks.
+SALTS = 32
 
 
 def documents_with_bands(docs: DataFrame, k: int) -> DataFrame:
@@ -192,7 +194,9 @@ def components(edges: DataFrame) -> DataFrame:
 def blocks_of(rows: DataFrame) -> DataFrame:
     """rows (bucket, rep, component, n_shingles, ...) of mixed buckets, each once for every pair of blocks that it is in: bucket, first, second, own."""
     whole = rows.groupBy("bucket").agg(F.ceil(F.sum("n_shingles") / BLOCK_SHINGLES).cast("int").alias("n"))
-    placed = rows.join(whole, "bucket").withColumn("own", F.pmod(F.xxhash64("rep"), F.col("n")).cast("int"))
+    whole = whole.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    salted = rows.withColumn("salt", F.pmod(F.hash("rep"), F.lit(SALTS)))
+    placed = salted.join(whole, ["bucket", "salt"]).drop("salt").withColumn("own", F.pmod(F.xxhash64("rep"), F.col("n")).cast("int"))
     return placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("n") - 1))).withColumn("first", F.least("own", "other")).withColumn("second", F.greatest("own", "other")).drop("other", "n")
 
 

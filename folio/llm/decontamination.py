@@ -1,54 +1,83 @@
-"""Benchmark decontamination by spaced seeds, in DataFrame expressions only.
+"""Benchmark decontamination by seeds of neighbouring words, in DataFrame expressions only.
 
-Words are the runs of letters and digits of the lower-cased text. Fixed masks choose some of the words of each window
-and ignore the others; the hashes of the chosen words join documents and benchmark items. Each meeting fixes an
-alignment of document and item; on it the best overlap is found (matching words score 1, others -PENALTY) and counts
-if it has MIN_WORDS words, or the whole item if that is shorter, and at least MIN_SIMILARITY of them match.
+Words are the runs of letters and digits of the lower-cased text. Hashes of neighbouring words join documents and
+benchmark items. Each meeting fixes an alignment of document and item, which counts if some run of MIN_WORDS words or
+more on it, or the whole item if that is shorter, has at least MIN_SIMILARITY of its words equal. The run that is
+reported scores best (matching words score 1, others -PENALTY), or where that one is too short or too unlike, is the one
+with the most matching words beyond MIN_SIMILARITY of its length.
 
-Null and empty texts, and items of fewer words than a mask spans, overlap with nothing. Items of equal words count as
+The search loses no such alignment: a run of 2 * MIN_WORDS words or more can be cut into pieces of MIN_WORDS to
+2 * MIN_WORDS - 1 words, one of which is at least as alike, and the words that differ leave seed_words neighbouring equal
+words in it. Words put in or left out move the rest to another alignment, where it counts only by itself.
+
+Null and empty texts, and items of fewer than LEAST_ITEM words, overlap with nothing. Items of equal words count as
 one, under their smallest item_id. Rows with the same doc_id and text count as one. Empty tables give an empty result.
 Other columns are ignored.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from folio.llm.common import let, small, text_of, written
 
-#: Offsets of the words that each mask compares.
-MASKS = ((0, 1, 3, 4, 6), (0, 2, 3, 5, 7))
-MIN_WORDS, MIN_SIMILARITY, PENALTY = 10, 0.75, 2
+MIN_WORDS, MIN_SIMILARITY, PENALTY, LEAST_ITEM = 10, 0.75, 2, 3
+#: What MIN_SIMILARITY is counted in.
+PARTS = 10_000
+NEEDED = round(MIN_SIMILARITY * PARTS)
+
+
+def seed_words(n: int) -> int:
+    """The neighbouring equal words that any run that counts has at least, in an item of n words."""
+    lengths = range(MIN_WORDS, 2 * MIN_WORDS) if n >= MIN_WORDS else (n,)
+    equal = {k: -(-NEEDED * k // PARTS) for k in lengths}
+    return min(-(-e // (k - e + 1)) for k, e in equal.items())
+
+
+#: Offsets of the words that each mask compares; items of MIN_WORDS words or more all use the same one.
+MASKS = tuple(tuple(range(k)) for k in sorted({seed_words(n) for n in range(LEAST_ITEM, MIN_WORDS + 1)}, reverse=True))
 
 
 def word_hashes(text: Column) -> Column:
     return F.transform(F.split(F.lower(text), r"[^\p{L}\p{N}]+"), lambda w: F.xxhash64(w))
 
 
-def seeds(hashes: Column) -> Column:
-    """array<struct<seed, at>> for all masks and positions."""
+def seeds(hashes: Column, m: int) -> Column:
+    """array<struct<seed, at>> for all positions of a mask."""
 
-    def one(h: Column, m: int) -> Column:
+    def of(h: Column) -> Column:
         last = F.size(h) - 1 - MASKS[m][-1]
         at = F.when(last >= 0, F.sequence(F.lit(0), last)).otherwise(F.array().cast("array<int>"))
         return F.transform(at, lambda i: F.struct(F.xxhash64(F.lit(m), *[F.get(h, i + o) for o in MASKS[m]]).alias("seed"), i.alias("at")))
 
-    def of(h: Column) -> Column:
-        return F.concat(*[one(h, m) for m in range(len(MASKS))])
-
     return let(hashes, of)
 
 
-def best_overlap(doc: Column, item: Column, shift: Column) -> Column:
-    """struct<start, words, matched>: of the run of item's words that scores best against doc's, shift words further."""
+def mask_of(words: Column) -> Column:
+    """The index of the mask for an item of so many words."""
+    found = F.lit(MASKS.index(tuple(range(seed_words(MIN_WORDS)))))
+    for n in range(LEAST_ITEM, MIN_WORDS):
+        found = F.when(words == n, F.lit(MASKS.index(tuple(range(seed_words(n)))))).otherwise(found)
+    return found
+
+
+def alike(doc: Column, item: Column, shift: Column) -> Column:
+    """array<boolean>: of each of item's words, whether doc has it shift words further."""
+    return F.transform(item, lambda w, k: F.coalesce((shift + k >= 0) & (F.get(doc, F.greatest(shift + k, F.lit(0))) == w), F.lit(False)))
+
+
+def best_run(same: Column) -> Column:
+    """struct<start, words, matched>: the run that scores best."""
     state = "struct<score:int,start:int,matched:int,best:int,best_start:int,best_end:int,best_matched:int>"
     zero = F.struct(*[F.lit(0)] * 7).cast(state)
 
     def step(s, k):
-        same = F.coalesce((shift + k >= 0) & (F.get(doc, F.greatest(shift + k, F.lit(0))) == F.get(item, k)), F.lit(False))
-        score = s["score"] + F.when(same, 1).otherwise(-PENALTY)
-        matched = s["matched"] + same.cast("int")
+        hit = F.get(same, k)
+        score = s["score"] + F.when(hit, 1).otherwise(-PENALTY)
+        matched = s["matched"] + hit.cast("int")
         better = score > s["best"]
         return F.struct(
             F.greatest(score, F.lit(0)).alias("score"), F.when(score <= 0, k + 1).otherwise(s["start"]).alias("start"), F.when(score <= 0, 0).otherwise(matched).alias("matched"),
@@ -56,25 +85,69 @@ def best_overlap(doc: Column, item: Column, shift: Column) -> Column:
         )
 
     def end(s):
-        return F.struct((shift + s["best_start"]).alias("start"), (s["best_end"] - s["best_start"]).alias("words"), s["best_matched"].alias("matched"))
+        return F.struct(s["best_start"].alias("start"), (s["best_end"] - s["best_start"]).alias("words"), s["best_matched"].alias("matched"))
+
+    return F.aggregate(F.sequence(F.lit(0), F.size(same) - 1), zero, step, end)
+
+
+def likest_run(same: Column) -> Column:
+    """struct<start, words, matched>: of the runs of enough words, that with the most matching ones beyond MIN_SIMILARITY; of no words if none reaches it."""
+    state = "struct<head:long,head_matched:int,tail:long,tail_matched:int,low:long,low_at:int,low_matched:int,best:long,best_start:int,best_end:int,best_matched:int>"
+    zero = F.struct(*[F.lit(0)] * 7, F.lit(-1), *[F.lit(0)] * 3).cast(state)
+    least = F.least(F.lit(MIN_WORDS), F.size(same))
+
+    def worth(hit):
+        return F.when(hit, PARTS - NEEDED).otherwise(-NEEDED).cast("long")
+
+    def step(s, k):
+        # head sums the words up to k; tail those before the last start that leaves enough of them
+        at = k + 1 - least
+        dropped = F.when(at > 0, F.get(same, at - 1))
+        head, head_matched = s["head"] + worth(F.get(same, k)), s["head_matched"] + F.get(same, k).cast("int")
+        tail, tail_matched = s["tail"] + F.when(at > 0, worth(dropped)).otherwise(0), s["tail_matched"] + F.when(at > 0, dropped.cast("int")).otherwise(0)
+        lower = (at >= 0) & (tail <= s["low"])
+        low, low_at, low_matched = (F.when(lower, x).otherwise(s[n]) for x, n in ((tail, "low"), (at, "low_at"), (tail_matched, "low_matched")))
+        better = (at >= 0) & (head - low > s["best"])
+        return F.struct(
+            head.alias("head"), head_matched.alias("head_matched"), tail.alias("tail"), tail_matched.alias("tail_matched"), low.alias("low"), low_at.alias("low_at"), low_matched.alias("low_matched"),
+            F.when(better, head - low).otherwise(s["best"]).alias("best"), F.when(better, low_at).otherwise(s["best_start"]).alias("best_start"), F.when(better, k + 1).otherwise(s["best_end"]).alias("best_end"), F.when(better, head_matched - low_matched).otherwise(s["best_matched"]).alias("best_matched"),
+        )
+
+    def end(s):
+        return F.struct(s["best_start"].alias("start"), (s["best_end"] - s["best_start"]).alias("words"), s["best_matched"].alias("matched"))
+
+    return F.aggregate(F.sequence(F.lit(0), F.size(same) - 1), zero, step, end)
+
+
+def counted_run(same: Column) -> Column:
+    """struct<start, words, matched>: of the alignment; null if it doesn't count."""
+
+    def counts(run):
+        return (run["words"] >= F.least(F.lit(MIN_WORDS), F.size(same))) & (run["words"] > 0) & (run["matched"] * PARTS >= NEEDED * run["words"])
 
-    return F.aggregate(F.sequence(F.lit(0), F.size(item) - 1), zero, step, end)
+    return F.coalesce(*[let(run(same), lambda r: F.when(counts(r), r)) for run in (best_run, likest_run)])
 
 
 def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """doc_id, item_id, start (word of the document), words, matched, similarity: the best overlap of each document with each item that it has one with."""
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.filter(F.split(F.lower(text_of()), r"[^\p{L}\p{N}]+"), lambda w: w != "").alias("w"))
-    items = written(items.groupBy("w").agg(F.min("item_id").alias("item_id")).select("item_id", F.transform("w", lambda w: F.xxhash64(w)).alias("item")), "items")
-    keys = written(items.select("item_id", F.explode(seeds(F.col("item"))).alias("s")).select("item_id", "s.seed", F.col("s.at").alias("item_at")).distinct(), "item-seeds")
+    items = items.filter(F.size("w") >= LEAST_ITEM).groupBy("w").agg(F.min("item_id").alias("item_id"))
+    items = written(items.select("item_id", F.transform("w", lambda w: F.xxhash64(w)).alias("item"), mask_of(F.size("w")).alias("mask")), "items")
+    used = sorted(r.mask for r in items.select("mask").distinct().collect())  # one or two
+    keys = [items.filter(F.col("mask") == m).select("item_id", F.size("item").alias("n"), F.explode(seeds(F.col("item"), m)).alias("s")) for m in used or [0]]
+    keys = written(reduce(DataFrame.unionAll, keys).select("item_id", "n", "s.seed", F.col("s.at").alias("item_at")).distinct(), "item-seeds")
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"))
-    found = docs.select("doc_id", F.explode(seeds(word_hashes(F.col("text")))).alias("s")).select("doc_id", "s.seed", "s.at")
-    hits = found.join(small(keys), "seed").groupBy("doc_id", "item_id", (F.col("at") - F.col("item_at")).alias("shift")).agg(F.count("*").alias("seeds"))
-    hits = written(hits, "hits")
-    n = hits.count()
-    pairs = docs.join(small(hits, n), "doc_id").join(small(items), "item_id")
-    # one project for the words, so that they are split once for each document and item
-    scored = pairs.select("doc_id", "item_id", let(word_hashes(F.col("text")), lambda d: best_overlap(d, F.col("item"), F.col("shift"))).alias("o"), F.size("item").alias("item_words"))
-    good = scored.filter((F.col("o.words") >= F.least(F.lit(MIN_WORDS), F.col("item_words"))) & (F.col("o.matched") >= MIN_SIMILARITY * F.col("o.words")))
+    found = docs.select("doc_id", F.explode(let(word_hashes(F.col("text")), lambda h: F.concat(*[seeds(h, m) for m in used or [0]]))).alias("s")).select("doc_id", "s.seed", "s.at")
+    hits = found.join(small(keys), "seed").select("doc_id", F.struct("item_id", "n", (F.col("at") - F.col("item_at")).alias("shift")).alias("hit"))
+    hits = written(hits.groupBy("doc_id").agg(F.collect_set("hit").alias("hits")), "hits")
+    # the words are split once for each document; each alignment gets those that lie under its item
+    lain = docs.join(small(hits), "doc_id").select("doc_id", "hits", word_hashes(F.col("text")).alias("d"))
+    lain = lain.select("doc_id", F.explode(let(F.col("d"), lambda d: F.transform("hits", lambda x: F.struct(x["item_id"].alias("item_id"), x["shift"].alias("shift"), F.slice(d, F.greatest(x["shift"], F.lit(0)) + 1, x["n"]).alias("d"))))).alias("x"))
+    pairs = lain.select("doc_id", "x.*").join(small(items), "item_id")
+    pairs = pairs.select("doc_id", "item_id", "shift", alike(F.col("d"), F.col("item"), F.least("shift", F.lit(0))).alias("same"))
+    pairs = pairs.filter(F.size(F.filter("same", lambda x: x)) * PARTS >= NEEDED * F.least(F.lit(MIN_WORDS), F.size("same")))
+    good = pairs.select("doc_id", "item_id", "shift", let(F.col("same"), counted_run).alias("o")).filter("o is not null")
+    good = good.select("doc_id", "item_id", F.struct((F.col("shift") + F.col("o.start")).alias("start"), "o.words", "o.matched").alias("o"))
     best = good.groupBy("doc_id", "item_id").agg(F.max(F.struct(F.col("o.matched").alias("matched"), (-F.col("o.words")).alias("less"), (-F.col("o.start")).alias("before"))).alias("b"))
     return best.select("doc_id", "item_id", (-F.col("b.before")).alias("start"), (-F.col("b.less")).alias("words"), "b.matched", (F.col("b.matched") / -F.col("b.less")).alias("similarity"))
 

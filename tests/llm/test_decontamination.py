@@ -59,3 +59,65 @@ def test_empty(spark):
     assert d.overlaps(docs.limit(0), items).collect() == []
     assert d.overlaps(docs, items.limit(0)).collect() == []
     assert [r.doc_id for r in d.without_leaks(docs, items).collect()] == [1]
+
+
+def plain(docs, items):
+    """Pairs with a run of enough words, at any alignment, that reaches MIN_SIMILARITY."""
+    out = set()
+    for doc_id, a in docs:
+        for item_id, b in items:
+            least = min(d.MIN_WORDS, len(b))
+            if not set(a) & set(b):
+                continue
+            for shift in range(-len(b), len(a)):
+                at = [0]
+                for k in range(len(b)):
+                    at.append(at[-1] + (0 <= shift + k < len(a) and a[shift + k] == b[k]))
+                if any(at[j] - at[i] >= d.MIN_SIMILARITY * (j - i) for i in range(len(b)) for j in range(i + least, len(b) + 1)):
+                    out.add((doc_id, item_id))
+                    break
+    return out
+
+
+def test_recall_of_edited_copies(spark):
+    rng = random.Random(8)
+    fresh = iter(range(10**6))
+
+    def other():
+        return f"x{next(fresh)}"
+
+    items, docs, sure = [], [], set()
+
+    def case(n, edit, must):
+        item = [f"i{len(items)}w{k}" for k in range(n)]
+        items.append((len(items), item))
+        docs.append((len(docs), [other() for _ in range(rng.randint(0, 9))] + edit(list(item)) + [other() for _ in range(rng.randint(0, 9))]))
+        if must:
+            sure.add((len(docs) - 1, len(items) - 1))
+
+    def put(item, places):
+        return [other() if k in places else w for k, w in enumerate(item)]
+
+    for n in (16, 30, 60):
+        for every in (3, 4, 5, 8):
+            for first in range(every):
+                case(n, lambda x: put(x, range(first, n, every)), every > 3 and first == every - 1)
+    case(100, lambda x: put(x, [k for k in range(12, 100) if (k - 12) % 10 in (2, 5, 8)]), True)  # 12 exact words, then 70 % alike
+    for n in range(3, 20):
+        for _ in range(6):
+            wrong = n // 4
+            case(n, lambda x: put(x, rng.sample(range(n), wrong)), True)  # dense
+        case(n, lambda x: put(x, rng.sample(range(n), n // 4 + 1)), False)
+    for n in (15, 16, 17, 30, 60):
+        for at in (1, n // 2, n - 2):
+            case(n, lambda x: [*x[:at], other(), *x[at:]], True)  # a word put in
+            case(n + 1, lambda x: [*x[:at], *x[at + 1 :]], True)  # left out
+    got = d.overlaps(
+        spark.createDataFrame([(i, " ".join(w)) for i, w in docs], "doc_id long, text string"), spark.createDataFrame([(i, " ".join(w)) for i, w in items], "item_id long, text string")
+    ).collect()
+    found = {(r.doc_id, r.item_id) for r in got}
+    assert sure <= found and found == plain(docs, items)
+    text, by_id = dict(docs), dict(items)
+    for r in got:
+        run, item = text[r.doc_id][max(r.start, 0) : r.start + r.words], by_id[r.item_id]
+        assert r.words >= min(d.MIN_WORDS, len(item)) and r.matched >= d.MIN_SIMILARITY * r.words and len(set(run) & set(item)) >= r.matched

@@ -3,7 +3,7 @@
 P(grade > k) = sigmoid(w.x - threshold_k): all ordered thresholds share the weights w. Grades: 0 for rows labelled as
 not toxic; rows labelled toxic have grade 1, or 2 if their share of words among the features is
 above the median of such rows. Features are the words, and the beginnings of words (they carry over to other endings), that
-most surely occur in more of the toxic documents; a text's value for one is 1 if it has it, and weights are kept at zero
+most surely occur in more of the toxic documents, where copies of a text count once; a text's value for one is 1 if it has it, and weights are kept at zero
 or more. The output is the expected grade, and toxic where P(grade > 0) reaches a
 cutoff that is chosen on the training rows.
 
@@ -29,8 +29,10 @@ from folio.llm.words import slices, words
 SAMPLE, FEATURES = 4000, 512
 #: Standard errors by which a feature's rates differ at least.
 MIN_Z = 3.5
-#: Share of the toxic rows that have a feature at least (copies of one text should not make one), and how many times that of the others.
-MIN_SHARE, MIN_LIFT = 0.02, 30
+#: Distinct toxic texts that have a feature at least: so many, or this share of them where that is fewer.
+MIN_TEXTS, MIN_SHARE = 20, 0.02
+#: How many times the share of the other texts that of the toxic ones is at least.
+MIN_LIFT = 30
 CLEAN_COST = 20
 #: Letters in the beginnings of words.
 PREFIXES = (4, 5)
@@ -68,11 +70,13 @@ def document_features(texts: pa.Array, features: list[str]) -> tuple[np.ndarray,
 
 
 def sample(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """text, toxic of SAMPLE rows of each label at most."""
+    """text, toxic of SAMPLE rows of each label at most; copies (but for case and white space) are one row, with the larger label."""
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic")).dropna().groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     chosen = [known.filter(F.col("toxic") == t).orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE) for t in (0, 1)]
     chosen = written(chosen[0].unionAll(chosen[1]), "labelled")
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text")).join(F.broadcast(chosen), "doc_id")  # 2 * SAMPLE rows
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text")).join(F.broadcast(chosen), "doc_id")  # 2 * SAMPLE rows
+    alike = F.sha2(F.trim(F.regexp_replace(F.lower("text"), r"\s+", " ")), 256)
+    return rows.groupBy(alike.alias("alike")).agg(F.min("text").alias("text"), F.max("toxic").alias("toxic")).drop("alike")
 
 
 def train(docs: DataFrame, labels: DataFrame) -> Model:
@@ -95,7 +99,7 @@ def train(docs: DataFrame, labels: DataFrame) -> Model:
 
     p, q = (F.col("bad") + 0.5) / (totals[1] + 1), (F.col("good") + 0.5) / (totals[0] + 1)
     counted = rows.mapInArrow(pairs, "word string, bad long, good long").filter("not word rlike ':$'").groupBy("word").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good"))
-    counted = counted.filter((p >= MIN_SHARE) & (p >= MIN_LIFT * q))
+    counted = counted.filter((F.col("bad") >= min(MIN_TEXTS, MIN_SHARE * totals[1])) & (p >= MIN_LIFT * q))
     scored = counted.select("word", (p - q).alias("gap"), ((p - q) / F.sqrt(p * (1 - p) / totals[1] + q * (1 - q) / totals[0])).alias("z"))
     chosen = scored.filter(F.col("z") >= MIN_Z).orderBy(F.desc("z"), "word").limit(FEATURES).collect()
     features = [r.word for r in chosen]

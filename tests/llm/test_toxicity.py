@@ -31,3 +31,24 @@ def test_edges(spark):
     assert [r.toxic for r in t.severities(docs, labels).collect()] == [False] * 5
     assert t.without_toxic(docs, labels).count() == 5
     assert t.severities(docs.limit(0), labels.limit(0)).collect() == []
+
+
+def test_copies_of_a_long_text_count_once(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet").select("doc_id", "toxic")
+    toxic = labels.filter("toxic = 1").join(docs, "doc_id").orderBy("doc_id").collect()
+    long = " ".join([toxic[0].text, *(f"{chr(97 + k % 26)}{chr(97 + k // 26 % 26)}{chr(97 + k // 676)}qz" for k in range(3000))])
+    ids = range(10**6, 10**6 + len(toxic) // 2)  # a third of the toxic labels
+    plain = t.train(docs, labels).weights
+    more = t.train(docs.unionAll(spark.createDataFrame([(i, long) for i in ids], "doc_id long, text string")), labels.unionAll(spark.createDataFrame([(i, 1) for i in ids], labels.schema)))
+    assert plain and not [w for w in more.weights if w.endswith("qz")]
+    assert len(set(plain) & set(more.weights)) >= 0.9 * len(plain)
+
+
+def test_rare_toxic_word_in_a_large_sample(spark):
+    """A word that 25 of 2,000 toxic texts have, and no other, is a feature."""
+    rng = np.random.default_rng(4)
+    rows = [(k, " ".join([*(f"w{x}" for x in rng.integers(0, 400, 12)), *["vile"] * (k % 2 and k % 3 == 0), *["rotter"] * (k % 160 == 1)]), k % 2) for k in range(4000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    weights = t.train(docs.select("doc_id", "text"), docs.select("doc_id", "toxic")).weights
+    assert {"0:vile", "0:rotter"} <= set(weights)

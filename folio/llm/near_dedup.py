@@ -101,6 +101,8 @@ def band_hashes(sets: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.nda
 ESTIMATE = 0.62
 #: Shingles that a block of a bucket holds about.
 BLOCK_SHINGLES = 1 << 18
+#: Rows of a block, and rows of it that are compared at once: very short texts have few shingles.
+BLOCK_ROWS, STRIP = 4096, 256
 #: Parts that the members of a bucket are dealt into before they learn of their blocks.
 SALTS = 32
 
@@ -193,7 +195,7 @@ def components(edges: DataFrame) -> DataFrame:
 
 def blocks_of(rows: DataFrame) -> DataFrame:
     """rows (bucket, rep, component, n_shingles, ...) of mixed buckets, each once for every pair of blocks that it is in: bucket, first, second, own."""
-    whole = rows.groupBy("bucket").agg(F.ceil(F.sum("n_shingles") / BLOCK_SHINGLES).cast("int").alias("n"))
+    whole = rows.groupBy("bucket").agg(F.greatest(F.ceil(F.sum("n_shingles") / BLOCK_SHINGLES), F.ceil(F.count("*") / BLOCK_ROWS)).cast("int").alias("n"))
     whole = whole.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     salted = rows.withColumn("salt", F.pmod(F.hash("rep"), F.lit(SALTS)))
     placed = salted.join(whole, ["bucket", "salt"]).drop("salt").withColumn("own", F.pmod(F.xxhash64("rep"), F.col("n")).cast("int"))
@@ -218,12 +220,13 @@ def by_group(batches):
         yield held
 
 
-def crossing(group: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Indices of the rows on the two sides of a pair of blocks, and which pairs are of different components."""
+def crossing(group: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, bool]:
+    """Indices of the rows on the two sides of a pair of blocks, the components of all rows, and whether any pair is of different ones."""
     own, component = group.column("own").to_numpy(), group.column("component").to_numpy()
     first, second = group.column("first")[0].as_py(), group.column("second")[0].as_py()
     a, b = np.flatnonzero(own == first), np.flatnonzero(own == second)
-    return a, b, component[a][:, None] != component[b][None, :]
+    both = component[np.concatenate([a, b])]
+    return a, b, component, bool(len(a) and len(b) and (both != both[0]).any())
 
 
 def close_members(rows: DataFrame) -> DataFrame:
@@ -231,18 +234,18 @@ def close_members(rows: DataFrame) -> DataFrame:
 
     def run(batches):
         for group in by_group(batches):
-            a, b, open_ = crossing(group)
-            if not open_.any():
+            a, b, component, open_ = crossing(group)
+            if not open_:
                 continue
             sketch, n, rep = rows_of(group.column("sketch"), 2 * PERMUTATIONS), group.column("n_shingles").to_numpy(), group.column("rep").to_numpy()
             near = np.zeros(len(rep), bool)
-            for at in range(0, len(a), 256):
-                i = a[at : at + 256]
+            for at in range(0, len(a), STRIP):
+                i = a[at : at + STRIP]
                 same = np.zeros((len(i), len(b)), np.uint8)
                 for c in range(2 * PERMUTATIONS):
                     same += sketch[i, c][:, None] == sketch[b, c][None, :]
                 small_, large = np.minimum(n[i][:, None], n[b][None, :]), np.maximum(n[i][:, None], n[b][None, :])
-                hit = open_[at : at + 256] & (same >= ESTIMATE * 2 * PERMUTATIONS) & (100 * small_ >= PERCENT * large)
+                hit = (component[i][:, None] != component[b][None, :]) & (same >= ESTIMATE * 2 * PERMUTATIONS) & (100 * small_ >= PERCENT * large)
                 near[i] |= hit.any(1)
                 near[b] |= hit.any(0)
             if near.any():
@@ -257,10 +260,10 @@ def crossing_links(rows: DataFrame) -> DataFrame:
 
     def run(batches):
         for group in by_group(batches):
-            a, b, open_ = crossing(group)
-            if not open_.any():
+            a, b, component, open_ = crossing(group)
+            if not open_:
                 continue
-            rep, component = group.column("rep").to_numpy(), group.column("component").to_numpy()
+            rep = group.column("rep").to_numpy()
             sets = [np.frombuffer(x.as_py(), np.uint64) for x in group.column("shingles")]
             shared, counts = np.unique(np.concatenate(sets), return_counts=True)
             shared = shared[counts > 1]
@@ -275,12 +278,14 @@ def crossing_links(rows: DataFrame) -> DataFrame:
                         lo, hi = np.searchsorted(x, (at, at + 2048))
                         side[row, x[lo:hi] - at] = 1
                 both += left @ right.T
-            hit = open_ & (100 * both >= PERCENT * (n[a][:, None] + n[b][None, :] - both))
-            x, y = np.nonzero(hit)
-            if len(x):
-                pair = {}
-                for i, j in zip(a[x].tolist(), b[y].tolist(), strict=True):
-                    pair.setdefault((min(component[i], component[j]), max(component[i], component[j])), (rep[i], rep[j]))
+            pair = {}
+            for at in range(0, len(a), STRIP):
+                i, shares = a[at : at + STRIP], both[at : at + STRIP]
+                hit = (component[i][:, None] != component[b][None, :]) & (100 * shares >= PERCENT * (n[i][:, None] + n[b][None, :] - shares))
+                x, y = np.nonzero(hit)
+                for p, q in zip(i[x].tolist(), b[y].tolist(), strict=True):
+                    pair.setdefault((min(component[p], component[q]), max(component[p], component[q])), (rep[p], rep[q]))
+            if pair:
                 found = np.array(list(pair.values()), np.int64)
                 yield pa.RecordBatch.from_arrays([pa.array(found[:, 0]), pa.array(found[:, 1])], ["rep", "leader"])
 

@@ -74,3 +74,16 @@ def test_real_documents(spark):
 def test_empty(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert nd.near_duplicates(docs).collect() == [] and nd.without_copies(docs).collect() == []
+
+
+def test_blocks_of_very_short_texts(spark, monkeypatch):
+    """Texts of three shingles, two of them common to all: a block is bounded by its rows too."""
+    monkeypatch.setattr(nd, "BLOCK_ROWS", 40, raising=False)
+    rows = spark.createDataFrame([(1, i, i, 3) for i in range(1000)] + [(2, i, i, 3) for i in range(30)], "bucket long, rep long, component long, n_shingles long")
+    sizes = nd.blocks_of(rows).groupBy("bucket", "first", "second").count().collect()
+    assert max(r["count"] for r in sizes) <= 4 * 40 and [r["count"] for r in sizes if r.bucket == 2] == [30]
+    assert {r.rep for r in nd.blocks_of(rows).filter("bucket = 1 and first = second").collect()} == set(range(1000))
+    texts = [(i, f"see page number {i} of this book") for i in range(250)] + [(1000 + i, f"see page number {i} of this book again and again for more of it") for i in range(0, 250, 5)]
+    texts += [(2000 + i, f"SEE page number {i} of this book") for i in range(0, 250, 7)]
+    check(spark, texts, 5)
+    check(spark, texts, 2)

@@ -82,6 +82,12 @@ def doc_caption_lines_en(spark, sf_dir):
     return table(spark, sf_dir, "documents").filter("lang = 'en'").select("doc_id", T.caption_lines(F.col("text")).alias("caption_lines"))
 
 
+@query()
+def doc_caption_lines(spark, sf_dir):
+    """Over the documents of all languages; without oracle, as the word boundary differs on letters beyond ASCII."""
+    return table(spark, sf_dir, "documents").select("doc_id", T.caption_lines(F.col("text")).alias("caption_lines"))
+
+
 @query(r"""SELECT doc_id, CASE WHEN trim(regexp_replace(text, '\s+', ' ', 'g')) <> '' THEN left(trim(regexp_replace(text, '\s+', ' ', 'g')), 240) END AS compact FROM documents""")
 def doc_compact(spark, sf_dir):
     return table(spark, sf_dir, "documents").select("doc_id", T.compact(F.col("text")).alias("compact"))

@@ -75,3 +75,12 @@ def test_integrity_without_children(spark):
     c = spark.createDataFrame([], "parent_chunk_id string, section_path string, token_count long")
     r = analytics.integrity(p, c).first()
     assert r.children == 0 and r.score is None and r.grade is None
+
+
+def test_caption_lines_of_all_languages(spark, tmp_path):
+    from folio.plans import registry
+
+    rows = [(1, "en", "Figure 1: a\nno\nsee chart 2"), (2, "de", "Flowchart 3\nAbbildung"), (3, "fr", "configurer\nFig. 4"), (4, None, "diagram"), (5, "es", ""), (6, "es", None)]
+    spark.createDataFrame(rows, "doc_id long, lang string, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.doc_id: r.caption_lines for r in registry.queries()["doc_caption_lines"](spark, str(tmp_path)).collect()}
+    assert {k: got[k] for k in range(1, 6)} == {1: 2, 2: 1, 3: 1, 4: 1, 5: 0} and set(got) == set(range(1, 7))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import re
 import tempfile
 import uuid
 
@@ -22,22 +24,46 @@ def text_of(column: str = "text") -> Column:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that the cluster names in spark.checkpoint.dir; a temporary one only where none is set."""
+    """The folder that the cluster names in spark.checkpoint.dir. Where none is set: one in the warehouse, or a temporary one if Spark has this machine only."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
-        found = tempfile.mkdtemp(prefix="folio-")
+        alone = re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master)
+        found = tempfile.mkdtemp(prefix="folio-") if alone else f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/folio-{uuid.uuid4().hex}"
         spark.conf.set("spark.checkpoint.dir", found)
     return found.rstrip("/")
 
 
-def written(df: DataFrame, name: str, *, sort: bool = False) -> DataFrame:
-    """df as a Parquet table in the shared folder, read again: its lineage ends there, and a lost executor costs no recomputation."""
+#: Whether Spark deletes the shuffle files of a query as soon as it has ended.
+TIDY = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextlib.contextmanager
+def tidy(spark: SparkSession):
+    before = spark.conf.get(TIDY, None)
+    spark.conf.set(TIDY, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(TIDY) if before is None else spark.conf.set(TIDY, before)
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """df as a Parquet table in the shared folder, read again: its lineage ends there, a lost executor costs no recomputation, and its shuffle files go."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
+    with tidy(spark):
+        df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(*tables: DataFrame) -> None:
+    """Delete tables that written() gave, once nothing that is still to be computed reads them."""
+    for df in tables:
+        for folder in {file.rsplit("/", 1)[0] for file in df.inputFiles()}:
+            path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def small(df: DataFrame, rows: int | None = None) -> DataFrame:
     """df with a broadcast hint if it has at most BROADCAST_ROWS rows; as it is, for a shuffled join, beyond. Count a written table only."""
     n = df.count() if rows is None else rows

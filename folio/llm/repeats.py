@@ -10,9 +10,13 @@ and overlaps count. The work is that of sampled suffixes with common-prefix test
 3. The windows of the others of such grams are hashed one by one and compared with those of the same gram, one of each
    set of equal regions standing for all.
 
-Strings are compared by 64-bit hashes of their bytes. A null text counts as empty; texts shorter than LENGTH bytes keep
-all. Rows of the same doc_id are told apart by their texts; equal ones repeat each other. An empty table gives an empty
-result. Other columns are ignored.
+Strings are compared by 64-bit hashes of their bytes, those of one gram only (64 bits more for whole regions, 31 for
+single windows). A null text counts as empty; texts shorter than LENGTH bytes keep all, and long ones are cut, so that a
+task holds SLICE bytes of a text at once. Rows of the same doc_id are told apart by a 32-bit hash of their texts, rows
+without doc_id by 96 bits of it; equal ones repeat each other. An empty table gives an empty result. Other columns are
+ignored.
+
+The texts are shuffled to the spans twice, and every table is deleted as soon as nothing reads it any more.
 """
 
 from __future__ import annotations
@@ -24,12 +28,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from folio.llm.common import text_of, written
+from folio.llm.common import discard, text_of, written
 
 LENGTH, GRAM = 200, 100
 WINDOW = LENGTH - GRAM + 1
-#: Intervals that are broadcast at most; beyond, texts are shuffled to them.
-BROADCAST_SPANS = 2_000_000
+#: What tells rows of a table from one another.
+ROW = ("doc", "tag")
 #: Bytes of text that a task handles at once; longer texts are cut, with LENGTH - 1 bytes in common.
 SLICE = 1 << 20
 #: Bits of a packed minimum that hold the place in a slice.
@@ -121,96 +125,99 @@ def cut(batches):
 
 
 def texts_of(docs: DataFrame) -> DataFrame:
-    """doc_id, uid (of the row's doc_id and text), text as bytes."""
+    """doc_id, doc, tag, text as bytes."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"))
-    return docs.select("doc_id", F.xxhash64("doc_id", "text").alias("uid"), F.encode("text", "UTF-8").alias("text"))
+    return docs.select("doc_id", F.coalesce("doc_id", F.xxhash64("text")).alias("doc"), F.hash("text").alias("tag"), F.encode("text", "UTF-8").alias("text"))
 
 
 def anchor_rows(texts: DataFrame) -> DataFrame:
-    """gram, region, uid, a, b: the anchors of all texts; a, b are the first and the last window."""
+    """gram, region, doc, tag, a, more: the anchors of all texts; a is the first window, a + more the last."""
 
     def run(batches):
         for batch, held in cut(batches):
-            uid, at = batch.column("uid").to_numpy()[[k for k, _, _ in held]], np.array([a for _, a, _ in held])
+            row, at = [k for k, _, _ in held], np.array([a for _, a, _ in held])
+            doc, tag = (batch.column(c).to_numpy()[row] for c in ROW)
             of, gram, region, a, b = anchors(Slice([t for _, _, t in held]))
-            yield pa.RecordBatch.from_arrays([pa.array(gram.view(np.int64)), pa.array(region.view(np.int64)), pa.array(uid[of]), pa.array(a + at[of]), pa.array(b + at[of])], ["gram", "region", "uid", "a", "b"])
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (gram.view(np.int64), region.view(np.int64), doc[of], tag[of], (a + at[of]).astype(np.int32), (b - a).astype(np.int16))], ["gram", "region", *ROW, "a", "more"])
 
-    return texts.select("uid", "text").mapInArrow(run, "gram long, region long, uid long, a long, b long")
+    return texts.select(*ROW, "text").mapInArrow(run, "gram long, region long, doc long, tag int, a int, more smallint")
 
 
-def with_spans(texts: DataFrame, spans: DataFrame) -> DataFrame:
-    """texts with spans, the sorted (a, b) of their uid as an array; null if none. spans is a written table of uid, a, b."""
-    n = spans.count()
-    per_text = spans.groupBy("uid").agg(F.sort_array(F.collect_list(F.struct("a", "b"))).alias("spans"))  # as many as the text has
-    return texts.join(F.broadcast(per_text) if n <= BROADCAST_SPANS else per_text, "uid", "left")
+def with_spans(texts: DataFrame, spans: DataFrame, how: str) -> DataFrame:
+    """texts with spans, the sorted (a, b, ...) of their row as an array."""
+    rest = [c for c in spans.columns if c not in ROW]
+    return texts.join(spans.groupBy(*ROW).agg(F.sort_array(F.collect_list(F.struct(*rest))).alias("spans")), list(ROW), how)  # as many as the text has
 
 
 def window_rows(texts: DataFrame, open_: DataFrame) -> DataFrame:
-    """window (its hash), uid, a: the windows of open_'s anchors (uid, a, b)."""
+    """window (its hash), bits (of the gram's hash), doc, tag, a: the windows of open_'s anchors."""
 
     def run(batches):
         for batch in batches:
             for k in range(batch.num_rows):
                 spans = batch.column("spans")[k].values
-                a, b = spans.field("a").to_numpy(), spans.field("b").to_numpy()
+                a, b, bits = (spans.field(c).to_numpy() for c in ("a", "b", "bits"))
                 text = batch.column("text")[k].as_py()
-                uid = batch.column("uid")[k].as_py()
                 at = 0
                 while at < len(a):  # spans that lie within SLICE bytes
                     to = max(at + 1, int(np.searchsorted(b, a[at] + SLICE, "right")))
                     part = Slice([text[a[at] : b[at:to].max() + LENGTH]])
-                    n = b[at:to] - a[at:to] + 1
-                    start = np.unique(np.repeat(a[at:to] - (np.cumsum(n) - n), n) + np.arange(n.sum()))
+                    n = (b[at:to] - a[at:to] + 1).astype(np.int64)
+                    start = np.repeat(a[at:to] - (np.cumsum(n) - n), n) + np.arange(n.sum())
                     found = part.hashes(start - a[at], LENGTH).view(np.int64)
-                    yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(np.full(len(start), uid)), pa.array(start)], ["window", "uid", "a"])
+                    doc, tag = (np.full(len(start), batch.column(c)[k].as_py(), t) for c, t in zip(ROW, (np.int64, np.int32), strict=True))
+                    yield pa.RecordBatch.from_arrays([pa.array(x) for x in (found, np.repeat(bits[at:to], n), doc, tag, start.astype(np.int32))], ["window", "bits", *ROW, "a"])
                     at = to
 
-    return with_spans(texts, open_).filter("spans is not null").select("uid", "text", "spans").mapInArrow(run, "window long, uid long, a long")
+    return with_spans(texts, open_, "inner").select(*ROW, "text", "spans").mapInArrow(run, "window long, bits int, doc long, tag int, a int")
 
 
 def repeated(texts: DataFrame) -> DataFrame:
-    """uid, a, b: bytes from a to b (exclusive) of the text are covered by strings of LENGTH bytes that start elsewhere too. Spans may overlap."""
+    """doc, tag, a, b: bytes from a to b (exclusive) of the text are covered by strings of LENGTH bytes that start elsewhere too. Spans may overlap."""
     found = anchor_rows(texts)
-    grams = found.groupBy("gram").agg(F.count("*").alias("n"), F.min("region").alias("low"), F.max("region").alias("high")).filter("n > 1").select("gram", (F.col("low") != F.col("high")).alias("mixed"))
-    # written, so that both sides of the join are plain shuffles, of which Spark splits those of a hot gram
-    shared = written(found.join(written(grams, "grams"), "gram"), "shared-grams")
-    mixed_ = shared.filter("mixed")
-    regions = mixed_.groupBy("gram", "region").agg(F.count("*").alias("n"), F.min(F.struct("uid", "a", "b")).alias("one"))
-    regions = written(regions, "regions")
-    alone = regions.filter("n = 1").select("one.*")
-    stand_in = regions.filter("n > 1").join(regions.filter("n = 1").select("gram").distinct(), "gram", "left_semi").select("one.*")
-    windows = written(window_rows(texts, written(alone.unionAll(stand_in).distinct(), "open")), "windows")
-    again = windows.groupBy("window").agg(F.count("*").alias("n")).filter("n > 1").select("window")
-    again = written(again, "again")
-    single = windows.join(again, "window").select("uid", "a", (F.col("a") + LENGTH).alias("b"))
-    whole = shared.filter("not mixed").select("uid", "a", (F.col("b") + LENGTH).alias("b"))
-    several = mixed_.join(regions.filter("n > 1").select("gram", "region"), ["gram", "region"]).select("uid", "a", (F.col("b") + LENGTH).alias("b"))
-    return merged(whole.unionAll(several).unionAll(single))
+    grams = found.groupBy("gram").agg(F.count("*").alias("n"), F.min("region").alias("low"), F.max("region").alias("high")).filter("n > 1")
+    grams = written(grams.select("gram", (F.col("low") != F.col("high")).alias("mixed")), "grams")
+    # both sides of the joins are written, so that they are plain shuffles, of which Spark splits those of a hot gram
+    shared = written(found.join(grams, "gram"), "shared-grams")
+    discard(grams)
+    end = (F.col("a") + F.col("more") + LENGTH).alias("b")
+    mixed_ = shared.filter("mixed").drop("mixed")
+    regions = written(mixed_.groupBy("gram", "region").agg(F.count("*").alias("n"), F.min(F.struct(*ROW, "a", "more")).alias("one")), "regions")
+    several = mixed_.join(regions.filter("n > 1").select("gram", "region"), ["gram", "region"]).select(*ROW, "a", end)
+    whole = written(merged(shared.filter("not mixed").select(*ROW, "a", end).unionAll(several)), "whole-regions")
+    discard(shared)
+    single = regions.filter("n = 1").select("gram").distinct()
+    open_ = written(regions.filter("n = 1").unionAll(regions.filter("n > 1").join(single, "gram", "left_semi").select(*regions.columns)).select("one.*", F.col("gram").bitwiseAND(F.lit(0x7FFFFFFF)).cast("int").alias("bits")), "open")
+    discard(regions)
+    windows = written(window_rows(texts, open_.select(*ROW, "a", (F.col("a") + F.col("more")).alias("b"), "bits")), "windows")
+    discard(open_)
+    again = written(windows.groupBy("window", "bits").agg(F.count("*").alias("n")).filter("n > 1").select("window", "bits"), "again")
+    spans = written(merged(whole.unionAll(windows.join(again, ["window", "bits"]).select(*ROW, "a", (F.col("a") + LENGTH).alias("b")))), "repeats")
+    discard(whole, windows, again)
+    return spans
 
 
 def merged(spans: DataFrame) -> DataFrame:
-    """The spans of each uid, those that meet within a task made one."""
+    """doc, tag, a, b: the spans of each row, those that meet within a batch made one."""
 
     def run(batches):
-        for batch in batches:
-            uid, a, b = (batch.column(c).to_numpy() for c in ("uid", "a", "b"))
-            order = np.lexsort((a, uid))
-            uid, a, b = uid[order], a[order], b[order]
-            if not len(a):
-                continue
-            code = np.cumsum(np.concatenate([[0], uid[1:] != uid[:-1]])).astype(np.int64) << 40  # makes ends of one uid lie below those of the next
+        for batch in (b for b in batches if b.num_rows):
+            doc, tag, a, b = (batch.column(c).to_numpy() for c in (*ROW, "a", "b"))
+            order = np.lexsort((a, tag, doc))
+            doc, tag, a, b = doc[order], tag[order], a[order], b[order].astype(np.int64)
+            code = np.cumsum(np.concatenate([[False], (doc[1:] != doc[:-1]) | (tag[1:] != tag[:-1])])).astype(np.int64) << 40  # makes ends of one row lie below those of the next
             far = np.maximum.accumulate(code + b)
             new = np.concatenate([[True], (code + a)[1:] > far[:-1]])
             last = np.append(np.flatnonzero(new)[1:], len(a)) - 1
-            yield pa.RecordBatch.from_arrays([pa.array(uid[new]), pa.array(a[new]), pa.array((far - code)[last])], ["uid", "a", "b"])
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (doc[new], tag[new], a[new], (far - code)[last].astype(np.int32))], [*ROW, "a", "b"])
 
-    return spans.mapInArrow(run, "uid long, a long, b long")
+    return spans.mapInArrow(run, "doc long, tag int, a int, b int")
 
 
 def without_repeats(docs: DataFrame) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept (the remaining bytes) of every row of docs."""
     texts = texts_of(docs)
-    spans = written(repeated(texts), "repeats")
+    spans = repeated(texts)
 
     def run(batches):
         for batch in (b for b in batches if b.num_rows):
@@ -235,4 +242,4 @@ def without_repeats(docs: DataFrame) -> DataFrame:
                 out.append((len(text), gone, n, hashlib.sha256(rest).hexdigest(), rest))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *[pa.array(x, t) for x, t in zip(zip(*out, strict=True), (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary()), strict=True)]], ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"])
 
-    return with_spans(texts, spans).select("doc_id", "text", "spans").mapInArrow(run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")
+    return with_spans(texts, spans, "left").select("doc_id", "text", "spans").mapInArrow(run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")

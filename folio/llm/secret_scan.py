@@ -6,8 +6,9 @@ and joined as identifiers, are ordinary. A token of MIN_TOKEN or more characters
 likelihood ratio of the chains reaches MIN_LLR nats in all and MIN_RATE a character.
 
 A null text counts as empty. A text without findings has zero counts and empty spans. Spans are in code points, end
-exclusive. Spans of the model that touch one of a pattern are left out. Repeated rows are scanned each for itself. An
-empty table gives an empty result. Other columns are ignored.
+exclusive. Spans of the model that touch one of a pattern are left out. Repeated rows are scanned each for itself (one of
+them in the sample). The work on a long text grows with its length and findings only: places are sums over groups of FAN
+lengths, and texts are cut by chunks. An empty table gives an empty result. Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -35,20 +36,39 @@ TOKEN = r"[A-Za-z0-9+/_=-]{20,}"
 SAMPLE_DOCS, SAMPLE_KEYS = 2000, 4000
 ALPHABET = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/_=-"
 SPANS = "array<struct<start:int,kind_no:int,kind:string,stop:int>>"
+#: Numbers that are summed at once for the places of matches; characters of the pieces that a text is cut into.
+FAN, CHUNK = 64, 1 << 12
 
 
-def located(text: Column, pattern: str, group: int, least: int, kind_no: int, kind: str) -> Column:
-    """Spans of all matches of the pattern whose group has the least length: what lies between matches gives their places."""
+def before_each(numbers: Column, combine) -> Column:
+    """Of an array with elements: what combine (a sum, a maximum) gives over 0 and all numbers before each one. Groups, and groups of these, are combined first."""
+
+    def over(x: Column) -> Column:
+        return F.aggregate(x, F.lit(0), combine)
+
+    def grouped(x: Column) -> Column:
+        return F.transform(F.sequence(F.lit(0), ((F.size(x) - 1) / FAN).cast("int")), lambda g: over(F.slice(x, g * FAN + 1, F.lit(FAN))))
+
+    def spread(above: Column, x: Column) -> Column:
+        return F.transform(x, lambda _, i: combine(F.get(above, (i / FAN).cast("int")), over(F.slice(x, (i / FAN).cast("int") * FAN + 1, i % FAN))))
+
+    def of(x: Column, y: Column, z: Column) -> Column:
+        return let(F.transform(z, lambda _, i: over(F.slice(z, F.lit(1), i))), lambda p: let(spread(p, y), lambda q: spread(q, x)))
+
+    return let(numbers, lambda x: let(grouped(x), lambda y: let(grouped(y), lambda z: of(x, y, z))))
+
+
+def located(text: Column, pattern: str, group: int, kind_no: int, kind: str, keep) -> Column:
+    """Spans of the matches of the pattern whose group satisfies keep: what lies between matches gives their places."""
 
     def of(found: Column, gaps: Column, measured: Column) -> Column:
-        def step(s, i):
-            start = s["at"] + F.length(F.get(gaps, i))
-            stop = start + F.length(F.get(found, i))
-            span = F.struct(start.alias("start"), F.lit(kind_no).alias("kind_no"), F.lit(kind).alias("kind"), stop.alias("stop"))
-            return F.struct(stop.alias("at"), F.when(F.length(F.get(measured, i)) >= least, F.array_append(s["spans"], span)).otherwise(s["spans"]).alias("spans"))
+        def span(at: Column, i: Column) -> Column:
+            start = at + F.length(F.get(gaps, i))
+            return F.struct(start.alias("start"), F.lit(kind_no).alias("kind_no"), F.lit(kind).alias("kind"), (start + F.length(F.get(found, i))).alias("stop"))
 
-        zero = F.struct(F.lit(0).alias("at"), F.array().cast(SPANS).alias("spans"))
-        return F.when(F.size(found) > 0, F.aggregate(F.sequence(F.lit(0), F.size(found) - 1), zero, step, lambda s: s["spans"])).otherwise(F.array().cast(SPANS))
+        places = before_each(F.transform(found, lambda m, i: F.length(F.get(gaps, i)) + F.length(m)), lambda a, b: a + b)
+        spans = let(F.transform(places, span), lambda s: F.filter(s, lambda _, i: keep(F.get(measured, i))))
+        return F.when(F.size(found) > 0, spans).otherwise(F.array().cast(SPANS))
 
     p = F.lit(pattern)
     whole = F.regexp_extract_all(text, p, F.lit(0))
@@ -58,7 +78,7 @@ def located(text: Column, pattern: str, group: int, least: int, kind_no: int, ki
 def base_spans(text: Column) -> list[Column]:
     none = F.array().cast(SPANS)
     return [
-        F.when(text.rlike(PRESENT[k]), located(text, DIRECT[k] or pattern, 0 if DIRECT[k] else group, least, k, kind)).otherwise(none)
+        F.when(text.rlike(PRESENT[k]), located(text, DIRECT[k] or pattern, 0 if DIRECT[k] else group, k, kind, lambda found, n=least: F.length(found) >= n)).otherwise(none)
         for k, (kind, pattern, group, least) in enumerate(KINDS)
     ]
 
@@ -66,7 +86,9 @@ def base_spans(text: Column) -> list[Column]:
 def labelled(docs: DataFrame) -> DataFrame:
     """token, random (boolean): the bounded sample that trains the chains."""
     spark = docs.sparkSession
-    some = written(docs.select(text_of().alias("text")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE_DOCS), "secret-sample")
+    keyed = docs.select(F.xxhash64("doc_id", text_of()).alias("h"), text_of().alias("text"))
+    chosen = written(keyed.select("h").distinct().orderBy("h").limit(SAMPLE_DOCS), "secret-sample-keys")
+    some = written(keyed.join(F.broadcast(chosen), "h").dropDuplicates(["h"]).select("text"), "secret-sample")
     keys = spark.range(SAMPLE_KEYS, numPartitions=1).select(F.sha2(F.concat(F.lit("key"), F.col("id").cast("string")), 256).alias("k"))
     keys = keys.select(F.explode(F.array(F.substring("k", 1, 40), F.regexp_replace(F.base64(F.unhex("k")), "=", ""), F.translate(F.base64(F.unhex("k")), "+/=", "-_"), F.substring(F.upper(F.regexp_replace(F.base64(F.unhex("k")), r"[+/=]", "")), 1, 24))).alias("token"))
     values = some.select(F.explode(F.concat(F.regexp_extract_all("text", F.lit(KINDS[0][1]), F.lit(2)), F.regexp_extract_all("text", F.lit(DIRECT[1]), F.lit(0)), F.regexp_extract_all("text", F.lit(DIRECT[2]), F.lit(0)))).alias("token")).filter(F.length("token") >= 12)
@@ -95,29 +117,39 @@ def train(docs: DataFrame) -> list[float]:
 
 def ratio(token: Column, model: list[float]) -> Column:
     table = F.split(F.lit(",".join(map(str, model))), ",").cast("array<double>")
-    code = lambda i: F.instr(F.lit(ALPHABET), F.substring(token, i, F.lit(1))) - 1
-    return F.aggregate(F.sequence(F.lit(1), F.length(token) - 1), F.lit(0.0), lambda s, i: s + F.get(table, code(i) * len(ALPHABET) + code(i + 1)))
+    places = F.split(F.lit(",".join(str(ALPHABET.find(chr(c))) for c in range(128))), ",").cast("array<int>")
+    codes = F.transform(F.split(token, ""), lambda c: F.get(places, F.ascii(c)))
+    return let(codes, lambda x: F.aggregate(F.sequence(F.lit(1), F.size(x) - 1), F.lit(0.0), lambda s, i: s + F.get(table, F.get(x, i - 1) * len(ALPHABET) + F.get(x, i))))
 
 
 def model_spans(text: Column, model: list[float]) -> Column:
     """Spans of random tokens."""
 
-    def random(x: Column) -> Column:
-        token = F.substring(text, x["start"] + 1, x["stop"] - x["start"])
-        return let(token, lambda t: t.rlike("[0-9]") & let(F.when(t.rlike("[0-9]"), ratio(t, model)), lambda r: (r >= MIN_LLR) & (r >= MIN_RATE * F.length(t))))
+    def random(token: Column) -> Column:
+        return F.when(token.rlike("[0-9]"), let(ratio(token, model), lambda r: (r >= MIN_LLR) & (r >= MIN_RATE * F.length(token)))).otherwise(False)
 
-    tokens = located(text, TOKEN, 0, MIN_TOKEN, len(KINDS), "model")
-    return F.when(text.rlike(r"[A-Za-z+/_=-][0-9]|[0-9][A-Za-z+/_=-]|[0-9]{20}") & text.rlike(TOKEN), F.filter(tokens, random)).otherwise(F.array().cast(SPANS))
+    return F.when(text.rlike(r"[A-Za-z+/_=-][0-9]|[0-9][A-Za-z+/_=-]|[0-9]{20}") & text.rlike(TOKEN), located(text, TOKEN, 0, len(KINDS), "model", random)).otherwise(F.array().cast(SPANS))
+
+
+def touches(spans: Column, m: Column) -> Column:
+    """Whether m overlaps with one of spans, which are in order and apart: with the last that starts before m's end, found by halving."""
+    powers = F.array(*[F.lit(1 << k) for k in range(27, -1, -1)])
+
+    def further(n: Column, p: Column) -> Column:
+        return F.when((n + p <= F.size(spans)) & (F.get(spans, n + p - 1)["start"] < m["stop"]), n + p).otherwise(n)
+
+    return (F.size(spans) > 0) & let(F.aggregate(powers, F.lit(0), further), lambda n: (n > 0) & F.coalesce(F.get(spans, F.greatest(n - 1, F.lit(0)))["stop"] > m["start"], F.lit(False)))
 
 
 def scanned(docs: DataFrame, model: list[float]) -> DataFrame:
     """docs with scan_text, assign, access, hex, base (the three by start, then kind) and spans (with the model's)."""
     rows = docs.withColumn("scan_text", text_of())
-    for (kind, *_), column in zip(KINDS, base_spans(F.col("scan_text")), strict=True):
-        rows = rows.withColumn(f"scan_{kind}", column)
-    rows = rows.withColumn("scan_base", F.array_sort(F.concat("scan_assign", "scan_access", "scan_hex")))
-    more = F.filter(model_spans(F.col("scan_text"), model), lambda m: ~F.exists("scan_base", lambda b: (b["start"] < m["stop"]) & (m["start"] < b["stop"])))
-    return rows.withColumn("scan_spans", F.array_sort(F.concat("scan_base", more)))
+    kinds = [f"scan_{kind}" for kind, *_ in KINDS]
+    for name, column in zip(kinds, base_spans(F.col("scan_text")), strict=True):
+        rows = rows.withColumn(name, column)
+    rows = rows.withColumn("scan_base", F.sort_array(F.concat(*kinds)))
+    more = F.filter(model_spans(F.col("scan_text"), model), lambda m: ~(touches(F.col(kinds[0]), m) | touches(F.col(kinds[1]), m) | touches(F.col(kinds[2]), m)))
+    return rows.withColumn("scan_spans", F.sort_array(F.concat("scan_base", more)))
 
 
 def printed(spans: Column) -> Column:
@@ -131,18 +163,41 @@ def secrets(docs: DataFrame) -> DataFrame:
     return found.select("doc_id", *counts, F.sha2(printed(F.col("scan_base")), 256).alias("base_sha256"), printed(F.col("scan_spans")).alias("spans"), (F.size("scan_spans") - F.size("scan_base")).cast("long").alias("n_model"))
 
 
-def redacted(docs: DataFrame, mark: str = "[SECRET]") -> DataFrame:
-    """docs, all rows and columns, with mark in place of each secret of the text; n_chars, where there is one, follows."""
+def chunks(text: Column) -> Column:
+    """The text in pieces of CHUNK characters, cut from larger pieces, as each cut counts the characters before it."""
 
-    def step(s, x):
-        text = F.col("scan_text")
-        ahead = x["start"] >= s["at"]
-        gap = F.substring(text, s["at"] + 1, F.greatest(x["start"] - s["at"], F.lit(0)))
-        return F.struct(F.when(ahead, F.concat(s["out"], gap, F.lit(mark))).otherwise(s["out"]).alias("out"), F.greatest(s["at"], x["stop"]).alias("at"))
+    def cut(x: Column, size: int) -> Column:
+        return F.transform(F.sequence(F.lit(0), ((F.length(x) - 1) / size).cast("int")), lambda i: F.substring(x, i * size + 1, F.lit(size)))
 
+    return F.flatten(F.transform(cut(text, CHUNK << 8), lambda x: cut(x, CHUNK)))
+
+
+def between(parts: Column, a: Column, b: Column) -> Column:
+    """The characters from a to b (exclusive) of a text that chunks() has cut."""
+
+    def part(c: Column) -> Column:
+        skip = F.greatest(a - c * CHUNK, F.lit(0))
+        return F.substring(F.get(parts, c), skip + 1, F.least(b - c * CHUNK, F.lit(CHUNK)) - skip)
+
+    return F.when(b > a, F.array_join(F.transform(F.sequence((a / CHUNK).cast("int"), ((b - 1) / CHUNK).cast("int")), part), "")).otherwise("")
+
+
+def without_spans(text: Column, spans: Column, mark: str) -> Column:
+    """The text with mark in place of each span; of spans that overlap one mark stands for all."""
+
+    def of(parts: Column, ends: Column) -> Column:
+        # ends: the furthest end of the spans before each; one more for the rest of the text
+        kept = F.transform(spans, lambda s, i: F.when(s["start"] >= F.get(ends, i), F.concat(between(parts, F.get(ends, i), s["start"]), F.lit(mark))).otherwise(""))
+        return F.concat(F.array_join(kept, ""), between(parts, F.get(ends, F.size(spans)), F.length(text)))
+
+    ends = before_each(F.array_append(F.transform(spans, lambda s: s["stop"]), F.lit(0)), lambda a, b: F.greatest(a, b))
+    return let(chunks(text), lambda parts: let(ends, lambda e: of(parts, e)))
+
+
+def redacted(docs: DataFrame, mark: str = "[SECRET]") -> DataFrame:
+    """docs, all rows and columns, with mark in place of each secret of the text; n_chars, where there is one, follows."""
     found = scanned(docs, train(docs))
-    clean = F.aggregate("scan_spans", F.struct(F.lit("").alias("out"), F.lit(0).alias("at")), step, lambda s: F.concat(s["out"], F.substring(F.col("scan_text"), s["at"] + 1, F.length("scan_text") - s["at"])))
-    found = found.withColumn("text", F.when(F.size("scan_spans") > 0, clean).otherwise(F.col("text")))
+    found = found.withColumn("text", F.when(F.size("scan_spans") > 0, without_spans(F.col("scan_text"), F.col("scan_spans"), mark)).otherwise(F.col("text")))
     if "n_chars" in docs.columns:
         found = found.withColumn("n_chars", F.when(F.size("scan_spans") > 0, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
     return found.select(*docs.columns)

@@ -1,5 +1,7 @@
 import hashlib
+import random
 import re
+import time
 
 from folio.llm import secret_scan as s
 
@@ -56,3 +58,69 @@ def test_redaction(spark):
     assert got[7].text == "[SECRET] " * 200 and got[7].n_chars == 1800
     assert KEY not in got[3].text and got[3].text.endswith("[SECRET]'")
     assert s.redacted(docs.limit(0)).collect() == [] and s.secrets(docs.limit(0)).collect() == []
+
+
+def everything(text, model):
+    """The base spans, and the tokens whose ratio, summed pair by pair, is high enough and that touch none."""
+    found = base(text)
+    out = [(a, k, kind, b) for a, k, kind, b in found]
+    for m in re.finditer(s.TOKEN, text or ""):
+        token = m[0]
+        rate = sum(model[s.ALPHABET.index(x) * len(s.ALPHABET) + s.ALPHABET.index(y)] for x, y in zip(token, token[1:]))
+        if re.search("[0-9]", token) and rate >= s.MIN_LLR and rate >= s.MIN_RATE * len(token) and not any(a < m.end() and m.start() < b for a, _, _, b in found):
+            out.append((m.start(), len(s.KINDS), "model", m.end()))
+    return sorted(out)
+
+
+def masked(text, spans, mark="[SECRET]"):
+    out, at = "", 0
+    for a, _, _, b in spans:
+        if a >= at:
+            out += text[at:a] + mark
+        at = max(at, b)
+    return out + text[at:]
+
+
+def made(rng):
+    """A text of words, keys and pieces of the patterns that run into one another."""
+    parts = []
+    for _ in range(rng.choice([0, 3, 30, 300])):
+        key = hashlib.sha256(str(rng.random()).encode()).hexdigest()
+        parts.append(rng.choice(["some words", "é𝄞", " ", "\n", "token=", "api_key : ", "AKIA" + key[:20].upper(), key[: rng.randint(10, 40)], "Xk9" + key[:8].upper() + "qZ7w" + key[8:16].title() + "Tz", "an_ordinary_name_of_2024_things", "-", "'"]))
+    return "".join(parts)
+
+
+def test_all_spans_against_brute_force(spark, monkeypatch):
+    monkeypatch.setattr(s, "FAN", 3)
+    monkeypatch.setattr(s, "CHUNK", 7)
+    rng = random.Random(4)
+    texts = [*TEXTS, *[made(rng) for _ in range(60)]]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    model = s.train(docs)
+    got = {r.doc_id: r for r in s.scanned(docs, model).select("doc_id", s.printed(s.F.col("scan_spans")).alias("spans"), s.F.size("scan_base").alias("n")).collect()}
+    clean = {r.doc_id: r.text for r in s.redacted(docs).collect()}
+    n_model = 0
+    for i, text in enumerate(texts):
+        want = everything(text, model)
+        n_model += sum(x[2] == "model" for x in want)
+        assert got[i].spans == ",".join(f"{k}:{a}:{b}" for a, _, k, b in want), i
+        assert clean[i] == (masked(text, want) if want else text), i
+    assert n_model > 10
+
+
+def test_long_text(spark):
+    """10 MB with 250,000 findings: in seconds, as work grows with the length."""
+    text = "\n".join(hashlib.sha256(str(k).encode()).hexdigest()[:39] for k in range(250_000))
+    docs = spark.createDataFrame([(1, text), (2, "é " * 3000 + text[:400_000])], "doc_id long, text string")
+    model = [0.0] * len(s.ALPHABET) ** 2
+    began = time.time()
+    found = {r.doc_id: r for r in s.scanned(docs, model).select("doc_id", s.F.size("scan_base").alias("n"), s.without_spans(s.F.col("scan_text"), s.F.col("scan_spans"), "*").alias("clean")).collect()}
+    assert time.time() - began < 90
+    assert found[1].n == 250_000 and found[1].clean == "\n".join("*" * 1 for _ in range(250_000))
+    assert found[2].n == 10_000 and found[2].clean.startswith("é é ")
+
+
+def test_repeated_rows(spark):
+    docs = spark.createDataFrame([(1, TEXTS[3])] * 3 + [(None, TEXTS[1])] * 2, "doc_id long, text string")
+    got = s.secrets(docs).collect()
+    assert len(got) == 5 and len({(r.doc_id, r.spans) for r in got}) == 2

@@ -1,18 +1,21 @@
-"""Benchmark decontamination by seeds of neighbouring words, in DataFrame expressions only.
+"""Benchmark decontamination by spaced seeds, in DataFrame expressions only.
 
-Words are the runs of letters and digits of the lower-cased text. Hashes of neighbouring words join documents and
-benchmark items. Each meeting fixes an alignment of document and item, which counts if some run of MIN_WORDS words or
-more on it, or the whole item if that is shorter, has at least MIN_SIMILARITY of its words equal. The run that is
-reported scores best (matching words score 1, others -PENALTY), or where that one is too short or too unlike, is the one
-with the most matching words beyond MIN_SIMILARITY of its length.
+Words are the runs of letters and digits of the lower-cased text. A mask says which of a few neighbouring words count and
+which are ignored; the hash of those that count is a seed. Seeds join documents and benchmark items. Each meeting fixes an
+alignment of document and item, which counts if some run of MIN_WORDS words or more on it, or the whole item if that is
+shorter, has at least MIN_SIMILARITY of its words equal. The run that is reported scores best (matching words score 1,
+others -PENALTY), or where that one is too short or too unlike, is the one with the most matching words beyond
+MIN_SIMILARITY of its length.
 
 The search loses no such alignment: a run of 2 * MIN_WORDS words or more can be cut into pieces of MIN_WORDS to
-2 * MIN_WORDS - 1 words, one of which is at least as alike, and the words that differ leave seed_words neighbouring equal
-words in it. Words put in or left out move the rest to another alignment, where it counts only by itself.
-
-Null and empty texts, and items of fewer than LEAST_ITEM words, overlap with nothing. Items of equal words count as
-one, under their smallest item_id. Rows with the same doc_id and text count as one. Empty tables give an empty result.
-Other columns are ignored.
+2 * MIN_WORDS - 1 words, one of which is at least as alike, and LONG_MASKS hit every piece wherever its words differ (by
+trial of all cases, see the tests); SHORT_MASKS do so for shorter items. Words put in or left out move the rest to
+another alignment, where it counts only by itself.
+
+Null and empty texts, rows without doc_id, and items of fewer than LEAST_ITEM words overlap with nothing. Items of equal
+words count as one, under their smallest item_id. Rows of the same doc_id count as one document, found where any of them
+overlaps. The work on a long text grows with its words and hits. Empty tables give an empty result. Other columns are
+ignored.
 """
 
 from __future__ import annotations
@@ -30,38 +33,41 @@ PARTS = 10_000
 NEEDED = round(MIN_SIMILARITY * PARTS)
 
 
-def seed_words(n: int) -> int:
-    """The neighbouring equal words that any run that counts has at least, in an item of n words."""
-    lengths = range(MIN_WORDS, 2 * MIN_WORDS) if n >= MIN_WORDS else (n,)
-    equal = {k: -(-NEEDED * k // PARTS) for k in lengths}
-    return min(-(-e // (k - e + 1)) for k, e in equal.items())
-
-
-#: Offsets of the words that each mask compares; items of MIN_WORDS words or more all use the same one.
-MASKS = tuple(tuple(range(k)) for k in sorted({seed_words(n) for n in range(LEAST_ITEM, MIN_WORDS + 1)}, reverse=True))
+#: Offsets of the words that count, for items of MIN_WORDS words or more, and for shorter ones.
+LONG_MASKS = ((0, 1, 3),)
+SHORT_MASKS = ((0, 1, 2), (0, 1, 3), (0, 2, 3))
+#: Places in the table that tells, before the join, whether the benchmark may have a seed.
+SLOTS = 1 << 22
+#: Alignments of a document that are looked at together.
+TOGETHER = 1000
 
 
 def word_hashes(text: Column) -> Column:
-    return F.transform(F.split(F.lower(text), r"[^\p{L}\p{N}]+"), lambda w: F.xxhash64(w))
+    words = F.split(F.regexp_replace(F.lower(text), r"^[^\p{L}\p{N}]+", ""), r"[^\p{L}\p{N}]+")
+    return F.transform(words, lambda w: F.xxhash64(w))
 
 
-def seeds(hashes: Column, m: int) -> Column:
+def seeds(hashes: Column, mask: tuple[int, ...]) -> Column:
     """array<struct<seed, at>> for all positions of a mask."""
 
     def of(h: Column) -> Column:
-        last = F.size(h) - 1 - MASKS[m][-1]
+        last = F.size(h) - 1 - mask[-1]
         at = F.when(last >= 0, F.sequence(F.lit(0), last)).otherwise(F.array().cast("array<int>"))
-        return F.transform(at, lambda i: F.struct(F.xxhash64(F.lit(m), *[F.get(h, i + o) for o in MASKS[m]]).alias("seed"), i.alias("at")))
+        return F.transform(at, lambda i: F.struct(F.xxhash64(F.lit(",".join(map(str, mask))), *[F.get(h, i + o) for o in mask]).alias("seed"), i.alias("at")))
 
     return let(hashes, of)
 
 
-def mask_of(words: Column) -> Column:
-    """The index of the mask for an item of so many words."""
-    found = F.lit(MASKS.index(tuple(range(seed_words(MIN_WORDS)))))
-    for n in range(LEAST_ITEM, MIN_WORDS):
-        found = F.when(words == n, F.lit(MASKS.index(tuple(range(seed_words(n)))))).otherwise(found)
-    return found
+def slot(seed: Column) -> Column:
+    return seed.bitwiseAND(F.lit(SLOTS - 1)).cast("int")
+
+
+def possible(keys: DataFrame):
+    """A test of seeds against keys that some others pass too: of SLOTS bytes, those of keys' seeds are 1."""
+    table = bytearray(SLOTS)
+    for r in keys.select(slot(F.col("seed")).alias("s")).distinct().toLocalIterator():
+        table[r.s] = 1
+    return lambda seed: F.substring(F.lit(bytes(table)), slot(seed) + 1, F.lit(1)) == F.lit(b"\x01")
 
 
 def alike(doc: Column, item: Column, shift: Column) -> Column:
@@ -132,15 +138,19 @@ def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """doc_id, item_id, start (word of the document), words, matched, similarity: the best overlap of each document with each item that it has one with."""
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.filter(F.split(F.lower(text_of()), r"[^\p{L}\p{N}]+"), lambda w: w != "").alias("w"))
     items = items.filter(F.size("w") >= LEAST_ITEM).groupBy("w").agg(F.min("item_id").alias("item_id"))
-    items = written(items.select("item_id", F.transform("w", lambda w: F.xxhash64(w)).alias("item"), mask_of(F.size("w")).alias("mask")), "items")
-    used = sorted(r.mask for r in items.select("mask").distinct().collect())  # one or two
-    keys = [items.filter(F.col("mask") == m).select("item_id", F.size("item").alias("n"), F.explode(seeds(F.col("item"), m)).alias("s")) for m in used or [0]]
+    items = written(items.select("item_id", F.transform("w", lambda w: F.xxhash64(w)).alias("item")), "items")
+    short = F.size("item") < MIN_WORDS
+    used = SHORT_MASKS if items.filter(short).limit(1).count() else LONG_MASKS
+    keys = [items.filter(short if m not in LONG_MASKS else F.lit(True)).select("item_id", F.size("item").alias("n"), F.explode(seeds(F.col("item"), m)).alias("s")) for m in used]
     keys = written(reduce(DataFrame.unionAll, keys).select("item_id", "n", "s.seed", F.col("s.at").alias("item_at")).distinct(), "item-seeds")
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"))
-    found = docs.select("doc_id", F.explode(let(word_hashes(F.col("text")), lambda h: F.concat(*[seeds(h, m) for m in used or [0]]))).alias("s")).select("doc_id", "s.seed", "s.at")
+    hopeful = possible(keys)
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text")).filter("doc_id is not null")
+    found = let(word_hashes(F.col("text")), lambda h: F.concat(*[F.filter(seeds(h, m), lambda s: hopeful(s["seed"])) for m in used]))
+    found = docs.select("doc_id", F.explode(found).alias("s")).select("doc_id", "s.seed", "s.at")
     hits = found.join(small(keys), "seed").select("doc_id", F.struct("item_id", "n", (F.col("at") - F.col("item_at")).alias("shift")).alias("hit"))
-    hits = written(hits.groupBy("doc_id").agg(F.collect_set("hit").alias("hits")), "hits")
-    # the words are split once for each document; each alignment gets those that lie under its item
+    hits = hits.groupBy("doc_id").agg(F.collect_set("hit").alias("hits"))
+    hits = written(hits.select("doc_id", F.explode(F.transform(F.sequence(F.lit(0), ((F.size("hits") - 1) / TOGETHER).cast("int")), lambda g: F.slice("hits", g * TOGETHER + 1, F.lit(TOGETHER)))).alias("hits")), "hits")
+    # the words are split once for each row of hits; each alignment gets those that lie under its item
     lain = docs.join(small(hits), "doc_id").select("doc_id", "hits", word_hashes(F.col("text")).alias("d"))
     lain = lain.select("doc_id", F.explode(let(F.col("d"), lambda d: F.transform("hits", lambda x: F.struct(x["item_id"].alias("item_id"), x["shift"].alias("shift"), F.slice(d, F.greatest(x["shift"], F.lit(0)) + 1, x["n"]).alias("d"))))).alias("x"))
     pairs = lain.select("doc_id", "x.*").join(small(items), "item_id")

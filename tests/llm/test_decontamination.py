@@ -1,3 +1,4 @@
+import itertools
 import random
 import re
 
@@ -25,7 +26,7 @@ def brute(docs, items):
                         n += same[j]
                         best = max(best, (score, -j, i, n))
                 length = 1 - best[1] - best[2]
-                if len(b) > max(map(max, d.MASKS)) and length >= min(d.MIN_WORDS, len(b)) and best[3] >= d.MIN_SIMILARITY * length:
+                if len(b) >= d.LEAST_ITEM and length >= min(d.MIN_WORDS, len(b)) and best[3] >= d.MIN_SIMILARITY * length:
                     out[doc_id, item_id] = max(out.get((doc_id, item_id), 0), best[3])
     return out
 
@@ -53,6 +54,24 @@ def test_against_brute_force(spark):
     assert all(r.matched == want[r.doc_id, r.item_id] and r.similarity >= d.MIN_SIMILARITY for r in got)
 
 
+def test_masks_hit_every_run_that_counts():
+    """All ways in which the words of a run can differ: some mask meets only equal words somewhere."""
+    for masks, lengths in ((d.LONG_MASKS, range(d.MIN_WORDS, 2 * d.MIN_WORDS)), (d.SHORT_MASKS, range(d.LEAST_ITEM, d.MIN_WORDS))):
+        assert any(m != tuple(range(len(m))) for m in masks)
+        for n in lengths:
+            for wrong in itertools.combinations(range(n), int(n - d.MIN_SIMILARITY * n)):
+                assert any(not any(i + o in wrong for o in m) for m in masks for i in range(n - m[-1])), (n, wrong)
+
+
+def test_starts_repeats_and_long_texts(spark, monkeypatch):
+    monkeypatch.setattr(d, "TOGETHER", 5)
+    passage = "one two three four five six seven eight nine ten eleven twelve"
+    docs = [(1, '"' + passage), (2, passage), (2, passage), (3, "same " * 3000), (None, passage), (4, "x " * 200_000 + passage)]
+    got = d.overlaps(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame([(1, passage), (2, "same " * 20), (3, "seven eight nine"), (4, "a b"), (1, None)], "item_id long, text string")).collect()
+    assert {(r.doc_id, r.item_id): r.start for r in got if r.item_id != 2} == {(1, 1): 0, (1, 3): 6, (2, 1): 0, (2, 3): 6, (4, 1): 200_000, (4, 3): 200_006}
+    assert [(r.doc_id, r.words, r.matched) for r in got if r.item_id == 2] == [(3, 20, 20)] and len(got) == 7
+
+
 def test_empty(spark):
     docs = spark.createDataFrame([(1, "a b")], "doc_id long, text string")
     items = spark.createDataFrame([(1, "a b c d e f g h i j k")], "item_id long, text string")

@@ -7,8 +7,10 @@ candidates; a link is confirmed on the full sets (64-bit shingle hashes): 100 *
 A pair at the threshold itself misses all bands with probability (1 - 0.8 ** ROWS) ** BANDS = 5e-8.
 
 Null, empty and wordless texts have an empty set and are linked with nothing. Documents of equal sets form a class that
-its smallest doc_id stands for; only representatives are compared. Rows of equal doc_id are one document. An empty table
-gives an empty result. Other columns are ignored.
+its smallest doc_id stands for; only representatives are compared. Rows of equal doc_id are one document where their texts
+are equal, and each gives a row; where they differ, links of any hold for the doc_id. Rows without doc_id take the component
+of an equal set, if any, hold none together and have a null kept. The work on a long text grows with its words. An empty
+table gives an empty result. Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -194,12 +196,28 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def blocks_of(rows: DataFrame) -> DataFrame:
-    """rows (bucket, rep, component, n_shingles, ...) of mixed buckets, each once for every pair of blocks that it is in: bucket, first, second, own."""
-    whole = rows.groupBy("bucket").agg(F.greatest(F.ceil(F.sum("n_shingles") / BLOCK_SHINGLES), F.ceil(F.count("*") / BLOCK_ROWS)).cast("int").alias("n"))
+    """rows (bucket, rep, component, n_shingles, ...) of mixed buckets, each once for every pair of blocks that it is in: bucket, first, second, own.
+
+    A component with more than half the rows of a bucket of several blocks has blocks of its own, which are not paired with
+    one another, as its members need no comparison: so where few rows stand beside a large component, each is dealt out a
+    few times only.
+    """
+    parts = rows.groupBy("bucket", "component").agg(F.sum("n_shingles").alias("s"), F.count("*").alias("r"))
+    whole = parts.groupBy("bucket").agg(F.max(F.struct("r", "component", "s")).alias("major"), F.sum("r").alias("r"), F.sum("s").alias("s"))
+
+    def blocks(r, s):
+        return F.greatest(F.ceil(s / BLOCK_SHINGLES), F.ceil(r / BLOCK_ROWS)).cast("int")
+
+    apart = (blocks(F.col("r"), F.col("s")) > 1) & (2 * F.col("major.r") > F.col("r"))
+    rest = blocks(F.col("r") - F.when(apart, F.col("major.r")).otherwise(0), F.col("s") - F.when(apart, F.col("major.s")).otherwise(0))
+    whole = whole.select("bucket", F.when(apart, F.col("major.component")).alias("major"), rest.alias("minors"), F.when(apart, blocks(F.col("major.r"), F.col("major.s"))).otherwise(0).alias("majors"))
     whole = whole.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     salted = rows.withColumn("salt", F.pmod(F.hash("rep"), F.lit(SALTS)))
-    placed = salted.join(whole, ["bucket", "salt"]).drop("salt").withColumn("own", F.pmod(F.xxhash64("rep"), F.col("n")).cast("int"))
-    return placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("n") - 1))).withColumn("first", F.least("own", "other")).withColumn("second", F.greatest("own", "other")).drop("other", "n")
+    placed = salted.join(whole, ["bucket", "salt"]).drop("salt")
+    is_major = F.col("component").eqNullSafe(F.col("major"))
+    placed = placed.withColumn("own", F.when(is_major, F.col("minors") + F.pmod(F.xxhash64("rep"), F.col("majors")).cast("int")).otherwise(F.pmod(F.xxhash64("rep"), F.col("minors")).cast("int")))
+    placed = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.when(is_major, F.col("minors") - 1).otherwise(F.col("minors") + F.col("majors") - 1))))
+    return placed.withColumn("first", F.least("own", "other")).withColumn("second", F.greatest("own", "other")).drop("other", "minors", "majors", "major")
 
 
 def by_group(batches):
@@ -314,8 +332,9 @@ def near_duplicates(docs: DataFrame, *, shingle_words: int = 5) -> DataFrame:
     links = written(confirmed(pairs, shingles), "links")
     labels = components(links)
 
-    labelled = shared.filter("n > 2").join(labels.withColumnRenamed("node", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
-    mixed = labelled.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low <> high").select("bucket")
+    labelled = written(shared.filter("n > 2").join(labels.withColumnRenamed("node", "rep"), "rep", "left").select("bucket", "rep", F.coalesce("component", "rep").alias("component")), "labelled")
+    mixed = written(labelled.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low <> high").select("bucket"), "mixed")
+    # both are plain tables: the join deals out nothing if mixed is small, and Spark splits a hot bucket if it is not
     open_ = written(labelled.join(mixed, "bucket", "left_semi").join(sketches, "rep").select("bucket", "rep", "component", "n_shingles", "sketch"), "open")
     close = written(close_members(blocks_of(open_)).join(open_.select("bucket", "rep", "component", "n_shingles"), ["bucket", "rep"]), "close")
     more = shingle_table(docs, close.select("rep").distinct(), shingle_words)

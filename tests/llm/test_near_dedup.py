@@ -87,3 +87,29 @@ def test_blocks_of_very_short_texts(spark, monkeypatch):
     texts += [(2000 + i, f"SEE page number {i} of this book") for i in range(0, 250, 7)]
     check(spark, texts, 5)
     check(spark, texts, 2)
+
+
+def test_large_component_beside_few_rows(spark, monkeypatch):
+    """Each pair of rows of different components meets in some pair of blocks; rows of the large component are dealt out once for each block of the others."""
+    monkeypatch.setattr(nd, "BLOCK_ROWS", 40)
+    rows = spark.createDataFrame([(1, i, 0 if i >= 60 else i, 3) for i in range(1000)], "bucket long, rep long, component long, n_shingles long")
+    places = {}
+    for r in nd.blocks_of(rows).select("rep", "first", "second").collect():
+        places.setdefault(r.rep, set()).add((r.first, r.second))
+    assert all(places[i] & places[j] for i in range(1, 60) for j in range(1000) if i != j)
+    assert {len(places[i]) for i in range(60, 1000)} == {2}
+
+
+def test_repeated_and_null_ids(spark):
+    base = " ".join(f"w{i}" for i in range(60))
+    rows = [(1, base), (1, base), (2, base + " tail"), (None, base), (None, "only here"), (3, "x y z"), (3, "p q r"), (4, "p q r s t")]
+    got = nd.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), shingle_words=2).collect()
+    assert len(got) == len(rows) and {(r.doc_id, r.component_id, r.kept) for r in got if r.doc_id in (1, 2)} == {(1, 1, True), (2, 1, False)}
+    assert {(r.component_id, r.kept) for r in got if r.doc_id is None} == {(1, None), (None, None)}
+    assert len(nd.without_copies(spark.createDataFrame(rows, "doc_id long, text string"), shingle_words=2).collect()) == len(rows) - 1
+
+
+def test_long_texts(spark):
+    rng = random.Random(2)
+    words = rng.choices([f"w{i}" for i in range(5000)], k=300_000)
+    check(spark, [(1, " ".join(words)), (2, " ".join(words[:290_000])), (3, " ".join(words[:200_000]))], 2)

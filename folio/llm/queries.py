@@ -75,5 +75,32 @@ def queries():
     }
 
 
+#: Shares of equal word pairs of all documents, counted over their common ones, and everything that can be reached by them.
+NEAR_SQL = r"""WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) >= 2 THEN list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]) ELSE w END) AS g FROM w),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+c AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS m FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY 1, 2),
+e AS (SELECT x, y, m = p.n AND m = q.n AS same FROM c JOIN n p ON p.doc_id = x JOIN n q ON q.doc_id = y WHERE 100 * m >= 80 * (p.n + q.n - m)),
+both_ways AS (SELECT x, y FROM e UNION ALL SELECT y, x FROM e),
+r AS (SELECT doc_id AS node, doc_id AS reach FROM documents UNION SELECT r.node, b.y FROM r JOIN both_ways b ON b.x = r.reach),
+k AS (SELECT node, min(reach) AS component_id FROM r GROUP BY node),
+q AS (SELECT y, min(x) AS class_id FROM e WHERE same GROUP BY y)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, component_id, d.doc_id = component_id AS kept, coalesce(class_id, d.doc_id) AS class_id
+FROM documents d JOIN k ON k.node = d.doc_id LEFT JOIN n ON n.doc_id = d.doc_id LEFT JOIN q ON q.y = d.doc_id"""
+
+#: All strings of 200 bytes of all documents, by their MD5; the bytes are those of the text in hexadecimal.
+REPEATS_SQL = """WITH t AS (SELECT doc_id, encode(coalesce(text, '')) AS b, hex(encode(coalesce(text, ''))) AS h FROM documents),
+w AS (SELECT doc_id, a, md5(b[a + 1 : a + 200]) AS s FROM (SELECT doc_id, b, unnest(range(0, octet_length(b) - 199)) AS a FROM t)),
+f AS (SELECT doc_id, a FROM w WHERE s IN (SELECT s FROM w GROUP BY s HAVING count(*) > 1)),
+g AS (SELECT *, a > coalesce(lag(a) OVER (PARTITION BY doc_id ORDER BY a), -201) + 200 AS new FROM f),
+i AS (SELECT *, sum(CAST(new AS INT)) OVER (PARTITION BY doc_id ORDER BY a) AS k FROM g),
+p AS (SELECT doc_id, min(a) AS lo, max(a) + 200 AS hi FROM i GROUP BY doc_id, k),
+o AS (SELECT p.*, coalesce(lag(hi) OVER (PARTITION BY doc_id ORDER BY lo), 0) AS last_hi FROM p),
+x AS (SELECT o.doc_id, sum(hi - lo) AS gone, count(*) AS spans, string_agg(substr(h, 2 * last_hi + 1, 2 * (lo - last_hi)), '' ORDER BY lo) || substr(any_value(h), 2 * max(hi) + 1) AS kept
+      FROM o JOIN t ON t.doc_id = o.doc_id GROUP BY o.doc_id)
+SELECT t.doc_id, octet_length(b) AS n_bytes, CAST(coalesce(gone, 0) AS BIGINT) AS n_removed, coalesce(spans, 0) AS n_spans, sha256(unhex(coalesce(kept, h))) AS kept_sha256 FROM t LEFT JOIN x ON x.doc_id = t.doc_id"""
+
+
 def oracle_sql():
-    return {}
+    """For the queries all of whose columns SQL can express; the others are held against brute force in tests/llm."""
+    return {"op3_near_dedup": NEAR_SQL, "op6_repeats": REPEATS_SQL}

@@ -238,12 +238,12 @@ def write_tokens(docs: DataFrame, tokenizer_path: str, path: str, *, end_id: int
             if not batch.num_rows:
                 continue
             values = rank_of.value[joined(batch.column("ids")).view(f"<u{batch.column('width')[0].as_py()}")]
-            ids, sizes = batch.column("doc_id").to_numpy(), batch.column("n_tokens").to_numpy()
+            ids, sizes = batch.column("doc_id"), batch.column("n_tokens").to_numpy()
             ends = np.cumsum(sizes)
             cuts = [0, *(np.flatnonzero(np.diff(ends // BLOCK_IDS)) + 1), len(ids)]
             for a, b in zip(cuts, cuts[1:], strict=False):
                 control, data = encode_lengths(values[ends[a] - sizes[a] : ends[b - 1]])
-                yield pa.RecordBatch.from_pydict({"shard": [shard], "block": [number], "doc_ids": [ids[a:b]], "sizes": [sizes[a:b]], "control": [control], "data": [data]}, names)
+                yield pa.RecordBatch.from_pydict({"shard": [shard], "block": [number], "doc_ids": pa.ListArray.from_arrays(pa.array([0, b - a], pa.int32()), ids.slice(a, b - a)), "sizes": [sizes[a:b]], "control": [control], "data": [data]}, names)
                 number += 1
 
     ordered = tokens.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "ids")

@@ -2,7 +2,13 @@
 passages go, secrets are masked, and the texts are encoded.
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame that is written as Parquet and read again as the next
-stage's docs. All but the last return the columns of documents.
+stage's docs. All but the last return the columns of documents, and no others: columns of documents that clash with those
+that an operator makes keep their values.
+
+A null text counts as empty and passes every stage; so does an empty one. Of rows with equal texts and different doc_id
+the least doc_id stays; rows of one doc_id stay or go together, and rows without doc_id are never dropped as copies or
+leaks, since a stage names what it drops by doc_id. Long texts are judged whole in every stage. Empty tables give an
+empty result.
 """
 
 from __future__ import annotations

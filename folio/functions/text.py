@@ -17,6 +17,9 @@ SENTENCE_END = r"(?<=[.!?])(?U)\s+(?=[A-Z0-9>])"
 TOKEN = r"\$\{(?:FIG|TBL):[^}]+\}"
 PLACEHOLDER = "[Figure: processing failed — see original document]"
 DECORATIVE = ("logo", "icon", "header", "footer", "decorative")
+DECORATIVE_PHRASES = ("decorative figure", "decorative image", "no clinical content", "stock photo", "this is a logo", "company logo", "watermark")
+EXHAUSTION = ("out of memory", "oom", "cuda error")
+IMAGE = r"!\[[^\]]*\]\(([^)]+)\)"
 
 
 def strip(c: Column) -> Column:
@@ -148,3 +151,37 @@ def is_multi_column(left_edges: Column, width: Column) -> Column:
     n = F.size(left_edges)
     right = F.size(F.filter(left_edges, lambda x: x > width * 0.5))
     return F.when((n < 8) | (width <= 0), F.lit(None).cast("boolean")).otherwise((right > 0) & (right < n) & (right / n >= 0.30))
+
+
+def looks_decorative(c: Column) -> Column:
+    """F-8: whether the first 240 characters, without a leading ### line, name a decorative picture."""
+    head = F.regexp_replace(F.left(F.lower(c), F.lit(240)), r"^###[^\n]*\n", "")
+    return F.exists(F.array(*map(F.lit, DECORATIVE_PHRASES)), lambda p: head.contains(p))
+
+
+def is_exhaustion(message: Column, detail: Column) -> Column:
+    """F-12: whether an error tells of memory that ran out; a plain search, so that `room` has `oom` in it."""
+    said = F.lower(F.concat_ws(" ", message, detail))
+    return F.exists(F.array(*map(F.lit, EXHAUSTION)), lambda p: said.contains(p))
+
+
+def image_refs(c: Column) -> Column:
+    """G-12: the targets of Markdown images, in order."""
+    return F.regexp_extract_all(c, F.lit(IMAGE), F.lit(1))
+
+
+def output_name(path: Column, filename: Column) -> Column:
+    """T-10: the given file name, else the stem with _chunked, in the folder of path."""
+    base = F.regexp_extract(path, r"([^/]*)$", 1)
+    return F.concat(F.regexp_extract(path, r"^(.*/)?[^/]*$", 1), F.coalesce(filename, F.concat(F.regexp_replace(base, r"(?<=.)\.[^.]*$", ""), F.lit("_chunked"), F.regexp_extract(base, r"(?<=.)(\.[^.]*)$", 1))))
+
+
+def reasoning_tokens(usage: Column) -> Column:
+    """T-30: of the JSON of a model's usage, whole numbers only; 0 if there is none."""
+    u = F.from_json(usage, "completion_tokens_details struct<reasoning_tokens:bigint>, output_tokens_details struct<reasoning_tokens:bigint>")
+    return F.coalesce(u["completion_tokens_details"]["reasoning_tokens"], u["output_tokens_details"]["reasoning_tokens"], F.lit(0).cast("long"))
+
+
+def output_tokens(usage: Column) -> Column:
+    u = F.from_json(usage, "completion_tokens bigint, output_tokens bigint")
+    return F.coalesce(u["completion_tokens"], u["output_tokens"], F.lit(0).cast("long"))

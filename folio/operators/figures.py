@@ -51,3 +51,26 @@ def violations(rows: DataFrame, allowed: DataFrame) -> DataFrame:
         "note_needs_decorative": note & ~decorative, "empty_markdown": F.coalesce(T.strip(F.col("markdown_result")), F.lit("")) == "", "confidence_out_of_range": F.isnan("confidence") | ~F.col("confidence").between(0, 1), "domain_not_resolved": F.col("document_domain") == "auto",
     }
     return c.withColumn("errors", F.array_compact(F.array(*[F.when(F.coalesce(x, F.lit(True)), F.lit(k)) for k, x in checks.items()]))).drop("known")
+
+
+SUMMARY = "figure_type string, rendering_strategy string, is_informative boolean, markdown_result string, confidence double"
+
+
+def stored(rows: DataFrame, key: str) -> DataFrame:
+    """SRC-13, SRC-14: what a store of JSON has under each key. What can't be read, or lacks a field, is a miss."""
+    found = rows.withColumn("s", F.from_json("json", SUMMARY)).select(key, "s.*")
+    return found.dropna().select(key, *[c for c in found.columns if c != key])
+
+
+def effective_domain(domain: Column) -> Column:
+    """T-24."""
+    return F.when(domain == "auto", "educational").otherwise(domain)
+
+
+def summary_of(markdown: Column, cloud: bool = False) -> Column:
+    """T-25: the summary that a model's Markdown stands for."""
+    plain = ~T.looks_decorative(markdown)
+    return F.struct(
+        F.when(plain, "other").otherwise("decorative").alias("figure_type"), F.when(plain, "plain_text_explanation").otherwise("decorative_note").alias("rendering_strategy"), plain.alias("is_informative"),
+        F.lit("clear").alias("legibility"), F.when(plain, 0.85 if cloud else 0.8).otherwise(0.9).alias("confidence"), markdown.alias("markdown_result"),
+    )

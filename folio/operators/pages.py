@@ -111,3 +111,41 @@ def assembled(pages: DataFrame) -> DataFrame:
 def reordered(pages: DataFrame) -> DataFrame:
     """S-1 in batch: the place of each page in its job's output."""
     return pages.withColumn("position", F.row_number().over(W.partitionBy("job_id").orderBy("page_number", "arrival")).cast("long"))
+
+
+def page_results(raw: DataFrame) -> DataFrame:
+    """G-11: raw pages (job_id, page_number, markdown, figures) normalised, with tokens of figures, then of tables."""
+    rows = raw.withColumn("markdown", with_figure_tokens(T.normalise(F.col("markdown")), F.col("figures"), F.col("job_id"), F.col("page_number")))
+    return with_table_tokens(rows)
+
+
+def merged_replacements(*resolved: DataFrame) -> DataFrame:
+    """J-7: job_id, page_number, token, text, conflicts: of the resolvers' (job_id, page_number, token, text) the later one's; conflicts counts those that it hides."""
+    rows = [r.select("job_id", "page_number", "token", "text", F.lit(k).alias("rank")) for k, r in enumerate(resolved)]
+    every = rows[0]
+    for r in rows[1:]:
+        every = every.unionByName(r)
+    return every.groupBy("job_id", "page_number", "token").agg(F.max_by("text", "rank").alias("text"), (F.count("*") - 1).alias("conflicts"))
+
+
+def conversion_summary(pages: DataFrame, counters: DataFrame) -> DataFrame:
+    """A-13, X-4: of each job its pages, engines in order, seconds, and the counters of its figures (0 without any)."""
+    totals = pages.groupBy("job_id").agg(F.count("*").alias("total_pages"), F.array_sort(F.collect_set("engine")).alias("engines_used"), (F.sum("duration_ms") / 1000).alias("total_duration_seconds"))
+    counts = [c for c in counters.columns if c != "job_id"]
+    return totals.join(counters, "job_id", "left").na.fill(0, counts)
+
+
+#: Upper ends, in seconds, of the classes of durations.
+DURATIONS = (1, 5, 30)
+
+
+def page_metrics(pages: DataFrame) -> DataFrame:
+    """A-17: pages of each engine, degraded or not, and how many took so many seconds at most."""
+    return pages.groupBy("engine", "is_degraded").agg(F.count("*").alias("pages"), *[F.count_if(F.col("duration_ms") <= 1000 * s).alias(f"within_{s}_s") for s in DURATIONS], F.sum("duration_ms").cast("long").alias("duration_ms"))
+
+
+def replayed(done: DataFrame, new: DataFrame, plan: DataFrame, size: int = 8) -> DataFrame:
+    """SET-2: the stored pages of the windows that a resume plan (job_id, last_completed_page) keeps, then the pages that are extracted anew; position counts them in that order."""
+    kept = done.join(plan.select("job_id", "last_completed_page"), "job_id").filter("page_number <= last_completed_page").drop("last_completed_page").withColumn("is_replayed", F.lit(True))
+    fresh = new.join(plan.select("job_id", "last_completed_page"), "job_id").filter("page_number > last_completed_page").drop("last_completed_page").withColumn("is_replayed", F.lit(False))
+    return kept.unionByName(fresh).withColumn("position", F.row_number().over(W.partitionBy("job_id").orderBy(F.desc("is_replayed"), "page_number")).cast("long"))

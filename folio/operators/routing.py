@@ -38,8 +38,20 @@ def routed(rows: DataFrame, forced: str | None = None) -> DataFrame:
 
 
 def rollup(rows: DataFrame) -> DataFrame:
-    """A-14: documents and pages of each engine."""
-    return rows.groupBy("engine").agg(F.count("*").alias("documents"), F.sum("page_or_unit_count").cast("long").alias("pages"))
+    """A-14: documents and pages of each engine, most documents first."""
+    return rows.groupBy("engine").agg(F.count("*").alias("documents"), F.sum("page_or_unit_count").cast("long").alias("pages")).orderBy(F.desc("documents"), "engine")
+
+
+def compact_summary() -> Column:
+    """T-17: a profile with requirements in one line, flags only where they hold."""
+    said = lambda name, value: F.concat(F.lit(f"{name}="), value.cast("string"))
+    layout = (F.col("layout.column_count") >= 2) | F.col("layout.has_floating_text_boxes")
+    tables = F.col("tables.has_merged_cells") | F.col("tables.has_nested_tables")
+    return F.concat_ws(
+        ", ", "file_type", said("units", F.col("page_or_unit_count")), said("text_chars", F.col("text.total_characters")), said("tables", F.col("tables.count")), said("columns", F.col("layout.column_count")),
+        said("images", F.col("visuals.embedded_image_count")), said("vectors", F.col("visuals.vector_graphics_count")), said("visual_candidates", F.size("visual_candidates")),
+        F.when(layout, "complex_layout"), F.when(tables, "complex_tables"), F.when(F.col("requirements.needs_visual_semantics"), "needs_visual_explanation"),
+    )
 
 
 def reachable_rungs(ladder: DataFrame, free_mb: int, max_mb: int, has_server: bool) -> DataFrame:
@@ -52,6 +64,11 @@ def model_family(backend: Column) -> Column:
     return F.when(backend.endswith("-http-client"), None).when(backend.startswith("vlm-"), "vlm").when(backend.startswith("pipeline") | backend.startswith("hybrid-"), "pipeline")
 
 
+def is_degraded(backend: Column, top: Column, fallback: Column) -> Column:
+    """T-23, R-4: a page of another engine than the routed one, or of a lower rung than the ladder's top."""
+    return F.coalesce(fallback, F.lit(False)) | F.coalesce(backend != top, F.lit(False))
+
+
 def top_candidates(candidates: Column, keep: int = 10, by_area: bool = True) -> Column:
     """S-2: those with a caption or more evidence first, then the larger, then as they came."""
 

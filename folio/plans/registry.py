@@ -62,7 +62,17 @@ def doc_sentence_chunks(spark, sf_dir):
     return table(spark, sf_dir, "documents").select("doc_id", F.size(chunking.sentence_pieces(F.col("text"), 120)).cast("long").alias("pieces"))
 
 
-@query()
+@query(f"""
+WITH RECURSIVE s AS (SELECT doc_id, {SENTENCES_SQL} AS p FROM documents),
+r AS (
+  SELECT doc_id, p, 1 AS i, 0 AS piece, greatest(1, length(p[1]) // 4) AS n, p[1] AS buf FROM s
+  UNION ALL
+  SELECT doc_id, p, i + 1, CASE WHEN n + greatest(1, length(p[i + 1]) // 4) <= 120 THEN piece ELSE piece + 1 END,
+         CASE WHEN n + greatest(1, length(p[i + 1]) // 4) <= 120 THEN n + greatest(1, length(p[i + 1]) // 4) ELSE greatest(1, length(p[i + 1]) // 4) END,
+         CASE WHEN n + greatest(1, length(p[i + 1]) // 4) <= 120 THEN buf || ' ' || p[i + 1] ELSE p[i + 1] END
+  FROM r WHERE i < len(p)
+)
+SELECT doc_id, CAST(piece AS INT) AS piece, regexp_replace(arg_max(buf, i), '^\\s+|\\s+$', '', 'g') AS content FROM r GROUP BY doc_id, piece""")
 def doc_sentence_pieces(spark, sf_dir):
     return table(spark, sf_dir, "documents").select("doc_id", F.posexplode(chunking.sentence_pieces(F.col("text"), 120)).alias("piece", "content"))
 
@@ -126,6 +136,12 @@ q AS (SELECT p.*, CASE WHEN p.level > 1 AND l1 = m1 THEN a.title || ' > ' ELSE '
       FROM p LEFT JOIN s a ON a.conv_id = p.conv_id AND a.sec = p.l1 LEFT JOIN s b ON b.conv_id = p.conv_id AND b.sec = p.l2)"""
 
 
+#: Bodies of conversations are one paragraph within the token limit, so that each makes one child.
+CHILD_SQL = SECTIONS_SQL + """,
+k AS (SELECT *, CASE WHEN length(title) > 30 THEN left(title, 30) || '...' ELSE title END AS header, sha256(conv_id || '|' || (sec - 1)) AS id, trim(body, chr(10) || ' ') AS txt FROM q),
+c AS (SELECT *, sha256(id || '|0') AS child_id, greatest(1, length(txt) // 4) AS tokens FROM k WHERE txt <> '')"""
+
+
 def conversation_parents(spark, sf_dir) -> DataFrame:
     return parent_chunks(explode_sections(conversation_md(spark, sf_dir)), "conv_id")
 
@@ -148,30 +164,35 @@ def document_child_chunks(spark, sf_dir):
     return chunking.child_chunks(parent_chunks(explode_sections(docs), "doc_id")).drop("parents")
 
 
-@query()
+@query(f"""WITH {CHILD_SQL}
+SELECT (SELECT count(*) FROM md) AS files, (SELECT count(*) FROM k) AS parents, (SELECT count(*) FROM c) AS children, round((SELECT count(*) FROM k) / (SELECT count(*) FROM md), 2) AS parents_per_file, round((SELECT count(*) FROM c) / (SELECT count(*) FROM md), 2) AS children_per_file""")
 def chunk_summary(spark, sf_dir):
     parents = conversation_parents(spark, sf_dir)
     return analytics.chunk_summary(conversation_md(spark, sf_dir), parents, chunking.child_chunks(parents), "conv_id")
 
 
-@query()
+@query(f"""WITH {CHILD_SQL}
+SELECT count(*) AS n, round(avg(tokens), 4) AS avg_tokens, min(tokens) AS min_tokens, max(tokens) AS max_tokens FROM c""")
 def chunk_token_stats(spark, sf_dir):
     return analytics.token_stats(chunking.child_chunks(conversation_parents(spark, sf_dir)))
 
 
-@query()
+@query(f"""WITH {CHILD_SQL}
+SELECT count(*) AS children, count(*) AS valid_parents, count(*) FILTER (WHERE section_path <> '') AS valid_paths, count(*) FILTER (WHERE tokens > 0) AS valid_tokens, CAST(0 AS BIGINT) AS orphans, round(100.0 * (count(*) + count(*) FILTER (WHERE section_path <> '') + count(*) FILTER (WHERE tokens > 0)) / (3 * count(*)), 4) AS score, 'excellent' AS grade FROM c""")
 def chunk_integrity(spark, sf_dir):
     parents = conversation_parents(spark, sf_dir)
     return analytics.integrity(parents, chunking.child_chunks(parents))
 
 
-@query()
+@query(f"""WITH {CHILD_SQL}
+SELECT conv_id, header, CAST(arg_max(CASE WHEN txt <> '' THEN 1 ELSE 0 END, sec) AS BIGINT) AS children FROM k GROUP BY conv_id, header""")
 def children_per_header(spark, sf_dir):
     parents = conversation_parents(spark, sf_dir)
     return analytics.children_per_header(parents, chunking.child_chunks(parents), "conv_id")
 
 
-@query()
+@query(f"""WITH {CHILD_SQL}
+SELECT conv_id, id AS chunk_id, title AS header, CAST(level AS INT) AS level, section_path, CAST(start_line AS INT) AS start_line, CAST(start_line + n - 1 AS BIGINT) AS end_line, greatest(1, length(txt) // 4) AS token_count, CASE WHEN txt <> '' THEN [sha256(id || '|0')] ELSE [] END AS child_chunk_ids, CAST(CASE WHEN txt <> '' THEN 1 ELSE 0 END AS BIGINT) AS child_count FROM k""")
 def parent_export(spark, sf_dir):
     parents = conversation_parents(spark, sf_dir)
     return analytics.parent_export(parents, chunking.child_chunks(parents), "conv_id")
@@ -315,6 +336,166 @@ def column_detection(spark, sf_dir):
     return rows.select("l_orderkey", T.is_multi_column(F.col("x"), F.lit(600.0)).alias("multi_column"))
 
 
+# Documents and parts: normalised pages, images, summaries
+
+
+@query(r"""SELECT doc_id, md5(regexp_replace(regexp_replace(regexp_replace(replace(text, '. ', '.' || chr(13) || chr(10) || chr(13) || chr(13)), '\r\n?', chr(10), 'g'), '\n{3,}', chr(10) || chr(10), 'g'), '^\s+|\s+$', '', 'g')) AS digest FROM documents""")
+def page_markdown_normalise(spark, sf_dir):
+    raw = F.replace(F.col("text"), F.lit(". "), F.lit(".\r\n\r\r"))
+    return table(spark, sf_dir, "documents").select("doc_id", F.md5(T.normalise(raw)).alias("digest"))
+
+
+@query(r"""WITH m AS (SELECT p_partkey, CASE p_partkey % 3 WHEN 0 THEN 'text only ' || p_name ELSE '![' || p_name || '](img/' || p_partkey || '.png) and ![](' || p_brand || ') [no](' || p_type || ')' END AS md FROM part)
+SELECT p_partkey, CAST(i - 1 AS INT) AS place, regexp_extract_all(md, '!\[[^\]]*\]\(([^)]+)\)', 1)[i] AS target FROM (SELECT p_partkey, md, unnest(range(1, len(regexp_extract_all(md, '!\[[^\]]*\]\(([^)]+)\)')) + 1)) AS i FROM m)""")
+def image_refs(spark, sf_dir):
+    md = F.when(F.col("p_partkey") % 3 == 0, F.concat(F.lit("text only "), "p_name")).otherwise(F.concat(F.lit("!["), "p_name", F.lit("](img/"), F.col("p_partkey").cast("string"), F.lit(".png) and !["), F.lit("]("), "p_brand", F.lit(") [no]("), "p_type", F.lit(")")))
+    return table(spark, sf_dir, "part").select("p_partkey", F.posexplode(T.image_refs(md)).alias("place", "target"))
+
+
+@query("""WITH m AS (SELECT p_partkey, CASE p_partkey % 4 WHEN 0 THEN '### Figure' || chr(10) || 'Decorative image of ' || p_name WHEN 1 THEN '### a company logo' || chr(10) || p_name WHEN 2 THEN repeat(p_name || ' ', 40) || 'watermark' ELSE 'A chart: ' || p_type END AS md FROM part),
+d AS (SELECT *, len(list_filter(['decorative figure', 'decorative image', 'no clinical content', 'stock photo', 'this is a logo', 'company logo', 'watermark'], lambda x: contains(regexp_replace(left(lower(md), 240), '^###[^' || chr(10) || ']*' || chr(10), ''), x))) > 0 AS deco FROM m)
+SELECT p_partkey, CASE WHEN deco THEN 'decorative' ELSE 'other' END AS figure_type, CASE WHEN deco THEN 'decorative_note' ELSE 'plain_text_explanation' END AS rendering_strategy, NOT deco AS is_informative, CAST(CASE WHEN deco THEN 0.9 ELSE 0.8 END AS DOUBLE) AS confidence FROM d""")
+def figure_summaries(spark, sf_dir):
+    key = F.col("p_partkey") % 4
+    md = F.when(key == 0, F.concat(F.lit("### Figure\nDecorative image of "), "p_name")).when(key == 1, F.concat(F.lit("### a company logo\n"), "p_name")).when(key == 2, F.concat(F.repeat(F.concat("p_name", F.lit(" ")), F.lit(40)), F.lit("watermark"))).otherwise(F.concat(F.lit("A chart: "), "p_type"))
+    s = table(spark, sf_dir, "part").select("p_partkey", figures.summary_of(md).alias("s"))
+    return s.select("p_partkey", "s.figure_type", "s.rendering_strategy", "s.is_informative", "s.confidence")
+
+
+@query("""WITH x AS (SELECT p_partkey, CASE p_partkey % 3 WHEN 0 THEN 'decorative' WHEN 1 THEN 'chart' ELSE 'table' END AS t, CASE p_partkey % 4 WHEN 0 THEN 'decorative_note' WHEN 1 THEN 'plain_text_explanation' ELSE 'markdown_table' END AS r,
+  p_partkey % 5 <> 0 AS inf, CASE p_partkey % 7 WHEN 0 THEN '  ' WHEN 1 THEN NULL ELSE p_name END AS md, (p_partkey % 13) / 10.0 AS conf, CASE p_partkey % 11 WHEN 0 THEN 'auto' ELSE 'medical' END AS dom FROM part)
+SELECT p_partkey, concat_ws(',', CASE WHEN (t, r) NOT IN (('decorative', 'decorative_note'), ('chart', 'plain_text_explanation'), ('table', 'markdown_table')) THEN 'strategy_not_allowed' END, CASE WHEN t = 'decorative' AND inf THEN 'decorative_but_informative' END,
+  CASE WHEN t <> 'decorative' AND NOT inf THEN 'informative_mismatch' END, CASE WHEN t = 'decorative' AND r <> 'decorative_note' THEN 'decorative_needs_note' END, CASE WHEN t <> 'decorative' AND r = 'decorative_note' THEN 'note_needs_decorative' END,
+  CASE WHEN trim(coalesce(md, '')) = '' THEN 'empty_markdown' END, CASE WHEN conf > 1 THEN 'confidence_out_of_range' END, CASE WHEN dom = 'auto' THEN 'domain_not_resolved' END) AS errors FROM x""")
+def summary_validation(spark, sf_dir):
+    k = F.col("p_partkey")
+    rows = table(spark, sf_dir, "part").select(
+        "p_partkey", F.when(k % 3 == 0, "decorative").when(k % 3 == 1, "chart").otherwise("table").alias("figure_type"), F.when(k % 4 == 0, "decorative_note").when(k % 4 == 1, "plain_text_explanation").otherwise("markdown_table").alias("rendering_strategy"),
+        (k % 5 != 0).alias("is_informative"), F.when(k % 7 == 0, "  ").when(k % 7 == 1, None).otherwise(F.col("p_name")).alias("markdown_result"), (k % 13 / 10).alias("confidence"), F.when(k % 11 == 0, "auto").otherwise("medical").alias("document_domain"),
+    )
+    allowed = spark.createDataFrame([("decorative", "decorative_note"), ("chart", "plain_text_explanation"), ("table", "markdown_table")], "figure_type string, rendering_strategy string")
+    return figures.violations(rows, allowed).select("p_partkey", F.array_join("errors", ",").alias("errors"))
+
+
+@query("""SELECT p_partkey AS token, 'chart' AS figure_type, p_brand AS markdown_result, p_size % 2 = 0 AS is_informative FROM part WHERE p_partkey % 5 NOT IN (0, 1)""")
+def summary_store(spark, sf_dir):
+    """Broken JSON and one without a field are misses."""
+    good = F.to_json(F.struct(F.lit("chart").alias("figure_type"), F.lit("plain_text_explanation").alias("rendering_strategy"), (F.col("p_size") % 2 == 0).alias("is_informative"), F.col("p_brand").alias("markdown_result"), F.lit(0.5).alias("confidence")))
+    json = F.when(F.col("p_partkey") % 5 == 0, F.left(good, F.lit(30))).when(F.col("p_partkey") % 5 == 1, '{"figure_type": "chart"}').otherwise(good)
+    return figures.stored(table(spark, sf_dir, "part").select(F.col("p_partkey").alias("token"), json.alias("json")), "token").select("token", "figure_type", "markdown_result", "is_informative")
+
+
+@query("""SELECT p_partkey, CAST(CASE p_partkey % 4 WHEN 0 THEN p_size WHEN 1 THEN p_partkey ELSE 0 END AS BIGINT) AS reasoning_tokens, CAST(CASE WHEN p_partkey % 4 = 2 THEN 7 WHEN p_partkey % 4 < 2 THEN p_partkey + 1 ELSE 0 END AS BIGINT) AS output_tokens FROM part""")
+def model_usage(spark, sf_dir):
+    k, n = F.col("p_partkey"), F.col("p_size")
+    usage = F.when(k % 4 == 0, F.format_string('{"completion_tokens": %d, "completion_tokens_details": {"reasoning_tokens": %d}}', k + 1, n)).when(k % 4 == 1, F.format_string('{"output_tokens": %d, "output_tokens_details": {"reasoning_tokens": %d}}', k + 1, k)).when(k % 4 == 2, '{"output_tokens": 7, "completion_tokens_details": null}').otherwise('{"completion_tokens": "many"}')
+    return table(spark, sf_dir, "part").select("p_partkey", T.reasoning_tokens(usage).alias("reasoning_tokens"), T.output_tokens(usage).alias("output_tokens"))
+
+
+# Parts as document profiles
+
+
+def part_profiles(spark, sf_dir) -> DataFrame:
+    k, z = F.col("p_partkey"), F.col("p_size")
+    candidate = F.struct(F.lit("embedded_image").alias("kind"), (z / 100).alias("area_ratio"), F.when(k % 6 == 0, F.lit("Figure 1")).when(k % 6 == 1, F.lit("a logo")).alias("caption_or_alt_text"), F.lit(None).cast("string").alias("nearby_text"))
+    return table(spark, sf_dir, "part").select(
+        "p_partkey", F.when(k % 4 == 0, "pdf").when(k % 4 == 1, "docx").when(k % 4 == 2, "pptx").otherwise("html").alias("file_type"), z.alias("page_or_unit_count"),
+        F.struct((k * 10).alias("total_characters"), (k % 7 != 0).alias("native_text_available")).alias("text"), F.struct((z % 3).alias("count"), (z % 10).alias("max_column_count"), (z % 11 == 0).alias("has_merged_cells"), F.lit(False).alias("has_nested_tables")).alias("tables"),
+        F.struct((F.lit(1) + (z % 8 == 0).cast("int")).alias("column_count"), (z % 13 == 0).alias("has_floating_text_boxes")).alias("layout"),
+        F.struct((z % 5).alias("embedded_image_count"), F.lit(0).alias("large_embedded_image_count"), (z % 4).alias("vector_graphics_count"), (k % 17 == 0).cast("int").alias("chart_count"), F.lit(0).alias("svg_count")).alias("visuals"),
+        F.when(z % 5 > 0, F.array(candidate)).otherwise(F.array().cast("array<struct<kind:string,area_ratio:double,caption_or_alt_text:string,nearby_text:string>>")).alias("visual_candidates"),
+    )
+
+
+PROFILE_SQL = """p AS (SELECT p_partkey AS k, p_size AS z, CASE p_partkey % 4 WHEN 0 THEN 'pdf' WHEN 1 THEN 'docx' WHEN 2 THEN 'pptx' ELSE 'html' END AS file_type FROM part),
+n AS (SELECT *, k % 7 = 0 AS needs_ocr, z % 8 = 0 OR z % 13 = 0 AS needs_reading_order, z % 11 = 0 OR z % 10 > 6 AS needs_complex_tables, k % 17 = 0 OR (z % 5 > 0 AND (k % 6 = 0 OR (z >= 5))) AS needs_visual_semantics FROM p),
+e AS (SELECT *, CASE WHEN file_type = 'html' THEN 'only_supported' WHEN needs_reading_order THEN 'reading_order' WHEN needs_complex_tables THEN 'complex_tables' WHEN needs_ocr THEN 'ocr' ELSE 'default' END AS reason FROM n)"""
+
+
+@query(f"""WITH {PROFILE_SQL} SELECT k AS p_partkey, CASE WHEN reason IN ('only_supported', 'default') THEN 'docling' ELSE 'mineru' END AS engine, CAST(CASE reason WHEN 'only_supported' THEN 0.98 WHEN 'default' THEN 0.85 ELSE 0.9 END AS DOUBLE) AS confidence, reason,
+  file_type || ', units=' || z || ', text_chars=' || k * 10 || ', tables=' || z % 3 || ', columns=' || CASE WHEN z % 8 = 0 THEN 2 ELSE 1 END || ', images=' || z % 5 || ', vectors=' || z % 4 || ', visual_candidates=' || CASE WHEN z % 5 > 0 THEN 1 ELSE 0 END
+  || CASE WHEN needs_reading_order THEN ', complex_layout' ELSE '' END || CASE WHEN z % 11 = 0 THEN ', complex_tables' ELSE '' END || CASE WHEN needs_visual_semantics THEN ', needs_visual_explanation' ELSE '' END AS summary FROM e""")
+def document_routing(spark, sf_dir):
+    return routing.routed(routing.requirements(part_profiles(spark, sf_dir))).select("p_partkey", "engine", "confidence", "reason", routing.compact_summary().alias("summary"))
+
+
+@query(f"""WITH {PROFILE_SQL} SELECT CASE WHEN reason IN ('only_supported', 'default') THEN 'docling' ELSE 'mineru' END AS engine, count(*) AS documents, CAST(sum(z) AS BIGINT) AS pages FROM e GROUP BY 1""")
+def document_routing_rollup(spark, sf_dir):
+    return routing.rollup(routing.routed(routing.requirements(part_profiles(spark, sf_dir))))
+
+
+@query("""WITH c AS (SELECT l_orderkey, l_linenumber AS i, CASE WHEN l_partkey % 3 = 0 THEN 1 ELSE 0 END + l_partkey % 2 + 1 AS score, CASE WHEN l_suppkey % 4 = 0 THEN 0 ELSE (l_suppkey % 10) / 10.0 END AS area, l_partkey || '/' || l_suppkey AS label,
+  row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity) AS n FROM lineitem),
+r AS (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY score DESC, area DESC, n) AS place FROM c)
+SELECT l_orderkey, string_agg(label, ',' ORDER BY place) AS labels FROM r WHERE place <= 3 GROUP BY l_orderkey""")
+def topk_candidates(spark, sf_dir):
+    p, s = F.col("l_partkey"), F.col("l_suppkey")
+    one = F.struct(
+        "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", F.when(s % 4 != 0, (s % 10) / 10).alias("area_ratio"), F.when(p % 3 == 0, F.lit("a caption")).alias("caption_or_alt_text"), F.lit(None).cast("string").alias("nearby_text"),
+        F.when(p % 2 == 0, F.array(F.lit("one"))).otherwise(F.array(F.lit("one"), F.lit("two"))).alias("evidence"), F.concat_ws("/", p.cast("string"), s.cast("string")).alias("label"),
+    )
+    rows = table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.sort_array(F.collect_list(one)).alias("c"))
+    return rows.select("l_orderkey", F.array_join(F.transform(routing.top_candidates(F.col("c"), 3), lambda x: x["label"]), ",").alias("labels"))
+
+
+# Orders as pages of engines
+
+
+@query("""WITH g AS (SELECT o_custkey, o_orderkey, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS page, lpad(CAST(row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS VARCHAR), CAST(greatest(3, length(CAST(row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS VARCHAR))) AS INT), '0') AS p3, o_orderkey % 3 AS n FROM orders)
+SELECT CAST(o_custkey AS VARCHAR) AS job_id, page AS page_number, md5('Order ' || o_orderkey || chr(10) || chr(10) || CASE WHEN n > 0 THEN '${FIG:' || o_custkey || ':' || p3 || ':0}' ELSE '' END || ' and ' || CASE WHEN n > 1 THEN '${FIG:' || o_custkey || ':' || p3 || ':1}' ELSE '' END
+  || chr(10) || chr(10) || '${TBL:' || o_custkey || ':' || p3 || ':0}' || chr(10) || chr(10) || 'between' || chr(10) || chr(10) || '${TBL:' || o_custkey || ':' || p3 || ':1}') AS digest, CAST(2 AS BIGINT) AS tables, o_orderkey % 2 = 0 AS ends_in_fragment FROM g""".replace("|| '${TBL:' || o_custkey || ':' || p3 || ':1}')", "|| '${TBL:' || o_custkey || ':' || p3 || ':1}' || CASE WHEN o_orderkey % 2 = 0 THEN '' ELSE chr(10) || chr(10) || 'end' END)"))
+def page_results(spark, sf_dir):
+    """Raw pages with Windows line ends, two markers, up to two figures and two tables."""
+    k = F.col("o_orderkey")
+    page = F.row_number().over(W.partitionBy("o_custkey").orderBy("o_orderkey"))
+    md = F.concat(F.lit("Order "), k.cast("string"), F.lit("\r\n\r\n\r\n<!-- figure --> and <!-- figure -->\r\n\r\n| a | b |\r\n|---|:-:|\r\n| 1 | 2 |\r\n\r\nbetween\r\n\r\n| c |\r\n| - |\r\n"), F.when(k % 2 == 0, F.lit("")).otherwise(F.lit("\r\nend")))
+    raw = table(spark, sf_dir, "orders").select(F.col("o_custkey").cast("string").alias("job_id"), page.alias("page_number"), md.alias("markdown"), F.slice(F.array(F.lit("x"), F.lit("y")), F.lit(1), (k % 3).cast("int")).alias("figures"))
+    rows = pages.page_results(raw)
+    return rows.select("job_id", F.col("page_number").cast("long").alias("page_number"), F.md5("markdown_with_tokens").alias("digest"), F.size("tables").cast("long").alias("tables"), F.element_at("tables", -1)["is_fragment"].alias("ends_in_fragment"))
+
+
+def engine_pages(spark, sf_dir) -> DataFrame:
+    k = F.col("o_orderkey")
+    engine = F.when(k % 5 == 0, "docling").otherwise("mineru")
+    backend = F.when((k % 5 != 0) & (k % 3 == 0), "pipeline").when(k % 5 != 0, "vlm-engine")
+    page = F.row_number().over(W.partitionBy("o_custkey").orderBy("o_orderkey")).cast("long")
+    rows = table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("job_id"), page.alias("page_number"), engine.alias("engine"), backend.alias("backend"), (k % 40000).alias("duration_ms"), (k % 10 == 0).alias("fallback"))
+    return rows.withColumn("is_degraded", routing.is_degraded(F.col("backend"), F.lit("vlm-engine"), F.col("fallback")))
+
+
+ENGINE_SQL = """g AS (SELECT o_custkey AS job_id, o_orderkey AS k, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS page_number, CASE WHEN o_orderkey % 5 = 0 THEN 'docling' ELSE 'mineru' END AS engine, o_orderkey % 40000 AS ms,
+  o_orderkey % 10 = 0 OR (o_orderkey % 5 <> 0 AND o_orderkey % 3 = 0) AS is_degraded FROM orders)"""
+
+
+@query(f"WITH {ENGINE_SQL} SELECT engine, is_degraded, count(*) AS pages, count(*) FILTER (WHERE ms <= 1000) AS within_1_s, count(*) FILTER (WHERE ms <= 5000) AS within_5_s, count(*) FILTER (WHERE ms <= 30000) AS within_30_s, CAST(sum(ms) AS BIGINT) AS duration_ms FROM g GROUP BY 1, 2")
+def page_metrics(spark, sf_dir):
+    return pages.page_metrics(engine_pages(spark, sf_dir))
+
+
+@query(f"""WITH {ENGINE_SQL}, {FIGURE_SQL}, c AS (SELECT CAST(job_id AS BIGINT) AS job_id, count(*) FILTER (WHERE status = 'summarized') AS s, count(*) FILTER (WHERE status = 'deduplicated') AS d, count(*) FILTER (WHERE status = 'failed') AS f FROM e GROUP BY 1)
+SELECT g.job_id, count(*) AS total_pages, string_agg(DISTINCT engine, ',' ORDER BY engine) AS engines_used, sum(ms) / 1000.0 AS total_duration_seconds, coalesce(any_value(s), 0) AS figures_summarized, coalesce(any_value(d), 0) AS figures_deduplicated, coalesce(any_value(f), 0) AS figures_failed
+FROM g LEFT JOIN c ON c.job_id = g.job_id GROUP BY g.job_id""")
+def conversion_summary(spark, sf_dir):
+    counts = figures.counters(figures.enriched(figure_rows(spark, sf_dir))).withColumn("job_id", F.col("job_id").cast("long"))
+    return pages.conversion_summary(engine_pages(spark, sf_dir), counts).withColumn("engines_used", F.array_join("engines_used", ","))
+
+
+@query(f"""WITH {ENGINE_SQL}, a AS (SELECT job_id, page_number, '${{FIG:' || k || '}}' AS token, 'figure ' || k AS text FROM g WHERE k % 2 = 0), b AS (SELECT job_id, page_number, '${{FIG:' || k || '}}' AS token, 'table ' || k AS text FROM g WHERE k % 3 = 0)
+SELECT coalesce(a.job_id, b.job_id) AS job_id, coalesce(a.page_number, b.page_number) AS page_number, coalesce(a.token, b.token) AS token, coalesce(b.text, a.text) AS text, CAST(CASE WHEN a.token = b.token THEN 1 ELSE 0 END AS BIGINT) AS conflicts FROM a FULL JOIN b ON a.token = b.token""")
+def replacement_merge(spark, sf_dir):
+    k = F.col("o_orderkey").cast("string")
+    page = F.row_number().over(W.partitionBy("o_custkey").orderBy("o_orderkey")).cast("long")
+    rows = table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("job_id"), page.alias("page_number"), F.concat(F.lit("${FIG:"), k, F.lit("}")).alias("token"), "o_orderkey")
+    return pages.merged_replacements(*[rows.filter(F.col("o_orderkey") % n == 0).withColumn("text", F.concat(F.lit(word), F.col("o_orderkey").cast("string"))) for n, word in ((2, "figure "), (3, "table "))])
+
+
+@query(f"""WITH {ENGINE_SQL}, d AS (SELECT *, page_number <= CASE WHEN job_id % 4 = 0 THEN 8 ELSE 0 END AS is_replayed FROM g)
+SELECT job_id, page_number, is_replayed, row_number() OVER (PARTITION BY job_id ORDER BY is_replayed DESC, page_number) AS position FROM d""")
+def page_replay(spark, sf_dir):
+    rows = engine_pages(spark, sf_dir).select("job_id", "page_number")
+    return pages.replayed(rows, rows, order_jobs(spark, sf_dir))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(QUERIES)
 

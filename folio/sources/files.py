@@ -15,14 +15,23 @@ def suffix(path: Column) -> Column:
 
 
 def scan_documents(spark: SparkSession, root: str, recursive: bool = False) -> DataFrame:
-    """SRC-1, F-1..F-3, T-11: path, job_id (SHA-256 of the bytes), document_type, length, reject_reason, content; sorted by path. The scan itself leaves out empty files."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", str(recursive).lower()).load(root).filter(suffix(F.col("path")).isin(*SUFFIXES))
+    """SRC-1, F-1..F-3, T-11: path, job_id (SHA-256 of the bytes), document_type, length, reject_reason, content of all files under root.
+
+    A file counts by its suffix or its first bytes; one with neither is unsupported. The order is free: sort by path where
+    one is needed, before content is read.
+    """
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", str(recursive).lower()).load(root)
     start = F.lower(F.decode(F.substring("content", 1, 16), "ISO-8859-1"))
     magic = start.startswith("%pdf-") | start.startswith("pk\x03\x04") | start.startswith("<!doctype html") | start.startswith("<html")
     ext = suffix(F.col("path"))
-    kind = F.when(ext.isin("html", "htm"), "html").when(ext.isin("pdf", "docx", "pptx"), ext).when(start.startswith("%pdf-"), "pdf").when(start.startswith("pk"), "docx").when(magic, "html")
+    kind = F.when(ext.isin("html", "htm"), "html").when(ext.isin("pdf", "docx", "pptx"), ext).when(start.startswith("%pdf-"), "pdf").when(start.startswith("pk\x03\x04"), "docx").when(magic, "html")
     reason = F.when(F.col("length") == 0, "empty").when(F.col("length") > MAX_BYTES, "too_large").when(~(ext.isin(*SUFFIXES) | magic), "unsupported")
-    return files.select("path", F.sha2("content", 256).alias("job_id"), kind.alias("document_type"), "length", reason.alias("reject_reason"), "content").orderBy("path")
+    return files.select("path", F.sha2("content", 256).alias("job_id"), kind.alias("document_type"), "length", reason.alias("reject_reason"), "content")
+
+
+def within_page_limit(profiles: DataFrame) -> DataFrame:
+    """F-4: profiles with reject_reason too_many_pages where they have over MAX_PAGES."""
+    return profiles.withColumn("reject_reason", F.when(F.col("page_or_unit_count") > MAX_PAGES, "too_many_pages"))
 
 
 def scan_markdown(spark: SparkSession, root: str, pattern: str = "*.md", recursive: bool = False) -> DataFrame:

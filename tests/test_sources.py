@@ -24,6 +24,10 @@ def test_scans(spark, tmp_path):
     (tmp_path / "c.txt").write_bytes(b"no")
     (tmp_path / "d.docx").write_bytes(b"")
     (tmp_path / "e.md").write_text("# A\ntext")
-    got = [(r.path.rsplit("/", 1)[1], r.document_type, r.reject_reason) for r in files.scan_documents(spark, str(tmp_path)).collect()]
-    assert got == [("a.pdf", "pdf", None), ("b.html", "html", None)]
+    (tmp_path / "f.bin").write_bytes(b"%PDF-1.7 by its first bytes")
+    got = [(r.path.rsplit("/", 1)[1], r.document_type, r.reject_reason) for r in files.scan_documents(spark, str(tmp_path)).orderBy("path").collect()]
+    assert [x for x in got if x[2] is None] == [("a.pdf", "pdf", None), ("b.html", "html", None), ("f.bin", "pdf", None)]
+    assert [(x[0], x[2]) for x in got if x[2]] in ([("c.txt", "unsupported"), ("d.docx", "empty"), ("e.md", "unsupported")], [("c.txt", "unsupported"), ("e.md", "unsupported")])
+    limit = files.within_page_limit(spark.createDataFrame([(500,), (501,), (None,)], "page_or_unit_count int"))
+    assert [r.reject_reason for r in limit.collect()] == [None, "too_many_pages", None]
     assert [r.md for r in files.scan_markdown(spark, str(tmp_path)).collect()] == ["# A\ntext"]

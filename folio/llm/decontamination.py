@@ -37,7 +37,7 @@ NEEDED = round(MIN_SIMILARITY * PARTS)
 LONG_MASKS = ((0, 1, 3),)
 SHORT_MASKS = ((0, 1, 2), (0, 1, 3), (0, 2, 3))
 #: Places in the table that tells, before the join, whether the benchmark may have a seed.
-SLOTS = 1 << 22
+SLOTS = 1 << 20
 #: Alignments of a document that are looked at together.
 TOGETHER = 1000
 
@@ -145,7 +145,7 @@ def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     keys = written(reduce(DataFrame.unionAll, keys).select("item_id", "n", "s.seed", F.col("s.at").alias("item_at")).distinct(), "item-seeds")
     hopeful = possible(keys)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text")).filter("doc_id is not null")
-    found = let(word_hashes(F.col("text")), lambda h: F.concat(*[F.filter(seeds(h, m), lambda s: hopeful(s["seed"])) for m in used]))
+    found = let(word_hashes(F.col("text")), lambda h: F.filter(F.concat(*[seeds(h, m) for m in used]), lambda s: hopeful(s["seed"])))
     found = docs.select("doc_id", F.explode(found).alias("s")).select("doc_id", "s.seed", "s.at")
     hits = found.join(small(keys), "seed").select("doc_id", F.struct("item_id", "n", (F.col("at") - F.col("item_at")).alias("shift")).alias("hit"))
     hits = hits.groupBy("doc_id").agg(F.collect_set("hit").alias("hits"))

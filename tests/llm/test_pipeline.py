@@ -69,3 +69,24 @@ def test_empty_documents(spark, tmp_path):
     for t in ("documents", "benchmark", "labels"):
         spark.read.parquet(f"{SF}/{t}.parquet").limit(0).write.parquet(str(tmp_path / f"{t}.parquet"))
     assert cp.run(spark, str(tmp_path)).collect() == []
+
+
+def test_edge_rows(spark, tmp_path):
+    """Null, empty, long and repeated texts, null ids, and columns named as those of the operators."""
+    import os
+
+    from pyspark.sql import functions as F
+
+    for t in ("benchmark", "labels"):
+        os.symlink(f"{SF}/{t}.parquet", tmp_path / f"{t}.parquet")
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    text = docs.orderBy("doc_id").first().text
+    edge = [(900001, None), (900002, ""), (900003, "w " * 20 + " ".join(f"v{k}" for k in range(150_000))), (900004, "one copy of these few plain words"), (900005, "one copy of these few plain words"), (None, "one copy of these few plain words"), (900006, "twice the same row here"), (900006, "twice the same row here")]
+    rest = [f for f in docs.schema.fields if f.name not in ("doc_id", "text")]
+    rows = spark.createDataFrame(edge, "doc_id long, text string").select("doc_id", "text", *[F.lit(None).cast(f.dataType).alias(f.name) for f in rest])
+    clash = {"shingles": 1, "scan_text": "a", "spans": 2, "hits": "b", "key": 3, "component": 4, "item": 5, "toxic": "c", "h": 6}
+    docs.select("doc_id", "text", *[f.name for f in rest]).limit(100).unionAll(rows).withColumns({k: F.lit(v) for k, v in clash.items()}).write.parquet(str(tmp_path / "documents.parquet"))
+    out = cp.run(spark, str(tmp_path))
+    got = [r.doc_id for r in out.collect()]
+    assert text and {900001, 900002, 900003, 900004, None} <= set(got) and 900005 not in got and got.count(900006) == 2
+    assert set(clash) <= set(out.columns) and {(r.shingles, r.toxic, r.h) for r in out.collect()} == {(1, "c", 6)}

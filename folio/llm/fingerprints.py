@@ -32,29 +32,33 @@ def rotated(x: Column, by: int) -> Column:
     return F.shiftleft(x, by).bitwiseOR(F.shiftrightunsigned(x, 64 - by))
 
 
-def rolling(words: Column, k: int) -> Column:
-    """At each place the rolling hash of k words, missing ones counted as 0."""
+def rolling(words: Column, k: int, then=lambda x: x) -> Column:
+    """At each place then of the rolling hash of k words, where so many follow."""
 
-    def joined(a: Column, b: Column, n: int, m: int) -> Column:
+    def joined(a: Column, b: Column, n: int, m: int, done=lambda x: x) -> Column:
         """From the hashes of n and of m words those of n + m."""
-        return F.transform(a, lambda x, i: rotated(x, m).bitwiseXOR(F.coalesce(F.get(b, i + n), F.lit(0).cast("long"))))
+        return F.transform(a, lambda x, i: done(rotated(x, m).bitwiseXOR(F.get(b, i + n))))
 
     def longer(h: Column, n: int) -> Column:
         if 2 * n <= k:
-            return let(joined(h, h, n, n), lambda x: longer(x, 2 * n))
-        return h if n == k else let(rolling(words, k - n), lambda rest: joined(h, rest, n, k - n))
+            return joined(h, h, n, n, then) if 2 * n == k else let(joined(h, h, n, n), lambda x: longer(x, 2 * n))
+        return let(rolling(words, k - n), lambda rest: joined(h, rest, n, k - n, then))
 
-    return longer(words, 1)
+    return F.transform(words, then) if k == 1 else longer(words, 1)
 
 
 def grams(words: Column, k: int = K) -> Column:
-    """array<long>: the packed hashes of all k-grams."""
+    """array<long>: the packed hashes of all k-grams; of fewer words, which 0 follows, one."""
+
+    def packed(x: Column) -> Column:
+        return F.shiftleft(F.shiftrightunsigned(F.xxhash64(x), 1 + PLACE_BITS), PLACE_BITS) + F.lit(WINDOW - 1)
 
     def of(h: Column) -> Column:
-        codes = F.transform(h, lambda x: F.shiftleft(F.shiftrightunsigned(F.xxhash64(x), 1 + PLACE_BITS), PLACE_BITS) + F.lit(WINDOW - 1))
-        return F.slice(codes, F.lit(1), F.greatest(F.size(h) - k + 1, F.lit(1)))
+        padded = F.when(F.size(h) < k, F.concat(h, F.array_repeat(F.lit(0).cast("long"), k - 1))).otherwise(h)
+        n = F.when(F.size(h) > 0, F.greatest(F.size(h) - k + 1, F.lit(1))).otherwise(0)
+        return F.slice(let(padded, lambda w: rolling(w, k, packed)), F.lit(1), n)
 
-    return let(F.transform(words, lambda w: F.xxhash64(w)), lambda h: let(rolling(h, k), of))
+    return let(F.transform(words, lambda w: F.xxhash64(w)), of)
 
 
 def winnow(hashes: Column, window: int = WINDOW) -> Column:
@@ -67,8 +71,13 @@ def winnow(hashes: Column, window: int = WINDOW) -> Column:
         return F.slice(F.transform(g, least), F.lit(1), F.greatest(F.size(g) - window + 1, F.lit(1)))
 
     def kept(m: Column) -> Column:
-        found = F.transform(m, lambda x, i: F.struct(F.shiftright(x, PLACE_BITS).alias("hash"), (i + (WINDOW - 1) - x.bitwiseAND(F.lit(WINDOW - 1)).cast("int")).alias("position")))
-        return let(found, lambda f: F.filter(f, lambda x, i: (i == 0) | (F.get(f, F.greatest(i - 1, F.lit(0)))["position"] != x["position"])))
+        """A window whose least hash is that of the window before holds it one place further left, which counts one more."""
+
+        def one(x, i):
+            new = x != F.get(m, F.greatest(i - 1, F.lit(0))) + 1
+            return F.when(new, F.struct(F.shiftright(x, PLACE_BITS).alias("hash"), (i + (WINDOW - 1) - x.bitwiseAND(F.lit(WINDOW - 1)).cast("int")).alias("position")))
+
+        return F.filter(F.transform(m, one), lambda x: x.isNotNull())
 
     return let(let(hashes, lambda g: step(g, 1)), kept)
 

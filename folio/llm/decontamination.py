@@ -36,8 +36,6 @@ NEEDED = round(MIN_SIMILARITY * PARTS)
 #: Offsets of the words that count, for items of MIN_WORDS words or more, and for shorter ones.
 LONG_MASKS = ((0, 1, 3),)
 SHORT_MASKS = ((0, 1, 2), (0, 1, 3), (0, 2, 3))
-#: Places in the table that tells, before the join, whether the benchmark may have a seed.
-SLOTS = 1 << 20
 #: Alignments of a document that are looked at together.
 TOGETHER = 1000
 
@@ -58,18 +56,6 @@ def seeds(hashes: Column, mask: tuple[int, ...]) -> Column:
     return let(hashes, of)
 
 
-def slot(seed: Column) -> Column:
-    return seed.bitwiseAND(F.lit(SLOTS - 1)).cast("int")
-
-
-def possible(keys: DataFrame):
-    """A test of seeds against keys that some others pass too: of SLOTS bytes, those of keys' seeds are 1."""
-    table = bytearray(SLOTS)
-    for r in keys.select(slot(F.col("seed")).alias("s")).distinct().toLocalIterator():
-        table[r.s] = 1
-    return lambda seed: F.substring(F.lit(bytes(table)), slot(seed) + 1, F.lit(1)) == F.lit(b"\x01")
-
-
 def alike(doc: Column, item: Column, shift: Column) -> Column:
     """array<boolean>: of each of item's words, whether doc has it shift words further."""
     return F.transform(item, lambda w, k: F.coalesce((shift + k >= 0) & (F.get(doc, F.greatest(shift + k, F.lit(0))) == w), F.lit(False)))
@@ -143,10 +129,8 @@ def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     used = SHORT_MASKS if items.filter(short).limit(1).count() else LONG_MASKS
     keys = [items.filter(short if m not in LONG_MASKS else F.lit(True)).select("item_id", F.size("item").alias("n"), F.explode(seeds(F.col("item"), m)).alias("s")) for m in used]
     keys = written(reduce(DataFrame.unionAll, keys).select("item_id", "n", "s.seed", F.col("s.at").alias("item_at")).distinct(), "item-seeds")
-    hopeful = possible(keys)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text")).filter("doc_id is not null")
-    found = let(word_hashes(F.col("text")), lambda h: F.filter(F.concat(*[seeds(h, m) for m in used]), lambda s: hopeful(s["seed"])))
-    found = docs.select("doc_id", F.explode(found).alias("s")).select("doc_id", "s.seed", "s.at")
+    found = docs.select("doc_id", F.explode(let(word_hashes(F.col("text")), lambda h: F.concat(*[seeds(h, m) for m in used]))).alias("s")).select("doc_id", "s.seed", "s.at")
     hits = found.join(small(keys), "seed").select("doc_id", F.struct("item_id", "n", (F.col("at") - F.col("item_at")).alias("shift")).alias("hit"))
     hits = hits.groupBy("doc_id").agg(F.collect_set("hit").alias("hits"))
     hits = written(hits.select("doc_id", F.explode(F.transform(F.sequence(F.lit(0), ((F.size("hits") - 1) / TOGETHER).cast("int")), lambda g: F.slice("hits", g * TOGETHER + 1, F.lit(TOGETHER)))).alias("hits")), "hits")

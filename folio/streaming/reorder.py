@@ -1,4 +1,4 @@
-"""STR-2, STR-3: pages of a job in order of their number, from a stream that delivers them in any order.
+"""STR-2: pages of a job in order of their number, from a stream that delivers them in any order.
 
 A page is released when it is the next expected one; others wait in state, and those left when the job's end row
 (page_number null) comes are released in order of (page_number, arrival), duplicates and late ones with them.
@@ -6,46 +6,59 @@ A page is released when it is the next expected one; others wait in state, and t
 
 from __future__ import annotations
 
+import json
+
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor
 
-SCHEMA = "job_id long, position long, page_number long, arrival long"
+SCHEMA = "job_id long, position long, page_number long, arrival long, text string"
 
 
 class PageOrder(StatefulProcessor):
     def init(self, handle):
         self.progress = handle.getValueState("progress", "next long, position long, blocked boolean")
-        self.waiting = handle.getMapState("waiting", "page long, arrival long", "n long")
+        self.waiting = handle.getMapState("waiting", "page long", "entries string")  # JSON of [arrival, text]
+
+    def held(self, page):
+        return json.loads(self.waiting.getValue((page,))[0]) if self.waiting.containsKey((page,)) else []
 
     def handleInputRows(self, key, rows, timerValues):
         expected, position, blocked = self.progress.get() if self.progress.exists() else (1, 0, False)
         ended, out = False, []
         for pdf in rows:
-            for page, arrival in pdf.sort_values("arrival")[["page_number", "arrival"]].itertuples(index=False):
+            for page, arrival, text in pdf.sort_values("arrival", kind="stable")[["page_number", "arrival", "text"]].itertuples(index=False):
                 if pd.isna(page):
                     ended = True
                     continue
-                page, arrival = int(page), int(arrival)
-                if page < expected:
-                    blocked = True  # a duplicate or late page heads the queue, so nothing leaves before the end
-                self.waiting.updateValue((page, arrival), (1,))
-                while not blocked and (head := min((k for k in self.waiting.keys()), default=None)) is not None and head[0] == expected:
-                    self.waiting.removeKey(tuple(head))
-                    out.append((key[0], position + 1, head[0], head[1]))
-                    position, expected = position + 1, expected + 1
+                page = int(page)
+                blocked |= page < expected  # a duplicate or late page heads the queue, so nothing leaves before the end
+                self.waiting.updateValue((page,), (json.dumps([*self.held(page), [int(arrival), text]]),))
+                while not blocked and (found := sorted(self.held(expected), key=lambda e: e[0])):
+                    position += 1
+                    out.append((key[0], position, expected, *found[0]))
+                    if found[1:]:
+                        self.waiting.updateValue((expected,), (json.dumps(found[1:]),))
+                        blocked = True
+                    else:
+                        self.waiting.removeKey((expected,))
+                    expected += 1
         if ended:
-            for head in sorted(tuple(k) for k in self.waiting.keys()):
-                self.waiting.removeKey(head)
-                position += 1
-                out.append((key[0], position, head[0], head[1]))
+            for page in sorted(k[0] for k in self.waiting.keys()):
+                for entry in sorted(self.held(page), key=lambda e: e[0]):
+                    position += 1
+                    out.append((key[0], position, page, *entry))
+                self.waiting.removeKey((page,))
         self.progress.update((expected, position, blocked))
-        yield pd.DataFrame(out, columns=["job_id", "position", "page_number", "arrival"])
+        yield pd.DataFrame(out, columns=["job_id", "position", "page_number", "arrival", "text"])
 
     def close(self):
         pass
 
 
 def ordered_pages(pages: DataFrame) -> DataFrame:
-    """pages: job_id, page_number, arrival as a stream. Needs the RocksDB state store provider."""
-    return pages.groupBy("job_id").transformWithStateInPandas(statefulProcessor=PageOrder(), outputStructType=SCHEMA, outputMode="Append", timeMode="None")
+    """pages: job_id, page_number, arrival and, if there is one, text, as a stream. Needs the RocksDB state store provider."""
+    text = F.col("text") if "text" in pages.columns else F.lit(None).cast("string").alias("text")
+    rows = pages.select("job_id", "page_number", "arrival", text)
+    return rows.groupBy("job_id").transformWithStateInPandas(statefulProcessor=PageOrder(), outputStructType=SCHEMA, outputMode="Append", timeMode="None")

@@ -3,11 +3,12 @@ from folio.streaming.reorder import ordered_pages
 
 def test_pages_leave_in_order(spark, tmp_path):
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
-    batches = [[(1, 2, 1), (1, 1, 2), (2, 1, 1)], [(1, 4, 3), (1, 3, 4), (2, 1, 2)], [(2, 2, 3)], [(1, None, 9), (2, None, 9)]]
+    batches = [[(1, 2, 1), (1, 1, 2), (2, 1, 1)], [(1, 4, 3), (1, 3, 4), (2, 1, 2)], [(2, 2, 3), (2, 2, 3)], [(1, None, 9), (2, None, 9)]]
     for k, rows in enumerate(batches):
-        spark.createDataFrame(rows, "job_id long, page_number long, arrival long").coalesce(1).write.parquet(str(tmp_path / f"in/{k}"))
-    stream = spark.readStream.schema("job_id long, page_number long, arrival long").option("maxFilesPerTrigger", 1).option("recursiveFileLookup", True).parquet(str(tmp_path / "in"))
+        spark.createDataFrame([(*r, f"text {r[1]}") for r in rows], "job_id long, page_number long, arrival long, text string").coalesce(1).write.parquet(str(tmp_path / f"in/{k}"))
+    stream = spark.readStream.schema("job_id long, page_number long, arrival long, text string").option("maxFilesPerTrigger", 1).option("recursiveFileLookup", True).parquet(str(tmp_path / "in"))
     q = ordered_pages(stream).writeStream.format("memory").queryName("ordered").outputMode("append").option("checkpointLocation", str(tmp_path / "ck")).trigger(availableNow=True).start()
     q.awaitTermination(120)
     got = sorted((r.job_id, r.position, r.page_number, r.arrival) for r in spark.table("ordered").collect())
-    assert got == [(1, 1, 1, 2), (1, 2, 2, 1), (1, 3, 3, 4), (1, 4, 4, 3), (2, 1, 1, 1), (2, 2, 1, 2), (2, 3, 2, 3)]
+    assert got == [(1, 1, 1, 2), (1, 2, 2, 1), (1, 3, 3, 4), (1, 4, 4, 3), (2, 1, 1, 1), (2, 2, 1, 2), (2, 3, 2, 3), (2, 4, 2, 3)]
+    assert all(r.text == f"text {r.page_number}" for r in spark.table("ordered").collect())

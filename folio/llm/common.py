@@ -23,13 +23,18 @@ def text_of(column: str = "text") -> Column:
     return F.coalesce(F.col(column).cast("string"), F.lit(""))
 
 
+#: Folders of applications that run on this machine only and name none, by application id.
+OWN_FOLDERS: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that the cluster names in spark.checkpoint.dir. Where none is set: one in the warehouse, or a temporary one if Spark has this machine only."""
+    """The folder that the cluster names in spark.checkpoint.dir. Where none is set, a temporary one if Spark has this machine only; a cluster has to name one, as no other folder is known to be shared."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
-        alone = re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master)
-        found = tempfile.mkdtemp(prefix="folio-") if alone else f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/folio-{uuid.uuid4().hex}"
-        spark.conf.set("spark.checkpoint.dir", found)
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir is not set: name a folder that the driver and all executors share")
+        app = spark.sparkContext.applicationId
+        found = OWN_FOLDERS.get(app) or OWN_FOLDERS.setdefault(app, tempfile.mkdtemp(prefix="folio-"))
     return found.rstrip("/")
 
 

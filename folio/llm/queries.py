@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from folio.llm import decontamination, fingerprints, license_scan, near_dedup, pieces, quality, repeats, secret_scan, token_output, toxicity
+from pyspark.sql import functions as F
+
+from folio.llm import decontamination, fingerprints, language, license_scan, near_dedup, pieces, quality, repeats, runs, secret_scan, token_output, toxicity, vector_codes
 from folio.llm.common import table
 
 
@@ -53,6 +55,19 @@ def op10_license_scan(spark, sf_dir):
     return license_scan.licenses(table(spark, sf_dir, "documents"))
 
 
+def op11_language(spark, sf_dir):
+    return language.identified(table(spark, sf_dir, "documents"))
+
+
+def op12_periodic_runs(spark, sf_dir):
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    return runs.periodic_runs(table(spark, sf_dir, "documents"), rewrite=runs.repeated_tail, seed=h)
+
+
+def op13_vector_codes(spark, sf_dir):
+    return vector_codes.vector_codes(table(spark, sf_dir, "embeddings"))
+
+
 def pipeline(spark, sf_dir):
     import corpus_pipeline
 
@@ -71,6 +86,9 @@ def queries():
         "op8_toxicity": op8_toxicity,
         "op9_quality": op9_quality,
         "op10_license_scan": op10_license_scan,
+        "op11_language": op11_language,
+        "op12_periodic_runs": op12_periodic_runs,
+        "op13_vector_codes": op13_vector_codes,
         "pipeline": pipeline,
     }
 
@@ -101,6 +119,41 @@ x AS (SELECT o.doc_id, sum(hi - lo) AS gone, count(*) AS spans, string_agg(subst
 SELECT t.doc_id, octet_length(b) AS n_bytes, CAST(coalesce(gone, 0) AS BIGINT) AS n_removed, coalesce(spans, 0) AS n_spans, sha256(unhex(coalesce(kept, h))) AS kept_sha256 FROM t LEFT JOIN x ON x.doc_id = t.doc_id"""
 
 
+#: Stretches of equal words q apart, found from equal stretches of six words, which every run of twelve has; crc32 from its table.
+RUNS_SQL = r"""WITH crc AS (SELECT list(v ORDER BY b) AS tab FROM (SELECT b, list_reduce(list_concat([b], range(8)), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS v FROM range(256) t(b))),
+d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
+        xor(list_reduce(list_concat([4294967295], list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: CAST(ascii(c) AS BIGINT))), lambda c, x: xor(c >> 8, tab[(xor(c, x) & 255) + 1])), 4294967295) AS h FROM documents, crc),
+e AS (SELECT doc_id, w, len(w) AS n, h, CASE WHEN len(w) > 0 THEN (h // 10) % len(w) END AS a, 3 + (h // 10) % 8 AS parts FROM d),
+m AS (SELECT doc_id, n, CASE WHEN h % 10 = 0 AND n > 0 THEN list_transform(range(0, n), lambda i: CASE WHEN i < a THEN w[i + 1] ELSE w[a + (i - a) % (1 + (n - a) // parts) + 1] END) ELSE w END AS w FROM e),
+g AS (SELECT doc_id, i, array_to_string(w[i + 1 : i + 6], ' ') AS gram FROM (SELECT doc_id, w, unnest(range(0, n - 5)) AS i FROM m)),
+p AS (SELECT x.doc_id, x.i, y.i - x.i AS q FROM g x JOIN g y ON x.doc_id = y.doc_id AND x.gram = y.gram AND x.i < y.i),
+s AS (SELECT *, i - row_number() OVER (PARTITION BY doc_id, q ORDER BY i) AS stretch FROM p),
+f AS (SELECT doc_id, q, min(i) AS start, count(*) + 5 + q AS length FROM s GROUP BY doc_id, q, stretch),
+r AS (SELECT doc_id, start, length, min(q) AS period FROM f WHERE length >= greatest(12, 2 * q) GROUP BY doc_id, start, length),
+k AS (SELECT doc_id, count(*) AS n_runs, list({'start': start, 'length': length, 'period': period} ORDER BY length DESC, start, period) AS runs, string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period) AS lines FROM r GROUP BY doc_id)
+SELECT m.doc_id, coalesce(n_runs, 0) AS n_runs, runs[1].start AS start, runs[1].length AS length, runs[1].period AS period, 1000 * runs[1].length // runs[1].period AS exponent_milli, sha256(coalesce(lines, '')) AS runs_sha256,
+  sha256(array_to_string(CASE WHEN runs IS NULL THEN w ELSE list_transform(list_filter(range(0, n), lambda i: len(list_filter(runs, lambda x: i >= x.start + x.period AND i < x.start + x.length)) = 0), lambda i: w[i + 1]) END, ' ')) AS collapsed_sha256
+FROM m LEFT JOIN k ON k.doc_id = m.doc_id"""
+
+
+def vector_codes_sql() -> str:
+    """Every part measured against every entry, in a table expression for each round."""
+    part = "v[part * (len(v) // 8) + 1 : (part + 1) * (len(v) // 8)]"
+    near = """n{0} AS MATERIALIZED (SELECT vec_id, label, p.part, any_value(p.x) AS x, arg_min(e.entry, (d, e.entry)) AS entry, min(d) AS d FROM p
+  JOIN (SELECT * FROM b{0}) e ON e.part = p.part, LATERAL (SELECT CAST(list_sum(list_transform(range(1, len(p.x) + 1), lambda i: (p.x[i] - e.c[i]) * (p.x[i] - e.c[i]))) AS BIGINT) AS d) GROUP BY vec_id, label, p.part)"""
+    mean = """m{0} AS (SELECT part, entry, list(c ORDER BY i) AS c FROM (SELECT part, entry, i, CAST(sum(x[i]) - ((sum(x[i]) % count(*)) + count(*)) % count(*) AS BIGINT) // count(*) AS c FROM n{0}, LATERAL (SELECT unnest(range(1, len(x) + 1)) AS i) GROUP BY part, entry, i) GROUP BY part, entry),
+b{1} AS MATERIALIZED (SELECT b{0}.part, b{0}.entry, coalesce(m{0}.c, b{0}.c) AS c FROM b{0} LEFT JOIN m{0} ON m{0}.part = b{0}.part AND m{0}.entry = b{0}.entry)"""
+    steps = [f"""k AS (SELECT vec_id, label, list_transform(embedding, lambda x: CAST(floor(4096 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0)""",
+             f"p AS MATERIALIZED (SELECT vec_id, label, part, {part} AS x FROM k, range(8) t(part))",
+             "b0 AS MATERIALIZED (SELECT part, rank - 1 AS entry, x AS c FROM (SELECT *, row_number() OVER (PARTITION BY part ORDER BY vec_id) AS rank FROM p) WHERE rank <= 16)"]
+    for k in range(vector_codes.ROUNDS):
+        steps += [near.format(k), mean.format(k, k + 1)]
+    last = vector_codes.ROUNDS
+    steps += [near.format(last), f"r AS (SELECT vec_id, label, string_agg(format('{{:02x}}', entry), '' ORDER BY part) AS code, CAST(sum(d) AS BIGINT) AS error FROM n{last} GROUP BY vec_id, label)"]
+    sha = f"(SELECT sha256(string_agg(array_to_string(c, ','), ',' ORDER BY part, entry)) FROM b{last})"
+    return f"WITH {', '.join(steps)}\nSELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, {sha} AS codebooks_sha256 FROM r"
+
+
 def oracle_sql():
     """For the queries all of whose columns SQL can express; the others are held against brute force in tests/llm."""
-    return {"op3_near_dedup": NEAR_SQL, "op6_repeats": REPEATS_SQL}
+    return {"op3_near_dedup": NEAR_SQL, "op6_repeats": REPEATS_SQL, "op12_periodic_runs": RUNS_SQL, "op13_vector_codes": vector_codes_sql()}

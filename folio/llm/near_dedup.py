@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from folio.llm.common import small, text_of, written
+from folio.llm.common import discard, small, text_of, written
 
 PERMUTATIONS, ROWS = 64, 4
 BANDS = 2 * PERMUTATIONS // ROWS
@@ -181,18 +181,24 @@ def confirmed(pairs: DataFrame, shingles: DataFrame) -> DataFrame:
 
 
 def components(edges: DataFrame) -> DataFrame:
-    """node, component (its least reachable node): each round hands every node the least label around it, then that label's own label."""
-    both = written(edges.select(F.col("rep").alias("a"), F.col("leader").alias("b")).unionAll(edges.select("leader", "rep")).distinct(), "edges")
-    labels = written(both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.first("a")).alias("component")), "labels")
-    while True:
-        around = both.join(labels.select(F.col("node").alias("b"), "component"), "b").groupBy(F.col("a").alias("node")).agg(F.min("component").alias("least"))
-        near = labels.join(around, "node").select("node", F.col("component").alias("old"), F.least("component", "least").alias("component"))
-        jump = labels.select(F.col("node").alias("component"), F.col("component").alias("further"))
-        new = written(near.join(jump, "component", "left").select("node", "old", F.least("component", F.coalesce("further", "component")).alias("component")), "labels")
-        changed = new.filter("component <> old").limit(1).count()
-        labels = new.select("node", "component")
-        if not changed:
-            return labels
+    """node, component (its least reachable node).
+
+    Every edge hangs its higher end on its lower one. A round moves each edge to the least node that its lower end hangs
+    on, then all nodes that a node hangs on to the least of them, until every node hangs on one node that hangs on none: a
+    chain of n nodes takes about log2(n) rounds, and each round's table replaces the last.
+    """
+
+    def least(hung: DataFrame) -> DataFrame:
+        return hung.groupBy(F.col("high").alias("node")).agg(F.min("low").alias("least"))
+
+    hung = written(edges.filter("rep <> leader").select(F.greatest("rep", "leader").alias("high"), F.least("rep", "leader").alias("low")).distinct(), "hung")
+    while hung.groupBy("high").agg(F.count("*").alias("n")).filter("n > 1").limit(1).count() or hung.join(hung.select(F.col("high").alias("low")), "low", "left_semi").limit(1).count():
+        moved = written(hung.join(least(hung), F.col("low") == F.col("node"), "left").select("high", F.coalesce("least", "low").alias("low")).distinct(), "moved")
+        lows = moved.join(least(moved), F.col("high") == F.col("node")).filter("low <> least").select(F.col("low").alias("high"), F.col("least").alias("low"))
+        after = written(least(moved).select(F.col("node").alias("high"), F.col("least").alias("low")).unionAll(lows).distinct(), "hung")
+        discard(hung, moved)
+        hung = after
+    return hung.select(F.col("high").alias("node"), F.col("low").alias("component")).unionAll(hung.select(F.col("low").alias("node"), F.col("low").alias("component")).distinct())
 
 
 def blocks_of(rows: DataFrame) -> DataFrame:

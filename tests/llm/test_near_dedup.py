@@ -113,3 +113,20 @@ def test_long_texts(spark):
     rng = random.Random(2)
     words = rng.choices([f"w{i}" for i in range(5000)], k=300_000)
     check(spark, [(1, " ".join(words)), (2, " ".join(words[:290_000])), (3, " ".join(words[:200_000]))], 2)
+
+
+@pytest.mark.parametrize("order", ["up", "down", "shuffled", "star", "pairs"])
+def test_components_of_long_chains_take_few_rounds(spark, monkeypatch, order):
+    n, tables = 800, []
+    ids = list(range(n))
+    if order == "down":
+        ids.reverse()
+    if order == "shuffled":
+        random.Random(1).shuffle(ids)
+    links = [(ids[0], x) for x in ids[1:]] if order == "star" else list(zip(ids, ids[1:]))[:: 2 if order == "pairs" else 1]
+    links += [(1000, 1001), (1002, 1001), (1002, 1002)]
+    monkeypatch.setattr(nd, "written", lambda df, name, f=nd.written: (tables.append(name), f(df, name))[1])
+    got = {r.node: r.component for r in nd.components(spark.createDataFrame(links, "rep long, leader long")).collect()}
+    pairs = {x: min(p) for p in zip(ids[::2], ids[1::2]) for x in p}
+    assert got == ({x: pairs[x] for x in ids} if order == "pairs" else dict.fromkeys(ids, 0)) | dict.fromkeys((1000, 1001, 1002), 1000)
+    assert tables.count("moved") < 20

@@ -6,35 +6,54 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from folio.functions import text as T
+from folio.operators.errors import error, no_error
+
+
+def rationale() -> Column:
+    """T-18: why a document needs what it needs, a sentence for each need that holds, in a fixed order."""
+    r = F.col("requirements")
+    said = lambda c: F.initcap(F.coalesce(F.col(c), F.lit(False)).cast("string"))
+    #: Fixed values.
+    reasons = {
+        "needs_ocr": F.lit("no usable native text layer — OCR/layout recovery required"),
+        "needs_reading_order": F.format_string("non-linear layout (columns=%d, floating_text_boxes=%s)", "layout.column_count", said("layout.has_floating_text_boxes")),
+        "needs_tables": F.format_string("%d table candidate(s) detected", "tables.count"),
+        "needs_complex_tables": F.format_string("structurally complex table(s) (merged=%s, nested=%s, max_columns=%d)", said("tables.has_merged_cells"), said("tables.has_nested_tables"), "tables.max_column_count"),
+        "needs_visual_assets": F.lit("non-text visual objects detected"),
+        "needs_visual_semantics": F.lit("candidate visuals may carry meaning beyond extracted text (Stage 3)"),
+    }
+    return F.array_compact(F.array(*[F.when(r[k], why) for k, why in reasons.items()]))
 
 
 def requirements(rows: DataFrame) -> DataFrame:
-    """T-18: what a document needs, from the structs text, tables, layout, visuals and visual_candidates."""
+    """T-18: what a document needs, from the structs text, tables, layout, visuals and visual_candidates, and why, in a fixed order."""
     v = "visuals"
     assets = sum((F.col(f"{v}.{c}") for c in ("embedded_image_count", "vector_graphics_count", "chart_count", "svg_count")), F.lit(0)) > 0
     meaningful = F.exists("visual_candidates", lambda x: T.is_meaningful_visual(x["kind"], x["area_ratio"], x["caption_or_alt_text"], x["nearby_text"]))
     semantics = (F.col(f"{v}.large_embedded_image_count") > 0) | (F.col(f"{v}.chart_count") > 0) | (F.col(f"{v}.svg_count") > 0) | meaningful
     t = "tables"
-    return rows.withColumn("requirements", F.struct(
+    needs = F.struct(
         (~F.col("text.native_text_available")).alias("needs_ocr"), ((F.col("layout.column_count") >= 2) | F.col("layout.has_floating_text_boxes")).alias("needs_reading_order"), (F.col(f"{t}.count") > 0).alias("needs_tables"),
         (F.col(f"{t}.has_merged_cells") | F.col(f"{t}.has_nested_tables") | (F.col(f"{t}.max_column_count") > 6)).alias("needs_complex_tables"), assets.alias("needs_visual_assets"), F.coalesce(semantics, F.lit(False)).alias("needs_visual_semantics"),
-    ))
+    )
+    return rows.withColumn("requirements", needs).withColumn("rationale", rationale())
 
 
 def routed(rows: DataFrame, forced: str | None = None) -> DataFrame:
-    """T-19, T-20, F-11: engine, backend, confidence and reason, by the first rule that holds; a forced engine that can't read the type is an error."""
+    """T-19, T-20, F-11: engine, backend, confidence and reason, by the first rule that holds. A row whose type a forced engine can't read gets no engine but an error; the other rows have a null error."""
     r = F.col("requirements")
     mineru = F.col("file_type") != "html"  # the other engine reads every type
     reason = F.when(r["needs_reading_order"], "reading_order").when(r["needs_complex_tables"], "complex_tables").when(r["needs_ocr"], "ocr")
     if forced:
-        allowed = mineru if forced == "mineru" else F.lit(True)
-        engine = F.when(allowed, F.lit(forced)).otherwise(F.raise_error(F.lit("engine does not read this type")))
-        confidence, why = F.lit(1.0), F.lit("forced")
+        allowed = F.coalesce(mineru, F.lit(False)) if forced == "mineru" else F.lit(True)
+        engine, confidence, why = (F.when(allowed, F.lit(x)) for x in (forced, 1.0, "forced"))
+        message = F.format_string("the forced engine %s does not read documents of type %s", F.lit(forced), F.col("file_type"))
+        failed = F.when(~allowed, error("ConfigurationError", message, forced_engine=F.lit(forced), document_type=F.col("file_type"), docling_supported=F.lit(True), mineru_supported=mineru))
     else:
         engine = F.when(~mineru, "docling").when(reason.isNotNull(), "mineru").otherwise("docling")
         confidence = F.when(~mineru, 0.98).when(reason.isNotNull(), 0.90).otherwise(0.85)
-        why = F.when(~mineru, "only_supported").otherwise(F.coalesce(reason, F.lit("default")))
-    return rows.withColumn("engine", engine).withColumn("backend", F.when(F.col("engine") == "mineru", "auto")).withColumn("confidence", confidence.cast("double")).withColumn("reason", why)
+        why, failed = F.when(~mineru, "only_supported").otherwise(F.coalesce(reason, F.lit("default"))), no_error()
+    return rows.withColumn("engine", engine).withColumn("backend", F.when(F.col("engine") == "mineru", "auto")).withColumn("confidence", confidence.cast("double")).withColumn("reason", why).withColumn("error", failed)
 
 
 def rollup(rows: DataFrame) -> DataFrame:
@@ -64,6 +83,11 @@ def model_family(backend: Column) -> Column:
     return F.when(backend.endswith("-http-client"), None).when(backend.startswith("vlm-"), "vlm").when(backend.startswith("pipeline") | backend.startswith("hybrid-"), "pipeline")
 
 
+def model_families(backends: Column) -> Column:
+    """T-22: the distinct families of an array of backends, in the order of their first backend."""
+    return F.array_distinct(F.array_compact(F.transform(backends, model_family)))
+
+
 def is_degraded(backend: Column, top: Column, fallback: Column) -> Column:
     """T-23, R-4: a page of another engine than the routed one, or of a lower rung than the ladder's top."""
     return F.coalesce(fallback, F.lit(False)) | F.coalesce(backend != top, F.lit(False))

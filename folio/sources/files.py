@@ -5,33 +5,66 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Fixed values.
-SUFFIXES = ("pdf", "docx", "pptx", "html", "htm")
-MAX_BYTES, MAX_PAGES = 209_715_200, 500
+from folio.operators.errors import error, first_error
+from folio.sources import listing
+from folio.sources.listing import MAX_BYTES
+
+#: Fixed value.
+MAX_PAGES = 500
+
+
+def intake_error(reason: Column, path: Column, length: Column) -> Column:
+    """The error of a reject reason; null for none."""
+    said = {"empty": "the document is empty", "unsupported": "the format is not supported", "unreadable": "the document can't be read"}
+    told = [F.when(reason == k, error("DocumentError", v, path=path, size_bytes=length)) for k, v in said.items()]
+    large = F.when(reason == "too_large", error("DocumentTooLargeError", "the document is too large", path=path, size_bytes=length, max_size_bytes=F.lit(MAX_BYTES)))
+    return first_error(large, *told)
 
 
 def suffix(path: Column) -> Column:
     return F.lower(F.regexp_extract(path, r"\.([^./]+)$", 1))
 
 
-def scan_documents(spark: SparkSession, root: str, recursive: bool = False) -> DataFrame:
-    """SRC-1, F-1..F-3, T-11: path, job_id (SHA-256 of the bytes), document_type, length, reject_reason, content of all files under root.
+def scan_documents(spark: SparkSession, root: str, recursive: bool = False, content: bool = True, max_bytes: int = MAX_BYTES) -> DataFrame:
+    """SRC-1, F-1..F-3, T-11: path, job_id (SHA-256 of the bytes), document_type, length, reject_reason, content, error of all files under root, or of root if it is one.
 
-    A file counts by its suffix or its first bytes; one with neither is unsupported. The order is free: sort by path where
-    one is needed, before content is read.
+    A file counts by its suffix, else by its first bytes. Rejected files (empty, too_large, unsupported, unreadable) have
+    neither job_id nor content: they are not read. The order is free: sort by path where one is needed, before content is
+    read. A root that does not exist is an error. Stores that only Spark can open are read by its own source, which shows
+    no empty or hidden files.
     """
+    if listing.scheme(root) in listing.SCHEMES:
+        options = {"recursive": str(recursive).lower(), "content": str(content).lower(), "maxBytes": str(max_bytes)}
+        rows = listing.registered(spark).read.format("folio_files").options(**options).load(root)
+    else:
+        rows = spark_scan(spark, root, recursive, content, max_bytes)
+    return rows.withColumn("error", intake_error(F.col("reject_reason"), F.col("path"), F.col("length")))
+
+
+def spark_scan(spark: SparkSession, root: str, recursive: bool, content: bool, max_bytes: int) -> DataFrame:
+    """The rows of scan_documents from Spark's source of binary files; too large ones are named without being read."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", str(recursive).lower()).load(root)
-    start = F.lower(F.decode(F.substring("content", 1, 16), "ISO-8859-1"))
-    magic = start.startswith("%pdf-") | start.startswith("pk\x03\x04") | start.startswith("<!doctype html") | start.startswith("<html")
-    ext = suffix(F.col("path"))
-    kind = F.when(ext.isin("html", "htm"), "html").when(ext.isin("pdf", "docx", "pptx"), ext).when(start.startswith("%pdf-"), "pdf").when(start.startswith("pk\x03\x04"), "docx").when(magic, "html")
-    reason = F.when(F.col("length") == 0, "empty").when(F.col("length") > MAX_BYTES, "too_large").when(~(ext.isin(*SUFFIXES) | magic), "unsupported")
-    return files.select("path", F.sha2("content", 256).alias("job_id"), kind.alias("document_type"), "length", reason.alias("reject_reason"), "content")
+    start = F.lower(F.decode(F.substring("content", 1, listing.MAGIC_BYTES), "ISO-8859-1"))
+    by_suffix = F.coalesce(*[F.when(suffix(F.col("path")) == k, v) for k, v in listing.SUFFIXES.items()])
+    kind = F.coalesce(by_suffix, *[F.when(start.startswith(m.decode("latin-1")), k) for m, k in listing.MAGIC])
+    reason = F.when(kind.isNull(), "unsupported")
+    data = F.when(kind.isNotNull(), F.col("content")) if content else F.lit(None).cast("binary")
+    nothing = F.lit(None)
+    near = files.filter(F.col("length") <= max_bytes).select("path", F.when(kind.isNotNull(), F.sha2("content", 256)).alias("job_id"), kind.alias("document_type"), "length", reason.alias("reject_reason"), data.alias("content"))
+    far = files.filter(F.col("length") > max_bytes).select("path", nothing.cast("string").alias("job_id"), by_suffix.alias("document_type"), "length", F.lit("too_large").alias("reject_reason"), nothing.cast("binary").alias("content"))
+    return near.unionByName(far)
+
+
+def collected(rows: DataFrame) -> DataFrame:
+    """SRC-1, S-4: of a scan, the accepted files that their suffix names, sorted by path."""
+    return rows.filter(F.col("reject_reason").isNull() & suffix(F.col("path")).isin(*listing.SUFFIXES)).orderBy("path")
 
 
 def within_page_limit(profiles: DataFrame) -> DataFrame:
-    """F-4: profiles with reject_reason too_many_pages where they have over MAX_PAGES."""
-    return profiles.withColumn("reject_reason", F.when(F.col("page_or_unit_count") > MAX_PAGES, "too_many_pages"))
+    """F-4: profiles with reject_reason too_many_pages, and an error, where they have over MAX_PAGES."""
+    over = F.col("page_or_unit_count") > MAX_PAGES
+    told = F.when(over, error("DocumentTooLargeError", "the document has too many pages", page_count=F.col("page_or_unit_count"), max_pages=F.lit(MAX_PAGES)))
+    return profiles.withColumn("reject_reason", F.when(over, "too_many_pages")).withColumn("error", told)
 
 
 def scan_markdown(spark: SparkSession, root: str, pattern: str = "*.md", recursive: bool = False) -> DataFrame:

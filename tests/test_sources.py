@@ -1,5 +1,9 @@
+import hashlib
+
+import pytest
+
 from folio.operators import routing
-from folio.sources import files, html
+from folio.sources import files, html, listing
 
 
 def profile(spark, page):
@@ -25,9 +29,53 @@ def test_scans(spark, tmp_path):
     (tmp_path / "d.docx").write_bytes(b"")
     (tmp_path / "e.md").write_text("# A\ntext")
     (tmp_path / "f.bin").write_bytes(b"%PDF-1.7 by its first bytes")
-    got = [(r.path.rsplit("/", 1)[1], r.document_type, r.reject_reason) for r in files.scan_documents(spark, str(tmp_path)).orderBy("path").collect()]
-    assert [x for x in got if x[2] is None] == [("a.pdf", "pdf", None), ("b.html", "html", None), ("f.bin", "pdf", None)]
-    assert [(x[0], x[2]) for x in got if x[2]] in ([("c.txt", "unsupported"), ("d.docx", "empty"), ("e.md", "unsupported")], [("c.txt", "unsupported"), ("e.md", "unsupported")])
+    (tmp_path / "_g.HTM").write_bytes(b"hidden")
+    (tmp_path / ".h").write_bytes(b"<!DOCTYPE html>")
+    (tmp_path / "i.pdf").write_bytes(b"x" * 101)
+    with open(tmp_path / "j.pdf", "wb") as f:  # larger than any array, without its bytes
+        f.truncate(5 << 30)
+    (tmp_path / "sub").mkdir()
+    (tmp_path / "sub" / "k.pptx").write_bytes(b"deeper")
+    rows = files.scan_documents(spark, str(tmp_path), max_bytes=100)
+    got = {r.path.rsplit("/", 1)[1]: (r.document_type, r.reject_reason, r.length, r.error and r.error["class"]) for r in rows.collect()}
+    assert got == {
+        "a.pdf": ("pdf", None, 10, None), "b.html": ("html", None, 13, None), "c.txt": (None, "unsupported", 2, "DocumentError"), "d.docx": ("docx", "empty", 0, "DocumentError"), "e.md": (None, "unsupported", 8, "DocumentError"), "f.bin": ("pdf", None, 27, None),
+        "_g.HTM": ("html", None, 6, None), ".h": ("html", None, 15, None), "i.pdf": ("pdf", "too_large", 101, "DocumentTooLargeError"), "j.pdf": ("pdf", "too_large", 5 << 30, "DocumentTooLargeError"),
+    }
+    first = rows.filter("document_type = 'pdf' AND reject_reason IS NULL").orderBy("path").first()
+    assert bytes(first.content) == b"%PDF-1.4 x" and first.job_id == hashlib.sha256(b"%PDF-1.4 x").hexdigest()
+    assert rows.filter("reject_reason IS NOT NULL AND (content IS NOT NULL OR job_id IS NOT NULL)").count() == 0
+    assert [r.path.rsplit("/", 1)[1] for r in files.collected(rows).collect()] == ["_g.HTM", "a.pdf", "b.html"]
+    deep = files.scan_documents(spark, f"file://{tmp_path}", recursive=True, content=False)
+    assert deep.count() == 11 and deep.filter("content IS NOT NULL").count() == 0 and deep.filter("path LIKE '%sub/k.pptx'").first().job_id
+    assert [r.document_type for r in files.scan_documents(spark, str(tmp_path / "b.html")).collect()] == ["html"]
+    (tmp_path / "none").mkdir()
+    assert files.scan_documents(spark, str(tmp_path / "none")).collect() == []
+    with pytest.raises(Exception, match="neither a file nor a folder"):
+        files.scan_documents(spark, str(tmp_path / "missing")).collect()
+
+
+def test_files_are_packed_by_bytes(tmp_path, monkeypatch):
+    for k in range(10):
+        (tmp_path / f"{k}.pdf").write_bytes(b"x" * 10 * k)
+    monkeypatch.setattr(listing, "PARTITION_BYTES", 100)
+    parts = listing.FileReader({"path": str(tmp_path)}).partitions()
+    assert sorted(r for p in parts for r in p.rows) == [(f"{tmp_path}/{k}.pdf", 10 * k) for k in range(10)]
+    assert all(sum(n for _, n in p.rows) <= 100 for p in parts) and len(parts) == 6
+    monkeypatch.setattr(listing, "BATCH_BYTES", 50)
+    assert [b.num_rows for b in listing.FileReader({"path": str(tmp_path)}).read(parts[0])] == [4, 1]
+
+
+def test_scan_by_spark_alone(spark, tmp_path):
+    (tmp_path / "a.pdf").write_bytes(b"%PDF-1.4 x")
+    (tmp_path / "b.txt").write_bytes(b"no")
+    (tmp_path / "c.pdf").write_bytes(b"x" * 101)
+    got = files.spark_scan(spark, str(tmp_path), False, True, 100)
+    assert sorted((r.path.rsplit("/", 1)[1], r.document_type, r.reject_reason, r.content is None) for r in got.collect()) == [("a.pdf", "pdf", None, False), ("b.txt", None, "unsupported", True), ("c.pdf", "pdf", "too_large", True)]
+
+
+def test_page_limit_and_markdown(spark, tmp_path):
+    (tmp_path / "e.md").write_text("# A\ntext")
     limit = files.within_page_limit(spark.createDataFrame([(500,), (501,), (None,)], "page_or_unit_count int"))
-    assert [r.reject_reason for r in limit.collect()] == [None, "too_many_pages", None]
+    assert [(r.reject_reason, r.error and r.error["context"]["max_pages"]) for r in limit.collect()] == [(None, None), ("too_many_pages", "500"), (None, None)]
     assert [r.md for r in files.scan_markdown(spark, str(tmp_path)).collect()] == ["# A\ntext"]

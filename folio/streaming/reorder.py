@@ -1,43 +1,68 @@
-"""STR-2: pages of a job in order of their number, from a stream that delivers them in any order.
+"""STR-2, STR-3: pages of a job in order of their number, and the tables that go on over pages, from a stream that delivers pages in any order.
 
 A page is released when it is the next expected one; others wait in state, and those left when the job's end row
-(page_number null) comes are released in order of (page_number, arrival), duplicates and late ones with them.
+(page_number null) comes are released in order of (page_number, arrival), duplicates and late ones with them. Rows of a
+job without job_id are one job. The state stores need the RocksDB provider.
 """
 
 from __future__ import annotations
 
+import contextlib
 import json
+import re
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor
 
-SCHEMA = "job_id long, position long, page_number long, arrival long, text string"
+PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+@contextlib.contextmanager
+def rocksdb(spark: SparkSession):
+    """Queries that start in here keep their state in RocksDB."""
+    before = spark.conf.get(PROVIDER, None)
+    spark.conf.set(PROVIDER, ROCKSDB)
+    try:
+        yield
+    finally:
+        spark.conf.unset(PROVIDER) if before is None else spark.conf.set(PROVIDER, before)
 
 
 class PageOrder(StatefulProcessor):
+    """Rows page_number, arrival, payload of a job; released() makes output rows of each page as it leaves, drained() of what is left at the end."""
+
+    columns = ["job_id", "position", "page_number", "arrival", "text"]
+
     def init(self, handle):
         self.progress = handle.getValueState("progress", "next long, position long, blocked boolean")
-        self.waiting = handle.getMapState("waiting", "page long", "entries string")  # JSON of [arrival, text]
+        self.waiting = handle.getMapState("waiting", "page long", "entries string")  # JSON of [arrival, payload]
 
     def held(self, page):
         return json.loads(self.waiting.getValue((page,))[0]) if self.waiting.containsKey((page,)) else []
 
+    def released(self, key, position, page, arrival, payload):
+        return [(key, position, page, arrival, payload)]
+
+    def drained(self, key):
+        return []
+
     def handleInputRows(self, key, rows, timerValues):
         expected, position, blocked = self.progress.get() if self.progress.exists() else (1, 0, False)
         ended, out = False, []
         for pdf in rows:
-            for page, arrival, text in pdf.sort_values("arrival", kind="stable")[["page_number", "arrival", "text"]].itertuples(index=False):
+            for page, arrival, payload in pdf.sort_values("arrival", kind="stable")[["page_number", "arrival", "payload"]].itertuples(index=False):
                 if pd.isna(page):
                     ended = True
                     continue
                 page = int(page)
                 blocked |= page < expected  # a duplicate or late page heads the queue, so nothing leaves before the end
-                self.waiting.updateValue((page,), (json.dumps([*self.held(page), [int(arrival), text]]),))
+                self.waiting.updateValue((page,), (json.dumps([*self.held(page), [int(arrival), payload]]),))
                 while not blocked and (found := sorted(self.held(expected), key=lambda e: e[0])):
                     position += 1
-                    out.append((key[0], position, expected, *found[0]))
+                    out += self.released(key[0], position, expected, *found[0])
                     if found[1:]:
                         self.waiting.updateValue((expected,), (json.dumps(found[1:]),))
                         blocked = True
@@ -48,17 +73,72 @@ class PageOrder(StatefulProcessor):
             for page in sorted(k[0] for k in self.waiting.keys()):
                 for entry in sorted(self.held(page), key=lambda e: e[0]):
                     position += 1
-                    out.append((key[0], position, page, *entry))
+                    out += self.released(key[0], position, page, *entry)
                 self.waiting.removeKey((page,))
+            out += self.drained(key[0])
         self.progress.update((expected, position, blocked))
-        yield pd.DataFrame(out, columns=["job_id", "position", "page_number", "arrival", "text"])
+        yield pd.DataFrame(out, columns=self.columns)
 
     def close(self):
         pass
 
 
+class TableMerge(PageOrder):
+    """J-6 over the stream: fragments of a start page wait in state until a closing piece of it is released, or the job ends."""
+
+    columns = ["job_id", "start_page", "chain", "page_number", "token", "markdown", "closed"]
+
+    def init(self, handle):
+        super().init(handle)
+        self.open = handle.getMapState("open", "start_page long", "pieces string")  # JSON of [page, markdown]
+        self.chains = handle.getMapState("chains", "start_page long", "closed long")
+
+    def pieces(self, start):
+        return json.loads(self.open.getValue((start,))[0]) if self.open.containsKey((start,)) else []
+
+    def merged(self, key, start, pieces, token, closed):
+        chain = self.chains.getValue((start,))[0] if self.chains.containsKey((start,)) else 0
+        return (key, start, chain, pieces[-1][0], token, "\n".join(re.sub(r"\n+\Z", "", md) for _, md in pieces), closed)
+
+    def released(self, key, position, page, arrival, payload):
+        out = []
+        for table in json.loads(payload or "[]"):
+            start, pieces = int(table["start_page"]), [*self.pieces(int(table["start_page"])), [page, table.get("markdown") or ""]]
+            if table["is_fragment"]:
+                self.open.updateValue((start,), (json.dumps(pieces),))
+                continue
+            row = self.merged(key, start, pieces, table["token"], True)
+            out.append(row)
+            self.chains.updateValue((start,), (row[2] + 1,))
+            if len(pieces) > 1:
+                self.open.removeKey((start,))
+        return out
+
+    def drained(self, key):
+        out = []
+        for start in sorted(k[0] for k in self.open.keys()):
+            out.append(self.merged(key, start, self.pieces(start), None, False))
+            self.open.removeKey((start,))
+        return out
+
+
+def job_type(pages: DataFrame) -> str:
+    return dict(pages.dtypes)["job_id"]
+
+
 def ordered_pages(pages: DataFrame) -> DataFrame:
-    """pages: job_id, page_number, arrival and, if there is one, text, as a stream. Needs the RocksDB state store provider."""
-    text = F.col("text") if "text" in pages.columns else F.lit(None).cast("string").alias("text")
-    rows = pages.select("job_id", "page_number", "arrival", text)
-    return rows.groupBy("job_id").transformWithStateInPandas(statefulProcessor=PageOrder(), outputStructType=SCHEMA, outputMode="Append", timeMode="None")
+    """job_id, position, page_number, arrival, text of pages: job_id of any type, page_number, arrival and, if there is one, text, as a stream."""
+    text = F.col("text") if "text" in pages.columns else F.lit(None)
+    rows = pages.select("job_id", F.col("page_number").cast("long"), F.col("arrival").cast("long"), text.cast("string").alias("payload"))
+    schema = f"job_id {job_type(pages)}, position long, page_number long, arrival long, text string"
+    return rows.groupBy("job_id").transformWithStateInPandas(statefulProcessor=PageOrder(), outputStructType=schema, outputMode="Append", timeMode="None")
+
+
+def merged_tables_stream(pages: DataFrame) -> DataFrame:
+    """The rows of operators.pages.merged_tables for a stream of pages: job_id, page_number, arrival, tables (array of token, markdown, is_fragment, start_page).
+
+    A table leaves when its closing piece does, in page order; those without an end leave at the job's end row, with closed false.
+    """
+    rows = pages.select("job_id", F.col("page_number").cast("long"), F.col("arrival").cast("long"), F.to_json("tables").alias("payload"))
+    schema = f"job_id {job_type(pages)}, start_page long, chain long, page_number long, token string, markdown string, closed boolean"
+    return rows.groupBy("job_id").transformWithStateInPandas(statefulProcessor=TableMerge(), outputStructType=schema, outputMode="Append", timeMode="None")

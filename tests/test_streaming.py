@@ -1,14 +1,118 @@
-from folio.streaming.reorder import ordered_pages
+import glob
+import os
+import time
 
+from pyspark.sql import functions as F
 
-def test_pages_leave_in_order(spark, tmp_path):
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
-    batches = [[(1, 2, 1), (1, 1, 2), (2, 1, 1)], [(1, 4, 3), (1, 3, 4), (2, 1, 2)], [(2, 2, 3), (2, 2, 3)], [(1, None, 9), (2, None, 9)]]
+from folio.functions.text import PLACEHOLDER
+from folio.operators import pages as P
+from folio.streaming import fanout
+from folio.streaming.figures import resolved_figures
+from folio.streaming.reorder import PROVIDER, merged_tables_stream, ordered_pages, rocksdb
+
+
+def stream_of(spark, path, schema, batches):
     for k, rows in enumerate(batches):
-        spark.createDataFrame([(*r, f"text {r[1]}") for r in rows], "job_id long, page_number long, arrival long, text string").coalesce(1).write.parquet(str(tmp_path / f"in/{k}"))
-    stream = spark.readStream.schema("job_id long, page_number long, arrival long, text string").option("maxFilesPerTrigger", 1).option("recursiveFileLookup", True).parquet(str(tmp_path / "in"))
-    q = ordered_pages(stream).writeStream.format("memory").queryName("ordered").outputMode("append").option("checkpointLocation", str(tmp_path / "ck")).trigger(availableNow=True).start()
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("overwrite").parquet(f"{path}/{k:03d}")
+        time.sleep(0.02)  # files are read in the order of their times
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).option("recursiveFileLookup", True).parquet(str(path))
+
+
+def finished(spark, df, path, name):
+    with rocksdb(spark):
+        q = df.writeStream.format("memory").queryName(name).outputMode("append").option("checkpointLocation", str(path)).trigger(availableNow=True).start()
     q.awaitTermination(120)
-    got = sorted((r.job_id, r.position, r.page_number, r.arrival) for r in spark.table("ordered").collect())
-    assert got == [(1, 1, 1, 2), (1, 2, 2, 1), (1, 3, 3, 4), (1, 4, 4, 3), (2, 1, 1, 1), (2, 2, 1, 2), (2, 3, 2, 3), (2, 4, 2, 3)]
-    assert all(r.text == f"text {r.page_number}" for r in spark.table("ordered").collect())
+    return spark.table(name)
+
+
+def test_pages_leave_in_order(spark, tmp_path):
+    batches = [[("1", 2, 1), ("1", 1, 2), ("2", 1, 1)], [("1", 4, 3), ("1", 3, 4), ("2", 1, 2)], [("2", 2, 3), ("2", 2, 3)], [("1", None, 9), ("2", None, 9)]]
+    stream = stream_of(spark, tmp_path / "in", "job_id string, page_number long, arrival long, text string", [[(*r, f"text {r[1]}") for r in rows] for rows in batches])
+    out = finished(spark, ordered_pages(stream), tmp_path / "ck", "ordered")
+    got = sorted((r.job_id, r.position, r.page_number, r.arrival) for r in out.collect())
+    assert got == [("1", 1, 1, 2), ("1", 2, 2, 1), ("1", 3, 3, 4), ("1", 4, 4, 3), ("2", 1, 1, 1), ("2", 2, 1, 2), ("2", 3, 2, 3), ("2", 4, 2, 3)]
+    assert all(r.text == f"text {r.page_number}" for r in out.collect())
+    assert spark.conf.get(PROVIDER, "").endswith("RocksDBStateStoreProvider") is False
+
+
+def test_job_ids_keep_their_type(spark, tmp_path):
+    stream = stream_of(spark, tmp_path / "in", "job_id long, page_number int, arrival int", [[(7, 2, 1), (None, 1, 1)], [(7, 1, 2), (7, None, 3)]])
+    out = finished(spark, ordered_pages(stream), tmp_path / "ck", "typed")
+    assert out.dtypes[0] == ("job_id", "bigint") and sorted((r.job_id, r.position) for r in out.collect() if r.job_id) == [(7, 1), (7, 2)]
+
+
+TABLES = "job_id string, page_number long, arrival long, tables array<struct<token:string,markdown:string,is_fragment:boolean,start_page:long>>"
+
+
+def test_table_fragments_over_the_stream(spark, tmp_path):
+    t = lambda token, md, fragment, start: (token, md, fragment, start)
+    job = {
+        1: [t("a", "| h |\n\n", True, 1)], 2: [t("b", "| 1 |", True, 1), t("c", "| x |", False, 2)], 3: [t("d", "| 2 |\n", False, 1), t("e", "| o |", True, 3)],
+        4: None, 5: [t("f", "| again |", False, 1), t("g", "| p |", True, 3)], 6: [t("h", "| last |", True, 6)],
+    }
+    order = [3, 1, 6, 2, 5, 4]
+    rows = [("j", p, k, job[p]) for k, p in enumerate(order)] + [("k", 1, 1, job[1])]
+    stream = stream_of(spark, tmp_path / "in", TABLES, [rows[:2], rows[2:4], rows[4:], [("j", None, 99, None), ("k", None, 99, None)]])
+    got = finished(spark, merged_tables_stream(stream), tmp_path / "ck", "merged")
+    flat = spark.createDataFrame(rows, TABLES).select("job_id", "page_number", F.posexplode("tables").alias("idx", "t")).select("job_id", "page_number", "idx", "t.*")
+    want = P.merged_tables(flat).select(*got.columns)
+    key = lambda r: (r.job_id, r.start_page, r.chain)
+    assert sorted(map(tuple, sorted(got.collect(), key=key))) == sorted(map(tuple, sorted(want.collect(), key=key)), key=lambda r: r[:3])
+    assert {(r.token, r.markdown) for r in got.collect() if r.closed} == {("c", "| x |"), ("d", "| h |\n| 1 |\n| 2 |"), ("f", "| again |")}
+
+
+def wait_for(query, check, seconds=90):
+    until = time.time() + seconds
+    while time.time() < until and not check():
+        assert query.exception() is None, query.exception()
+        time.sleep(0.3)
+    assert check()
+
+
+def test_figures_wait_for_summaries(spark, tmp_path):
+    figures, summaries = "token string, job_id string, page_number long", "token string, is_informative boolean, markdown_result string"
+    for name, schema in (("f", figures), ("s", summaries)):
+        spark.createDataFrame([], schema).coalesce(1).write.parquet(f"{tmp_path}/{name}/start")
+    read = lambda name, schema: spark.readStream.schema(schema).option("recursiveFileLookup", True).parquet(f"{tmp_path}/{name}")
+    put = lambda name, schema, batch, rows: spark.createDataFrame(rows, schema).coalesce(1).write.parquet(f"{tmp_path}/{name}/{batch}")
+    put("s", summaries, "early", [("early", True, "known before"), ("plain", False, "logo")])
+    put("f", figures, "one", [("early", "j", 1), ("plain", "j", 1), ("late", "j", 2), ("never", "j", 3), (None, "j", 4)])
+    out = resolved_figures(read("f", figures), read("s", summaries), budget_ms=20_000)
+    with rocksdb(spark):
+        q = out.writeStream.format("memory").queryName("resolved").outputMode("append").option("checkpointLocation", f"{tmp_path}/ck").trigger(processingTime="500 milliseconds").start()
+    found = lambda: {r.token: (r.replacement, r.timed_out, r.error and r.error["class"]) for r in spark.table("resolved").collect()}
+    wait_for(q, lambda: len(found()) == 2)
+    assert found() == {"early": ("known before", False, None), "plain": ("", False, None)}
+    put("s", summaries, "late", [("late", True, "came later")])
+    wait_for(q, lambda: "late" in found())
+    wait_for(q, lambda: "never" in found())
+    assert found()["late"] == ("came later", False, None) and found()["never"] == (PLACEHOLDER, True, "TokenResolutionTimeoutError")
+    put("s", summaries, "too-late", [("never", True, "after its time")])
+    put("f", figures, "two", [("never", "k", 9)])
+    wait_for(q, lambda: spark.table("resolved").filter("token = 'never' AND job_id = 'k'").count() == 1)
+    q.stop()
+    rows = sorted((r.token, r.job_id, r.page_number, r.replacement) for r in spark.table("resolved").collect())
+    assert rows == [("early", "j", 1, "known before"), ("late", "j", 2, "came later"), ("never", "j", 3, PLACEHOLDER), ("never", "k", 9, "after its time"), ("plain", "j", 1, "")]
+
+
+PAGES = "job_id string, page_number long, markdown string, figures array<struct<token:string,sha256:string>>"
+
+
+def test_fan_out_is_idempotent(spark, tmp_path):
+    rows = [("j", k, f"page {k}", [(f"f{k}{i}", f"s{i}") for i in range(k % 3)] or None) for k in range(1, 7)]
+    stream = stream_of(spark, tmp_path / "in", PAGES, [rows[:3], rows[3:]])
+    f, p, ck = (f"{tmp_path}/{x}" for x in ("figures", "pages", "ck"))
+    fanout.fan_out(stream, f, p, ck, availableNow=True).awaitTermination(120)
+
+    def state():
+        return sorted(map(tuple, spark.read.parquet(p).collect())), sorted(map(tuple, spark.read.parquet(f).collect()))
+
+    first = state()
+    assert len(first[0]) == 6 and len(first[1]) == sum(k % 3 for k in range(1, 7))
+    last = max(int(os.path.basename(x)) for x in glob.glob(f"{ck}/commits/[0-9]*"))
+    for x in glob.glob(f"{ck}/commits/*{last}*") + glob.glob(f"{ck}/commits/.*{last}*"):
+        os.remove(x)  # as if the driver had died before it could say that the batch was done
+    fanout.fan_out(stream, f, p, ck, availableNow=True).awaitTermination(120)
+    assert state() == first
+    fanout.tee(spark.createDataFrame(rows[:3], PAGES), 0, f, p)
+    assert state() == first

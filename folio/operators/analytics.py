@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from folio.functions import text as T
+
 
 def chunk_summary(docs: DataFrame, parents: DataFrame, children: DataFrame, key: str) -> DataFrame:
     """A-2: files, parents, children and their averages a file, rounded to two places."""
@@ -57,3 +60,33 @@ def chunk_lookup(parents: DataFrame, children: DataFrame, chunk_id: str) -> Data
 def orphans(parents: DataFrame, children: DataFrame) -> DataFrame:
     """J-5: children whose parent is missing."""
     return children.join(parents.select(F.col("chunk_id").alias("parent_chunk_id")), "parent_chunk_id", "left_anti")
+
+
+def corpus_summary(docs: DataFrame, parents: DataFrame, children: DataFrame, key: str, stem: str, configuration: dict) -> DataFrame:
+    """A-2 whole: chunk_summary with the distinct stems of the documents, in order, and the configuration of the chunker as JSON."""
+    stems = docs.agg(F.array_sort(F.collect_set(F.when(F.col(stem) != "", F.col(stem)))).alias("unique_stems"))
+    settings = F.to_json(F.struct(*[F.lit(v).alias(k) for k, v in configuration.items()])).alias("configuration")
+    return chunk_summary(docs, parents, children, key).crossJoin(F.broadcast(stems)).withColumn("configuration", settings)  # one row each
+
+
+def document_counts(docs: DataFrame, parents: DataFrame, children: DataFrame, key: str) -> DataFrame:
+    """A-3, A-4: parents, children and children a parent of each document; zeros for a document without chunks."""
+    p, c = (x.groupBy(key).agg(F.count("*").alias(n)) for x, n in ((parents, "total_parents"), (children, "total_children")))
+    rows = docs.select(key).join(p, key, "left").join(c, key, "left").na.fill(0, ["total_parents", "total_children"])
+    return rows.withColumn("children_per_parent", F.coalesce(F.round(F.try_divide("total_children", "total_parents"), 1), F.lit(0.0)))
+
+
+def with_header(parents: DataFrame, wanted: str) -> DataFrame:
+    """F-13: the parents whose title has the wanted text, in either case."""
+    return parents.filter(F.lower("title").contains(wanted.lower()))
+
+
+def first_parents(parents: DataFrame, key: str, n: int) -> DataFrame:
+    """S-5: the first n parents of each document."""
+    return parents.withColumn("place", F.row_number().over(W.partitionBy(key).orderBy("section_no"))).filter(F.col("place") <= n).drop("place")
+
+
+def warning_histogram(logs: DataFrame, key: str, text: str) -> DataFrame:
+    """A-15: of each key its distinct warning lines, without blanks at their ends, and how often each came."""
+    lines = logs.select(key, F.explode(T.lines(F.col(text))).alias("line")).select(key, T.strip(F.col("line")).alias("warning"))
+    return lines.filter("warning <> ''").groupBy(key, "warning").agg(F.count("*").alias("n"))

@@ -9,6 +9,8 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from folio.functions import text as T
+from folio.operators.responses import checked, is_allowed
+from folio.sources.versioned import VersionedTable
 
 
 def stub_provider(sha: Column) -> Column:
@@ -40,10 +42,13 @@ def resolved(figures: DataFrame, summaries: DataFrame) -> DataFrame:
     return figures.join(summaries.select("token", "is_informative", "markdown_result"), "token", "left").withColumn("replacement", text)
 
 
-def violations(rows: DataFrame, allowed: DataFrame) -> DataFrame:
-    """V-1, J-11: errors of each summary, as an array. allowed (figure_type, rendering_strategy) is a fixed small matrix."""
-    known = F.broadcast(allowed.select("figure_type", "rendering_strategy", F.lit(True).alias("known")))  # a constant of the data model
-    c = rows.join(known, ["figure_type", "rendering_strategy"], "left")
+def violations(rows: DataFrame, allowed: DataFrame | None = None) -> DataFrame:
+    """V-1, J-11: errors of each summary, as an array. allowed (figure_type, rendering_strategy) is a fixed small matrix, by default that of the data model."""
+    if allowed is None:
+        c = rows.withColumn("known", F.when(is_allowed(F.col("figure_type"), F.col("rendering_strategy")), True))
+    else:
+        known = F.broadcast(allowed.select("figure_type", "rendering_strategy", F.lit(True).alias("known")))  # a constant of the data model
+        c = rows.join(known, ["figure_type", "rendering_strategy"], "left")
     decorative = F.col("figure_type") == "decorative"
     note = F.col("rendering_strategy") == "decorative_note"
     checks = {
@@ -53,13 +58,38 @@ def violations(rows: DataFrame, allowed: DataFrame) -> DataFrame:
     return c.withColumn("errors", F.array_compact(F.array(*[F.when(F.coalesce(x, F.lit(True)), F.lit(k)) for k, x in checks.items()]))).drop("known")
 
 
-SUMMARY = "figure_type string, rendering_strategy string, is_informative boolean, markdown_result string, confidence double"
-
-
 def stored(rows: DataFrame, key: str) -> DataFrame:
-    """SRC-13, SRC-14: what a store of JSON has under each key. What can't be read, or lacks a field, is a miss."""
-    found = rows.withColumn("s", F.from_json("json", SUMMARY)).select(key, "s.*")
-    return found.dropna().select(key, *[c for c in found.columns if c != key])
+    """SRC-13, SRC-14: what a store of JSON has under each key. What can't be read or does not agree with the contract of a summary is a miss."""
+    found = checked(rows.select(key, "json"), "json", ("token",)).filter("error IS NULL")
+    return found.select(key, "summary.*")
+
+
+def summarised(figures: DataFrame, store: VersionedTable, provider: Callable[[Column], Column]) -> DataFrame:
+    """SNK-7, J-2 across runs: figures with json and is_new. Contents (sha256) with a valid summary in the store are not summarised again.
+
+    provider gives the JSON of a summary from a content's hash. Its valid answers are appended to the store; others are
+    tried again in the next run. Of the figures of a content one is new, the others copy it. Figures without sha256 have no summary.
+    """
+    known = stored(store.latest().select("sha256", "json"), "sha256").select("sha256")
+    wanted = figures.filter("sha256 IS NOT NULL").select("sha256").distinct().join(known, "sha256", "left_anti")
+    answers = wanted.withColumn("json", provider(F.col("sha256")))
+    good = checked(answers, "json", ("token",)).filter("error IS NULL").select("sha256", "json")
+    before = store.version()
+    after = store.append(good, before)
+    new = store.changes(before).filter(F.col("version") == after).select("sha256", F.lit(True).alias("added"))
+    first = F.row_number().over(W.partitionBy("sha256").orderBy("job_id", "page_number", "index_on_page", "token")) == 1
+    rows = figures.withColumn("first", first).join(store.latest().select("sha256", "json"), "sha256", "left").join(new, "sha256", "left")
+    return rows.withColumn("is_new", F.coalesce(F.col("added") & F.col("first"), F.lit(False))).drop("added", "first", "version")
+
+
+def page_figures(pictures: DataFrame, pages: DataFrame) -> DataFrame:
+    """J-10: pictures (job_id, picture, image, provenance as an array of page numbers) on each page (job_id, page_number) that they name, numbered in their order.
+
+    A picture on several pages is on each; one without an image is left out; a page named twice has it once.
+    """
+    at = pictures.filter("image IS NOT NULL").select("job_id", "picture", "image", F.explode(F.array_distinct("provenance")).alias("page_number"))
+    rows = at.join(pages.select("job_id", "page_number").distinct(), ["job_id", "page_number"], "left_semi")
+    return rows.withColumn("index_on_page", (F.row_number().over(W.partitionBy("job_id", "page_number").orderBy("picture")) - 1).cast("long"))
 
 
 def effective_domain(domain: Column) -> Column:

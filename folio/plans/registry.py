@@ -87,9 +87,9 @@ def doc_lines(spark, sf_dir):
 
 @query(r"""
 SELECT doc_id, CAST(len(list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '(?i)\b(fig(?:ure)?|chart|diagram|flowchart)\s*[\.:]?\s*\d*'))) AS BIGINT) AS caption_lines
-FROM documents WHERE lang = 'en'""")
+FROM documents""")
 def doc_caption_lines_en(spark, sf_dir):
-    return table(spark, sf_dir, "documents").filter("lang = 'en'").select("doc_id", T.caption_lines(F.col("text")).alias("caption_lines"))
+    return table(spark, sf_dir, "documents").select("doc_id", T.caption_lines(F.col("text")).alias("caption_lines"))
 
 
 #: The texts name no figures: a frequent syllable stands for one, so that words begin with it, hold it and follow letters of all languages.
@@ -405,12 +405,18 @@ def summary_validation(spark, sf_dir):
     return figures.violations(rows, allowed).select("p_partkey", F.array_join("errors", ",").alias("errors"))
 
 
-@query("""SELECT p_partkey AS token, 'chart' AS figure_type, p_brand AS markdown_result, p_size % 2 = 0 AS is_informative FROM part WHERE p_partkey % 5 NOT IN (0, 1)""")
+@query("""SELECT p_partkey AS token, CASE WHEN p_size % 2 = 0 THEN 'chart' ELSE 'decorative' END AS figure_type, p_brand AS markdown_result, p_size % 2 = 0 AS is_informative FROM part
+WHERE p_partkey % 5 NOT IN (0, 1) AND p_partkey % 7 <> 0 AND (p_size % 2 = 0 OR p_partkey % 3 = 0)""")
 def summary_store(spark, sf_dir):
-    """Broken JSON and one without a field are misses."""
-    good = F.to_json(F.struct(F.lit("chart").alias("figure_type"), F.lit("plain_text_explanation").alias("rendering_strategy"), (F.col("p_size") % 2 == 0).alias("is_informative"), F.col("p_brand").alias("markdown_result"), F.lit(0.5).alias("confidence")))
-    json = F.when(F.col("p_partkey") % 5 == 0, F.left(good, F.lit(30))).when(F.col("p_partkey") % 5 == 1, '{"figure_type": "chart"}').otherwise(good)
-    return figures.stored(table(spark, sf_dir, "part").select(F.col("p_partkey").alias("token"), json.alias("json")), "token").select("token", "figure_type", "markdown_result", "is_informative")
+    """Broken JSON, one without a field, a confidence over 1, and charts that say they are not informative are misses."""
+    k, informative = F.col("p_partkey"), F.col("p_size") % 2 == 0
+    note = ~informative & (k % 3 == 0)
+    good = F.to_json(F.struct(
+        F.when(note, "decorative").otherwise("chart").alias("figure_type"), F.when(note, "decorative_note").otherwise("plain_text_explanation").alias("rendering_strategy"), informative.alias("is_informative"), F.col("p_brand").alias("markdown_result"),
+        F.lit("clear").alias("legibility"), F.when(k % 7 == 0, 1.5).otherwise(0.5).alias("confidence"), F.lit("legal").alias("document_domain"), F.concat(F.lit("${FIG:"), k.cast("string"), F.lit("}")).alias("token"),
+    ))
+    json = F.when(k % 5 == 0, F.left(good, F.lit(30))).when(k % 5 == 1, '{"figure_type": "chart"}').otherwise(good)
+    return figures.stored(table(spark, sf_dir, "part").select(k.alias("token"), json.alias("json")), "token").select("token", "figure_type", "markdown_result", "is_informative")
 
 
 @query("""SELECT p_partkey, CAST(CASE p_partkey % 4 WHEN 0 THEN p_size WHEN 1 THEN p_partkey ELSE 0 END AS BIGINT) AS reasoning_tokens, CAST(CASE WHEN p_partkey % 4 = 2 THEN 7 WHEN p_partkey % 4 < 2 THEN p_partkey + 1 ELSE 0 END AS BIGINT) AS output_tokens FROM part""")

@@ -1,6 +1,7 @@
 from pyspark.sql import functions as F
 
 from folio.functions import text as T
+from folio.operators import analytics
 from folio.operators.chunking import ChunkingConfig, blocks, child_chunks, sentence_pieces
 from folio.operators.sections import explode_sections, parent_chunks
 
@@ -65,3 +66,17 @@ def test_text_functions(spark):
     assert row(T.is_multi_column(edges(*[50] * 7, 320), F.lit(600.0))) is False
     assert row(T.is_multi_column(edges(*[50] * 7), F.lit(600.0))) is None
     assert row(F.array_join(sentence_pieces(F.lit("One. Two! three? Four"), 1), "|")) == "One.|Two! three?|Four"
+
+
+def test_corpus_figures(spark):
+    docs = spark.createDataFrame([("a", "x"), ("b", None), ("c", "x")], "doc string, stem string")
+    parents = spark.createDataFrame([("a", 0, "One Head"), ("a", 1, "Two"), ("b", 0, "head")], "doc string, section_no int, title string")
+    children = spark.createDataFrame([("a",), ("a",), ("a",)], "doc string")
+    r = analytics.corpus_summary(docs, parents, children, "doc", "stem", {"limit": 450, "name": "s"}).first()
+    assert (r.files, r.parents, r.children, r.parents_per_file, r.unique_stems, r.configuration) == (3, 3, 3, 1.0, ["x"], '{"limit":450,"name":"s"}')
+    got = {r.doc: (r.total_parents, r.total_children, r.children_per_parent) for r in analytics.document_counts(docs, parents, children, "doc").collect()}
+    assert got == {"a": (2, 3, 1.5), "b": (1, 0, 0.0), "c": (0, 0, 0.0)}
+    assert sorted((r.doc, r.title) for r in analytics.with_header(parents, "HEAD").collect()) == [("a", "One Head"), ("b", "head")]
+    assert sorted((r.doc, r.section_no) for r in analytics.first_parents(parents, "doc", 1).collect()) == [("a", 0), ("b", 0)]
+    logs = spark.createDataFrame([("p", " w1\nw2\n\nw1 \n"), ("q", None), ("q", "")], "doc string, log string")
+    assert sorted(map(tuple, analytics.warning_histogram(logs, "doc", "log").collect())) == [("p", "w1", 2), ("p", "w2", 1)]

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from folio.functions import text as T
 from folio.operators import analytics, errors, figures, pages, responses, routing
 from folio.plans.registry import ENGINE_SQL, MD_SQL, ORDER_SQL, PROFILE_SQL, engine_pages, order_pages, part_profiles, query, table
-from folio.sources import document_sink, files, ledger
+from folio.sources import document_sink, engines, files, ledger
 from folio.sources.page_store import PageStore
 from folio.sources.shared import work_dir
 from folio.sources.versioned import VersionedTable
@@ -128,6 +128,37 @@ def store_replay(spark, sf_dir):
     return pages.replayed(store.pages().drop("window_index"), again, plan).select("job_id", "page_number", "is_replayed", "engine", "duration_ms", "position")
 
 
+# Engines
+
+
+@query("""WITH d AS (SELECT CAST(doc_id AS VARCHAR) AS job_id, coalesce(text, '') AS text, CAST(greatest(1, ceil(length(coalesce(text, '')) / 1000)) AS BIGINT) AS n FROM documents),
+w AS (SELECT job_id, text, n, unnest(range(0, (n + 1) // 2)) AS k FROM d), p AS (SELECT job_id, k, unnest(range(2 * k + 1, least(2 * k + 2, n) + 1)) AS page, text FROM w),
+x AS (SELECT *, substr(text, CAST(1000 * (page - 1) + 1 AS BIGINT), 1000) AS md FROM p), b AS (SELECT job_id, min(k) AS broken FROM x WHERE contains(md, 'ess') GROUP BY 1)
+SELECT x.job_id, k AS window_index, page AS page_number, CASE WHEN broken IS NULL OR k < broken THEN 'first' ELSE 'second' END AS engine, NOT (broken IS NULL OR k < broken) AS is_degraded, md5(md) AS digest FROM x LEFT JOIN b ON b.job_id = x.job_id""")
+def engine_fallback(spark, sf_dir):
+    """Documents as pages of 1,000 characters in windows of two; the first engine can't convert a certain syllable."""
+    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("job_id"), F.coalesce("text", F.lit("")).alias("source"))
+    total = F.greatest(F.lit(1), F.ceil(F.length("source") / 1000)).cast("int")
+    starts = docs.select("job_id", "source", total.alias("n"), F.posexplode(F.sequence(F.lit(1), total, F.lit(2))).alias("window_index", "start_page"))
+    windows = starts.select("job_id", "window_index", "start_page", F.least(F.col("start_page") + 1, F.col("n")).alias("end_page"), "source")
+    found = engines.with_fallback(windows, engines.TextEngine("first", 1000, breaks_on="ess"), engines.TextEngine("second", 1000))
+    return found.filter("error IS NULL").select("job_id", "window_index", "page_number", "engine", "is_degraded", F.md5("markdown").alias("digest"))
+
+
+@query(r"""SELECT p_partkey, CASE p_partkey % 4 WHEN 0 THEN '' WHEN 1 THEN 'a <!-- figure --> b  c <!-- figure --> ' || p_name WHEN 2 THEN p_name || ' <!-- figure -->' ELSE p_name END AS markdown,
+  CASE p_partkey % 4 WHEN 1 THEN hex(encode('pic ' || p_partkey)) || ',' || hex(encode(p_brand)) WHEN 2 THEN hex(encode(p_brand)) ELSE '' END AS figures FROM part""")
+def engine_responses(spark, sf_dir):
+    """Answers of a page server: images under their names, links to images that it did not return, no result at all."""
+    k = F.col("p_partkey")
+    data = lambda text: F.concat(F.lit("data:image/png;base64,"), F.base64(F.encode(text, "utf-8")))
+    two = F.to_json(F.struct(F.create_map(F.lit("file"), F.struct(F.concat(F.lit("a ![](images/x.png) b ![gone](images/none.png) c ![y](y.png) "), "p_name").alias("md_content"), F.create_map(F.lit("x.png"), data(F.concat(F.lit("pic "), k.cast("string"))), F.lit("y.png"), data(F.col("p_brand"))).alias("images"))).alias("results")))
+    whole = F.to_json(F.struct(F.create_map(F.lit("file"), F.struct(F.concat("p_name", F.lit(" ![](deep/er/z.png)")).alias("md_content"), F.create_map(F.lit("deep/er/z.png"), data(F.col("p_brand")), F.lit("z.png"), F.lit("!!")).alias("images"))).alias("results")))
+    plain = F.to_json(F.struct(F.create_map(F.lit("file"), F.struct(F.col("p_name").alias("md_content"))).alias("results")))
+    response = F.when(k % 4 == 0, '{"results": {}}').when(k % 4 == 1, two).when(k % 4 == 2, whole).otherwise(plain)
+    page = table(spark, sf_dir, "part").select("p_partkey", engines.page_of_response(response).alias("page"))
+    return page.select("p_partkey", "page.markdown", F.array_join(F.transform("page.figures", F.hex), ",").alias("figures"))
+
+
 # Responses of models
 
 

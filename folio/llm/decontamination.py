@@ -12,6 +12,9 @@ The search loses no such alignment: a run of 2 * MIN_WORDS words or more can be
 trial of all cases, see the tests); SHORT_MASKS do so for shorter items. Words put in or left out move the rest to
 another alignment, where it counts only by itself.
 
+A phrase that many items share would join every document that has it with every such item. The meetings of such hot seeds
+are held against the words around on both sides within the join, so that they become rows only where enough words agree.
+
 Null and empty texts, rows without doc_id, and items of fewer than LEAST_ITEM words overlap with nothing. Items of equal
 words count as one, under their smallest item_id. Rows of the same doc_id count as one document, found where any of them
 overlaps. The work on a long text grows with its words and hits. Empty tables give an empty result. Other columns are
@@ -38,6 +41,13 @@ LONG_MASKS = ((0, 1, 3, 4), (0, 2, 5, 7))
 SHORT_MASKS = ((0, 1, 2), (0, 1, 3), (0, 2, 3))
 #: Alignments of a document that are looked at together.
 TOGETHER = 1000
+#: A seed that more places of items have is hot: its meetings are compared with the words around before they become rows.
+HOT = 32
+#: Words around a seed that a piece with it can reach, and how they are packed.
+FIRST, LAST, BYTES_OF = LONG_MASKS[0][-1] - (2 * MIN_WORDS - 2), 2 * MIN_WORDS - 2, 7
+CONTEXT = [f"c{k}" for k in range(-(-(LAST - FIRST + 1) // BYTES_OF))]
+#: Words of items that count as a row when the items are broadcast: eight bytes each.
+WORDS_OF_ROW = 4
 
 
 def word_hashes(text: Column) -> Column:
@@ -120,25 +130,79 @@ def counted_run(same: Column) -> Column:
     return F.coalesce(*[let(run(same), lambda r: F.when(counts(r), r)) for run in (best_run, likest_run)])
 
 
+def context(words: Column, at: Column, outside: int) -> list[Column]:
+    """The words around a place, from FIRST to LAST words after it, as bytes in BYTES_OF of a long: seven bits of each word's hash, or `outside` beyond the text."""
+
+    def byte(offset):
+        return F.coalesce(F.get(words, at + offset).bitwiseAND(127), F.lit(outside)) if offset <= LAST else F.lit(outside)
+
+    return [reduce(Column.bitwiseOR, [F.shiftleft(byte(FIRST + BYTES_OF * k + b).cast("long"), 8 * b) for b in range(BYTES_OF)]).alias(c) for k, c in enumerate(CONTEXT)]
+
+
+def shared_bytes(a: str, b: str) -> Column:
+    """How many words of two contexts may be equal: at least as many as are."""
+
+    def equal(x, y):
+        z, low = x.bitwiseXOR(y), F.lit(int("7f" * BYTES_OF, 16))
+        full = (z.bitwiseAND(low) + low).bitwiseOR(z)  # the high bit of each byte that differs
+        return BYTES_OF - F.bit_count(full.bitwiseAND(F.lit(int("80" * BYTES_OF, 16))))
+
+    return sum((equal(F.col(f"{a}.{c}"), F.col(f"{b}.{c}")) for c in CONTEXT), F.lit(0))
+
+
+def in_parts(rows: DataFrame, column: str) -> DataFrame:
+    """rows with the array of a column cut into arrays of TOGETHER at most, a row each; rows with an empty array go."""
+    parts = F.transform(F.sequence(F.lit(0), ((F.size(column) - 1) / TOGETHER).cast("int")), lambda g: F.slice(column, g * TOGETHER + 1, F.lit(TOGETHER)))
+    return rows.filter(F.size(column) > 0).select("doc_id", F.explode(parts).alias(column))
+
+
+def close_places(docs: DataFrame, places: DataFrame, items: DataFrame, keys: DataFrame) -> DataFrame:
+    """doc_id, hits of places (doc_id, places as an array of seed and at) and the keys of their seeds, where the words around agree enough for an overlap.
+
+    A run that counts and holds a seed has a piece of 2 * MIN_WORDS - 1 words at most around the seed that is as alike (see
+    above), so MIN_SIMILARITY of MIN_WORDS words, or of the item, are equal within a context. The pairs of a seed are
+    compared in the join, a few operations on longs each, and only those that pass become rows.
+    """
+    around = keys.join(small(items), "item_id").select("seed", "item_id", "n", "item_at", F.struct(*context(F.col("item"), F.col("item_at"), 255)).alias("there"))
+    around = written(around, "hot-contexts")
+    n_places = places.agg(F.sum(F.size("places"))).first()[0] or 0
+    texts = docs.join(small(places, n_places), "doc_id").select("doc_id", "places", word_hashes(F.col("text")).alias("d"))
+    one = let(F.col("d"), lambda d: F.transform("places", lambda p: F.struct(p["seed"].alias("seed"), p["at"].alias("at"), F.struct(*context(d, p["at"], 128)).alias("here"))))
+    here = texts.select("doc_id", F.explode(one).alias("p")).select("doc_id", "p.*")
+    needed = F.ceil(NEEDED * F.least(F.lit(MIN_WORDS), F.col("n")) / PARTS)
+    met = here.alias("h").join(small(around).alias("k"), (F.col("h.seed") == F.col("k.seed")) & (shared_bytes("here", "there") >= needed))
+    return met.select("doc_id", F.struct("item_id", "n", (F.col("at") - F.col("item_at")).alias("shift")).alias("hit")).groupBy("doc_id").agg(F.collect_set("hit").alias("hits"))
+
+
 def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """doc_id, item_id, start (word of the document), words, matched, similarity: the best overlap of each document with each item that it has one with."""
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.filter(F.split(F.lower(text_of()), r"[^\p{L}\p{N}]+"), lambda w: w != "").alias("w"))
     items = items.filter(F.size("w") >= LEAST_ITEM).groupBy("w").agg(F.min("item_id").alias("item_id"))
     items = written(items.select("item_id", F.transform("w", lambda w: F.xxhash64(w)).alias("item")), "items")
+    words_of_items = items.agg(F.sum(F.size("item"))).first()[0] or 0
+    held = small(items, words_of_items // WORDS_OF_ROW)
     short = F.size("item") < MIN_WORDS
     used = LONG_MASKS + (SHORT_MASKS if items.filter(short).limit(1).count() else ())
     keys = [items.filter(~short if m in LONG_MASKS else short).select("item_id", F.size("item").alias("n"), F.explode(seeds(F.col("item"), m)).alias("s")) for m in used]
     keys = written(reduce(DataFrame.unionAll, keys).select("item_id", "n", "s.seed", F.col("s.at").alias("item_at")).distinct(), "item-seeds")
+    hot = written(keys.groupBy("seed").agg(F.count("*").alias("k")).filter(F.col("k") > HOT).select("seed"), "hot-seeds")
+    no_item = [F.lit(None).cast(t).alias(c) for c, t in (("item_id", "long"), ("n", "int"))]
+    one_each = keys.join(small(hot), "seed", "left_anti").select("seed", "item_id", "n", "item_at").unionAll(hot.select("seed", *no_item, F.lit(None).cast("int").alias("item_at")))
+    one_each = written(one_each, "first-keys")
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text")).filter("doc_id is not null")
     found = docs.select("doc_id", F.explode(let(word_hashes(F.col("text")), lambda h: F.concat(*[seeds(h, m) for m in used]))).alias("s")).select("doc_id", "s.seed", "s.at")
-    hits = found.join(small(keys), "seed").select("doc_id", F.struct("item_id", "n", (F.col("at") - F.col("item_at")).alias("shift")).alias("hit"))
-    hits = hits.groupBy("doc_id").agg(F.collect_set("hit").alias("hits"))
-    hits = written(hits.select("doc_id", F.explode(F.transform(F.sequence(F.lit(0), ((F.size("hits") - 1) / TOGETHER).cast("int")), lambda g: F.slice("hits", g * TOGETHER + 1, F.lit(TOGETHER)))).alias("hits")), "hits")
+    known = F.col("item_id").isNotNull()
+    met = found.join(small(one_each), "seed").select("doc_id", F.when(known, F.struct("item_id", "n", (F.col("at") - F.col("item_at")).alias("shift"))).alias("hit"), F.when(~known, F.struct("seed", "at")).alias("place"))
+    met = written(met.groupBy("doc_id").agg(F.collect_set("hit").alias("hits"), F.collect_set("place").alias("places")), "met")
+    hits = met.select("doc_id", "hits")
+    if hot.limit(1).count():
+        hits = hits.unionAll(close_places(docs, in_parts(met, "places"), items, keys.join(small(hot), "seed", "left_semi")))
+    hits = written(in_parts(hits, "hits"), "hits")
     # the words are split once for each row of hits; each alignment gets those that lie under its item
     n_hits = hits.agg(F.sum(F.size("hits"))).first()[0] or 0
     lain = docs.join(small(hits, n_hits), "doc_id").select("doc_id", "hits", word_hashes(F.col("text")).alias("d"))
     lain = lain.select("doc_id", F.explode(let(F.col("d"), lambda d: F.transform("hits", lambda x: F.struct(x["item_id"].alias("item_id"), x["shift"].alias("shift"), F.slice(d, F.greatest(x["shift"], F.lit(0)) + 1, x["n"]).alias("d"))))).alias("x"))
-    pairs = lain.select("doc_id", "x.*").join(small(items), "item_id")
+    pairs = lain.select("doc_id", "x.*").join(held, "item_id")
     pairs = pairs.select("doc_id", "item_id", "shift", alike(F.col("d"), F.col("item"), F.least("shift", F.lit(0))).alias("same"))
     pairs = pairs.filter(F.size(F.filter("same", lambda x: x)) * PARTS >= NEEDED * F.least(F.lit(MIN_WORDS), F.size("same")))
     good = pairs.select("doc_id", "item_id", "shift", let(F.col("same"), counted_run).alias("o")).filter("o is not null")

@@ -2,6 +2,9 @@ import itertools
 import random
 import re
 
+import pytest
+
+from folio.llm import common
 from folio.llm import decontamination as d
 
 
@@ -140,3 +143,41 @@ def test_recall_of_edited_copies(spark):
     for r in got:
         run, item = text[r.doc_id][max(r.start, 0) : r.start + r.words], by_id[r.item_id]
         assert r.words >= min(d.MIN_WORDS, len(item)) and r.matched >= d.MIN_SIMILARITY * r.words and len(set(run) & set(item)) >= r.matched
+
+
+def test_hot_phrases_make_no_rows(spark, monkeypatch):
+    """Documents and items that share a common phrase and nothing else, and some that are alike beyond it."""
+    rng = random.Random(4)
+    phrase = "which of the following is true".split()
+    other = lambda k: [f"w{rng.randint(0, 10**9)}" for _ in range(k)]
+    items = [(i, phrase + other(8)) for i in range(2000)] + [(5000 + i, other(6) + phrase + other(5)) for i in range(500)]
+    docs = [(i, other(1) + phrase) for i in range(200)]
+    leaked = {}
+    for k in range(40):
+        item_id, item = items[k * 60]
+        body = list(item)
+        wrong = [x for x in range(len(body)) if body[x] not in phrase]
+        for x in rng.sample(wrong, len(item) // 4):  # all that may differ, so that the phrase is often the only seed
+            body[x] = f"x{rng.randint(0, 10**9)}"
+        docs.append((1000 + k, other(rng.randint(0, 30)) + body + other(rng.randint(0, 30))))
+        leaked[1000 + k] = item_id
+    sizes = {}
+
+    def counted(df, name, f=d.written):
+        out = f(df, name)
+        sizes[name] = out.agg(d.F.sum(d.F.size("hits"))).first()[0] or 0 if name == "hits" else out.count()
+        return out
+
+    monkeypatch.setattr(d, "written", counted)
+    got = d.overlaps(spark.createDataFrame([(i, " ".join(w)) for i, w in docs], "doc_id long, text string"), spark.createDataFrame([(i, " ".join(w)) for i, w in items], "item_id long, text string"))
+    assert {(r.doc_id, r.item_id) for r in got.collect()} == set(leaked.items())
+    assert sizes["hot-seeds"] >= 2 and sizes["hits"] < 2000
+
+
+@pytest.mark.parametrize("hot,rows", [(0, 500_000), (0, 0), (32, 0)])
+def test_every_way_finds_the_same(spark, monkeypatch, hot, rows):
+    """All seeds hot, and no table broadcast: the results of the other tests hold."""
+    monkeypatch.setattr(d, "HOT", hot)
+    monkeypatch.setattr(common, "BROADCAST_ROWS", rows)
+    test_against_brute_force(spark)
+    test_recall_of_edited_copies(spark)

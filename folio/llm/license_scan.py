@@ -6,9 +6,11 @@ also have give a hash; of WINDOW consecutive ones the least is looked up in the
 template on neighbouring diagonals make a candidate region; in it the best local alignment within BAND of the diagonal
 counts if it matches MIN_COVERAGE of the template's words. The templates are few and fixed, so tasks hold the index.
 
-A document can have several matches, of one template or of many; overlapping ones of a template give the best. A null or
-empty text has none. Repeated rows are scanned each for itself. An empty table gives an empty result. Other columns are
-ignored.
+A document can have several matches, of one template or of many; overlapping ones of a template give the best. Licenses
+share clauses, so that a text can match several templates in one place: is_best marks those that no overlapping match
+beats, by matched words, then by coverage. A null or empty text has none. Repeated rows are scanned each for itself. Long
+texts are scanned whole; the work grows with the words and the places where a template may begin. An empty table gives an
+empty result. Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -43,6 +45,19 @@ TEMPLATES = {
     "MPL-2.0 header": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/.",
     "Unlicense": "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means.",
     "CC-BY-4.0 notice": "This work is licensed under a Creative Commons Attribution 4.0 International License.",
+    "CC-BY-SA-4.0 notice": "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.",
+    "CC0-1.0 notice": "To the extent possible under law, the author(s) have dedicated all copyright and related and neighboring rights to this software to the public domain worldwide. This software is distributed without any warranty. You should have received a copy of the CC0 Public Domain Dedication along with this software. If not, see <http://creativecommons.org/publicdomain/zero/1.0/>.",
+    "GPL-2.0 header": "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version. This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public License for more details.",
+    "LGPL-2.1 header": "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version. This library is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU Lesser General Public License for more details.",
+    "LGPL-3.0 header": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version. This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU Lesser General Public License for more details.",
+    "AGPL-3.0 header": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version. This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU Affero General Public License for more details.",
+    "BSD-3-Clause": "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution. 3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.",
+    "BSD disclaimer": 'THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.',
+    "MIT disclaimer": 'THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.',
+    "ISC disclaimer": 'THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE.',
+    "0BSD": "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted.",
+    "Zlib": "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for any damages arising from the use of this software. Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and redistribute it freely, subject to the following restrictions:",
+    "BSL-1.0": 'Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software and accompanying documentation covered by this license (the "Software") to use, reproduce, display, distribute, execute, and transmit the Software, and to prepare derivative works of the Software, and to permit third-parties to whom the Software is furnished to do so, all subject to the following:',
 }
 
 
@@ -83,63 +98,82 @@ class Index:
         return out
 
 
-def align(doc: np.ndarray, template: np.ndarray, shift: int) -> tuple[int, int, int, int]:
-    """The best local alignment of template with doc near doc place = template place + shift: score, first and end place in doc, matched words."""
-    width = 2 * BAND + 1
-    empty = (0, -1, -1, 0)
-    best = empty
-    row = [empty] * (width + 2)  # cell c: doc place = template place + shift + c - BAND - 1
-    for j in range(len(template)):
-        new = [empty] * (width + 2)
+#: Regions aligned at once.
+TOGETHER = 4096
+
+
+def aligned(doc: np.ndarray, template: np.ndarray, shifts: np.ndarray) -> np.ndarray:
+    """first and end place in doc, and matched words, of the best local alignment of template near doc place = template place + shift, for each shift.
+
+    The cells of a band are walked in order, all shifts side by side. Of equal scores the one with more matched words counts,
+    then the first.
+    """
+    n, width = len(shifts), 2 * BAND + 1
+    none = np.array([0, -1, -1, 0], np.int64)  # score, first place, end, matched words
+    row, best = np.tile(none, (width + 2, n, 1)), np.tile(none, (n, 1))
+    padded = np.concatenate([doc, [-2]])
+    for j, word in enumerate(template.tolist()):
+        new = np.tile(none, (width + 2, n, 1))
         for c in range(1, width + 1):
-            i = j + shift + c - BAND - 1
-            if not 0 <= i < len(doc):
-                continue
-            score, start, _, matched = row[c]
-            if doc[i] == template[j]:
-                cell = (score + MATCH, start if score > 0 else i, i + 1, matched + 1 if score > 0 else 1)
-            elif score + MISMATCH > 0:
-                cell = (score + MISMATCH, start, i + 1, matched)
-            else:
-                cell = empty
+            at = shifts + (j + c - BAND - 1)  # doc place = template place + shift + c - BAND - 1
+            inside = (at >= 0) & (at < len(doc))
+            same = padded[np.where(inside, at, len(doc))] == word
+            before = row[c]
+            begun = before[:, 0] > 0
+            cell = before.copy()
+            cell[:, 0] += np.where(same, MATCH, MISMATCH)
+            cell[:, 1] = np.where(same & ~begun, at, cell[:, 1])
+            cell[:, 2] = at + 1
+            cell[:, 3] = np.where(same, np.where(begun, cell[:, 3] + 1, 1), cell[:, 3])
+            cell[cell[:, 0] <= 0] = none
             for other in (new[c - 1], row[c + 1]):  # a word more in the document, or in the template
-                if other[0] + GAP > cell[0]:
-                    cell = (other[0] + GAP, *other[1:])
+                further = other[:, 0] + GAP > cell[:, 0]
+                cell[further] = other[further] + np.array([GAP, 0, 0, 0])
+            cell[~inside] = none
             new[c] = cell
-            if cell[0] > best[0] or cell[0] == best[0] and cell[3] > best[3]:
-                best = cell
+            better = (cell[:, 0] > best[:, 0]) | (cell[:, 0] == best[:, 0]) & (cell[:, 3] > best[:, 3])
+            best[better] = cell[better]
         row = new
-    return best
+    return best[:, 1:]
+
+
+def regions(shifts: np.ndarray) -> np.ndarray:
+    """Of distinct ascending diagonals some, such that each is at most BAND // 2 above one; a spread of BAND lies in one's band."""
+    out, last = [], None
+    for s in np.unique(shifts).tolist():
+        if last is None or s > last + BAND // 2:
+            out.append(s)
+            last = s
+    return np.array(out, np.int64)
 
 
-def matches(doc: np.ndarray, index: Index) -> list[tuple[int, int, int, int]]:
-    """template, first and end word, matched words of all matches in a document's words (ids of the templates' vocabulary, or -1)."""
+def matches(doc: np.ndarray, index: Index) -> list[tuple[int, int, int, int, bool]]:
+    """template, first and end word, matched words, and whether no other template matches better there, of all matches in a document's words (ids of the templates' vocabulary, or -1)."""
     grams = index.grams(doc)
     near = np.isin(grams, index.known)
     if not near.any():
         return []
-    hits: dict[int, list[tuple[int, int]]] = {}
+    hits: dict[int, list[int]] = {}
     for at in winnowed(np.where(near, grams, -1)).tolist():
         for t, place in index.places.get(int(grams[at]), ()):
-            hits.setdefault(t, []).append((at, at - place))
+            hits.setdefault(t, []).append(at - place)
     out = []
     for t, found in hits.items():
-        template, regions = index.texts[t], []
-        for at, shift in sorted(found):
-            if not any(abs(shift - r) <= BAND // 2 for r in regions[-8:]):
-                regions.append(shift)
-        good = []
-        for shift in regions:
-            low = max(shift - BAND, 0)
-            score, start, end, matched = align(doc[low : shift + len(template) + BAND + 1], template, shift - low)
-            if matched >= MIN_COVERAGE * len(template):
-                good.append((matched, -(low + start), low + end))
-        taken: list[tuple[int, int]] = []
-        for matched, start, end in sorted(good, reverse=True):
-            if all(end <= a or -start >= b for a, b in taken):
-                taken.append((-start, end))
-                out.append((t, -start, end, matched))
-    return sorted(out, key=lambda m: (m[1], m[0]))
+        template, shifts = index.texts[t], regions(np.array(found, np.int64))
+        best = np.concatenate([aligned(doc, template, shifts[k : k + TOGETHER]) for k in range(0, len(shifts), TOGETHER)])
+        good = best[best[:, 2] >= MIN_COVERAGE * len(template)]
+        busy = np.zeros(len(doc), bool)
+        for start, end, matched in good[np.lexsort((good[:, 0], -good[:, 2]))].tolist():
+            if not busy[start:end].any():
+                busy[start:end] = True
+                out.append((t, start, end, matched))
+    # each word is painted by the matches over it, the better ones last
+    painted = np.full(len(doc), -1)
+    out.sort(key=lambda m: (m[3], m[3] / len(index.texts[m[0]]), -m[0], -m[1]))
+    for k, (_, start, end, _) in enumerate(out):
+        painted[start:end] = k
+    named = [(*m, bool((painted[m[1] : m[2]] <= k).all())) for k, m in enumerate(out)]
+    return sorted(named, key=lambda m: (m[1], m[0]))
 
 
 @functools.cache
@@ -148,7 +182,7 @@ def index_of(templates: tuple[tuple[str, str], ...]) -> Index:
 
 
 def licenses(docs: DataFrame, templates: dict[str, str] | None = None) -> DataFrame:
-    """doc_id, license, coverage, matched, start_word, end_word, start, end (code points): a row for each match."""
+    """doc_id, license, coverage, matched, start_word, end_word, start, end (code points), is_best: a row for each match."""
     key = tuple((templates or TEMPLATES).items())
 
     def run(batches):
@@ -166,13 +200,13 @@ def licenses(docs: DataFrame, templates: dict[str, str] | None = None) -> DataFr
                     if found:
                         spans = words_at(part.column("text")[row].as_py())
                         doc_id = part.column("doc_id")[row].as_py()
-                        out += [(doc_id, index.names[t], matched / len(index.texts[t]), matched, a, b, spans[a][0], spans[b - 1][1]) for t, a, b, matched in found]
+                        out += [(doc_id, index.names[t], matched / len(index.texts[t]), matched, a, b, spans[a][0], spans[b - 1][1], best) for t, a, b, matched, best in found]
                 if out:
-                    kinds = (pa.int64(), pa.string(), pa.float64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64())
-                    yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(zip(*out, strict=True), kinds, strict=True)], ["doc_id", "license", "coverage", "matched", "start_word", "end_word", "start", "end"])
+                    kinds = (pa.int64(), pa.string(), pa.float64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.bool_())
+                    yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(zip(*out, strict=True), kinds, strict=True)], ["doc_id", "license", "coverage", "matched", "start_word", "end_word", "start", "end", "is_best"])
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"))
-    return rows.mapInArrow(run, "doc_id long, license string, coverage double, matched long, start_word long, end_word long, start long, end long")
+    return rows.mapInArrow(run, "doc_id long, license string, coverage double, matched long, start_word long, end_word long, start long, end long, is_best boolean")
 
 
 def words_at(text: str) -> list[tuple[int, int]]:

@@ -200,7 +200,7 @@ def tokenized(docs: DataFrame, tokenizer_path: str, end_id: int) -> DataFrame:
 @dataclass(frozen=True)
 class TokenFiles:
     """The two tables of the file format. blocks: shard, block, doc_ids, sizes (ids of each document), control, data;
-    shards hold ascending ranges of doc_id, blocks follow one another in a shard. ranks: rank, id, frequency."""
+    before (ids of the shard before the block); shards hold ascending ranges of doc_id, blocks follow one another in a shard. ranks: rank, id, frequency."""
 
     blocks: str
     ranks: str
@@ -232,8 +232,8 @@ def write_tokens(docs: DataFrame, tokenizer_path: str, path: str, *, end_id: int
     def blocks(batches):
         from pyspark import TaskContext
 
-        shard, number = TaskContext.get().partitionId(), 0
-        names = pa.schema([("shard", pa.int32()), ("block", pa.int64()), ("doc_ids", pa.list_(pa.int64())), ("sizes", pa.list_(pa.int64())), ("control", pa.binary()), ("data", pa.binary())])
+        shard, number, before = TaskContext.get().partitionId(), 0, 0
+        names = pa.schema([("shard", pa.int32()), ("block", pa.int64()), ("before", pa.int64()), ("doc_ids", pa.list_(pa.int64())), ("sizes", pa.list_(pa.int64())), ("control", pa.binary()), ("data", pa.binary())])
         for batch in batches:
             if not batch.num_rows:
                 continue
@@ -243,11 +243,11 @@ def write_tokens(docs: DataFrame, tokenizer_path: str, path: str, *, end_id: int
             cuts = [0, *(np.flatnonzero(np.diff(ends // BLOCK_IDS)) + 1), len(ids)]
             for a, b in zip(cuts, cuts[1:], strict=False):
                 control, data = encode_lengths(values[ends[a] - sizes[a] : ends[b - 1]])
-                yield pa.RecordBatch.from_pydict({"shard": [shard], "block": [number], "doc_ids": pa.ListArray.from_arrays(pa.array([0, b - a], pa.int32()), ids.slice(a, b - a)), "sizes": [sizes[a:b]], "control": [control], "data": [data]}, names)
-                number += 1
+                yield pa.RecordBatch.from_pydict({"shard": [shard], "block": [number], "before": [before], "doc_ids": pa.ListArray.from_arrays(pa.array([0, b - a], pa.int32()), ids.slice(a, b - a)), "sizes": [sizes[a:b]], "control": [control], "data": [data]}, names)
+                number, before = number + 1, before + int(sizes[a:b].sum())
 
     ordered = tokens.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "ids")
-    ordered.mapInArrow(blocks, "shard int, block long, doc_ids array<long>, sizes array<long>, control binary, data binary").write.option("compression", "none").parquet(files.blocks)
+    ordered.mapInArrow(blocks, "shard int, block long, before long, doc_ids array<long>, sizes array<long>, control binary, data binary").write.option("compression", "none").parquet(files.blocks)
     return files
 
 
@@ -255,11 +255,10 @@ def decoded(spark, files: TokenFiles, emit, schema: str) -> DataFrame:
     """What emit(doc_ids, starts, sizes, ids) makes of each block; ids are little-endian unsigned 32-bit integers."""
     ids_of = spark.sparkContext.broadcast(np.array([r.id for r in spark.read.parquet(files.ranks).orderBy("rank").collect()], "<u4"))  # the vocabulary
     blocks = spark.read.parquet(files.blocks)
-    sizes = blocks.select("shard", "block", F.aggregate("sizes", F.lit(0).cast("long"), lambda a, x: a + x).alias("n"))
+    length = F.col("before") + F.aggregate("sizes", F.lit(0).cast("long"), lambda a, x: a + x)
     before, total = {}, 0
-    for r in sorted(sizes.groupBy("shard").agg(F.sum("n").alias("n")).collect()):  # a row for each shard
+    for r in sorted(blocks.groupBy("shard").agg(F.max(length).alias("n")).collect()):  # a row for each shard
         before[r.shard], total = total, total + r.n
-    earlier = sizes.withColumn("before", F.sum("n").over(W.partitionBy("shard").orderBy("block")) - F.col("n")).drop("n")
 
     def run(batches):
         for batch in batches:
@@ -269,7 +268,7 @@ def decoded(spark, files: TokenFiles, emit, schema: str) -> DataFrame:
                 ids = ids_of.value[decode_lengths(control.as_py(), data.as_py(), int(n.sum()))]
                 yield emit(doc_ids.values, laid(n) + before[shard.as_py()] + within.as_py(), n, ids)
 
-    return blocks.join(earlier, ["shard", "block"]).select("shard", "before", "doc_ids", "sizes", "control", "data").mapInArrow(run, schema)
+    return blocks.select("shard", "before", "doc_ids", "sizes", "control", "data").mapInArrow(run, schema)
 
 
 def read_tokens(spark, files: TokenFiles) -> DataFrame:

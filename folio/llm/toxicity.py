@@ -9,7 +9,8 @@ cutoff that is chosen on the training rows.
 
 Null and empty texts have no features and get the grade of the intercept, which is not toxic. Without labels of both
 kinds nothing is toxic. Labels of doc_ids that are not in the table, and rows with null labels, are ignored; a doc_id
-labelled more than once counts once, with the larger label. An empty table gives an empty result. Other columns are kept.
+labelled more than once counts once, with the larger label. Rows of equal doc_id are each graded; long texts are graded
+whole. An empty table gives an empty result. Other columns are kept.
 """
 
 from __future__ import annotations
@@ -129,45 +130,56 @@ def cutoff(p: np.ndarray, toxic: np.ndarray) -> float:
     values = np.unique(p)
     if len(values) < 2:
         return 0.5
-    cuts = (values[1:] + values[:-1]) / 2
-    missed = np.searchsorted(np.sort(p[toxic]), cuts) / toxic.sum()
-    wrong = 1 - np.searchsorted(np.sort(p[~toxic]), cuts) / (~toxic).sum()
-    return float(cuts[np.argmin(missed + CLEAN_COST * wrong)])
+    between = (values[1:] + values[:-1]) / 2
+    missed = np.searchsorted(np.sort(p[toxic]), between) / toxic.sum()
+    wrong = 1 - np.searchsorted(np.sort(p[~toxic]), between) / (~toxic).sum()
+    return float(between[np.argmin(missed + CLEAN_COST * wrong)])
 
 
 def sigmoid(z: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(z, -40, 40)))
 
 
+def cuts(theta: np.ndarray, n: int) -> np.ndarray:
+    """The thresholds: the first, then ever larger ones."""
+    return theta[n] + np.concatenate([[0], np.cumsum(np.exp(theta[n + 1 :]))])
+
+
+def loss_and_gradient(theta: np.ndarray, x: np.ndarray, grade: np.ndarray, weight: np.ndarray) -> tuple[float, np.ndarray]:
+    """The penalised negative log-likelihood of the cumulative-link model with weights theta[:n], and its gradient."""
+    rows, n = x.shape
+    gaps = GRADES - 1
+    above = sigmoid((x @ theta[:n])[:, None] - cuts(theta, n))  # P(grade > k)
+    full = np.hstack([np.ones((rows, 1)), above, np.zeros((rows, 1))])
+    slope = full * (1 - full)
+    at = np.arange(rows)
+    p = np.maximum(full[at, grade] - full[at, grade + 1], 1e-12)
+    dz = (slope[at, grade] - slope[at, grade + 1]) / p * weight
+    dcut = np.zeros(gaps)
+    for k in range(gaps):
+        dcut[k] = (-(slope[:, k + 1] / p * weight)[grade == k + 1].sum()) + ((slope[:, k + 1] / p * weight)[grade == k]).sum()
+    g = np.zeros_like(theta)
+    g[:n] = -(x.T @ dz) + PENALTY * theta[:n]
+    g[n] = -dcut.sum()
+    for k in range(1, gaps):
+        g[n + k] = -dcut[k:].sum() * np.exp(theta[n + k])
+    return float(-(weight * np.log(p)).sum() + PENALTY / 2 * (theta[:n] ** 2).sum()), g
+
+
 def fit(x: np.ndarray, grade: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Weights and thresholds of the most likely cumulative-link model, by Adam steps over all rows; grades weigh equally."""
     rows, n = x.shape
-    gaps = GRADES - 1
-    theta = np.zeros(n + gaps)
+    theta = np.zeros(n + GRADES - 1)
     theta[n] = 1.0  # the first threshold, then logarithms of the steps between thresholds
     share = np.bincount(grade, minlength=GRADES) / rows
     weight = np.where(grade == 0, 0.5 / max(share[0], 1e-9), 0.5 / max(1 - share[0], 1e-9)) / rows
     m, v = np.zeros_like(theta), np.zeros_like(theta)
     for t in range(1, STEPS + 1):
-        cut = theta[n] + np.concatenate([[0], np.cumsum(np.exp(theta[n + 1 :]))])
-        above = sigmoid((x @ theta[:n])[:, None] - cut)  # P(grade > k)
-        full = np.hstack([np.ones((rows, 1)), above, np.zeros((rows, 1))])
-        slope = full * (1 - full)
-        at = np.arange(rows)
-        p = np.maximum(full[at, grade] - full[at, grade + 1], 1e-12)
-        dz = (slope[at, grade] - slope[at, grade + 1]) / p * weight
-        dcut = np.zeros(gaps)
-        for k in range(gaps):
-            dcut[k] = (-(slope[:, k + 1] / p * weight)[grade == k + 1].sum()) + ((slope[:, k + 1] / p * weight)[grade == k]).sum()
-        g = np.zeros_like(theta)
-        g[:n] = -(x.T @ dz) + PENALTY * theta[:n]
-        g[n] = -dcut.sum()
-        for k in range(1, gaps):
-            g[n + k] = -dcut[k:].sum() * np.exp(theta[n + k])
+        _, g = loss_and_gradient(theta, x, grade, weight)
         m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
         theta -= RATE * 0.2 * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.999**t)) + 1e-9) * (1 - t / (STEPS + 1))
         theta[:n] = np.maximum(theta[:n], 0)
-    return theta[:n], theta[n] + np.concatenate([[0], np.cumsum(np.exp(theta[n + 1 :]))])
+    return theta[:n], cuts(theta, n)
 
 
 def graded(docs: DataFrame, model: Model) -> DataFrame:

@@ -1,3 +1,6 @@
+import math
+import random
+
 import numpy as np
 
 from folio.llm import toxicity as t
@@ -52,3 +55,45 @@ def test_rare_toxic_word_in_a_large_sample(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
     weights = t.train(docs.select("doc_id", "text"), docs.select("doc_id", "toxic")).weights
     assert {"0:vile", "0:rotter"} <= set(weights)
+
+
+def test_gradient_equals_finite_differences():
+    rng = np.random.default_rng(2)
+    x = (rng.random((40, 5)) < 0.5).astype(float)
+    grade, weight = rng.integers(0, t.GRADES, 40), rng.random(40) / 40
+    for _ in range(5):
+        theta = rng.normal(size=5 + t.GRADES - 1)
+        _, g = t.loss_and_gradient(theta, x, grade, weight)
+        for k in range(len(theta)):
+            step = np.zeros_like(theta)
+            step[k] = 1e-6
+            slope = (t.loss_and_gradient(theta + step, x, grade, weight)[0] - t.loss_and_gradient(theta - step, x, grade, weight)[0]) / 2e-6
+            assert math.isclose(slope, g[k], rel_tol=1e-4, abs_tol=1e-7)
+
+
+def plain_score(text, model):
+    """The contract in plain Python: each feature that a text has counts once; P(grade > k) for each threshold."""
+    marks = ".,!?;:\"'()[]{}*#$%&|<>-_/=+~`"
+    found = set()
+    for w in (text or "").lower().split():
+        w = w.strip(marks)
+        found |= {f"0:{w}"} | {f"{n}:{w[:n]}" for n in t.PREFIXES if len(w) > n}
+    z = sum(v for k, v in model.weights.items() if k in found)
+    above = [1 / (1 + math.exp(-(z - c))) for c in model.thresholds]
+    return sum(above), above[0], above[0] >= model.cutoff
+
+
+def test_scores_equal_plain_python(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
+    rng = random.Random(6)
+    long = " ".join(rng.choice(["vile", "wort", "Vile!", "(vileness)"]) for _ in range(400_000))
+    more = spark.createDataFrame([(2001, None), (2002, ""), (2003, long), (2004, "Vile vile VILE"), (2004, "Vile vile VILE"), (None, "vile wort")], docs.schema)
+    hand = t.Model({"0:vile": 2.5, "4:vile": 1.0, "5:vilen": 0.25, "0:wort": 0.5}, (1.0, 3.0), 0.6)
+    for model in (hand, t.train(docs, labels)):
+        rows = docs.unionAll(more)
+        want = sorted((r.doc_id or -1, *plain_score(r.text, model)) for r in rows.collect())
+        got = sorted((r.doc_id or -1, r.expected_severity, r.p_toxic, r.toxic) for r in t.graded(rows, model).collect())
+        assert len(got) == len(want)
+        for a, b in zip(got, want, strict=True):
+            assert (a[0], a[3]) == (b[0], b[3]) and math.isclose(a[1], b[1], abs_tol=1e-9) and math.isclose(a[2], b[2], abs_tol=1e-9)

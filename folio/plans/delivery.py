@@ -140,7 +140,7 @@ def engine_fallback(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("job_id"), F.coalesce("text", F.lit("")).alias("source"))
     total = F.greatest(F.lit(1), F.ceil(F.length("source") / 1000)).cast("int")
     starts = docs.select("job_id", "source", total.alias("n"), F.posexplode(F.sequence(F.lit(1), total, F.lit(2))).alias("window_index", "start_page"))
-    windows = starts.select("job_id", "window_index", "start_page", F.least(F.col("start_page") + 1, F.col("n")).alias("end_page"), "source")
+    windows = starts.select("job_id", "window_index", "start_page", F.least(F.col("start_page") + 1, F.col("n")).alias("end_page"), F.substring("source", 1000 * (F.col("start_page") - 1) + 1, F.lit(2000)).alias("source"))
     found = engines.with_fallback(windows, engines.TextEngine("first", 1000, breaks_on="ess"), engines.TextEngine("second", 1000))
     return found.filter("error IS NULL").select("job_id", "window_index", "page_number", "engine", "is_degraded", F.md5("markdown").alias("digest"))
 

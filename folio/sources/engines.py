@@ -39,14 +39,14 @@ class Engine:
 
 
 class TextEngine(Engine):
-    """A deterministic stand-in: the source is a text, a page so many of its characters; a page with the text `breaks_on` fails."""
+    """A deterministic stand-in: the source is the text of a window, a page so many of its characters; a page with the text `breaks_on` fails."""
 
     def __init__(self, name: str, characters: int = 2000, breaks_on: str | None = None):
         self.name, self.characters, self.breaks_on = name, characters, breaks_on
 
     def convert(self, source, pages):
-        for p in pages:
-            text = (source or "")[(p - 1) * self.characters : p * self.characters]
+        for k, p in enumerate(pages):
+            text = (source or "")[k * self.characters : (k + 1) * self.characters]
             if self.breaks_on and self.breaks_on in text:
                 raise ValueError(f"page {p} can't be converted")
             yield p, text, []
@@ -55,7 +55,8 @@ class TextEngine(Engine):
 def extracted(windows: DataFrame, engine: Engine) -> DataFrame:
     """PAGE of windows (job_id, window_index, start_page, end_page, source): a row a page, or one with an error, and no page, for a window that failed.
 
-    Windows are dealt out by job and window, so that a long document is converted in many tasks.
+    Windows are dealt out by job and window, so that a long document is converted in many tasks: source should be what the
+    engine needs for that window, or a path that it opens, not a whole document for each of its windows.
     """
 
     def rows(window) -> list[tuple]:
@@ -94,7 +95,7 @@ def with_fallback(windows: DataFrame, primary: Engine, fallback: Engine | None)
     """
     spark = windows.sparkSession
     path = work_dir(spark, "primary")
-    extracted(windows, primary).write.parquet(path)  # an engine's work is not done twice
+    extracted(windows, primary).write.option("compression", "zstd").parquet(path)  # an engine's work is not done twice
     first = spark.read.schema(PAGE).parquet(path)
     broken = first.filter("error IS NOT NULL").groupBy("job_id").agg(F.min("window_index").alias("broken_at"))
     kept = first.join(broken, "job_id", "left").filter("broken_at IS NULL OR window_index < broken_at").drop("broken_at").withColumn("is_degraded", F.lit(False))

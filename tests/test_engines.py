@@ -21,7 +21,7 @@ def windows(spark, texts, size=2, characters=10):
     rows = []
     for job, text in texts.items():
         n = max(1, -(-len(text) // characters))
-        rows += [(job, k, start, min(start + size - 1, n), text) for k, start in enumerate(range(1, n + 1, size))]
+        rows += [(job, k, start, min(start + size - 1, n), text[(start - 1) * characters : (start - 1 + size) * characters]) for k, start in enumerate(range(1, n + 1, size))]
     return spark.createDataFrame(rows, "job_id string, window_index long, start_page long, end_page long, source string")
 
 

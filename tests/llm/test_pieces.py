@@ -54,3 +54,13 @@ def test_unigram_paths_against_all_segmentations():
         at += n
         best = max(sum(model.score.get(w[a:b], -99) for a, b in zip((0, *cut), (*cut, len(w)))) for r in range(len(w)) for cut in itertools.combinations(range(1, len(w)), r))
         assert "".join(got) == w and abs(sum(map(model.score.get, got)) - best) < 1e-9
+
+
+def test_long_and_repeated_texts(spark):
+    rng = random.Random(2)
+    words = ["".join(rng.choices("abcdeéß日", k=rng.randint(1, 9))) for _ in range(3000)]
+    long = " ".join(rng.choice(words) for _ in range(400_000))
+    rows = [(1, long), (2, "once more"), (2, "once more"), (None, "once more"), (None, None)]
+    got = p.encoded(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1), PATH).collect()
+    assert sorted((r.doc_id or 0, r.n_pieces) for r in got) == sorted((i or 0, len(LIBRARY.encode(t or ""))) for i, t in rows)
+    assert all(r.round_trip and r.piece_ids == LIBRARY.encode(r.text or "") for r in got)

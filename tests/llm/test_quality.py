@@ -48,3 +48,14 @@ def test_edges(spark):
     both = spark.createDataFrame([(1, 1), (3, 0), (7, 0), (1, None)], "doc_id long, quality int")
     assert all(0 <= r.score <= 1 for r in q.scores(docs, both).collect())
     assert q.scores(docs.limit(0), labels.limit(0)).collect() == []
+
+
+def test_long_and_repeated_texts(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
+    lines = "\n".join(r.text for r in docs.orderBy("doc_id").limit(400).collect())
+    odd = [(5001, lines * 6), (5002, lines.replace("\n", " ") * 6), (5003, "plain words here"), (5003, "plain words here"), (None, "plain words here")]
+    assert min(len(t) for _, t in odd[:2]) > 5_000_000
+    got = q.scores(docs.unionAll(spark.createDataFrame(odd, docs.schema)), labels).filter("doc_id > 5000 OR doc_id IS NULL").collect()
+    assert len(got) == 5 and all(0 <= r.score <= 1 for r in got)
+    assert len({r.score for r in got if r.doc_id in (5003, None)}) == 1

@@ -58,7 +58,13 @@ class OpenDocument:
 
 @dataclass
 class Written(WriterCommitMessage):
-    files: list[tuple[str, str]] = field(default_factory=list)  # temporary and final name
+    """The names of an attempt's documents; the k-th lies in the hidden folder as attempt-k."""
+
+    attempt: str
+    names: list[str] = field(default_factory=list)
+
+    def files(self, writer: DocumentWriter) -> list[tuple[str, str]]:
+        return [(f"{writer.hidden}/{self.attempt}-{k}", writer.target(name)) for k, name in enumerate(self.names)]
 
 
 class DocumentWriter(DataSourceWriter):
@@ -78,7 +84,7 @@ class DocumentWriter(DataSourceWriter):
 
     def write(self, iterator):
         store, _, _ = opened(self.root)
-        done, now, name = Written(), None, None
+        done, now, name = Written(uuid.uuid4().hex), None, None
         names: set[str] = set()
         for row in iterator:
             if now is None or row["name"] != name:
@@ -88,8 +94,9 @@ class DocumentWriter(DataSourceWriter):
                 if name in names:
                     raise RuntimeError(f"rows of {name!r} do not follow one another")
                 names.add(name)
-                done.files.append((f"{self.hidden}/{uuid.uuid4().hex}", self.target(name)))
-                now = OpenDocument(store, done.files[-1][0])
+                self.target(name)
+                now = OpenDocument(store, f"{self.hidden}/{done.attempt}-{len(done.names)}")
+                done.names.append(name)
             value = row[self.value]
             now.append(b"" if value is None else value.encode() if isinstance(value, str) else bytes(value))
         if now is not None:
@@ -98,7 +105,7 @@ class DocumentWriter(DataSourceWriter):
 
     def commit(self, messages):
         store, _, _ = opened(self.root)
-        files = [f for m in messages if m for f in m.files]
+        files = [f for m in messages if m for f in m.files(self)]
         finals = {final for _, final in files}
         if len(finals) != len(files):
             self.abort(messages)

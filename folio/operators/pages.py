@@ -94,18 +94,29 @@ def footer(start_pages: Column) -> Column:
 
 
 def assembled(pages: DataFrame) -> DataFrame:
-    """X-3, W-5: one document for each job of pages with table tokens. Pages come in order of (page_number, arrival)."""
+    """X-3, W-5: one document for each job of pages with table tokens. Pages come in order of (page_number, arrival).
+
+    The pages are dealt out by job once; chains of fragments, pages and documents are then made where they lie.
+    """
     if "arrival" not in pages.columns:
         pages = pages.withColumn("arrival", F.lit(0))
-    tables = pages.select("job_id", F.posexplode("tables").alias("idx", "t")).select("job_id", "idx", "t.*")
-    chains = merged_tables(tables.select("job_id", "start_page", "page_number", "idx", "token", "markdown", "is_fragment"))
-    closed = chains.filter("closed").groupBy("job_id").agg(F.map_from_entries(F.collect_list(F.struct("token", "markdown"))).alias("closed"))
-    open_ = chains.filter("not closed").groupBy("job_id").agg(F.array_sort(F.collect_list("start_page")).alias("open"))
-    rows = pages.join(closed, "job_id", "left")
-    found = F.transform("tables", lambda t: F.struct(t["token"].alias("token"), F.when(t["is_fragment"], "").otherwise(F.coalesce(F.try_element_at("closed", t["token"]), t["markdown"])).alias("text")))
-    rows = rows.withColumn("body", T.clean_page(substitute(F.col("markdown_with_tokens"), found)))
-    docs = rows.groupBy("job_id").agg(F.count("*").alias("total_pages"), F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("page_number", "arrival", "body"))), lambda x: x["body"]), "\n").alias("body"))
-    return docs.join(open_, "job_id", "left").select("job_id", "total_pages", F.concat("body", footer(F.coalesce("open", F.array().cast("array<int>")))).alias("markdown"))
+    rows = pages.select("job_id", "page_number", "arrival", "markdown_with_tokens", "tables", F.monotonically_increasing_id().alias("row")).repartition("job_id")
+    t = rows.select("job_id", "page_number", "arrival", "row", "markdown_with_tokens", F.posexplode_outer("tables").alias("idx", "t")).withColumn("start_page", F.col("t.start_page"))
+    closes = F.coalesce(~F.col("t.is_fragment"), F.lit(False))
+    before = W.partitionBy("job_id", "start_page").orderBy("page_number", "idx").rowsBetween(W.unboundedPreceding, -1)
+    t = t.withColumn("chain", F.coalesce(F.sum(closes.cast("long")).over(before), F.lit(0)))
+    whole = W.partitionBy("job_id", "start_page", "chain").orderBy("page_number", "idx").rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
+    t = t.withColumn("pieces", F.collect_list(F.regexp_replace("t.markdown", r"\n+\z", "")).over(whole)).withColumn("closed", F.bool_or(closes).over(whole))
+    found = F.struct("idx", F.col("t.token").alias("token"), F.when(closes, F.array_join("pieces", "\n")).otherwise("").alias("text"))
+    is_table = F.col("idx").isNotNull()
+    each = t.groupBy("job_id", "row", "page_number", "arrival").agg(
+        F.first("markdown_with_tokens").alias("md"), F.array_sort(F.collect_list(F.when(is_table, found))).alias("found"), F.collect_set(F.when(is_table & ~F.col("closed"), F.col("start_page"))).alias("open")
+    )
+    body = T.clean_page(substitute(F.col("md"), F.transform("found", lambda x: F.struct(x["token"].alias("token"), x["text"].alias("text")))))
+    docs = each.select("job_id", "page_number", "arrival", "open", body.alias("body")).groupBy("job_id").agg(
+        F.count("*").alias("total_pages"), F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("page_number", "arrival", "body"))), lambda x: x["body"]), "\n").alias("body"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("open")))).alias("open")
+    )
+    return docs.select("job_id", "total_pages", F.concat("body", footer(F.col("open"))).alias("markdown"))
 
 
 def reordered(pages: DataFrame) -> DataFrame:

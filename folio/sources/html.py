@@ -4,94 +4,103 @@ from __future__ import annotations
 
 from html.parser import HTMLParser
 
-import pandas as pd
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from folio.functions import text as T
 
-EVENTS = "array<struct<kind:string,name:string,alt:string,src:string,colspan:string,rowspan:string,text:string>>"
 CANDIDATE = "struct<kind:string,page_number:int,location_label:string,area_ratio:double,caption_or_alt_text:string,nearby_text:string,evidence:array<string>>"
-#: Tags whose beginning or end the profile asks for.
-TAGS = {"script", "style", "figcaption", "table", "tr", "td", "th", "figure", "img", "svg"}
+PARSED = "page_id long, texts array<struct<text:string,caption:boolean>>, tags array<struct<name:string,alt:string,src:string,colspan:string,rowspan:string>>, widest int, nested boolean"
+#: Tags that the profile counts.
+TAGS = {"table", "td", "th", "figure", "img", "svg"}
 
 
-class Events(HTMLParser):
+def span(value: str | None) -> int:
+    """T-16: a positive number, else 1."""
+    return int(value) if value and value.isascii() and value.isdigit() and int(value) > 0 else 1
+
+
+class Page(HTMLParser):
+    """What the profile asks of a page, in order: texts outside scripts and styles, with whether they lie in a caption; tags; the most columns of a row that ends; whether a table begins inside another."""
+
     def __init__(self):
         super().__init__()
-        self.seen: list[tuple] = []
+        self.texts, self.tags = [], []
+        self.code = self.caption = self.nested = False
+        self.depth = self.row = self.widest = 0
 
     def handle_starttag(self, tag, attrs):
-        if tag in TAGS:
+        if tag in ("script", "style"):
+            self.code = True
+        elif tag == "figcaption":
+            self.caption = True
+        elif tag == "tr":
+            self.row = 0
+        elif tag in TAGS:
             a = dict(attrs)
-            self.seen.append(("start", tag, a.get("alt"), a.get("src"), a.get("colspan"), a.get("rowspan"), None))
+            self.tags.append((tag, a.get("alt"), a.get("src"), a.get("colspan"), a.get("rowspan")))
+            if tag == "table":
+                self.nested |= self.depth > 0
+                self.depth += 1
+            elif tag in ("td", "th"):
+                self.row += span(a.get("colspan"))
 
     def handle_endtag(self, tag):
-        if tag in TAGS:
-            self.seen.append(("end", tag, None, None, None, None, None))
+        if tag in ("script", "style"):
+            self.code = False
+        elif tag == "figcaption":
+            self.caption = False
+        elif tag == "table":
+            self.depth = max(self.depth - 1, 0)
+        elif tag == "tr":
+            self.widest = max(self.widest, self.row)
 
     def handle_data(self, data):
-        self.seen.append(("text", "", None, None, None, None, data))
-
-
-def listed(html: str | None) -> list[tuple]:
-    parser = Events()
-    parser.feed(html or "")
-    return parser.seen
-
-
-def html_events(pages: DataFrame) -> DataFrame:
-    """SRC-5: page_id and the events of its html, in order."""
-
-    def run(parts):
-        for pdf in parts:
-            yield pd.DataFrame({"page_id": pdf["page_id"], "events": [listed(h) for h in pdf["html"]]})
-
-    return pages.select(F.col("page_id").cast("long").alias("page_id"), "html").mapInPandas(run, f"page_id long, events {EVENTS}")
-
-
-def readable(events: Column) -> Column:
-    """Of each text event: its compacted text, whether it lies in a figure caption; scripts and styles are left out."""
-    state = "struct<code:boolean,caption:boolean,out:array<struct<text:string,caption:boolean>>>"
+        if not self.code:
+            self.texts.append((data, self.caption))
 
-    def step(s, e):
-        start = e["kind"] == "start"
-        code = F.when((e["kind"] != "text") & e["name"].isin("script", "style"), start).otherwise(s["code"])
-        caption = F.when((e["kind"] != "text") & (e["name"] == "figcaption"), start).otherwise(s["caption"])
-        said = T.compact(e["text"])
-        out = F.when((e["kind"] == "text") & ~s["code"] & said.isNotNull(), F.array_append(s["out"], F.struct(said.alias("text"), s["caption"].alias("caption")))).otherwise(s["out"])
-        return F.struct(code.alias("code"), caption.alias("caption"), out.alias("out"))
 
-    return F.aggregate(events, F.struct(F.lit(False), F.lit(False), F.array()).cast(state), step, lambda s: s["out"])
+def listed(rows: list[list[tuple]], names: list[str], kinds: list[pa.DataType]) -> pa.ListArray:
+    """A list of structs for each row."""
+    flat = [x for row in rows for x in row]
+    columns = [pa.array([x[k] for x in flat], kind) for k, kind in enumerate(kinds)]
+    ends = [0]
+    for row in rows:
+        ends.append(ends[-1] + len(row))
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.StructArray.from_arrays(columns, names))
 
 
-def table_shape(events: Column) -> Column:
-    """struct<widest, nested>: the most columns of a row that ends, and whether a table begins inside another."""
+def parsed(pages: DataFrame) -> DataFrame:
+    """SRC-5: PARSED of each page."""
+    text = pa.string()
 
-    def step(s, e):
-        start, end = e["kind"] == "start", e["kind"] == "end"
-        cell = start & e["name"].isin("td", "th")
-        depth = F.when(start & (e["name"] == "table"), s["depth"] + 1).when(end & (e["name"] == "table"), F.greatest(s["depth"] - 1, F.lit(0))).otherwise(s["depth"])
-        return F.struct(
-            depth.alias("depth"), F.when(start & (e["name"] == "tr"), 0).when(cell, s["row"] + T.span_of(e["colspan"])).otherwise(s["row"]).alias("row"),
-            F.when(end & (e["name"] == "tr"), F.greatest(s["widest"], s["row"])).otherwise(s["widest"]).alias("widest"), (s["nested"] | (start & (e["name"] == "table") & (s["depth"] >= 1))).alias("nested"),
-        )
+    def run(batches):
+        for batch in batches:
+            found = []
+            for source in batch.column("html").to_pylist():
+                found.append(page := Page())
+                page.feed(source or "")
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("page_id"), listed([p.texts for p in found], ["text", "caption"], [text, pa.bool_()]), listed([p.tags for p in found], ["name", "alt", "src", "colspan", "rowspan"], [text] * 5), pa.array([p.widest for p in found], pa.int32()), pa.array([p.nested for p in found], pa.bool_())],
+                ["page_id", "texts", "tags", "widest", "nested"],
+            )
 
-    zero = F.struct(F.lit(0), F.lit(0), F.lit(0), F.lit(False)).cast("struct<depth:int,row:int,widest:int,nested:boolean>")
-    return F.aggregate(events, zero, step)
+    return pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("html").cast("string").alias("html")).mapInArrow(run, PARSED)
 
 
 def html_profile(pages: DataFrame, per_page: int = 2000, keep: int = 10) -> DataFrame:
     """G-13, A-11: the evidence structs of each page."""
-    e = F.col("events")
-    count = lambda *names: F.size(F.filter(e, lambda x: (x["kind"] == "start") & x["name"].isin(*names))).cast("int")
-    rows = html_events(pages).withColumn("said", readable(e)).withColumn("shape", table_shape(e))
-    texts = F.transform("said", lambda x: x["text"])
+    e = F.col("tags")
+    count = lambda name: F.size(F.filter(e, lambda x: x["name"] == name)).cast("int")
+    said = F.filter(F.transform("texts", lambda x: F.struct(T.compact(x["text"]).alias("text"), x["caption"].alias("caption"))), lambda x: x["text"].isNotNull())
+    rows = parsed(pages).withColumn("said", said).drop("texts")
+    texts = F.col("said.text")
     rows = rows.withColumn("total_characters", F.length(F.array_join(texts, "\n")).cast("long")).withColumn("pages", T.estimated_pages(F.col("total_characters"), per_page))
     tagged = F.size(F.filter("said", lambda x: x["caption"] | T.has_caption(x["text"])))
-    merged = F.exists(e, lambda x: (x["kind"] == "start") & x["name"].isin("td", "th") & ((T.span_of(x["colspan"]) > 1) | (T.span_of(x["rowspan"]) > 1)))
+    merged = F.exists(e, lambda x: x["name"].isin("td", "th") & ((T.span_of(x["colspan"]) > 1) | (T.span_of(x["rowspan"]) > 1)))
     label = lambda x: F.when(x["name"] == "img", T.compact(x["src"], 120)).when(x["name"] == "svg", "inline <svg> element").otherwise(F.concat(F.lit("html <"), x["name"], F.lit("> element")))
-    found = F.transform(F.filter(e, lambda x: (x["kind"] == "start") & x["name"].isin("img", "svg", "figure", "table")), lambda x: F.struct(
+    found = F.transform(F.filter(e, lambda x: x["name"].isin("img", "svg", "figure", "table")), lambda x: F.struct(
         F.when(x["name"] == "img", "embedded_image").when(x["name"] == "figure", "figure_element").otherwise(x["name"]).alias("kind"), F.lit(None).cast("int").alias("page_number"), label(x).alias("location_label"), F.lit(None).cast("double").alias("area_ratio"),
         F.when(x["name"] == "img", T.compact(x["alt"])).alias("caption_or_alt_text"), F.lit(None).cast("string").alias("nearby_text"), F.array(F.concat(F.lit("<"), x["name"], F.lit("> tag found in HTML source"))).alias("evidence"),
     ))
@@ -102,7 +111,7 @@ def html_profile(pages: DataFrame, per_page: int = 2000, keep: int = 10) -> Data
     return rows.select(
         "page_id", F.lit("html").alias("file_type"), p.alias("page_or_unit_count"),
         F.struct(F.col("total_characters"), F.when(F.col("total_characters") > 0, p).otherwise(0).alias("pages_or_units_with_text"), (F.col("total_characters") / F.greatest(p, F.lit(1))).alias("estimated_text_density"), (F.col("total_characters") > 0).alias("native_text_available")).alias("text"),
-        F.struct(count("table").alias("count"), F.least(count("table"), p).alias("pages_or_units_with_tables"), F.lit(0).alias("large_count"), F.col("shape.widest").alias("max_column_count"), merged.alias("has_merged_cells"), F.col("shape.nested").alias("has_nested_tables")).alias("tables"),
+        F.struct(count("table").alias("count"), F.least(count("table"), p).alias("pages_or_units_with_tables"), F.lit(0).alias("large_count"), F.col("widest").alias("max_column_count"), merged.alias("has_merged_cells"), F.col("nested").alias("has_nested_tables")).alias("tables"),
         F.struct(F.lit(1).alias("column_count"), F.lit(False).alias("has_floating_text_boxes")).alias("layout"),
         F.struct(count("img").alias("embedded_image_count"), F.lit(0).alias("large_embedded_image_count"), F.lit(0).alias("vector_graphics_count"), F.lit(0).alias("chart_count"), count("svg").alias("svg_count"), F.least(visual, p).alias("pages_or_units_with_visuals"), (tagged + F.size(F.filter(texts, T.has_caption))).cast("int").alias("captioned_visual_count")).alias("visuals"),
         top_candidates(found, keep, by_area=False).alias("visual_candidates"),

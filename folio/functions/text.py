@@ -22,12 +22,16 @@ EXHAUSTION = ("out of memory", "oom", "cuda error")
 IMAGE = r"!\[[^\]]*\]\(([^)]+)\)"
 
 
+#: The characters of SPACE; trimming looks at the ends of a text only.
+SPACES = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\u00a0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
+
+
 def strip(c: Column) -> Column:
-    return F.regexp_replace(c, f"^{SPACE}+|{SPACE}+$", "")
+    return F.btrim(c, F.lit(SPACES))
 
 
 def rstrip(c: Column) -> Column:
-    return F.regexp_replace(c, f"{SPACE}+$", "")
+    return F.rtrim(c, F.lit(SPACES))
 
 
 def token_count(c: Column) -> Column:
@@ -55,8 +59,8 @@ def clean_page(c: Column, placeholder: str = PLACEHOLDER) -> Column:
 
 def lines(c: Column) -> Column:
     """G-1: lines without their ends; an empty text has none."""
-    body = F.regexp_replace(c, f"(?s)(?:{LINE_END})\\z", "")
-    return F.when(c == "", F.array().cast("array<string>")).otherwise(F.split(body, LINE_END, -1))
+    parts = F.split(c, LINE_END, -1)
+    return F.when(c == "", F.array().cast("array<string>")).otherwise(F.transform(F.array(parts), lambda p: F.when(F.element_at(p, -1) == "", F.slice(p, 1, F.size(p) - 1)).otherwise(p))[0])
 
 
 def sentences(c: Column) -> Column:

@@ -73,10 +73,51 @@ def scan_markdown(spark: SparkSession, root: str, pattern: str = "*.md", recursi
     return files.select(F.col("_metadata.file_path").alias("source_path"), F.col("value").alias("md"))
 
 
-def write_chunks(parents: DataFrame, children: DataFrame, path: str) -> None:
-    """SNK-2, SNK-3: both chunk tables as JSON lines."""
-    parents.write.mode("overwrite").json(f"{path}/parent_chunks")
-    children.write.mode("overwrite").json(f"{path}/child_chunks")
+def write_chunks(parents: DataFrame, children: DataFrame, path: str, stem: str | None = None) -> None:
+    """SNK-2: both chunk tables as JSON lines; with stem, a column of both, in a folder for each of its values."""
+    for rows, name in ((parents, "parent_chunks"), (children, "child_chunks")):
+        writer = rows.write.mode("overwrite")
+        (writer.partitionBy(stem) if stem else writer).json(f"{path}/{name}")
+
+
+def write_export(parents: DataFrame, children: DataFrame, path: str, key: str) -> None:
+    """SNK-3: what a vector store loads: parents with the ids of their children, children, and a row of figures for each document."""
+    parent_records(parents, children, key).write.mode("overwrite").json(f"{path}/parent_chunks")
+    child_records(children, key).write.mode("overwrite").json(f"{path}/child_chunks")
+    document_statistics(parents, children, key).write.mode("overwrite").json(f"{path}/document_metadata")
+
+
+def parent_records(parents: DataFrame, children: DataFrame, key: str) -> DataFrame:
+    """chunk_id, content, metadata of each parent, with its children's ids in order."""
+    ids = children.groupBy(F.col("parent_chunk_id").alias("chunk_id")).agg(F.transform(F.array_sort(F.collect_list(F.struct("chunk_index", "chunk_id"))), lambda x: x["chunk_id"]).alias("ids"))
+    found = F.coalesce("ids", F.array().cast("array<string>"))
+    metadata = F.struct(F.col(key).alias("document_id"), F.col("title").alias("header"), F.col("level").alias("header_level"), "section_path", "token_count", F.col("start_line").alias("line_start"), F.col("end_line").alias("line_end"), found.alias("child_chunk_ids"), F.size(found).alias("child_count"))
+    return parents.join(ids, "chunk_id", "left").select("chunk_id", F.col("page_content").alias("content"), metadata.alias("metadata"))
+
+
+def child_records(children: DataFrame, key: str) -> DataFrame:
+    """chunk_id, content, metadata of each child, with its parent's id."""
+    metadata = F.struct(F.col(key).alias("document_id"), "parent_chunk_id", F.col("title").alias("header"), "section_path", "token_count", "chunk_index", "block_types", F.col("start_line").alias("line_start"), F.col("end_line").alias("line_end"))
+    return children.select("chunk_id", F.col("page_content").alias("content"), metadata.alias("metadata"))
+
+
+def document_statistics(parents: DataFrame, children: DataFrame, key: str) -> DataFrame:
+    """document_name and the struct statistics of each document that has parents."""
+    p, c = parents.groupBy(key).agg(F.count("*").alias("p")), children.groupBy(key).agg(F.count("*").alias("c"))
+    n = F.coalesce("c", F.lit(0).cast("long"))
+    figures = F.struct(F.col("p").alias("total_parent_chunks"), n.alias("total_child_chunks"), F.round(n / F.col("p"), 2).alias("avg_children_per_parent"))
+    return p.join(c, key, "left").select(F.col(key).alias("document_name"), figures.alias("statistics"))
+
+
+def append_records(rows: DataFrame, path: str) -> None:
+    """SNK-10: records as JSON lines after those that are there."""
+    rows.write.mode("append").json(path)
+
+
+def scan_images(spark: SparkSession, root: str, recursive: bool = True) -> DataFrame:
+    """SRC-15: path, length, content of the pictures under root."""
+    wanted = F.lower(F.regexp_extract("path", r"\.([^./]+)$", 1)).isin("png", "jpg", "jpeg", "webp", "gif", "bmp", "tif", "tiff")
+    return spark.read.format("binaryFile").option("recursiveFileLookup", str(recursive).lower()).load(root).filter(wanted).select("path", "length", "content")
 
 
 def latest(rows: DataFrame, key: str, order: str) -> DataFrame:

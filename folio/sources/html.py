@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from folio.functions import text as T
 
 CANDIDATE = "struct<kind:string,page_number:int,location_label:string,area_ratio:double,caption_or_alt_text:string,nearby_text:string,evidence:array<string>>"
-PARSED = "page_id long, texts array<struct<text:string,caption:boolean>>, tags array<struct<name:string,alt:string,src:string,colspan:string,rowspan:string>>, widest int, nested boolean"
+PARSED = "texts array<struct<text:string,caption:boolean>>, tags array<struct<name:string,alt:string,src:string,colspan:string,rowspan:string>>, widest int, nested boolean"
 #: Tags that the profile counts.
 TAGS = {"table", "td", "th", "figure", "img", "svg"}
 
@@ -71,30 +71,30 @@ def listed(rows: list[list[tuple]], names: list[str], kinds: list[pa.DataType])
     return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.StructArray.from_arrays(columns, names))
 
 
-def parsed(pages: DataFrame) -> DataFrame:
-    """SRC-5: PARSED of each page."""
-    text = pa.string()
+def parsed(pages: DataFrame, key: str) -> DataFrame:
+    """SRC-5: key and PARSED of each page. html is a text, or bytes in UTF-8 of which those that are none are left out."""
+    text, kind = pa.string(), dict(pages.dtypes)[key]
 
     def run(batches):
         for batch in batches:
             found = []
             for source in batch.column("html").to_pylist():
                 found.append(page := Page())
-                page.feed(source or "")
+                page.feed(source.decode("utf-8", "ignore") if isinstance(source, bytes) else source or "")
             yield pa.RecordBatch.from_arrays(
-                [batch.column("page_id"), listed([p.texts for p in found], ["text", "caption"], [text, pa.bool_()]), listed([p.tags for p in found], ["name", "alt", "src", "colspan", "rowspan"], [text] * 5), pa.array([p.widest for p in found], pa.int32()), pa.array([p.nested for p in found], pa.bool_())],
-                ["page_id", "texts", "tags", "widest", "nested"],
+                [batch.column(key), listed([p.texts for p in found], ["text", "caption"], [text, pa.bool_()]), listed([p.tags for p in found], ["name", "alt", "src", "colspan", "rowspan"], [text] * 5), pa.array([p.widest for p in found], pa.int32()), pa.array([p.nested for p in found], pa.bool_())],
+                [key, "texts", "tags", "widest", "nested"],
             )
 
-    return pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("html").cast("string").alias("html")).mapInArrow(run, PARSED)
+    return pages.select(key, "html").mapInArrow(run, f"{key} {kind}, {PARSED}")
 
 
-def html_profile(pages: DataFrame, per_page: int = 2000, keep: int = 10) -> DataFrame:
-    """G-13, A-11: the evidence structs of each page."""
+def html_profile(pages: DataFrame, per_page: int = 2000, keep: int = 10, key: str = "page_id") -> DataFrame:
+    """G-13, A-11: the evidence structs of each page (key, html)."""
     e = F.col("tags")
     count = lambda name: F.size(F.filter(e, lambda x: x["name"] == name)).cast("int")
     said = F.filter(F.transform("texts", lambda x: F.struct(T.compact(x["text"]).alias("text"), x["caption"].alias("caption"))), lambda x: x["text"].isNotNull())
-    rows = parsed(pages).withColumn("said", said).drop("texts")
+    rows = parsed(pages, key).withColumn("said", said).drop("texts")
     texts = F.col("said.text")
     rows = rows.withColumn("total_characters", F.length(F.array_join(texts, "\n")).cast("long")).withColumn("pages", T.estimated_pages(F.col("total_characters"), per_page))
     tagged = F.size(F.filter("said", lambda x: x["caption"] | T.has_caption(x["text"])))
@@ -109,7 +109,7 @@ def html_profile(pages: DataFrame, per_page: int = 2000, keep: int = 10) -> Data
     p = F.col("pages").cast("int")
     visual = count("img") + count("svg") + count("figure")
     return rows.select(
-        "page_id", F.lit("html").alias("file_type"), p.alias("page_or_unit_count"),
+        key, F.lit("html").alias("file_type"), p.alias("page_or_unit_count"),
         F.struct(F.col("total_characters"), F.when(F.col("total_characters") > 0, p).otherwise(0).alias("pages_or_units_with_text"), (F.col("total_characters") / F.greatest(p, F.lit(1))).alias("estimated_text_density"), (F.col("total_characters") > 0).alias("native_text_available")).alias("text"),
         F.struct(count("table").alias("count"), F.least(count("table"), p).alias("pages_or_units_with_tables"), F.lit(0).alias("large_count"), F.col("widest").alias("max_column_count"), merged.alias("has_merged_cells"), F.col("nested").alias("has_nested_tables")).alias("tables"),
         F.struct(F.lit(1).alias("column_count"), F.lit(False).alias("has_floating_text_boxes")).alias("layout"),

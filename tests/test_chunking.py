@@ -4,6 +4,7 @@ from folio.functions import text as T
 from folio.operators import analytics
 from folio.operators.chunking import ChunkingConfig, blocks, child_chunks, sentence_pieces
 from folio.operators.sections import explode_sections, parent_chunks
+from folio.sources import files
 
 
 def parents(spark, md):
@@ -80,3 +81,26 @@ def test_corpus_figures(spark):
     assert sorted((r.doc, r.section_no) for r in analytics.first_parents(parents, "doc", 1).collect()) == [("a", 0), ("b", 0)]
     logs = spark.createDataFrame([("p", " w1\nw2\n\nw1 \n"), ("q", None), ("q", "")], "doc string, log string")
     assert sorted(map(tuple, analytics.warning_histogram(logs, "doc", "log").collect())) == [("p", "w1", 2), ("p", "w2", 1)]
+
+
+def test_exports(spark, tmp_path):
+    docs = spark.createDataFrame([(1, "# A\nfirst text\n## B\nsecond"), (2, "# C")], "doc long, md string")
+    p = parent_chunks(explode_sections(docs), "doc")
+    c = child_chunks(p)
+    files.write_export(p, c, str(tmp_path / "x"), "doc")
+    read = lambda name: {r.metadata.header: r for r in spark.read.json(str(tmp_path / "x" / name)).collect()}
+    parents, children = read("parent_chunks"), read("child_chunks")
+    assert {k: (r.metadata.document_id, r.metadata.header_level, r.metadata.child_count, r.metadata.section_path) for k, r in parents.items()} == {"A": (1, 1, 1, "A"), "B": (1, 2, 1, "A > B"), "C": (2, 1, 0, "C")}
+    assert all(parents[k].metadata.child_chunk_ids == [r.chunk_id] and r.metadata.parent_chunk_id == parents[k].chunk_id and r.metadata.block_types == ["paragraph"] for k, r in children.items())
+    stats = {r.document_name: tuple(r.statistics[k] for k in ("total_parent_chunks", "total_child_chunks", "avg_children_per_parent")) for r in spark.read.json(str(tmp_path / "x" / "document_metadata")).collect()}
+    assert stats == {1: (2, 2, 1.0), 2: (1, 0, 0.0)}
+    stem = F.concat(F.lit("s"), F.col("doc").cast("string"))
+    files.write_chunks(p.withColumn("stem", stem), c.withColumn("stem", stem), str(tmp_path / "y"), "stem")
+    assert sorted(d.name for d in (tmp_path / "y" / "parent_chunks").iterdir() if d.is_dir()) == ["stem=s1", "stem=s2"]
+    for k in range(2):
+        files.append_records(spark.createDataFrame([(k,)], "k int"), str(tmp_path / "z"))
+    assert sorted(r.k for r in spark.read.json(str(tmp_path / "z")).collect()) == [0, 1]
+    (tmp_path / "i").mkdir()
+    (tmp_path / "i" / "a.PNG").write_bytes(b"x")
+    (tmp_path / "i" / "b.txt").write_bytes(b"x")
+    assert [r.path.rsplit("/", 1)[1] for r in files.scan_images(spark, str(tmp_path / "i")).collect()] == ["a.PNG"]

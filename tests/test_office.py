@@ -3,7 +3,8 @@
 import io
 import zipfile
 
-from folio.operators import evidence, routing
+from folio.operators import evidence, profiles, routing
+from folio.sources import files as scanned
 from folio.sources import office
 
 W, WP, A, P, R = (f'xmlns:{k}="{office.NS[k]}"' for k in ("w", "wp", "a", "p", "r"))
@@ -94,3 +95,27 @@ def test_pptx(spark):
     ]
     assert d.visual_candidates[4].evidence == ["8 visual shapes on this slide; configured threshold is 8"]
     assert (got["empty"].page_or_unit_count, got["empty"].reason, got["empty"].visual_candidates) == (1, "ocr", [])
+
+
+def test_profiles_by_type(spark, tmp_path):
+    good = docx(para("Figure 1") + para("x" * 4001))
+    (tmp_path / "a.docx").write_bytes(good)
+    (tmp_path / "copy.docx").write_bytes(good)
+    (tmp_path / "b.docx").write_bytes(b"PK no zip")
+    (tmp_path / "c.html").write_bytes(b"<p>caf\xe9 \xc3\xa9</p><table><tr><td>1</td></tr></table>")
+    (tmp_path / "d.pdf").write_bytes(b"%PDF-1.4")
+    (tmp_path / "e.txt").write_bytes(b"text")
+    (tmp_path / "f.html").write_bytes(b"<p>" + b" ".join(b"<b>%d</b>" % k for k in range(300_000)) + b"</p>")
+    scan = scanned.scan_documents(spark, str(tmp_path))
+    got = {r.path.rsplit("/", 1)[1]: r for r in profiles.profiled(scan).collect()}
+    assert {k: r.error and (r.error["class"], r.error["message"]) for k, r in got.items()} == {
+        "a.docx": None, "copy.docx": None, "b.docx": ("DocumentError", "the document can't be read"), "c.html": None, "d.pdf": ("DocumentError", "no extractor for this type"), "e.txt": ("DocumentError", "the format is not supported"),
+        "f.html": ("DocumentTooLargeError", "the document has too many pages"),
+    }
+    assert got["a.docx"].page_or_unit_count == 3 and got["copy.docx"].visuals == got["a.docx"].visuals and got["f.html"].text is None
+    assert (got["c.html"].text["total_characters"], got["c.html"].tables["count"], got["c.html"].file_type) == (len("caf é\n1"), 1, "html")
+    pages = lambda rows: evidence.pdf_profile(rows.selectExpr("job_id", "1 AS page_number", "1.0D AS page_width", "1.0D AS page_height", "'text' AS text", "array(1.0D) AS block_left_edges", "cast(array() AS array<struct<x0:double,y0:double,x1:double,y1:double,col_count:int>>) AS table_boxes", "cast(array() AS array<struct<xref:int,x0:double,y0:double,x1:double,y1:double>>) AS image_boxes", "0 AS image_ref_count", "0 AS drawing_count"))
+    more = {r.path.rsplit("/", 1)[1]: r for r in profiles.profiled(scan, {"pdf": pages}).collect()}
+    assert more["d.pdf"].error is None and more["d.pdf"].page_or_unit_count == 1
+    routed = routing.routed(routing.requirements(profiles.profiled(scan).filter("error IS NULL").drop("error")))
+    assert {r.engine for r in routed.collect()} == {"docling"}

@@ -26,6 +26,9 @@ IMAGE = r"!\[[^\]]*\]\(([^)]+)\)"
 SPACES = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\u00a0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
 
 
+MOST = 2**31 - 1
+
+
 def strip(c: Column) -> Column:
     return F.btrim(c, F.lit(SPACES))
 
@@ -127,8 +130,8 @@ def area_fraction(area: Column, page_area: Column) -> Column:
 
 
 def span_of(c: Column) -> Column:
-    """T-16: a positive number, else 1."""
-    return F.when(c.rlike(r"^\d+$") & (c.cast("int") > 0), c.cast("int")).otherwise(1)
+    """T-16: a positive number (that of the largest integer at most), else 1."""
+    return F.when(c.rlike(r"^\d+$") & ~c.rlike("^0+$"), F.coalesce(c.try_cast("int"), F.lit(MOST))).otherwise(1)
 
 
 def preview(c: Column) -> Column:

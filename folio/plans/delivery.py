@@ -243,6 +243,18 @@ def engine_failures(spark, sf_dir):
     return table(spark, sf_dir, "part").select("p_partkey", T.is_exhaustion(message, F.lit(None).cast("string")).alias("is_exhaustion"), name.alias("output_name"))
 
 
+@query(r"""WITH t AS (SELECT p_partkey AS k, '${FIG:' || replace(p_brand, '#', ' ') || ':' || lpad(CAST(p_partkey % 1000 AS VARCHAR), 3, '0') || ':' || p_size || '}' AS token, CASE p_partkey % 4 WHEN 0 THEN 'out/B' || p_partkey || '/output.md' WHEN 1 THEN 'a/test_out/B' || p_partkey || '/x.md' WHEN 2 THEN 'out/output.md' ELSE 'x/B' || p_partkey END AS path FROM part)
+SELECT k AS p_partkey, token, starts_with(token, '${FIG:') AS is_figure, FALSE AS is_table, regexp_replace(regexp_replace(token, '[^0-9A-Za-z_-]+', '__', 'g'), '^_+|_+$', '', 'g') AS filename, CASE WHEN k % 4 < 2 THEN 'B' || k END AS stem,
+  CAST(CASE k % 5 WHEN 0 THEN p_size WHEN 1 THEN 2147483647 ELSE 1 END AS INT) AS span, p_size / greatest(CAST(k % 7 AS DOUBLE), 1.0) AS share FROM t JOIN part ON p_partkey = k""")
+def token_helpers(spark, sf_dir):
+    k, z = F.col("p_partkey"), F.col("p_size")
+    token = T.figure_token(F.replace(F.col("p_brand"), F.lit("#"), F.lit(" ")), k % 1000, z)
+    name = F.concat(F.lit("B"), k.cast("string"))
+    path = F.when(k % 4 == 0, F.concat(F.lit("out/"), name, F.lit("/output.md"))).when(k % 4 == 1, F.concat(F.lit("a/test_out/"), name, F.lit("/x.md"))).when(k % 4 == 2, "out/output.md").otherwise(F.concat(F.lit("x/"), name))
+    span = F.when(k % 5 == 0, z.cast("string")).when(k % 5 == 1, "9" * 30).when(k % 5 == 2, "000").when(k % 5 == 3, "-2")
+    return table(spark, sf_dir, "part").select("p_partkey", token.alias("token"), T.is_token(token).alias("is_figure"), T.is_token(token, "TBL").alias("is_table"), T.token_filename(token).alias("filename"), T.pdf_stem(path).alias("stem"), T.span_of(span).alias("span"), T.area_fraction(z.cast("double"), (k % 7).cast("double")).alias("share"))
+
+
 # Streams
 
 

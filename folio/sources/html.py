@@ -17,8 +17,9 @@ TAGS = {"table", "td", "th", "figure", "img", "svg"}
 
 
 def span(value: str | None) -> int:
-    """T-16: a positive number, else 1."""
-    return int(value) if value and value.isascii() and value.isdigit() and int(value) > 0 else 1
+    """T-16, as text.span_of."""
+    digits = value.lstrip("0") if value and value.isascii() and value.isdigit() else ""
+    return min(int(digits[:11]), T.MOST) if digits else 1
 
 
 class Page(HTMLParser):
@@ -54,7 +55,7 @@ class Page(HTMLParser):
         elif tag == "table":
             self.depth = max(self.depth - 1, 0)
         elif tag == "tr":
-            self.widest = max(self.widest, self.row)
+            self.widest = min(max(self.widest, self.row), T.MOST)
 
     def handle_data(self, data):
         if not self.code:

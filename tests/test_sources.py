@@ -20,6 +20,8 @@ def test_html_profile(spark):
     got = routing.routed(routing.requirements(profile(spark, "<svg></svg>"))).first()
     assert (got.engine, got.confidence, got.requirements["needs_ocr"], got.requirements["needs_visual_semantics"]) == ("docling", 0.98, True, True)
     assert profile(spark, None).first().page_or_unit_count == 1
+    r = profile(spark, f"<table><tr><td colspan={'9' * 6000}></td><td colspan=9999999999></td><td colspan=00></td></tr></table>").first()
+    assert (r.tables["max_column_count"], r.tables["has_merged_cells"]) == (2**31 - 1, True)
 
 
 def test_scans(spark, tmp_path):

@@ -75,13 +75,14 @@ def winnowed(grams: np.ndarray) -> np.ndarray:
 
 
 class Index:
-    """The templates' words and fingerprints."""
+    """The templates' words, how often each has them, and fingerprints."""
 
     def __init__(self, templates: dict[str, str]):
         self.names = list(templates)
         distinct, index, offsets = words(pa.array(list(templates.values()), pa.string()))
         self.vocabulary = pa.array(distinct, pa.string())
         self.texts = [index[a:b].astype(np.int64) for a, b in zip(offsets, offsets[1:], strict=False)]
+        self.bags = [np.unique(text, return_counts=True) for text in self.texts]
         self.places: dict[int, list[tuple[int, int]]] = {}
         for t, text in enumerate(self.texts):
             grams = self.grams(text)
@@ -97,18 +98,25 @@ class Index:
             out = np.where((out < 0) | (part < 0), -1, out * len(self.vocabulary) + part)
         return out
 
+    def may_match(self, t: int, window: np.ndarray) -> bool:
+        """Whether a window has enough of a template's words, in whatever order."""
+        distinct, counts = self.bags[t]
+        there = np.bincount(window[window >= 0], minlength=len(self.vocabulary))
+        return np.minimum(there[distinct], counts).sum() >= MIN_COVERAGE * len(self.texts[t])
+
 
 #: Regions aligned at once.
 TOGETHER = 4096
 
 
-def aligned(doc: np.ndarray, template: np.ndarray, shifts: np.ndarray) -> np.ndarray:
-    """first and end place in doc, and matched words, of the best local alignment of template near doc place = template place + shift, for each shift.
+def aligned(doc: np.ndarray, template: np.ndarray, shifts: np.ndarray, low: np.ndarray | int = 0, high: np.ndarray | int | None = None) -> np.ndarray:
+    """first and end place in doc, and matched words, of the best local alignment of template near doc place = template place + shift, for each shift, within the places from low to high.
 
     The cells of a band are walked in order, all shifts side by side. Of equal scores the one with more matched words counts,
     then the first.
     """
     n, width = len(shifts), 2 * BAND + 1
+    high = len(doc) if high is None else high
     none = np.array([0, -1, -1, 0], np.int64)  # score, first place, end, matched words
     row, best = np.tile(none, (width + 2, n, 1)), np.tile(none, (n, 1))
     padded = np.concatenate([doc, [-2]])
@@ -116,7 +124,7 @@ def aligned(doc: np.ndarray, template: np.ndarray, shifts: np.ndarray) -> np.nda
         new = np.tile(none, (width + 2, n, 1))
         for c in range(1, width + 1):
             at = shifts + (j + c - BAND - 1)  # doc place = template place + shift + c - BAND - 1
-            inside = (at >= 0) & (at < len(doc))
+            inside = (at >= low) & (at < high)
             same = padded[np.where(inside, at, len(doc))] == word
             before = row[c]
             begun = before[:, 0] > 0
@@ -147,28 +155,33 @@ def regions(shifts: np.ndarray) -> np.ndarray:
     return np.array(out, np.int64)
 
 
-def matches(doc: np.ndarray, index: Index) -> list[tuple[int, int, int, int, bool]]:
-    """template, first and end word, matched words, and whether no other template matches better there, of all matches in a document's words (ids of the templates' vocabulary, or -1)."""
+def candidates(doc: np.ndarray, index: Index) -> dict[int, list[int]]:
+    """Of each template the regions of a document, as diagonals, that have enough of its words."""
     grams = index.grams(doc)
     near = np.isin(grams, index.known)
-    if not near.any():
-        return []
     hits: dict[int, list[int]] = {}
     for at in winnowed(np.where(near, grams, -1)).tolist():
         for t, place in index.places.get(int(grams[at]), ()):
             hits.setdefault(t, []).append(at - place)
-    out = []
+    out = {}
     for t, found in hits.items():
-        template, shifts = index.texts[t], regions(np.array(found, np.int64))
-        best = np.concatenate([aligned(doc, template, shifts[k : k + TOGETHER]) for k in range(0, len(shifts), TOGETHER)])
-        good = best[best[:, 2] >= MIN_COVERAGE * len(template)]
-        busy = np.zeros(len(doc), bool)
-        for start, end, matched in good[np.lexsort((good[:, 0], -good[:, 2]))].tolist():
-            if not busy[start:end].any():
-                busy[start:end] = True
-                out.append((t, start, end, matched))
+        n = len(index.texts[t])
+        kept = [s for s in regions(np.array(found, np.int64)).tolist() if index.may_match(t, doc[max(s - BAND, 0) : max(s + n + BAND, 0)])]
+        if kept:
+            out[t] = kept
+    return out
+
+
+def chosen(found: list[tuple[int, int, int, int]], size: int, index: Index) -> list[tuple[int, int, int, int, bool]]:
+    """Of a document's matches (template, first and end word, matched words) the best of overlapping ones of a template, with whether no other template matches better there."""
+    out, busy = [], {}
+    for t, start, end, matched in sorted(found, key=lambda m: (-m[3], m[1])):
+        taken = busy.setdefault(t, np.zeros(size, bool))
+        if not taken[start:end].any():
+            taken[start:end] = True
+            out.append((t, start, end, matched))
     # each word is painted by the matches over it, the better ones last
-    painted = np.full(len(doc), -1)
+    painted = np.full(size, -1)
     out.sort(key=lambda m: (m[3], m[3] / len(index.texts[m[0]]), -m[0], -m[1]))
     for k, (_, start, end, _) in enumerate(out):
         painted[start:end] = k
@@ -176,6 +189,24 @@ def matches(doc: np.ndarray, index: Index) -> list[tuple[int, int, int, int, boo
     return sorted(named, key=lambda m: (m[1], m[0]))
 
 
+def matches(ids: np.ndarray, offsets: np.ndarray, rows: list[int], index: Index) -> dict[int, list[tuple[int, int, int, int, bool]]]:
+    """Of some documents (ids of the templates' vocabulary, or -1, between offsets) their chosen() matches. A template is aligned with all its regions in all of them at once."""
+    wanted: dict[int, list[tuple[int, int]]] = {}
+    for row in rows:
+        a, b = int(offsets[row]), int(offsets[row + 1])
+        for t, shifts in candidates(ids[a:b], index).items():
+            wanted.setdefault(t, []).extend((row, a + s) for s in shifts)
+    found: dict[int, list[tuple[int, int, int, int]]] = {}
+    for t, places in wanted.items():
+        for at in range(0, len(places), TOGETHER):
+            row, shift = np.array(places[at : at + TOGETHER], np.int64).T
+            best = aligned(ids, index.texts[t], shift, offsets[row], offsets[row + 1])
+            good = best[:, 2] >= MIN_COVERAGE * len(index.texts[t])
+            for r, (start, end, matched) in zip(row[good].tolist(), best[good].tolist(), strict=True):
+                found.setdefault(r, []).append((t, start - int(offsets[r]), end - int(offsets[r]), matched))
+    return {r: chosen(m, int(offsets[r + 1] - offsets[r]), index) for r, m in found.items()}
+
+
 @functools.cache
 def index_of(templates: tuple[tuple[str, str], ...]) -> Index:
     return Index(dict(templates))
@@ -195,12 +226,10 @@ def licenses(docs: DataFrame, templates: dict[str, str] | None = None) -> DataFr
                 near = np.isin(index.grams(ids), index.known)  # over text ends too; only picks the texts to look at
                 looked = np.unique(np.searchsorted(offsets, np.flatnonzero(near), "right") - 1)
                 out = []
-                for row in looked.tolist():
-                    found = matches(ids[offsets[row] : offsets[row + 1]], index)
-                    if found:
-                        spans = words_at(part.column("text")[row].as_py())
-                        doc_id = part.column("doc_id")[row].as_py()
-                        out += [(doc_id, index.names[t], matched / len(index.texts[t]), matched, a, b, spans[a][0], spans[b - 1][1], best) for t, a, b, matched, best in found]
+                for row, found in sorted(matches(ids, offsets, looked.tolist(), index).items()):
+                    spans = words_at(part.column("text")[row].as_py())
+                    doc_id = part.column("doc_id")[row].as_py()
+                    out += [(doc_id, index.names[t], matched / len(index.texts[t]), matched, a, b, spans[a][0], spans[b - 1][1], best) for t, a, b, matched, best in found]
                 if out:
                     kinds = (pa.int64(), pa.string(), pa.float64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.bool_())
                     yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(zip(*out, strict=True), kinds, strict=True)], ["doc_id", "license", "coverage", "matched", "start_word", "end_word", "start", "end", "is_best"])

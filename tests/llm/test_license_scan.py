@@ -103,6 +103,9 @@ def test_alignments_side_by_side():
         doc = np.array([rng.randint(-1, 4) for _ in range(rng.randint(0, 30))], np.int64)
         shifts = np.arange(-8, len(doc) + 8)
         assert [tuple(x) for x in ls.aligned(doc, template, shifts).tolist()] == [align(doc, template, int(s)) for s in shifts]
+        low, high = np.sort(np.array([[rng.randint(0, len(doc)) for _ in range(2)] for _ in shifts]), axis=1).T
+        cut = [align(doc[a:b], template, int(s) - a) for s, a, b in zip(shifts, low.tolist(), high.tolist(), strict=True)]
+        assert [tuple(x) for x in ls.aligned(doc, template, shifts, low, high).tolist()] == [(x + a, y + a, m) if m else (x, y, m) for (x, y, m), a in zip(cut, low.tolist(), strict=True)]
 
 
 def test_the_right_license_is_best(spark):

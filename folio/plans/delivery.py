@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 
 from folio.functions import text as T
 from folio.operators import analytics, errors, figures, pages, responses, routing
-from folio.plans.registry import ENGINE_SQL, MD_SQL, ORDER_SQL, PROFILE_SQL, engine_pages, order_pages, part_profiles, query, table
+from folio.plans import conversion
+from folio.plans.registry import ENGINE_SQL, HTML_SQL, MD_SQL, ORDER_SQL, PROFILE_SQL, engine_pages, order_pages, part_profiles, query, table
 from folio.sources import document_sink, engines, files, ledger
 from folio.sources.page_store import PageStore
 from folio.sources.shared import work_dir
@@ -159,6 +160,21 @@ def engine_responses(spark, sf_dir):
     return page.select("p_partkey", "page.markdown", F.array_join(F.transform("page.figures", F.hex), ",").alias("figures"))
 
 
+BLANK = " chr(9) || chr(10) || chr(11) || chr(12) || chr(13) || chr(28) || chr(29) || chr(30) || chr(31) || ' ' || chr(133) || chr(160) "
+
+
+@query(f"""WITH {HTML_SQL}, s AS (SELECT sha256(html) AS job_id, k.pages AS n, unnest(range(1, k.pages + 1)) AS page, html FROM pages JOIN k USING (page_id)),
+x AS (SELECT DISTINCT job_id, n, page, trim(regexp_replace(regexp_replace(substr(html, 1500 * (page - 1) + 1, 1500), '\\r\\n?', chr(10), 'g'), '\\n{{3,}}', chr(10) || chr(10), 'g'), {BLANK}) AS md FROM s)
+SELECT job_id, CAST(n AS BIGINT) AS total_pages, md5(string_agg(trim(regexp_replace(regexp_replace(md, '[ \\t]+\\n', chr(10), 'g'), '\\n{{3,}}', chr(10) || chr(10), 'g'), chr(10)) || chr(10), chr(10) ORDER BY page)) AS digest FROM x GROUP BY job_id, n""")
+def conversion_run(spark, sf_dir):
+    """Web pages as files, from the scan to the published documents, which are read again."""
+    root, out, state = work_dir(spark, "sources"), work_dir(spark, "converted"), work_dir(spark, "state")
+    document_sink.publish(table(spark, sf_dir, "pages").select(F.concat(F.lit("p"), F.col("page_id").cast("string"), F.lit(".html")).alias("name"), F.col("html").alias("text")), root)
+    done = conversion.convert(spark, root, out, state, {"docling": engines.FileEngine("docling", 1500)}, None, lambda sha: F.lit(None).cast("string"))
+    read = files.scan_markdown(spark, out, recursive=True).select(F.regexp_extract("source_path", r"/([0-9a-f]{64})/output/[^/]*$", 1).alias("job_id"), F.md5("md").alias("digest"))
+    return done.filter("error IS NULL").select("job_id", "total_pages").distinct().join(read, "job_id").select("job_id", "total_pages", "digest")
+
+
 # Responses of models
 
 

@@ -17,6 +17,7 @@ from folio.functions.text import IMAGE
 from folio.operators.errors import ERROR, error
 from folio.operators.pages import FIGURE_MARKER
 from folio.operators.sections import let
+from folio.sources.listing import opened
 from folio.sources.shared import work_dir
 
 PAGE = f"job_id string, window_index long, page_number long, markdown string, figures array<binary>, engine string, duration_ms long, error {ERROR}"
@@ -52,6 +53,16 @@ class TextEngine(Engine):
             yield p, text, []
 
 
+class FileEngine(TextEngine):
+    """A TextEngine whose source is the path of a text file, on any store that can be opened outside Spark."""
+
+    def convert(self, source, pages):
+        store, inside, _ = opened(source)
+        with store.open_input_stream(inside) as f:
+            text = f.read().decode("utf-8", "ignore")
+        yield from super().convert(text[(pages[0] - 1) * self.characters : pages[-1] * self.characters], pages)
+
+
 def extracted(windows: DataFrame, engine: Engine) -> DataFrame:
     """PAGE of windows (job_id, window_index, start_page, end_page, source): a row a page, or one with an error, and no page, for a window that failed.
 

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from folio.functions import text as T
 from folio.operators.responses import checked, is_allowed
 from folio.sources.versioned import VersionedTable
+from folio.sources.vision import Vision, answered
 
 
 def stub_provider(sha: Column) -> Column:
@@ -64,16 +65,20 @@ def stored(rows: DataFrame, key: str) -> DataFrame:
     return found.select(key, "summary.*")
 
 
-def summarised(figures: DataFrame, store: VersionedTable, provider: Callable[[Column], Column]) -> DataFrame:
+def summarised(figures: DataFrame, store: VersionedTable, provider: Callable[[Column], Column] | Vision) -> DataFrame:
     """SNK-7, J-2 across runs: figures with json and is_new. Contents (sha256) with a valid summary in the store are not summarised again.
 
-    provider gives the JSON of a summary from a content's hash. Its valid answers are appended to the store; others are
-    tried again in the next run. Of the figures of a content one is new, the others copy it. Figures without sha256 have no summary.
+    provider gives the JSON of a summary: a function of a content's hash, or a vision client, for which figures have the
+    column image. Valid answers are appended to the store; others are tried again in the next run. Of the figures of a
+    content one is new, the others copy it. Figures without sha256 have no summary.
     """
     known = stored(store.latest().select("sha256", "json"), "sha256").select("sha256")
-    wanted = figures.filter("sha256 IS NOT NULL").select("sha256").distinct().join(known, "sha256", "left_anti")
-    answers = wanted.withColumn("json", provider(F.col("sha256")))
-    good = checked(answers, "json", ("token",)).filter("error IS NULL").select("sha256", "json")
+    wanted = figures.filter("sha256 IS NOT NULL").join(known, "sha256", "left_anti")
+    if isinstance(provider, Vision):
+        answers = answered(wanted.groupBy("sha256").agg(F.first("image", ignorenulls=True).alias("image")), provider)
+    else:
+        answers = wanted.select("sha256").distinct().withColumn("json", provider(F.col("sha256")))
+    good = checked(answers.select("sha256", "json"), "json", ("token",)).filter("error IS NULL").select("sha256", "json")
     before = store.version()
     after = store.append(good, before)
     new = store.changes(before).filter(F.col("version") == after).select("sha256", F.lit(True).alias("added"))

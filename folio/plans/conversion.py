@@ -17,9 +17,10 @@ from folio.sources import document_sink, engines, files, ledger
 from folio.sources.page_store import PageStore
 from folio.sources.shared import work_dir
 from folio.sources.versioned import VersionedTable
+from folio.sources.vision import Vision
 
 TABLE = "array<struct<token:string,page_number:int,markdown:string,is_fragment:boolean,start_page:int>>"
-STORED = f"job_id string, window_index long, page_number long, markdown_with_tokens string, tables {TABLE}, figures array<struct<token:string,sha256:string>>, engine string, is_degraded boolean, duration_ms long"
+STORED = f"job_id string, window_index long, page_number long, markdown_with_tokens string, tables {TABLE}, figures array<struct<token:string,sha256:string,image:binary>>, engine string, is_degraded boolean, duration_ms long"
 
 
 def kept(df: DataFrame, name: str) -> DataFrame:
@@ -49,14 +50,18 @@ def tokenised(found: DataFrame) -> DataFrame:
     """STORED of extracted pages: figures and tables become tokens, figures their hashes."""
     rows = found.filter("error IS NULL").select("job_id", "window_index", "page_number", "markdown", "figures", "engine", "is_degraded", "duration_ms")
     rows = pages.page_results(rows)
-    marked = F.transform("figures", lambda b, i: F.struct(T.figure_token(F.col("job_id"), F.col("page_number"), i).alias("token"), F.sha2(b, 256).alias("sha256")))
+    marked = F.transform("figures", lambda b, i: F.struct(T.figure_token(F.col("job_id"), F.col("page_number"), i).alias("token"), F.sha2(b, 256).alias("sha256"), b.alias("image")))
     return rows.withColumn("figures", marked).withColumn("tables", F.col("tables").cast(TABLE)).select("job_id", "window_index", "page_number", "markdown_with_tokens", "tables", "figures", "engine", "is_degraded", "duration_ms")
 
 
-def with_figures(stored: DataFrame, summaries: VersionedTable, provider: Callable[[Column], Column]) -> tuple[DataFrame, DataFrame]:
+def pictures(stored: DataFrame) -> DataFrame:
+    """The figures of stored pages: job_id, page_number, index_on_page, token, sha256, image."""
+    return stored.select("job_id", "page_number", F.posexplode("figures").alias("index_on_page", "f")).select("job_id", "page_number", "index_on_page", "f.*")
+
+
+def with_figures(stored: DataFrame, summaries: VersionedTable, provider: Callable[[Column], Column] | Vision) -> tuple[DataFrame, DataFrame]:
     """The pages with their figures' texts in place of the tokens, and the counters of each job's figures."""
-    one = stored.select("job_id", "page_number", F.posexplode("figures").alias("index_on_page", "f")).select("job_id", "page_number", "index_on_page", "f.token", "f.sha256")
-    rows = kept(checked(figures.summarised(one, summaries, provider), "json", ("token",)), "figures")
+    rows = kept(checked(figures.summarised(pictures(stored), summaries, provider).drop("image"), "json", ("token",)), "figures")
     text = F.when(F.col("summary").isNull(), T.PLACEHOLDER).when(F.col("summary.is_informative"), F.col("summary.markdown_result")).otherwise("")
     status = F.when(F.col("summary").isNull(), "failed").when(F.col("is_new"), "summarized").otherwise("deduplicated")
     rows = rows.select("job_id", "page_number", "index_on_page", "token", text.alias("text"), status.alias("status"))
@@ -66,8 +71,8 @@ def with_figures(stored: DataFrame, summaries: VersionedTable, provider: Callabl
     return joined.withColumn("markdown_with_tokens", F.coalesce(put, "markdown_with_tokens")).drop("r"), figures.counters(rows)
 
 
-def convert(spark: SparkSession, root: str, out: str, state: str, primary: dict[str, engines.Engine], fallback: engines.Engine | None, provider: Callable[[Column], Column], *, recursive: bool = False, forced: str | None = None, window: int = 8, extractors=None) -> DataFrame:
-    """Convert every file under root to `<job_id>/output/<stem>.md` under out; a row for each file: path, job_id, output, total_pages, engines_used, figures, error.
+def convert(spark: SparkSession, root: str, out: str, state: str, primary: dict[str, engines.Engine], fallback: engines.Engine | None, provider: Callable[[Column], Column] | Vision, *, recursive: bool = False, forced: str | None = None, window: int = 8, extractors=None) -> DataFrame:
+    """Convert every file under root to `<job_id>/output/<stem>.md` under out, with its pictures beside it; a row for each file: path, job_id, output, total_pages, engines_used, figures, error.
 
     state keeps the ledger, the pages and the summaries: a run over the same files goes on where one was broken off, and
     extracts and summarises nothing twice. A document is published whole or not at all; one of whose windows no engine can
@@ -93,6 +98,8 @@ def convert(spark: SparkSession, root: str, out: str, state: str, primary: dict[
     ready, counters = with_figures(stored, VersionedTable(spark, f"{state}/summaries", "sha256 string, json string", ["sha256"]), provider)
     documents = pages.assembled(ready).join(jobs.select("job_id", "output"), "job_id")
     document_sink.publish(documents.select(F.col("output").alias("name"), F.col("markdown").alias("text")), out)
+    name = F.concat("job_id", F.lit("/output/figures/"), document_sink.figure_file(F.col("page_number"), F.col("index_on_page")))
+    document_sink.publish(pictures(stored).filter("image IS NOT NULL").select(name.alias("name"), F.col("image").alias("data")), out)
     book.delete(whole, version)
     summary = kept(pages.conversion_summary(stored, counters), "summary")
     stuck = found.filter("error IS NOT NULL").groupBy("job_id").agg(F.min_by("error", "window_index").alias("stuck"))

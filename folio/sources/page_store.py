@@ -26,9 +26,9 @@ class PageStore:
     def write(self, pages: DataFrame, windows: DataFrame) -> str:
         """Store pages and mark those of windows (job_id, window_index, start_page, end_page) that have each of their pages; the name of the batch."""
         batch = uuid.uuid4().hex
-        names = self.spark.createDataFrame([], self.schema).columns
+        shape = self.spark.createDataFrame([], self.schema).schema
         folder = f"{self.path}/pages/batch={batch}"
-        pages.select(*names).write.parquet(folder)
+        pages.select(*shape.names).to(shape).write.parquet(folder)
         stored = self.spark.read.schema(self.schema).parquet(folder).groupBy("job_id", "window_index").agg(F.count_distinct("page_number").alias("n"), F.min("page_number").alias("low"), F.max("page_number").alias("high"))
         whole = windows.select("job_id", "window_index", "start_page", "end_page").join(stored, ["job_id", "window_index"]).filter("n = end_page - start_page + 1 AND low = start_page AND high = end_page")
         self.marks.append(whole.withColumn("batch", F.lit(batch)))

@@ -37,8 +37,8 @@ class VersionedTable:
         """Append rows as the version after expected (default: after the last): VersionConflict if that one is there. base: the rows stand for all before them."""
         after = (self.version() if expected is None else expected) + 1
         staged = f"{self.path}/staged/{uuid.uuid4().hex}"
-        names = self.spark.createDataFrame([], self.schema).columns
-        rows.select(*names).withColumn("version", F.lit(after).cast("long")).write.parquet(staged)
+        shape = self.spark.createDataFrame([], self.schema).schema
+        rows.select(*shape.names).to(shape).withColumn("version", F.lit(after).cast("long")).write.parquet(staged)
         if base:
             self.files.touch(f"{staged}/_BASE")
         if (expected is not None and expected != self.version()) or not self.files.moved(staged, self.folder(after)):

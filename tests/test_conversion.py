@@ -8,7 +8,25 @@ from pyspark.sql import functions as F
 from folio.functions.text import PLACEHOLDER
 from folio.operators import pages as P
 from folio.plans import conversion
-from folio.sources import engines
+from folio.sources import engines, vision
+
+
+class Model(vision.Vision):
+    """Knows two letters, fails once on the third, and always on the others."""
+
+    def __init__(self, log):
+        self.log = str(log)
+
+    def start(self):
+        self.tried = set()
+
+    def summarise(self, image, attempt):
+        open(f"{self.log}/ask-{image.decode()}-{os.urandom(4).hex()}", "w").close()
+        if image == b"<":
+            return answer("a tag")
+        if image == b"t" and attempt == 2:
+            return answer("a letter")
+        raise RuntimeError("no idea")
 
 
 class Pictures(engines.FileEngine):
@@ -54,7 +72,7 @@ def test_a_run_can_be_broken_off_and_resumed(spark, tmp_path):
     first = run(primary={"docling": broken}, fallback=None)
     assert {k: r.error and r.error["class"] for k, r in first.items()} == {"a.pdf": "EngineFallbackExhaustedError", "copy.pdf": "EngineFallbackExhaustedError", "b.pdf": None, "empty.pdf": "DocumentError", "t.html": None}
     assert first["b.pdf"].output.endswith("/output/b.md") and first["a.pdf"].output is None
-    names = lambda: sorted(os.path.basename(x) for x in glob.glob(f"{out}/*/output/*"))
+    names = lambda: sorted(os.path.basename(x) for x in glob.glob(f"{out}/*/output/*.md"))
     assert names() == ["b.md", "t.md"]
     asked = len(os.listdir(log))
     second = run(primary={"docling": Pictures("docling", log)}, fallback=None)
@@ -86,3 +104,27 @@ def test_prescan_tells_engines_and_errors(spark, tmp_path):
     assert (got["a.html"].engine, got["a.html"].confidence, got["a.html"].error, got["b.txt"].engine) == ("docling", 0.98, None, None)
     assert got["b.txt"].error["class"] == "DocumentError"
     assert conversion.prescan(spark, str(tmp_path), forced="mineru").filter("path LIKE '%html'").first().error["class"] == "ConfigurationError"
+
+
+def test_a_vision_model_sees_each_picture_once(spark, tmp_path):
+    src, log = tmp_path / "src", tmp_path / "log"
+    src.mkdir(), log.mkdir()
+    (src / "a.pdf").write_text("<first page of all.>" + "the second one here." + "x")
+    (src / "b.pdf").write_text("<other page of all.>" + "<and one more page.>")
+    run = lambda: {os.path.basename(r.path): r for r in conversion.convert(spark, str(src), str(tmp_path / "out"), str(tmp_path / "state"), {"docling": Pictures("docling", log)}, None, Model(log), extractors={"pdf": pdf}).collect()}
+    asked = lambda: sorted(n.split("-")[1] for n in os.listdir(log) if n.startswith("ask"))
+    got = run()
+    assert asked() == ["<", "t", "t", "x", "x"]
+    text = open(glob.glob(f"{tmp_path}/out/*/output/a.md")[0]).read()
+    assert text == f"a tag\n\n<first page of all.>\n\na letter\n\nthe second one here.\n\n{PLACEHOLDER}\n\nx\n"
+    assert (got["a.pdf"].figures_failed, got["a.pdf"].figures_summarized + got["b.pdf"].figures_summarized, got["a.pdf"].figures_deduplicated + got["b.pdf"].figures_deduplicated) == (1, 2, 2)
+    figure = f"{tmp_path}/out/{got['a.pdf'].job_id}/output/figures/figure_p002_0.png"
+    assert open(figure, "rb").read() == b"t"
+    run()
+    assert asked() == ["<", "t", "t", "x", "x", "x", "x"]  # what failed is tried again, the rest is known
+
+
+def test_answers_of_pictures(spark, tmp_path):
+    rows = spark.createDataFrame([("a", b"<"), ("b", b"t"), ("c", b"x"), ("d", None)], "sha256 string, image binary")
+    got = {r.sha256: (r.json is not None, r.attempts, r.error and r.error["class"]) for r in vision.answered(rows, Model(tmp_path)).collect()}
+    assert got == {"a": (True, 1, None), "b": (True, 2, None), "c": (False, 2, "FigurePoisonPillError"), "d": (False, 0, "FigureSummarizationError")}

@@ -30,6 +30,7 @@ def page_evidence(pages: DataFrame) -> DataFrame:
         return F.struct(F.lit(kind).alias("kind"), F.col("page_number").cast("int").alias("page_number"), F.lit(None).cast("string").alias("location_label"), ratio.cast("double").alias("area_ratio"), F.lit(None).cast("string").alias("caption_or_alt_text"), caption.alias("nearby_text"), F.array(evidence).alias("evidence"))
 
     images = F.filter("image_boxes", lambda b: share(b) >= IMAGE_AREA)
+    # the texts of evidence here and below are fixed values of the data model
     found = F.concat(
         F.transform("table_boxes", lambda b: candidate("table", share(b), F.lit("table-shaped region"))),
         F.transform(images, lambda b: candidate("embedded_image", share(b), F.lit("embedded raster image"))),
@@ -77,6 +78,7 @@ def docx_profile(files: DataFrame) -> DataFrame:
     def candidate(kind: str, place: str, caption: Column, evidence: Column) -> Column:
         return F.struct(F.lit(kind).alias("kind"), none.cast("int").alias("page_number"), F.lit(place).alias("location_label"), none.cast("double").alias("area_ratio"), caption.cast("string").alias("caption_or_alt_text"), caption.cast("string").alias("nearby_text"), F.array(evidence).alias("evidence"))
 
+    # fixed values: the texts of evidence
     counts = F.concat(images.cast("string"), F.lit(" image(s) found (text-flow count: "), F.col("inline_images").cast("string"), F.lit(", zip-archive count: "), F.col("archive_images").cast("string"), F.lit(")"))
     found = F.array(
         F.when(images > 0, candidate("embedded_image", "docx embedded media", said, counts)),
@@ -103,6 +105,7 @@ def slide_evidence(slides: DataFrame) -> DataFrame:
     def candidate(kind: Column, ratio: Column, nearby: Column, evidence: Column) -> Column:
         return F.struct(kind.alias("kind"), F.col("slide_number").alias("page_number"), F.lit(None).cast("string").alias("location_label"), ratio.cast("double").alias("area_ratio"), F.lit(None).cast("string").alias("caption_or_alt_text"), nearby.alias("nearby_text"), F.array(evidence).alias("evidence"))
 
+    # fixed values: the texts of evidence
     words = lambda s: F.when(s["kind"] == "table", "PowerPoint table shape").when(s["kind"] == "chart", "PowerPoint native chart object").when(s["kind"] == "image", "PowerPoint picture shape (raster image)")
     kind = lambda s: F.when(s["kind"] == "image", "embedded_image").otherwise(s["kind"])
     seen = F.filter(F.transform("shapes", lambda s, i: F.when(words(s).isNotNull(), candidate(kind(s), share(s), near(i), words(s)))), lambda x: x.isNotNull())

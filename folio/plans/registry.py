@@ -174,7 +174,21 @@ def conversation_child_chunks(spark, sf_dir):
     return chunking.child_chunks(conversation_parents(spark, sf_dir)).drop("parents")
 
 
-@query()
+#: No line of the documents is blank, a header or the beginning of another block: each text is one section of one paragraph.
+@query(f"""WITH RECURSIVE k AS (SELECT doc_id, sha256(doc_id || '|0') AS id, rtrim(regexp_replace(text, chr(10) || '$', ''), chr(10) || ' ') AS txt, len(string_split(regexp_replace(text, chr(10) || '$', ''), chr(10))) AS n FROM documents WHERE text <> ''),
+c AS (SELECT *, greatest(1, length(txt) // 4) AS tokens FROM k),
+sentence AS (SELECT id, {SENTENCES_SQL.replace("text", "txt")} AS p FROM c WHERE tokens > 450),
+packed AS (
+  SELECT id, p, 1 AS i, 0 AS piece, greatest(1, length(p[1]) // 4) AS n, p[1] AS buf FROM sentence
+  UNION ALL
+  SELECT id, p, i + 1, CASE WHEN n + greatest(1, length(p[i + 1]) // 4) <= 450 THEN piece ELSE piece + 1 END,
+         CASE WHEN n + greatest(1, length(p[i + 1]) // 4) <= 450 THEN n ELSE 0 END + greatest(1, length(p[i + 1]) // 4),
+         CASE WHEN n + greatest(1, length(p[i + 1]) // 4) <= 450 THEN buf || ' ' || p[i + 1] ELSE p[i + 1] END
+  FROM packed WHERE i < len(p)
+),
+child AS (SELECT id, 0 AS piece, trim(txt, chr(10) || ' ') AS content, '' AS how FROM c WHERE tokens <= 450 UNION ALL SELECT id, piece, trim(arg_max(buf, i), chr(10) || ' '), '_split_atomic' FROM packed GROUP BY id, piece)
+SELECT doc_id, CAST(0 AS BIGINT) AS section_no, 'Document' AS title, CAST(1 AS INT) AS level, c.id AS parent_chunk_id, 'Document' AS section_path, sha256(c.id || '|' || piece) AS chunk_id, CAST(piece AS BIGINT) AS chunk_index, content AS page_content, ['paragraph'] AS block_types, CAST(1 AS INT) AS start_line, CAST(n AS INT) AS end_line,
+  'structure_aware_md_v1' || how AS chunking_strategy, CASE WHEN how = '' THEN tokens ELSE greatest(1, length(content) // 4) END AS token_count FROM c JOIN child ON child.id = c.id""")
 def document_child_chunks(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", F.col("text").alias("md"))
     return chunking.child_chunks(parent_chunks(explode_sections(docs), "doc_id")).drop("parents")

@@ -48,6 +48,10 @@ class Files:
         path = self.path(name)
         path.getFileSystem(self.conf).delete(path, True)
 
+    def make(self, folder: str) -> None:
+        path = self.path(folder)
+        path.getFileSystem(self.conf).mkdirs(path)
+
     def touch(self, name: str) -> None:
         path = self.path(name)
         path.getFileSystem(self.conf).create(path, True).close()

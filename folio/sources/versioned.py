@@ -30,6 +30,10 @@ class VersionedTable:
     def version(self) -> int:
         return max(self.versions(), default=0)
 
+    def ready(self) -> None:
+        """Make the folder of versions, so that a stream can watch it before the first append."""
+        self.files.make(f"{self.path}/versions")
+
     def folder(self, version: int) -> str:
         return f"{self.path}/versions/{version:012d}"
 

@@ -6,9 +6,11 @@ from pyspark.sql import functions as F
 
 from folio.functions.text import PLACEHOLDER
 from folio.operators import pages as P
+from folio.sources.page_store import PageStore
 from folio.streaming import fanout
 from folio.streaming.figures import resolved_figures
 from folio.streaming.reorder import PROVIDER, merged_tables_stream, ordered_pages, rocksdb
+from folio.streaming.windows import stream_windows
 
 
 def stream_of(spark, path, schema, batches):
@@ -116,3 +118,19 @@ def test_fan_out_is_idempotent(spark, tmp_path):
     assert state() == first
     fanout.tee(spark.createDataFrame(rows[:3], PAGES), 0, f, p)
     assert state() == first
+
+
+def test_windows_of_a_store_come_as_they_are_whole(spark, tmp_path):
+    schema, window = "job_id string, window_index long, page_number long, markdown string", "job_id string, window_index long, start_page long, end_page long"
+    store, seen = PageStore(spark, str(tmp_path / "store"), schema), []
+    put = lambda pages, *windows: store.write(spark.createDataFrame(pages, schema), spark.createDataFrame(windows, window))
+    handle = lambda pages, batch_id: seen.append(sorted((r.job_id, r.page_number, r.markdown) for r in pages.collect()))
+    go = lambda: stream_windows(store, handle, str(tmp_path / "ck"), availableNow=True).awaitTermination(120)
+    go()
+    put([("a", 0, 1, "one"), ("a", 0, 2, "two"), ("a", 1, 3, "three")], ("a", 0, 1, 2), ("a", 1, 3, 4))
+    go()
+    put([("a", 1, 3, "three"), ("a", 1, 4, "four")], ("a", 1, 3, 4))
+    put([("b", 0, 1, "other")], ("b", 0, 1, 1))
+    go()
+    go()
+    assert [x for x in seen if x] == [[("a", 1, "one"), ("a", 2, "two")], [("a", 3, "three"), ("a", 4, "four"), ("b", 1, "other")]]

@@ -63,7 +63,7 @@ def test_table_fragments_over_the_stream(spark, tmp_path):
     assert {(r.token, r.markdown) for r in got.collect() if r.closed} == {("c", "| x |"), ("d", "| h |\n| 1 |\n| 2 |"), ("f", "| again |")}
 
 
-def wait_for(query, check, seconds=90):
+def wait_for(query, check, seconds=150):
     until = time.time() + seconds
     while time.time() < until and not check():
         assert query.exception() is None, query.exception()
@@ -79,7 +79,7 @@ def test_figures_wait_for_summaries(spark, tmp_path):
     put = lambda name, schema, batch, rows: spark.createDataFrame(rows, schema).coalesce(1).write.parquet(f"{tmp_path}/{name}/{batch}")
     put("s", summaries, "early", [("early", True, "known before"), ("plain", False, "logo")])
     put("f", figures, "one", [("early", "j", 1), ("plain", "j", 1), ("late", "j", 2), ("never", "j", 3), (None, "j", 4)])
-    out = resolved_figures(read("f", figures), read("s", summaries), budget_ms=20_000)
+    out = resolved_figures(read("f", figures), read("s", summaries), budget_ms=30_000)
     with rocksdb(spark):
         q = out.writeStream.format("memory").queryName("resolved").outputMode("append").option("checkpointLocation", f"{tmp_path}/ck").trigger(processingTime="500 milliseconds").start()
     found = lambda: {r.token: (r.replacement, r.timed_out, r.error and r.error["class"]) for r in spark.table("resolved").collect()}

@@ -42,21 +42,28 @@ def shared_dir(spark: SparkSession) -> str:
 TIDY = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
+#: Rows of a batch that a task hands to Python.
+BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
 @contextlib.contextmanager
-def tidy(spark: SparkSession):
-    before = spark.conf.get(TIDY, None)
-    spark.conf.set(TIDY, "true")
+def setting(spark: SparkSession, key: str, value: str):
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, value)
     try:
         yield
     finally:
-        spark.conf.unset(TIDY) if before is None else spark.conf.set(TIDY, before)
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+
 
+def written(df: DataFrame, name: str, batch_rows: int | None = None) -> DataFrame:
+    """df as a Parquet table in the shared folder, read again: its lineage ends there, a lost executor costs no recomputation, and its shuffle files go.
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """df as a Parquet table in the shared folder, read again: its lineage ends there, a lost executor costs no recomputation, and its shuffle files go."""
+    batch_rows: what a plan with whole texts hands to Python at once, where the session's number of rows would be many megabytes.
+    """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    with tidy(spark):
+    with setting(spark, TIDY, "true"), setting(spark, BATCH, str(batch_rows)) if batch_rows else contextlib.nullcontext():
         df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

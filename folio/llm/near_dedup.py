@@ -27,8 +27,8 @@ from folio.llm.common import discard, small, text_of, written
 PERMUTATIONS, ROWS = 64, 4
 BANDS = 2 * PERMUTATIONS // ROWS
 PERCENT = 80
-#: Rows of text, and shingles, handled at once in a task.
-SLICE_ROWS, PART = 500, 1 << 15
+#: Rows of text that a task gets, rows of them and shingles handled at once.
+BATCH_ROWS, SLICE_ROWS, PART = 2000, 500, 1 << 15
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -142,7 +142,7 @@ def shingle_table(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([part.column("rep"), pa.array([sets[e - n : e].tobytes() for e, n in zip(ends, sizes, strict=True)], pa.binary())], ["rep", "shingles"])
 
     texts = docs.select(F.col("doc_id").cast("long").alias("rep"), text_of().alias("text")).join(small(wanted), "rep", "left_semi")
-    return written(texts.mapInArrow(run, "rep long, shingles binary"), "shingles")
+    return written(texts.mapInArrow(run, "rep long, shingles binary"), "shingles", BATCH_ROWS)
 
 
 def rows_of(column: pa.Array, width: int) -> np.ndarray:
@@ -323,7 +323,7 @@ def near_duplicates(docs: DataFrame, *, shingle_words: int = 5) -> DataFrame:
     members of a bucket are then still in different components, those are compared with one another, in blocks; pairs
     inside a component need no comparison, as they cannot change it.
     """
-    found = written(documents_with_bands(docs, shingle_words), "bands")
+    found = written(documents_with_bands(docs, shingle_words), "bands", BATCH_ROWS)
     classes = found.filter("n_shingles > 0").groupBy("key").agg(F.min("doc_id").alias("class_id"))
     members = written(found.select("doc_id", "n_shingles", "key").join(classes, "key", "left").select("doc_id", "n_shingles", "key", F.coalesce("class_id", "doc_id").alias("class_id")), "members")
     reps = found.filter("n_shingles > 0").join(members.filter("doc_id = class_id").select("doc_id", "key").distinct(), ["doc_id", "key"], "left_semi").dropDuplicates(["doc_id", "key"])

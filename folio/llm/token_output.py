@@ -2,7 +2,7 @@
 separate control bytes (four lengths of two bits a byte), decoded by table lookup.
 
 Texts that are null count as empty; an empty text has its end id only. Rows with the same doc_id stay apart, in the
-order of their ids' bytes. An empty table gives an empty result. Other columns of the input are ignored.
+order of their ids' bytes; rows without doc_id come first, and stay apart too. An empty table gives an empty result. Other columns of the input are ignored.
 """
 
 from __future__ import annotations

@@ -35,6 +35,8 @@ MIN_TEXTS, MIN_SHARE = 20, 0.02
 #: How many times the share of the other texts that of the toxic ones is at least.
 MIN_LIFT = 30
 CLEAN_COST = 20
+#: Texts that a task gets at once in a stage of the pipeline.
+BATCH_ROWS = 2000
 #: Letters in the beginnings of words.
 PREFIXES = (4, 5)
 STEPS, RATE, PENALTY = 600, 0.5, 1e-4
@@ -203,5 +205,5 @@ def severities(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 def without_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The documents that are not toxic; rows whose doc_id is null stay."""
-    gone = written(severities(docs, labels).filter("toxic").select("doc_id").distinct(), "toxic")
+    gone = written(severities(docs, labels).filter("toxic").select("doc_id").distinct(), "toxic", BATCH_ROWS)
     return docs.join(small(gone), "doc_id", "left_anti").select(*docs.columns)

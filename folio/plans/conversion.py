@@ -97,9 +97,9 @@ def convert(spark: SparkSession, root: str, out: str, state: str, primary: dict[
     stored = kept(store.pages(done.join(whole, "job_id", "left_semi")), "pages")
     ready, counters = with_figures(stored, VersionedTable(spark, f"{state}/summaries", "sha256 string, json string", ["sha256"]), provider)
     documents = pages.assembled(ready).join(jobs.select("job_id", "output"), "job_id")
-    document_sink.publish(documents.select(F.col("output").alias("name"), F.col("markdown").alias("text")), out)
-    name = F.concat("job_id", F.lit("/output/figures/"), document_sink.figure_file(F.col("page_number"), F.col("index_on_page")))
-    document_sink.publish(pictures(stored).filter("image IS NOT NULL").select(name.alias("name"), F.col("image").alias("data")), out)
+    figure = F.concat("job_id", F.lit("/output/figures/"), document_sink.figure_file(F.col("page_number"), F.col("index_on_page")))
+    shown = pictures(stored).filter("image IS NOT NULL").select(figure.alias("name"), F.col("image").alias("data"))
+    document_sink.publish(documents.select(F.col("output").alias("name"), F.encode("markdown", "utf-8").alias("data")).unionByName(shown), out)
     book.delete(whole, version)
     summary = kept(pages.conversion_summary(stored, counters), "summary")
     stuck = found.filter("error IS NOT NULL").groupBy("job_id").agg(F.min_by("error", "window_index").alias("stuck"))

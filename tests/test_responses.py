@@ -74,3 +74,24 @@ def test_pictures_on_pages_and_prompts(spark):
     assert got == [("j", 1, 0, 1), ("j", 1, 1, 3), ("j", 2, 0, 1)]
     r = spark.range(1).select(responses.system_prompt("B", {"legal": "L"}, F.lit("legal")).alias("a"), responses.system_prompt("B", {}, F.lit("legal")).alias("b"), responses.user_prompt(F.lit(1)).alias("c"), responses.user_prompt(F.lit(2)).alias("d")).first()
     assert (r.a, r.b, r.c, r.d) == ("B\n---\nL\n", "B", responses.USER_PROMPT, responses.RETRY_PROMPT)
+
+
+def test_a_text_is_parsed_a_few_times_whatever_asks_for_it(spark):
+    """Filters and generators on what checked() gives once multiplied its expressions, and ran where the table's only file is read."""
+    from folio.plans import delivery, registry
+
+    for name in ("response_problems", "response_validation", "summary_store"):
+        plan = registry.queries()[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+        above = plan[: plan.index("RepartitionByExpression")]
+        assert 1 <= above.count("not_an_object") == plan.count("not_an_object") <= 4, name
+    assert delivery.dealt(registry.table(spark, "/root/testdata/sf0.001", "part"), "p_partkey").rdd.getNumPartitions() == 4 * spark.sparkContext.defaultParallelism
+
+
+def test_answers_are_checked_once_a_content(spark, tmp_path):
+    rows = spark.createDataFrame([("j", 1, k, f"t{k}", f"s{k % 2}") for k in range(4)], "job_id string, page_number int, index_on_page int, token string, sha256 string")
+    store, plans = VersionedTable(spark, str(tmp_path / "s"), "sha256 string, json string", ["sha256"]), []
+    append = store.append
+    store.append = lambda good, *more, **named: plans.append(good._jdf.queryExecution().optimizedPlan().toString()) or append(good, *more, **named)
+    figures.summarised(rows, store, lambda sha: F.concat(F.lit('{"figure_type": "'), sha, F.lit('"}')))
+    above = plans[0][: plans[0].index("Aggregate")]
+    assert above.count("not_an_object") == 1 and plans[0].count("not_an_object") == 2  # the other is that of the store's own rows

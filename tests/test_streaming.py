@@ -1,15 +1,18 @@
 import glob
 import os
 import time
+from types import SimpleNamespace
 
+from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from folio.functions.text import PLACEHOLDER
 from folio.operators import pages as P
+from folio.plans import delivery
 from folio.sources.page_store import PageStore
 from folio.streaming import fanout
 from folio.streaming.figures import resolved_figures
-from folio.streaming.reorder import PROVIDER, merged_tables_stream, ordered_pages, rocksdb
+from folio.streaming.reorder import PROVIDER, PageOrder, merged_tables_stream, ordered_pages, rocksdb
 from folio.streaming.windows import stream_windows
 
 
@@ -134,3 +137,59 @@ def test_windows_of_a_store_come_as_they_are_whole(spark, tmp_path):
     go()
     go()
     assert [x for x in seen if x] == [[("a", 1, "one"), ("a", 2, "two")], [("a", 3, "three"), ("a", 4, "four"), ("b", 1, "other")]]
+
+
+class Told:
+    """A state that counts the messages to it."""
+
+    def __init__(self):
+        self.value, self.messages = None, 0
+
+    def get(self):
+        self.messages += 1
+        return self.value if self.value is None or isinstance(self.value, tuple) else iter(list(self.value))
+
+    def update(self, value):
+        self.messages += 1
+        self.value = value
+
+    put = update
+
+    def clear(self):
+        self.update(None)
+
+    def appendList(self, more):
+        self.update([*(self.value or []), *more])
+
+    def getValue(self, key):
+        self.messages += 1
+
+    def updateValue(self, key, value):
+        self.messages += 1
+
+
+def test_messages_to_the_state_do_not_grow_with_pages():
+    row = Row("page_number", "arrival", "payload")
+    seen = {}
+    for n in (30, 3000):
+        made = []
+        handle = SimpleNamespace(**{name: lambda *a: made.append(Told()) or made[-1] for name in ("getValueState", "getListState", "getMapState")})
+        order, out = PageOrder(), []
+        order.init(handle)
+        for part in range(3):  # the first page comes in the last part but one, the last ones wait for the end
+            rows = [row(p, k, f"t{p}") for k, p in enumerate(reversed(range(1, n + 1))) if p % 3 == (2, 1, 0)[part] and p != n]
+            out += order.handleInputRows(("j",), iter(rows), None)
+        out += order.handleInputRows(("j",), iter([row(n + 2, 1, "late"), row(None, 2, None)]), None)
+        assert [(r.position, r.page_number, r.text) for r in out] == [(p, p, f"t{p}") for p in range(1, n)] + [(n, n + 2, "late")]
+        seen[n] = sum(s.messages for s in made)
+    assert seen[30] == seen[3000] <= 20
+
+
+def test_batches_are_made_once_and_are_micro_batches(spark):
+    rows = spark.range(0, 600, 1, 90).selectExpr("cast(id % 3 AS string) AS job_id", "id AS page_number", "id AS arrival")
+    batches = delivery.in_batches(rows)
+    assert all(any("/arriving-" in f for f in b.inputFiles()) for b in batches)
+    stream = delivery.streamed(spark, [b.repartition(90) for b in batches], "job_id string, page_number long, arrival long", "many")
+    seen = []
+    stream.writeStream.foreachBatch(lambda df, k: seen.append(df.count())).option("checkpointLocation", delivery.work_dir(spark, "many-checkpoint")).trigger(availableNow=True).start().awaitTermination()
+    assert len(seen) <= len(batches) and sum(seen) == 603

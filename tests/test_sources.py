@@ -81,3 +81,32 @@ def test_page_limit_and_markdown(spark, tmp_path):
     limit = files.within_page_limit(spark.createDataFrame([(500,), (501,), (None,)], "page_or_unit_count int"))
     assert [(r.reject_reason, r.error and r.error["context"]["max_pages"]) for r in limit.collect()] == [(None, None), ("too_many_pages", "500"), (None, None)]
     assert [r.md for r in files.scan_markdown(spark, str(tmp_path)).collect()] == ["# A\ntext"]
+
+
+def test_few_pages_are_held_at_once(spark):
+    """A batch of Spark's has up to 10,000 pages; what is made of them leaves in smaller ones."""
+    import pyarrow as pa
+    from types import SimpleNamespace
+
+    frame = SimpleNamespace(dtypes=[("k", "bigint")], mapInArrow=lambda run, schema: run)
+    frame.select = lambda *names: frame
+    n = 2 * html.PAGES + 1
+    batch = pa.RecordBatch.from_arrays([pa.array(range(n)), pa.array([f"<p>page {k}<img src='{k}'>" for k in range(n)])], ["k", "html"])
+    out = list(html.parsed(frame, "k")(iter([batch])))
+    assert max(b.num_rows for b in out) == html.PAGES
+    assert [(k, t[0]["text"], e[0]["src"]) for b in out for k, t, e in zip(*(b.column(c).to_pylist() for c in ("k", "texts", "tags")))] == [(k, f"page {k}", str(k)) for k in range(n)]
+
+
+def test_names_of_documents_do_not_pass_through_messages(spark, tmp_path):
+    import pickle
+
+    from folio.sources.document_sink import DocumentWriter
+
+    sizes = []
+    for n in (1, 500):
+        writer = DocumentWriter(str(tmp_path / str(n)), ["name", "text"])
+        message = writer.write(iter([{"name": f"d/{'x' * 60}{k}", "text": str(k)} for k in range(n)]))
+        sizes.append(len(pickle.dumps(message)))
+        writer.commit([message, None])
+        assert sorted(f.name for f in (tmp_path / str(n)).iterdir()) == ["d"] and len(list((tmp_path / str(n) / "d").iterdir())) == n
+    assert sizes[1] <= sizes[0] + 8

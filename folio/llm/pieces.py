@@ -14,7 +14,9 @@ itself; it takes some sixty times its size in a task's memory. An empty table gi
 from __future__ import annotations
 
 import functools
+import itertools
 import re
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -71,9 +73,10 @@ class Pieces:
         self.unknown = model.unk_id()
         self.worst = min(self.score.values(), default=0.0) - 10
         self.tails = {p[k:] for p in self.score for k in range(len(p))}
+        self.number = {t: self.id.get(t, -1) for t in self.tails} if kind == "bpe" else {}
         self.raw, self.raw_size = np.frombuffer(b"".join(raw), np.uint8), np.array([len(r) for r in raw], np.int64)
         self.raw_start = np.cumsum(self.raw_size) - self.raw_size
-        self.agreed: dict[tuple[str, str], bool] = {}
+        self.agreed: dict[int | tuple[str, int], bool] = {}
         self.known: dict[str, int] = {}
         self.size, self.store = np.zeros(0, np.int64), np.zeros(0, np.int32)
 
@@ -87,49 +90,78 @@ class Pieces:
             k = -best[1]
             parts[k : k + 2] = [parts[k] + parts[k + 1]]
 
-    def agree(self, a: str, b: str) -> bool:
-        found = self.agreed.get((a, b))
-        if found is None:
-            if len(self.agreed) > PAIRS_KEPT:
-                self.agreed.clear()
-            found = self.agreed[a, b] = self.merged(a + b) == [a, b]
+    def agree(self, pair: int | tuple[str, int], a: str, b: str) -> bool:
+        """Whether pieces a and b stay apart beside each other; pair names the two in what is remembered."""
+        if len(self.agreed) > PAIRS_KEPT:
+            self.agreed.clear()
+        found = self.agreed[pair] = self.merged(a + b) == [a, b]
         return found
 
-    def spelled(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids and their number for each of some distinct words."""
-        out: list[list[int]] = [[] for _ in words]
-        last: list[str] = [""]  # by depth: the last piece of the prefix
-        total: list[float] = [0.0]
-        before, score, tails, bpe = "", self.score, self.tails, self.kind == "bpe"
+    def paired(self, words: list[str]) -> Iterator[tuple[int, list[int], list[int]]]:
+        """Each word's number, in sorted order, with where the last piece of each of its prefixes begins and its id (-1: none), by the merges."""
+        starts, last = [0], [0]
+        before, number, agreed, count = "", self.number, self.agreed, len(self.raw_size)
         for k in sorted(range(len(words)), key=words.__getitem__):
             word = words[k]
             depth = shared(before, word)
-            del last[depth + 1 :], total[depth + 1 :]
+            del starts[depth + 1 :], last[depth + 1 :]
             for i in range(depth + 1, len(word) + 1):
-                piece, best = word[i - 1], total[i - 1] + self.worst
+                start, piece = i - 1, -1
+                for j in range(i - 1, -1, -1):
+                    n = number.get(word[j:i])
+                    if n is None:
+                        break
+                    if n >= 0:
+                        if j:
+                            left = last[j]
+                            pair = left * count + n if left >= 0 else (word[starts[j] : j], n)
+                            fits = agreed.get(pair)
+                            if fits is None:
+                                fits = self.agree(pair, word[starts[j] : j], word[j:i])
+                        if not j or fits:
+                            start, piece = j, n
+                            break
+                starts.append(start)
+                last.append(piece if piece >= 0 else self.id.get(word[i - 1], -1))
+            before = word
+            yield k, starts, last
+
+    def scored(self, words: list[str]) -> Iterator[tuple[int, list[int], list[int]]]:
+        """The same by the highest total score."""
+        starts, last, total = [0], [0], [0.0]
+        before, score, tails = "", self.score, self.tails
+        for k in sorted(range(len(words)), key=words.__getitem__):
+            word = words[k]
+            depth = shared(before, word)
+            del starts[depth + 1 :], last[depth + 1 :], total[depth + 1 :]
+            for i in range(depth + 1, len(word) + 1):
+                start, best = i - 1, total[i - 1] + self.worst
                 for j in range(i - 1, -1, -1):
                     tail = word[j:i]
                     if tail not in tails:
                         break
-                    if tail in score:
-                        if bpe:
-                            if not j or self.agree(last[j], tail):
-                                piece = tail
-                                break
-                        elif total[j] + score[tail] > best:
-                            piece, best = tail, total[j] + score[tail]
-                last.append(piece)
-                total.append(0.0 if bpe else best)
+                    if tail in score and total[j] + score[tail] > best:
+                        start, best = j, total[j] + score[tail]
+                starts.append(start)
+                last.append(self.id.get(word[start:i], -1))
+                total.append(best)
             before = word
-            ids: list[int] = []
-            i = len(word)
+            yield k, starts, last
+
+    def spelled(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids and their number for each of some distinct words."""
+        out: list[list[int]] = [[] for _ in words]
+        for k, starts, last in self.paired(words) if self.kind == "bpe" else self.scored(words):
+            ids, i = out[k], len(words[k])
             while i:
-                piece = last[i]
-                ids += (self.id[piece],) if piece in self.id else [self.byte.get(b, self.unknown) for b in reversed(piece.encode())] if self.byte else (self.unknown,)
-                i -= len(piece)
-            out[k] = ids[::-1]
+                if last[i] >= 0:
+                    ids.append(last[i])
+                else:
+                    ids += [self.byte.get(b, self.unknown) for b in reversed(words[k][starts[i] : i].encode())] if self.byte else (self.unknown,)
+                i = starts[i]
+            ids.reverse()
         size = np.fromiter(map(len, out), np.int64, len(out))
-        return np.fromiter((i for ids in out for i in ids), np.int32, int(size.sum())), size
+        return np.fromiter(itertools.chain.from_iterable(out), np.int32, int(size.sum())), size
 
     def words(self, distinct: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """A store of ids, and where in it and how many are those of each of some distinct words; remembers WORDS_KEPT words."""

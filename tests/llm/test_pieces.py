@@ -64,3 +64,15 @@ def test_long_and_repeated_texts(spark):
     got = p.encoded(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1), PATH).collect()
     assert sorted((r.doc_id or 0, r.n_pieces) for r in got) == sorted((i or 0, len(LIBRARY.encode(t or ""))) for i, t in rows)
     assert all(r.round_trip and r.piece_ids == LIBRARY.encode(r.text or "") for r in got)
+
+
+def test_pairs_that_are_known_cost_no_call(monkeypatch):
+    rng = random.Random(5)
+    words = sorted({"▁" + "".join(rng.choices("theranoisé日", k=rng.randint(1, 12))) for _ in range(500)})
+    model, calls, agree = p.Pieces(PATH), [], p.Pieces.agree
+    monkeypatch.setattr(p.Pieces, "agree", lambda *args: calls.append(args) or agree(*args))
+    ids, size = model.spelled(words)
+    first = len(calls)
+    again = model.spelled(words)
+    assert first and len(calls) == first
+    assert again[0].tolist() == ids.tolist() == [i for w in words for i in LIBRARY.encode(w[1:])] and again[1].tolist() == size.tolist()

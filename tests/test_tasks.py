@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 from folio.plans import registry
 
 
-@pytest.mark.parametrize("name", ["fragment_merge"])
+@pytest.mark.parametrize("name", ["fragment_merge", "page_replay"])
 def test_more_rows_are_more_tasks(spark, monkeypatch, name):
     monkeypatch.setattr(registry, "TASK_ROWS", 200, raising=False)
     rows = registry.queries()[name](spark, "/root/testdata/sf0.001").select(F.spark_partition_id().alias("task")).groupBy("task").count().collect()

@@ -9,3 +9,8 @@ def test_more_rows_are_more_tasks(spark, monkeypatch, name):
     monkeypatch.setattr(registry, "TASK_ROWS", 200, raising=False)
     rows = registry.queries()[name](spark, "/root/testdata/sf0.001").select(F.spark_partition_id().alias("task")).groupBy("task").count().collect()
     assert max(r["count"] for r in rows) < sum(r["count"] for r in rows) / 3
+
+
+def test_replay_reads_a_plan_that_is_made(spark):
+    found = registry.queries()["store_replay"](spark, "/root/testdata/sf0.001")
+    assert "completed_windows" not in found._jdf.queryExecution().toString()

@@ -95,3 +95,12 @@ def test_answers_are_checked_once_a_content(spark, tmp_path):
     figures.summarised(rows, store, lambda sha: F.concat(F.lit('{"figure_type": "'), sha, F.lit('"}')))
     above = plans[0][: plans[0].index("Aggregate")]
     assert above.count("not_an_object") == 1 and plans[0].count("not_an_object") == 2  # the other is that of the store's own rows
+
+
+def test_a_filter_on_the_error_parses_no_text_again(spark):
+    from folio.plans import registry
+
+    plan = registry.queries()["summary_store"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("not_an_object") == 1
+    rows = spark.createDataFrame([("a", "[1]"), ("b", "{")], "token string, json string")
+    assert {(r.token, r.problems[0].problem) for r in responses.checked(rows.withColumn("error", F.lit("old")), "json").filter("error IS NOT NULL").collect()} == {("a", "not_an_object"), ("b", "not_json")}

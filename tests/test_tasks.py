@@ -14,3 +14,10 @@ def test_more_rows_are_more_tasks(spark, monkeypatch, name):
 def test_replay_reads_a_plan_that_is_made(spark):
     found = registry.queries()["store_replay"](spark, "/root/testdata/sf0.001")
     assert "completed_windows" not in found._jdf.queryExecution().toString()
+
+
+@pytest.mark.parametrize("name", ["response_validation", "summary_store"])
+def test_more_responses_are_more_tasks(spark, monkeypatch, name):
+    monkeypatch.setattr(registry, "TASK_ROWS", 5, raising=False)
+    rows = registry.queries()[name](spark, "/root/testdata/sf0.001")
+    assert "RepartitionByExpression [p_partkey#" in (plan := rows._jdf.queryExecution().optimizedPlan().toString()) and ", 40" in plan[plan.index("RepartitionByExpression") :].split("\n")[0]

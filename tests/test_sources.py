@@ -110,3 +110,27 @@ def test_names_of_documents_do_not_pass_through_messages(spark, tmp_path):
         writer.commit([message, None])
         assert sorted(f.name for f in (tmp_path / str(n)).iterdir()) == ["d"] and len(list((tmp_path / str(n) / "d").iterdir())) == n
     assert sizes[1] <= sizes[0] + 8
+
+
+def test_large_pages_are_not_held_together_nor_is_a_batch(spark):
+    import pyarrow as pa
+    from types import SimpleNamespace
+
+    frame = SimpleNamespace(dtypes=[("k", "bigint")], mapInArrow=lambda run, schema: run)
+    frame.select = lambda *names: frame
+    size, before, held = 300_000, pa.total_allocated_bytes(), []
+
+    def batches():
+        for at in (0, 40, 80, 80):
+            n = 40 if at < 80 else 0
+            held.append(pa.total_allocated_bytes() - before)
+            made = pa.RecordBatch.from_arrays([pa.array(range(at, at + n), pa.int64()), pa.array(["<p>" + "x" * size] * n, pa.string())], ["k", "html"])
+            yield made
+            del made
+
+    keys = []
+    for out in html.parsed(frame, "k")(batches()):
+        assert out.num_rows * size < 2 << 20
+        keys += out.column("k").to_pylist()
+        del out
+    assert keys == list(range(80)) and max(held) < 40 * size / 2

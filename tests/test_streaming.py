@@ -1,5 +1,7 @@
 import glob
+import json
 import os
+import pickle
 import time
 from types import SimpleNamespace
 
@@ -12,7 +14,7 @@ from folio.plans import delivery
 from folio.sources.page_store import PageStore
 from folio.streaming import fanout
 from folio.streaming.figures import resolved_figures
-from folio.streaming.reorder import PROVIDER, PageOrder, merged_tables_stream, ordered_pages, rocksdb
+from folio.streaming.reorder import PROVIDER, Arrived, Buckets, PageOrder, TableMerge, merged_tables_stream, ordered_pages, rocksdb
 from folio.streaming.windows import stream_windows
 
 
@@ -193,3 +195,33 @@ def test_batches_are_made_once_and_are_micro_batches(spark):
     seen = []
     stream.writeStream.foreachBatch(lambda df, k: seen.append(df.count())).option("checkpointLocation", delivery.work_dir(spark, "many-checkpoint")).trigger(availableNow=True).start().awaitTermination()
     assert len(seen) <= len(batches) and sum(seen) == 603
+
+
+class ToldList(Told):
+    def get(self):
+        return super().get() or iter(())
+
+
+def test_messages_to_the_state_do_not_grow_with_jobs():
+    seen = {}
+    for jobs in (3, 300):
+        made = ToldList()
+        order, out = Buckets(TableMerge()), []
+        order.init(SimpleNamespace(getListState=lambda *a: made))
+        table = lambda j, p: json.dumps([{"token": f"{j}-{p}", "markdown": f"| {p} |\n", "is_fragment": p < 3, "start_page": 1}])
+        for part in ([2, 3], [1], [None]):
+            rows = [(str(j), *Arrived(p, p or 9, p and table(j, p))) for p in part for j in range(jobs)]
+            out += order.handleInputRows((0,), iter([Row("rows")(pickle.dumps(rows[k::2])) for k in range(2)]), None)
+        assert sorted((r.job_id, r.token, r.markdown, r.closed) for r in out) == sorted((str(j), f"{j}-3", "| 1 |\n| 2 |\n| 3 |", True) for j in range(jobs))
+        seen[jobs] = made.messages
+    assert seen[3] == seen[300] <= 6
+
+
+def test_jobs_of_a_bucket_are_as_if_each_had_its_state(spark, tmp_path):
+    t = lambda k, start, fragment: (f"t{k}", f"| {k} |\n", fragment, start)
+    rows = [(f"j{j}", p, (j * 7 + p * 5) % 11, [t(j * 10 + p, (p - 1) // 2 * 2 + 1, (j + p) % 3 < 2)]) for j in range(7) for p in (1, 2, 3, 4, 4, 6)] + [(None, 1, 1, [t(1, 1, False)])]
+    batches = [[r for r in rows if r[2] % 3 == k] for k in range(3)] + [[(r, None, 99, None) for r in [f"j{j}" for j in range(7)]], [("j1", 5, 100, [t(5, 5, False)]), ("j1", None, 101, None)]]
+    stream = stream_of(spark, tmp_path / "in", TABLES, batches)
+    own = sorted(map(repr, finished(spark, merged_tables_stream(stream), tmp_path / "own", "own").collect()))
+    shared = sorted(map(repr, finished(spark, merged_tables_stream(stream, 3), tmp_path / "shared", "shared").collect()))
+    assert len(own) > 20 and shared == own

@@ -1,4 +1,5 @@
 import os
+import pickle
 
 import pytest
 from pyspark.sql import functions as F
@@ -125,3 +126,28 @@ def test_scan_reads_what_was_published(spark, tmp_path):
     got = {r.path[len(f"file:{tmp_path}/") :]: r.reject_reason for r in files.scan_documents(spark, str(tmp_path), recursive=True).collect()}
     assert got == {"a.html": None, "_b.pdf": "empty", "c/d.docx": None, "e.txt": "unsupported"}
     assert listing.scheme("s3://b/x") == "s3" and listing.scheme("/a:b") == ""
+
+
+def test_the_driver_holds_little_of_each_document(spark, tmp_path, monkeypatch):
+    """No data source, for which Spark starts processes beside the driver; partitions with short names; nothing listed to read what was published."""
+    for kind in ((sink, "DocumentSink"), (listing, "FileSource")):
+        monkeypatch.delattr(*kind)
+    root = str(tmp_path / ("long" * 20))
+    sink.publish(spark.range(2000).select(F.format_string("d%04d/output/a.md", "id").alias("name"), F.concat(F.lit("é "), F.col("id").cast("string")).alias("text")), root)
+    parts = listing.FileReader({"path": root, "recursive": "true"}).partitions()
+    assert sum(len(p.rows) for p in parts) == 2000 and sum(len(pickle.dumps(p)) for p in parts) < 40 * 2000
+    assert files.scan_documents(spark, root, recursive=True).filter("length > 0").count() == 2000
+    wanted = spark.range(0, 2000, 500).select(F.format_string("d%04d/output/a.md", "id").alias("name"), "id")
+    assert sorted((r.id, r.md) for r in files.read_markdown(wanted, root).collect()) == [(k, f"é {k}") for k in range(0, 2000, 500)]
+    with pytest.raises(Exception, match="d9999"):
+        files.read_markdown(wanted.limit(1).withColumn("name", F.lit("d9999/output/a.md")), root).collect()
+
+
+def test_renames_go_on_where_a_task_was_broken_off(tmp_path):
+    writer = sink.DocumentWriter(str(tmp_path), ["name", "text"])
+    message = writer.write(iter([{"name": f"{k}/a.md", "text": str(k)} for k in range(4)]))
+    (tmp_path / "0").mkdir()
+    os.rename(f"{writer.hidden}/{message.attempt}-0", tmp_path / "0" / "a.md")
+    writer.renamed(message)
+    writer.done()
+    assert names(tmp_path) == [f"{k}/a.md" for k in range(4)]
